@@ -369,3 +369,87 @@ def _report_sql() -> str:
 def q_match_report(spark, sf_dir):
     est, adr = registries(spark, sf_dir)
     return L.match_report(est, adr, L.registry_rules())
+
+
+# --- sources and sinks ---------------------------------------------------------
+
+from reglink.session import staging_dir  # noqa: E402
+from reglink.sources import registry as R  # noqa: E402
+
+_STATE_LABEL_SQL = "o_orderstatus || o_orderstatus"
+_ORDERS_FILE_COLS = "o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority"
+
+
+def _loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.load_partitioned(spark, X.stage_state_folders(spark, sf_dir), X.orders_file_schema())
+
+
+@register(
+    "load_partitioned",
+    f"select {_ORDERS_FILE_COLS}, {_STATE_LABEL_SQL} as UF from orders",
+)
+def q_load_partitioned(spark, sf_dir):
+    return _loaded(spark, sf_dir)
+
+
+_COUNTS_SQL = (
+    f"select UF, count(*) as n_rows from (select {_STATE_LABEL_SQL} as UF from orders) "
+    "group by rollup (UF) order by UF nulls last"
+)
+
+
+@register("source_counts", _COUNTS_SQL)
+def q_source_counts(spark, sf_dir):
+    return R.source_counts(_loaded(spark, sf_dir))
+
+
+@register("integrate", _COUNTS_SQL)
+def q_integrate(spark, sf_dir):
+    """Folders of delimited files -> one Parquet table partitioned by state,
+    then per-state and total counts read back from the written table."""
+    out = staging_dir(spark, "integrated")
+    R.write_table(_loaded(spark, sf_dir), out, partition_by=["UF"])
+    return R.source_counts(R.read_table(spark, out))
+
+
+@register(
+    "read_rejects",
+    "select count(*) as n_rows, count_if(o_orderstatus = 'P') as n_rejected, "
+    "count_if(o_orderstatus <> 'P') as n_accepted from orders",
+)
+def q_read_rejects(spark, sf_dir):
+    df = R.read_registry(spark, X.stage_typed_rejects(spark, sf_dir), X.orders_file_schema(), keep_rejects=True)
+    return R.rejected_summary(df)
+
+
+@register("union_sources", "select * from orders")
+def q_union_sources(spark, sf_dir):
+    orders = X.table(spark, sf_dir, "orders")
+    finished = orders.where(F.col("o_orderstatus") == "F")
+    rest = orders.where(F.col("o_orderstatus") != "F").select(*reversed(orders.columns))
+    return R.union_sources([finished, rest])
+
+
+@register("write_table", "select * from part")
+def q_write_table(spark, sf_dir):
+    part = X.table(spark, sf_dir, "part")
+    out = staging_dir(spark, "part")
+    R.write_table(part, out, partition_by=["p_type"])
+    return R.read_table(spark, out, schema=part.schema)
+
+
+@register("export_distinct", "select distinct p_brand, p_type from part")
+def q_export_distinct(spark, sf_dir):
+    part = X.table(spark, sf_dir, "part")
+    out = staging_dir(spark, "brand_type")
+    R.export_distinct(part, ["p_brand", "p_type"], out)
+    return R.read_registry(spark, out, part.select("p_brand", "p_type").schema, sep=",")
+
+
+@register("export_distinct_values", ORACLE_SQL["distinct_values"])
+def q_export_distinct_values(spark, sf_dir):
+    out = staging_dir(spark, "distinct_values")
+    R.export_distinct_values(_profiled(spark, sf_dir), out)
+    return spark.read.schema("value string, n_values bigint, column_name string").json(out).select(
+        "column_name", "value", "n_values"
+    )

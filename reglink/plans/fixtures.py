@@ -89,3 +89,97 @@ def profiled_part(part: DataFrame) -> DataFrame:
         F.when(F.col("p_size") == 1, F.lit(None)).otherwise(F.col("p_size")).alias("p_size"),
         "p_retailprice",
     )
+
+
+# --- staged files --------------------------------------------------------------
+# Queries over delimited files or archives first write driver tables into the
+# shared checkpoint folder (once per session and table), then run the operator
+# over what was written.
+
+_STAGED: dict[tuple, str] = {}
+
+ORDERS_FILE_FIELDS = [
+    ("o_orderkey", "long"),
+    ("o_custkey", "long"),
+    ("o_totalprice", "double"),
+    ("o_orderdate", "timestamp_ntz"),
+    ("o_orderpriority", "string"),
+]
+
+
+def orders_file_schema():
+    from pyspark.sql.types import StructField, StructType, TimestampNTZType
+
+    from reglink.sources.schemas import struct_from
+
+    fields = []
+    for name, kind in ORDERS_FILE_FIELDS:
+        if kind == "timestamp_ntz":
+            fields.append(StructField(name, TimestampNTZType(), True))
+        else:
+            fields.append(struct_from([(name, kind)]).fields[0])
+    return StructType(fields)
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def stage_state_folders(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as ``;`` files in one folder per status: ``11_FF``, ``12_OO``...
+
+    One partitioned write, then each ``o_orderstatus=X`` folder is renamed to a
+    state-style name (metadata only). A stray ``cnes`` folder of other files
+    sits next to them, as a downloaded establishment dump would.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "state_folders")
+    if key in _STAGED:
+        return _STAGED[key]
+    from reglink.session import staging_dir
+
+    root = staging_dir(spark, "states")
+    cols = [n for n, _ in ORDERS_FILE_FIELDS]
+    (
+        table(spark, sf_dir, "orders")
+        .select(*cols, "o_orderstatus")
+        .write.partitionBy("o_orderstatus")
+        .option("sep", ";")
+        .option("header", True)
+        .csv(f"{root}/raw")
+    )
+    fs, raw = _hadoop_fs(spark, f"{root}/raw")
+    jvm = spark._jvm
+    statuses = sorted(
+        st.getPath().getName().split("=", 1)[1]
+        for st in fs.listStatus(raw)
+        if st.isDirectory() and st.getPath().getName().startswith("o_orderstatus=")
+    )
+    for i, status in enumerate(statuses):
+        src = jvm.org.apache.hadoop.fs.Path(raw, f"o_orderstatus={status}")
+        dst = jvm.org.apache.hadoop.fs.Path(raw, f"{11 + i:02d}_{(status * 2)[:2].upper()}")
+        fs.rename(src, dst)
+    table(spark, sf_dir, "nation").write.option("sep", ";").option("header", True).csv(f"{root}/raw/cnes")
+    _STAGED[key] = f"{root}/raw"
+    return _STAGED[key]
+
+
+def stage_typed_rejects(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as ``;`` files whose price is not a number on pending orders."""
+    key = (spark.sparkContext.applicationId, sf_dir, "rejects")
+    if key in _STAGED:
+        return _STAGED[key]
+    from reglink.session import staging_dir
+
+    root = staging_dir(spark, "rejects")
+    orders = table(spark, sf_dir, "orders")
+    price = F.when(F.col("o_orderstatus") == "P", F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    (
+        orders.select("o_orderkey", "o_custkey", price.alias("o_totalprice"), "o_orderdate", "o_orderpriority")
+        .write.option("sep", ";")
+        .option("header", True)
+        .csv(root)
+    )
+    _STAGED[key] = root
+    return root
