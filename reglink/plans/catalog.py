@@ -453,3 +453,107 @@ def q_export_distinct_values(spark, sf_dir):
     return spark.read.schema("value string, n_values bigint, column_name string").json(out).select(
         "column_name", "value", "n_values"
     )
+
+
+# --- acquisition re-aimed as Spark jobs -----------------------------------------
+
+from reglink.operators import ingest as I  # noqa: E402
+from reglink.sources import archives as Z  # noqa: E402
+
+_BOUNDS_SQL = (
+    "bounds as (select o_custkey, min(o_orderdate) as first_ts, max(o_orderdate) as last_ts "
+    "from orders group by o_custkey)"
+)
+_CALENDAR_SQL = (
+    "calendar as (select o_custkey, strftime(m, '%Y%m') as period from ("
+    "select o_custkey, unnest(generate_series(date_trunc('month', first_ts), "
+    "date_trunc('month', last_ts), interval 1 month)) as m from bounds))"
+)
+
+
+@register("month_calendar", f"with {_BOUNDS_SQL}, {_CALENDAR_SQL} select o_custkey, period from calendar")
+def q_month_calendar(spark, sf_dir):
+    """Every month of each customer's active span (first to last order)."""
+    bounds = I.period_bounds(X.table(spark, sf_dir, "orders"), "o_orderdate", ["o_custkey"])
+    return I.month_calendar(bounds, "first_ts", "last_ts", ["o_custkey"])
+
+
+@register(
+    "missing_periods",
+    f"""with {_BOUNDS_SQL}, {_CALENDAR_SQL},
+landed as (select distinct o_custkey, strftime(o_orderdate, '%Y%m') as period from orders)
+select c.o_custkey, c.period from calendar c
+where not exists (select 1 from landed l where l.o_custkey = c.o_custkey and l.period = c.period)""",
+)
+def q_missing_periods(spark, sf_dir):
+    """Months inside each customer's span with no order (expected minus landed)."""
+    return I.gap_report(X.table(spark, sf_dir, "orders"), "o_orderdate", ["o_custkey"])
+
+
+@register(
+    "landed_periods",
+    "select distinct o_orderstatus, strftime(o_orderdate, '%Y%m') as period from orders",
+)
+def q_landed_periods(spark, sf_dir):
+    return I.landed_periods(X.table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderstatus"])
+
+
+def _links_sql() -> str:
+    anchor = I.ANCHOR_REGEX.replace("'", "''")
+    href = I.HREF_REGEX.replace("'", "''")
+    text = I.ANCHOR_TEXT_REGEX.replace("'", "''")
+    return rf"""with a as (
+  select page_id, url, unnest(l) as a, unnest(generate_series(0, len(l) - 1)) as link_no
+  from (select page_id, url, regexp_extract_all(html, '{anchor}', 0) as l from pages)
+),
+h as (
+  select page_id, url, link_no,
+         regexp_extract(a, '{href}', 1) as raw_href,
+         trim(regexp_replace(regexp_extract(a, '{text}', 1), '<[^>]*>', '', 'g')) as text
+  from a
+),
+k as (
+  select page_id, link_no, regexp_replace(raw_href, '^["'']|["'']$', '', 'g') as href, text, url
+  from h where raw_href <> ''
+),
+n as (
+  select *, regexp_replace(href, '/+$', '') as name,
+         regexp_replace(url, '[?#].*$', '') as page
+  from k
+),
+o as (select *, regexp_extract(page, '{I.ORIGIN_REGEX}', 0) as origin from n)
+select page_id, cast(link_no as bigint) as link_no, href, text, name,
+       case when text <> 'Parent Directory' and ends_with(href, '/')
+                 and regexp_matches(name, '{I.STATE_FOLDER_REGEX}') then 'folder'
+            when text <> 'Parent Directory' and ends_with(href, '.zip') then 'archive'
+            else 'other' end as kind,
+       case when regexp_matches(name, '{I.SCHEME_REGEX}') then name
+            when starts_with(name, '/') then origin || name
+            when page = origin then page || '/' || name
+            else regexp_extract(page, '^(.*/)', 1) || name end as link_url
+from o"""
+
+
+@register("extract_links", _links_sql())
+def q_extract_links(spark, sf_dir):
+    return I.extract_links(X.table(spark, sf_dir, "pages"), keys=["page_id"])
+
+
+_ARCHIVED_COLS = ", ".join(n for n, _ in X.ORDERS_ARCHIVE_FIELDS)
+
+
+def _expanded(spark, sf_dir):
+    return Z.expand_archives(spark, X.stage_archives(spark, sf_dir))
+
+
+@register("archived_orders", f"select {_ARCHIVED_COLS} from orders")
+def q_archived_orders(spark, sf_dir):
+    """Zip archives of ``;`` files -> lines on the executors -> native CSV parse."""
+    lines = Z.archive_lines(_expanded(spark, sf_dir))
+    return Z.parse_lines(lines, X.orders_archive_schema())
+
+
+@register("ingest_tally")
+def q_ingest_tally(spark, sf_dir):
+    """(n_archives, n_succeeded, n_failed); archive count follows the task layout."""
+    return Z.ingest_tally(_expanded(spark, sf_dir))

@@ -183,3 +183,83 @@ def stage_typed_rejects(spark: SparkSession, sf_dir: str) -> str:
     )
     _STAGED[key] = root
     return root
+
+
+ORDERS_ARCHIVE_FIELDS = [*ORDERS_FILE_FIELDS, ("o_orderstatus", "string")]
+
+
+def orders_archive_schema():
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    return StructType([*orders_file_schema().fields, StructField("o_orderstatus", StringType(), True)])
+
+
+def _write_zips(root: str, member_rows: int):
+    """mapInPandas body: each batch of formatted lines becomes one zip archive
+    of ``;`` members (header + at most ``member_rows`` lines each), written by
+    the task itself to the shared folder."""
+    import io
+    import uuid
+    import zipfile
+
+    import pandas as pd
+
+    header = ";".join(n for n, _ in ORDERS_ARCHIVE_FIELDS)
+
+    def write(batches):
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            lines = pdf["line"].tolist()
+            buf = io.BytesIO()
+            with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+                for i, start in enumerate(range(0, len(lines), member_rows)):
+                    body = "\n".join([header, *lines[start:start + member_rows]]) + "\n"
+                    zf.writestr(f"part_{i:03d}.csv", body)
+            name = f"{base}/orders-{uuid.uuid4().hex[:16]}.zip"
+            with fs.open_output_stream(name) as out:
+                out.write(buf.getvalue())
+            yield pd.DataFrame({"archive": [name], "n_lines": [len(lines)]})
+
+    return write
+
+
+def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) -> str:
+    """``orders`` as zip archives of ``;`` files, plus one corrupt and one empty archive.
+
+    Lines are formatted by Spark (NULL as an empty field); every task packs its
+    own Arrow batches into archives, so no row passes through the driver and
+    the number of archives grows with the table.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "archives", member_rows)
+    if key in _STAGED:
+        return _STAGED[key]
+    import io
+    import zipfile
+
+    import pyarrow.fs as pafs
+
+    from reglink.session import staging_dir
+
+    root = staging_dir(spark, "archives")
+    fs, base = pafs.FileSystem.from_uri(root)
+    fs.create_dir(base, recursive=True)
+    fields = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in ORDERS_ARCHIVE_FIELDS]
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(";", *fields).alias("line"))
+    written = lines.mapInPandas(_write_zips(root, member_rows), "archive string, n_lines bigint")
+    written.write.format("noop").mode("overwrite").save()
+    # Two fixed broken inputs next to the real archives.
+    with fs.open_output_stream(f"{base}/broken.zip") as out:
+        out.write(b"PK\x03\x04 this is not a complete zip archive")
+    empty = io.BytesIO()
+    with zipfile.ZipFile(empty, "w"):
+        pass
+    with fs.open_output_stream(f"{base}/EMPTY.ZIP") as out:
+        out.write(empty.getvalue())
+    with fs.open_output_stream(f"{base}/notes.txt") as out:
+        out.write(b"not an archive, never listed\n")
+    _STAGED[key] = root
+    return root
