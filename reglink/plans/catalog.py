@@ -557,3 +557,52 @@ def q_archived_orders(spark, sf_dir):
 def q_ingest_tally(spark, sf_dir):
     """(n_archives, n_succeeded, n_failed); archive count follows the task layout."""
     return Z.ingest_tally(_expanded(spark, sf_dir))
+
+
+# --- cleaning extensions ---------------------------------------------------------
+
+from reglink.functions import clean as C  # noqa: E402
+
+_DIRTY_SQL = (
+    "dirty as (select o_orderkey, '  ' || ['"
+    + "', '".join(X.DIRTY_WORDS)
+    + "'][(o_custkey % "
+    + str(len(X.DIRTY_WORDS))
+    + ") + 1] || ' ' || o_orderpriority || '  #' || cast(o_orderkey as varchar) || chr(9) as street_raw, "
+    "case when o_orderkey % 3 = 0 then strftime(o_orderdate, '%d/%m/%Y') "
+    "when o_orderkey % 3 = 1 then strftime(o_orderdate, '%Y%m%d') "
+    "else strftime(o_orderdate, '%Y-%m-%d') end "
+    "|| case when o_orderpriority = '5-LOW' then '?' else '' end as date_raw from orders)"
+)
+
+_SQL_DATE_LAYOUTS = {"yyyy-MM-dd": "%Y-%m-%d", "dd/MM/yyyy": "%d/%m/%Y", "dd-MM-yyyy": "%d-%m-%Y",
+                     "dd.MM.yyyy": "%d.%m.%Y", "yyyyMMdd": "%Y%m%d"}
+
+
+def _clean_sql(x: str) -> str:
+    s = f"regexp_replace({x}, '[^\\p{{L}}\\p{{N}}\\s]', '', 'g')"
+    s = f"regexp_replace(regexp_replace({s}, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g')"
+    cases = " ".join(f"when '{k}' then '{v}'" for k, v in C.STREET_ABBREVIATIONS.items())
+    word = f"case upper(regexp_replace(w, '\\.$', '')) {cases} else w end"
+    return f"nullif(array_to_string(list_transform(string_split({s}, ' '), lambda w: {word}), ' '), '')"
+
+
+def _date_sql(x: str) -> str:
+    tries = ", ".join(f"try_strptime({x}, '{_SQL_DATE_LAYOUTS[f]}')" for f in C.DATE_FORMATS)
+    return f"strftime(coalesce({tries}), '%Y-%m-%d')"
+
+
+@register(
+    "clean_text",
+    f"with {_DIRTY_SQL} select o_orderkey, street_raw, {_clean_sql('street_raw')} as street_clean, "
+    f"date_raw, {_date_sql('date_raw')} as date_clean from dirty",
+)
+def q_clean_text(spark, sf_dir):
+    dirty = X.dirty_orders(X.table(spark, sf_dir, "orders"))
+    return dirty.select(
+        "o_orderkey",
+        "street_raw",
+        C.clean_text("street_raw").alias("street_clean"),
+        "date_raw",
+        C.standardize_date("date_raw").alias("date_clean"),
+    )

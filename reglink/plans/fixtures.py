@@ -263,3 +263,23 @@ def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) ->
         out.write(b"not an archive, never listed\n")
     _STAGED[key] = root
     return root
+
+
+# Abbreviations (and one unknown word) written into the dirty street text.
+DIRTY_WORDS = ("R", "av", "TV.", "Dr", "xyz")
+
+
+def dirty_orders(orders: DataFrame) -> DataFrame:
+    """``orders`` with a street-like text and a date written the messy ways
+    registries write them: padding, tabs, symbols, abbreviations, three date
+    layouts and an unparseable date on low-priority orders."""
+    word = F.element_at(F.array(*[F.lit(w) for w in DIRTY_WORDS]), (F.pmod("o_custkey", F.lit(len(DIRTY_WORDS))) + 1).cast("int"))
+    street = F.concat(F.lit("  "), word, F.lit(" "), F.col("o_orderpriority"), F.lit("  #"), F.col("o_orderkey").cast("string"), F.lit("\t"))
+    layout = F.pmod("o_orderkey", F.lit(3))
+    date = (
+        F.when(layout == 0, F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .when(layout == 1, F.date_format("o_orderdate", "yyyyMMdd"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    )
+    date = F.when(F.col("o_orderpriority") == "5-LOW", F.concat(date, F.lit("?"))).otherwise(date)
+    return orders.select("o_orderkey", street.alias("street_raw"), date.alias("date_raw"))
