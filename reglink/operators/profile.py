@@ -226,14 +226,19 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approx: bool = False,
     return df.agg(F.count_distinct(*cols).alias("n_distinct"))
 
 
-def duplicate_groups(df: DataFrame, keys: Sequence[str], k: int | None = 100) -> DataFrame:
+def duplicate_groups(
+    df: DataFrame, keys: Sequence[str], k: int | None = 100, count_col: str = "n"
+) -> DataFrame:
     """Rows per key combination, largest first: (keys..., n).
 
     NULL keys form their own group. Ties are broken by the keys ascending
-    (NULL first) so the top ``k`` is deterministic.
+    (NULL first) so the top ``k`` is deterministic. The top ``k`` is taken
+    per task before one small final merge (``TakeOrderedAndProject``).
     """
-    grouped = df.groupBy(*[ref(c) for c in keys]).agg(F.count(F.lit(1)).alias("n"))
-    ordered = grouped.orderBy(F.desc("n"), *[ref(c).asc_nulls_first() for c in keys])
+    if count_col in keys:
+        raise ValueError(f"count column {count_col!r} is also a key; pass another count_col")
+    grouped = df.groupBy(*[ref(c) for c in keys]).agg(F.count(F.lit(1)).alias(count_col))
+    ordered = grouped.orderBy(F.desc(count_col), *[ref(c).asc_nulls_first() for c in keys])
     return ordered.limit(k) if k is not None else ordered
 
 
