@@ -60,10 +60,10 @@ def _col(c: ColumnOrName) -> Column:
 def strip_whitespace(c: ColumnOrName, squeeze: bool = False) -> Column:
     """Remove leading and trailing whitespace (tabs and line breaks too, not
     only spaces as ``trim`` does); ``squeeze`` also folds inner runs to one space."""
-    out = F.regexp_replace(_col(c), r"^\s+|\s+$", "")
     if squeeze:
-        out = F.regexp_replace(out, r"\s+", " ")
-    return out
+        # Every whitespace run becomes one space first, so a plain trim ends it.
+        return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
+    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
 
 
 def remove_special(c: ColumnOrName, keep: str = KEEP_CLASS) -> Column:
@@ -81,8 +81,36 @@ def standardize_date(c: ColumnOrName, formats: Sequence[str] = DATE_FORMATS, out
     if not formats:
         raise ValueError("no date format")
     text = _col(c).cast("string")
-    parsed = F.coalesce(*[F.try_to_date(text, fmt) for fmt in formats])
-    return F.date_format(parsed, output)
+    tries = []
+    for fmt in formats:
+        attempt = F.try_to_date(text, fmt)
+        shape = layout_regex(fmt)
+        # Only text already shaped like the layout is parsed: a failing
+        # parse costs an exception per value, a regex test does not.
+        tries.append(F.when(text.rlike(shape), attempt) if shape else attempt)
+    return F.date_format(F.coalesce(*tries), output)
+
+
+def layout_regex(fmt: str) -> str | None:
+    """A regex every text the numeric layout ``fmt`` parses also matches, or
+    None for layouts with month names (``MMM``), other fields or quoted text.
+
+    ``dd``/``MM`` take two digits, ``d``/``M`` one or two, ``yyyy`` four or
+    more (exactly four when the layout has no separator to end it).
+    """
+    compact = fmt.isalpha()
+    out = []
+    for run in re.finditer(r"(.)\1*", fmt):
+        ch, n = run.group(1), len(run.group(0))
+        if ch == "y":
+            out.append(rf"\d{{{n}}}" if compact else rf"\d{{{n},}}")
+        elif ch in "Md" and n <= 2:
+            out.append(rf"\d{{{n}}}" if n > 1 else r"\d{1,2}")
+        elif ch.isalpha() or ch == "'":
+            return None
+        else:
+            out.append(re.escape(ch))
+    return "^" + "".join(out) + "$"
 
 
 def expand_abbreviations(
@@ -99,10 +127,21 @@ def expand_abbreviations(
     """
     if not mapping:
         return _col(c)
+    col = _col(c)
     lookup = F.create_map(*chain.from_iterable((F.lit(k.upper()), F.lit(v)) for k, v in mapping.items()))
-    words = F.split(_col(c), re.escape(sep))
-    key = lambda w: F.upper(F.regexp_replace(w, r"\.$", ""))
-    return F.array_join(F.transform(words, lambda w: F.coalesce(F.try_element_at(lookup, key(w)), w)), sep)
+
+    def key(w: Column) -> Column:
+        up = F.upper(w)
+        return F.when(up.endswith("."), up.substr(F.lit(1), F.length(up) - 1)).otherwise(up)
+
+    expanded = F.array_join(
+        F.transform(F.split(col, re.escape(sep)), lambda w: F.coalesce(F.try_element_at(lookup, key(w)), w)), sep
+    )
+    # Rows without any dictionary word skip the split and the per-word lookup.
+    words = "|".join(re.escape(k) for k in sorted(mapping, key=len, reverse=True))
+    s = re.escape(sep)
+    candidate = col.rlike(f"(?i)(^|{s})({words})\\.?({s}|$)")
+    return F.when(candidate, expanded).otherwise(col)
 
 
 def clean_text(

@@ -51,26 +51,41 @@ def _double_key(c: Column, digits: int | None) -> Column:
     return x.cast("string")
 
 
-def _rule_keys(df: DataFrame, fns: Sequence[KeyFn], numeric: Sequence[bool], width: int) -> list[Column]:
-    """Key parts as strings padded to ``width``; all NULL if any part is NULL."""
-    cols = []
-    for i, fn in enumerate(fns):
-        c = fn(df)
-        cols.append(_double_key(c, None) if i < len(numeric) and numeric[i] else c.cast("string"))
-    complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-    padded = [F.when(complete, c) for c in cols]
-    padded += [F.when(complete, F.lit("")) for _ in range(width - len(cols))]
-    return padded
+def _typed_parts(df: DataFrame, fns: Sequence[KeyFn], numeric: Sequence[bool]) -> list[Column]:
+    """Key parts as strings (doubles through ``_double_key``)."""
+    return [
+        _double_key(fn(df), None) if i < len(numeric) and numeric[i] else fn(df).cast("string")
+        for i, fn in enumerate(fns)
+    ]
+
+
+def _part_columns(df: DataFrame, rules: Sequence[Rule], side: str) -> tuple[DataFrame, list[list[str]]]:
+    """Every key part of every rule as its own column, computed once.
+
+    Parts are typed to strings here (doubles through ``_double_key``) so the
+    exploded rows below only reference columns: the parse of a coordinate is
+    not repeated inside each NULL test and struct field.
+    """
+    cols, names = [], []
+    for j, r in enumerate(rules):
+        parts = _typed_parts(df, r.left if side == "left" else r.right, r.numeric)
+        part_names = [f"__r{j}p{i}" for i in range(len(parts))]
+        cols += [c.alias(n) for c, n in zip(parts, part_names)]
+        names.append(part_names)
+    return df.select(*cols), names
 
 
 def _keyed(df: DataFrame, rules: Sequence[Rule], side: str, width: int) -> DataFrame:
     """One row per (input row, rule): (rule, k0..k{width-1}), in one scan."""
+    parts, names = _part_columns(df, rules, side)
     entries = []
-    for r in rules:
-        fns = r.left if side == "left" else r.right
-        keys = _rule_keys(df, fns, r.numeric, width)
+    for r, part_names in zip(rules, names):
+        cols = [F.col(n) for n in part_names]
+        complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
+        keys = [F.when(complete, c) for c in cols]
+        keys += [F.when(complete, F.lit("")) for _ in range(width - len(cols))]
         entries.append(F.struct(F.lit(r.name).alias("rule"), *[k.alias(f"k{i}") for i, k in enumerate(keys)]))
-    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+    return parts.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
 def _key_counts(df: DataFrame, rules: Sequence[Rule], side: str, width: int, alias: str) -> DataFrame:
@@ -106,8 +121,8 @@ def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Da
         F.sum(F.when(both, nr).otherwise(F.lit(0))).alias("matched_right"),
     )
     # Every rule gets a row even on empty input: a literal list bounded by the rules.
-    spark = left.sparkSession
-    names = spark.createDataFrame([(r.name,) for r in rules], "rule string")
+    # Built in the JVM from literals (no Python-side rows, no Python worker).
+    names = left.sparkSession.range(1).select(F.explode(F.array(*[F.lit(r.name) for r in rules])).alias("rule"))
     zero = F.lit(0).cast("bigint")
     out = names.join(F.broadcast(per_rule), "rule", "left").select(
         "rule",
@@ -137,8 +152,9 @@ def link(
     handling of the outer join.
     """
     width = len(rule.left)
-    lkeys = _rule_keys(left, rule.left, rule.numeric, width)
-    rkeys = _rule_keys(right, rule.right, rule.numeric, width)
+    # A NULL part never satisfies the equality, so no completeness test is needed.
+    lkeys = _typed_parts(left, rule.left, rule.numeric)
+    rkeys = _typed_parts(right, rule.right, rule.numeric)
     lnames = [f"__lk{i}" for i in range(width)]
     rnames = [f"__rk{i}" for i in range(width)]
     grouped = (

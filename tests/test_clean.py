@@ -23,3 +23,16 @@ def test_expand_abbreviations_custom_map(spark):
     df = spark.createDataFrame([("st. mary RD",)], "s string")
     got = rows(df.select(C.expand_abbreviations("s", {"ST": "SAINT", "RD": "ROAD"})))
     assert got == [("SAINT mary ROAD",)]
+
+
+def test_layout_regex_gates_only_numeric_layouts():
+    assert C.layout_regex("dd/MM/yyyy") == r"^\d{2}/\d{2}/\d{4,}$"
+    assert C.layout_regex("yyyyMMdd") == r"^\d{4}\d{2}\d{2}$"
+    assert C.layout_regex("d/M/yyyy") == r"^\d{1,2}/\d{1,2}/\d{4,}$"
+    assert C.layout_regex("dd MMM yyyy") is None
+
+
+def test_standardize_date_single_digit_layout(spark):
+    df = spark.createDataFrame([("5/1/2024",), ("05/01/2024",)], "s string")
+    got = [r[0] for r in rows(df.select(C.standardize_date("s", formats=["d/M/yyyy"]).alias("d")))]
+    assert got == ["2024-01-05", "2024-01-05"]
