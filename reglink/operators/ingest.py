@@ -26,8 +26,7 @@ from reglink.operators.profile import ref
 from reglink.sources.schemas import STATE_FOLDER_REGEX
 
 # --- fixed values -----------------------------------------------------------
-# Month key format of the monthly dumps (e.g. 202406).
-PERIOD_FORMAT = "yyyyMM"
+# Month keys of the monthly dumps are YYYYMM text (e.g. 202406).
 # Anchor text of the link back to the parent folder on an index page.
 PARENT_LINK_TEXT = "Parent Directory"
 # Suffix of a downloadable archive link.
@@ -63,6 +62,38 @@ def month_sequence(start: Column, end: Column) -> Column:
     )
 
 
+def month_index(c: Column) -> Column:
+    """Months since year 0 (``year * 12 + month - 1``) of a date, timestamp or ISO string."""
+    d = F.to_date(c)
+    return F.year(d) * F.lit(12) + F.month(d) - F.lit(1)
+
+
+def period_of_index(i: Column) -> Column:
+    """``YYYYMM`` text of a month index, by integer arithmetic."""
+    value = F.floor(i / F.lit(12)) * F.lit(100) + F.pmod(i, F.lit(12)) + F.lit(1)
+    return F.lpad(value.cast("string"), 6, "0")
+
+
+def period_key(c: Column) -> Column:
+    """``YYYYMM`` of a date or timestamp (same text as ``date_format(c, 'yyyyMM')``)."""
+    return period_of_index(month_index(c))
+
+
+def _calendar_index(df: DataFrame, start: str, end: str, keys: Sequence[str]) -> DataFrame:
+    s, e = month_index(ref(start)), month_index(ref(end))
+    # A reversed range is an empty sequence here: the NULL array explodes to no row.
+    months = F.explode(F.when(s <= e, F.sequence(s, e))).alias("__mi")
+    return df.select(*[ref(k) for k in keys], months)
+
+
+def _landed_index(df: DataFrame, ts: str, keys: Sequence[str]) -> DataFrame:
+    return (
+        df.where(ref(ts).isNotNull())
+        .select(*[ref(k) for k in keys], month_index(ref(ts)).alias("__mi"))
+        .distinct()
+    )
+
+
 def month_calendar(
     df: DataFrame,
     start: str,
@@ -72,13 +103,14 @@ def month_calendar(
 ) -> DataFrame:
     """One row per (keys..., month) between each row's ``start`` and ``end``.
 
-    ``period_col`` holds ``YYYYMM`` strings. Each input row is expanded in
-    its own task, so a table of many ranges (one per customer, station,
-    registry...) scales out with no shuffle.
+    ``period_col`` holds ``YYYYMM`` strings; days are ignored and a reversed
+    range gives no row. Months are integer indexes (no calendar arithmetic
+    per element). Each input row is expanded in its own task, so a table of
+    many ranges (one per customer, station, registry...) scales out with no
+    shuffle.
     """
-    months = F.explode(month_sequence(ref(start), ref(end))).alias("__m")
-    return df.select(*[ref(k) for k in keys], months).select(
-        *[ref(k) for k in keys], F.date_format("__m", PERIOD_FORMAT).alias(period_col)
+    return _calendar_index(df, start, end, keys).select(
+        *[ref(k) for k in keys], period_of_index(F.col("__mi")).alias(period_col)
     )
 
 
@@ -94,10 +126,8 @@ def landed_periods(
     The distinct runs as a partial aggregate before the shuffle, so a hot key
     sends at most one row per month per task.
     """
-    return (
-        df.where(ref(ts).isNotNull())
-        .select(*[ref(k) for k in keys], F.date_format(ref(ts), PERIOD_FORMAT).alias(period_col))
-        .distinct()
+    return _landed_index(df, ts, keys).select(
+        *[ref(k) for k in keys], period_of_index(F.col("__mi")).alias(period_col)
     )
 
 
@@ -134,8 +164,10 @@ def gap_report(
 ) -> DataFrame:
     """Months inside each group's own first..last range that hold no row."""
     bounds = period_bounds(df, ts, keys)
-    expected = month_calendar(bounds, "first_ts", "last_ts", keys, period_col)
-    return missing_periods(expected, landed_periods(df, ts, keys, period_col), keys, period_col)
+    expected = _calendar_index(bounds, "first_ts", "last_ts", keys)
+    # The anti join compares integer month indexes; only the gaps get formatted.
+    gaps = expected.join(_landed_index(df, ts, keys), on=[*keys, "__mi"], how="left_anti")
+    return gaps.select(*[ref(k) for k in keys], period_of_index(F.col("__mi")).alias(period_col))
 
 
 # --- index pages -----------------------------------------------------------------
