@@ -282,3 +282,14 @@ def malformed_summary(df: DataFrame, lat: str, lon: str) -> DataFrame:
             F.when(bad, F.struct(ref(lat).cast("string").alias("lat"), ref(lon).cast("string").alias("lon")))
         ).alias("n_malformed_values"),
     )
+
+
+def sample_rows(df: DataFrame, fraction: float, seed: int = 0, with_replacement: bool = False) -> DataFrame:
+    """Bernoulli sample of ``fraction`` of the rows, reproducible through ``seed``.
+
+    Each task samples its own split, so the sample costs one scan and no
+    shuffle; the same seed over the same input splits gives the same rows.
+    """
+    if not 0.0 <= fraction <= 1.0 and not with_replacement:
+        raise ValueError("fraction must be within [0, 1] without replacement")
+    return df.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)

@@ -606,3 +606,34 @@ def q_clean_text(spark, sf_dir):
         "date_raw",
         C.standardize_date("date_raw").alias("date_clean"),
     )
+
+
+# --- filters and sampling ---------------------------------------------------------
+
+@register("health_addresses", f"with {REGISTRIES_SQL} select * from adr where COD_ESPECIE = 5")
+def q_health_addresses(spark, sf_dir):
+    """Address rows of health establishments; the filter reaches the scan."""
+    return L.health_addresses(X.addresses(X.table(spark, sf_dir, "part")))
+
+
+# A postal code present at every scale: size 22, brand 13.
+POSTAL_PROBE = "00022013"
+
+
+@register(
+    "postal_filter",
+    f"with {REGISTRIES_SQL} select * from est where {_postal_sql('CO_CEP')} = '{POSTAL_PROBE}'",
+)
+def q_postal_filter(spark, sf_dir):
+    """Establishments with one postal code, compared on the normalised key
+    (the raw column is an integer that lost its leading zeros)."""
+    from reglink.functions.expr import postal_code
+
+    est = X.establishments(X.table(spark, sf_dir, "part"))
+    return est.where(postal_code("CO_CEP") == F.lit(POSTAL_PROBE))
+
+
+@register("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    """One percent of ``lineitem`` with a fixed seed (sampling is the feature)."""
+    return P.sample_rows(X.table(spark, sf_dir, "lineitem"), 0.01, seed=7)

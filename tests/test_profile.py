@@ -115,3 +115,12 @@ def test_profiles_on_driver_table(spark):
     strict = dict(rows(P.strict_fill_profile(part)))
     assert all(strict[c] <= basic[c] for c in basic)
     assert basic["p_partkey"] == 100.0 and basic["p_name"] < 100.0
+
+
+def test_sample_is_reproducible_with_seed(spark):
+    line = X.table(spark, SMALL, "lineitem")
+    a = sorted(rows(P.sample_rows(line, 0.1, seed=3), "l_orderkey", "l_linenumber"))
+    b = sorted(rows(P.sample_rows(line, 0.1, seed=3), "l_orderkey", "l_linenumber"))
+    assert a == b and 0 < len(a) < line.count()
+    with pytest.raises(ValueError):
+        P.sample_rows(line, 1.5)
