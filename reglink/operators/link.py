@@ -136,21 +136,48 @@ def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Da
     )
 
 
+def hot_keys(keyed: DataFrame, names: Sequence[str], hot_fraction: float) -> DataFrame:
+    """Keys holding at least ``hot_fraction`` of the rows: (names..., __hot).
+
+    The threshold is a scalar subquery over the key counts (no driver action).
+    Since the counts add up to the row total, at most ``1 / hot_fraction``
+    keys can pass, which is what makes the result safe to broadcast.
+    """
+    counts = keyed.where(reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])).groupBy(
+        *names
+    ).agg(F.count(F.lit(1)).alias("__cnt"))
+    total = counts.agg(F.sum("__cnt")).scalar()
+    threshold = F.greatest(F.ceil(total * F.lit(hot_fraction)), F.lit(1))
+    return counts.where(F.col("__cnt") >= threshold).select(*names, F.lit(True).alias("__hot"))
+
+
 def link(
     left: DataFrame,
     right: DataFrame,
     rule: Rule,
     right_id: str,
     prefix: str = "r_",
+    hot_fraction: float | None = 0.001,
+    salt_buckets: int = 64,
 ) -> DataFrame:
     """Left rows enriched with their partners under ``rule``.
 
     Adds ``{prefix}matches`` (number of right rows with an equal key, 0 when
     none) and ``{prefix}first_id`` (smallest partner id). The right side is
     grouped by key first, so the output has exactly one row per left row
-    however hot a key is; a hot key on the left is split by adaptive skew
-    handling of the outer join.
+    however hot a key is on the right.
+
+    A hot key on the left (one name holding a third of the rows) would put
+    all its rows in one join task; adaptive skew splitting does not apply
+    here because the right input is an aggregate, not a plain shuffle. So
+    keys holding at least ``hot_fraction`` of the left rows are salted: their
+    rows are spread over ``salt_buckets`` by a hash of the whole row (the
+    same on a task retry), and their single grouped right row is copied once
+    per bucket. At most ``1 / hot_fraction`` keys are hot, so the hot-key
+    list is broadcast with a proven bound. ``hot_fraction=None`` disables it.
     """
+    if hot_fraction is not None and not 0.0 < hot_fraction <= 1.0:
+        raise ValueError("hot_fraction must be in (0, 1]")
     width = len(rule.left)
     # A NULL part never satisfies the equality, so no completeness test is needed.
     lkeys = _typed_parts(left, rule.left, rule.numeric)
@@ -165,6 +192,26 @@ def link(
     )
     keyed = left.select("*", *[k.alias(n) for k, n in zip(lkeys, lnames)])
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in zip(lnames, rnames)])
+    if hot_fraction is not None:
+        hot = F.broadcast(hot_keys(keyed, lnames, hot_fraction))
+        keyed = keyed.join(hot, on=lnames, how="left").select(
+            *[ref(c) for c in left.columns],
+            *lnames,
+            F.when(
+                F.col("__hot"), F.pmod(F.xxhash64(*[ref(c) for c in left.columns]), F.lit(salt_buckets))
+            ).otherwise(F.lit(0)).alias("__lsalt"),
+        )
+        hot_r = hot.select(*[F.col(l).alias(r) for l, r in zip(lnames, rnames)], "__hot")
+        grouped = grouped.join(hot_r, on=rnames, how="left").select(
+            *rnames,
+            "__n",
+            "__first",
+            F.explode(
+                F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint")))
+                .otherwise(F.array(F.lit(0).cast("bigint")))
+            ).alias("__rsalt"),
+        )
+        cond = cond & (F.col("__lsalt") == F.col("__rsalt"))
     joined = keyed.join(grouped, cond, "left")
     return joined.select(
         *[ref(c) for c in left.columns],

@@ -83,3 +83,23 @@ def test_health_filter_pushed_to_scan(spark, tmp_path):
     X.addresses(part).write.parquet(path)
     plan = L.health_addresses(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(COD_ESPECIE), EqualTo(COD_ESPECIE,5)]" in plan
+
+
+def test_link_salts_a_hot_left_key(spark):
+    # One name holds a third of the left rows: same result salted or not.
+    left = spark.range(3000).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("n"), F.col("id") % 50)).alias("n")
+    )
+    right = spark.range(200).select(
+        F.col("id").alias("rid"), F.when(F.col("id") < 5, F.lit("HOT")).otherwise(F.concat(F.lit("n"), F.col("id") % 60)).alias("m")
+    )
+    rule = L.Rule("name", left=[lambda df: ref("n")], right=[lambda df: ref("m")])
+    salted = L.link(left, right, rule, right_id="rid", hot_fraction=0.1, salt_buckets=8)
+    plain = L.link(left, right, rule, right_id="rid", hot_fraction=None)
+    assert salted.count() == 3000
+    assert sorted(rows(salted)) == sorted(rows(plain))
+    assert rows(salted.where(F.col("n") == "HOT").select(F.min("r_matches"), F.max("r_first_id"))) == [(5, 0)]
+    hot = rows(L.hot_keys(left.select(F.col("n").alias("k")), ["k"], 0.1))
+    assert hot == [("HOT", True)]
+    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan
