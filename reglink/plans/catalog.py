@@ -548,9 +548,12 @@ def _expanded(spark, sf_dir):
 
 @register("archived_orders", f"select {_ARCHIVED_COLS} from orders")
 def q_archived_orders(spark, sf_dir):
-    """Zip archives of ``;`` files -> lines on the executors -> native CSV parse."""
-    lines = Z.archive_lines(_expanded(spark, sf_dir))
-    return Z.parse_lines(lines, X.orders_archive_schema())
+    """Zip archives of ``;`` files -> lines on the executors, written once to
+    the shared folder -> native CSV parse of the written lines."""
+    parsed, _ = Z.ingest_archives(
+        spark, X.stage_archives(spark, sf_dir), X.orders_archive_schema(), staging_dir(spark, "expanded")
+    )
+    return parsed
 
 
 @register("ingest_tally")

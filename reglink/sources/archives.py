@@ -158,3 +158,24 @@ def ingest_tally(expanded: DataFrame) -> DataFrame:
 def ingest_failures(expanded: DataFrame) -> DataFrame:
     """(archive, message) of every archive that could not be read."""
     return expanded.where(F.col("line").isNull() & (F.col("status") == STATUS_ERROR)).select("archive", "message")
+
+
+def ingest_archives(
+    spark: SparkSession,
+    path: str,
+    schema: StructType,
+    staging: str,
+    sep: str = ";",
+    header: bool = True,
+    encoding: str = "utf-8",
+) -> tuple[DataFrame, DataFrame]:
+    """Expand once into a Parquet table under ``staging``, then parse and tally.
+
+    The unpacking (the only Python step) runs once and its output is written
+    to the shared folder, which cuts the lineage: parsing, the tally and any
+    retry after a lost executor read the written table instead of unpacking
+    the archives again. Returns (parsed rows, tally).
+    """
+    expand_archives(spark, path, encoding).write.mode("overwrite").parquet(staging)
+    expanded = spark.read.parquet(staging)
+    return parse_lines(archive_lines(expanded), schema, sep, header), ingest_tally(expanded)

@@ -73,3 +73,14 @@ def test_archives_valid_empty_corrupt(spark, tmp_path):
     parsed = Z.parse_lines(Z.archive_lines(expanded), struct_from([("A", "int"), ("B", "string")]))
     assert sorted(rows(parsed)) == [(1, "x"), (2, "y"), (3, "z")]
     expanded.unpersist()
+
+
+def test_ingest_archives_writes_once_then_parses(spark, tmp_path):
+    d = tmp_path / "zips"
+    d.mkdir()
+    (d / "a.zip").write_bytes(_zip({"m.csv": "A;B\n1;x\n2;y\n"}))
+    (d / "bad.zip").write_bytes(b"nope")
+    parsed, tally = Z.ingest_archives(spark, str(d), struct_from([("A", "int"), ("B", "string")]), str(tmp_path / "exp"))
+    assert sorted(rows(parsed)) == [(1, "x"), (2, "y")]
+    assert rows(tally) == [(2, 1, 1)]
+    assert "mapinpandas" not in parsed._jdf.queryExecution().executedPlan().toString().lower()
