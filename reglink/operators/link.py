@@ -109,26 +109,26 @@ def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Da
     lc = _key_counts(left, rules, "left", width, "n_left")
     rc = _key_counts(right, rules, "right", width, "n_right")
     joined = lc.join(rc, on=["rule", *keys], how="full_outer")
-    nl = F.coalesce(F.col("n_left"), F.lit(0))
-    nr = F.coalesce(F.col("n_right"), F.lit(0))
     both = F.col("n_left").isNotNull() & F.col("n_right").isNotNull()
-    # NULL keys never match: the full outer join keeps them unmatched on each side.
-    per_rule = joined.groupBy("rule").agg(
-        F.sum(nl).alias("left_total"),
-        F.sum(nr).alias("right_total"),
-        F.sum(F.when(both, nl * nr).otherwise(F.lit(0))).alias("pairs"),
-        F.sum(F.when(both, nl).otherwise(F.lit(0))).alias("matched_left"),
-        F.sum(F.when(both, nr).otherwise(F.lit(0))).alias("matched_right"),
-    )
-    # Every rule gets a row even on empty input: a literal list bounded by the rules.
-    # Built in the JVM from literals (no Python-side rows, no Python worker).
-    names = left.sparkSession.range(1).select(F.explode(F.array(*[F.lit(r.name) for r in rules])).alias("rule"))
+    nl = F.coalesce(F.col("n_left"), F.lit(0).cast("bigint"))
+    nr = F.coalesce(F.col("n_right"), F.lit(0).cast("bigint"))
     zero = F.lit(0).cast("bigint")
-    out = names.join(F.broadcast(per_rule), "rule", "left").select(
+    # NULL keys never match: the full outer join keeps them unmatched on each side.
+    contributions = joined.select(
         "rule",
-        *[F.coalesce(F.col(c), zero).alias(c) for c in
-          ("left_total", "right_total", "pairs", "matched_left", "matched_right")],
+        nl.alias("left_total"),
+        nr.alias("right_total"),
+        F.when(both, nl * nr).otherwise(zero).alias("pairs"),
+        F.when(both, nl).otherwise(zero).alias("matched_left"),
+        F.when(both, nr).otherwise(zero).alias("matched_right"),
+    )
+    # One zero row per rule (literals, built in the JVM) so every rule gets a
+    # row even on empty input; it joins the same partial aggregate, no join.
+    measures = ("left_total", "right_total", "pairs", "matched_left", "matched_right")
+    zeros = left.sparkSession.range(1).select(
+        F.explode(F.array(*[F.lit(r.name) for r in rules])).alias("rule"), *[zero.alias(m) for m in measures]
     )
+    out = contributions.unionByName(zeros).groupBy("rule").agg(*[F.sum(m).alias(m) for m in measures])
     return out.select(
         "*",
         (F.try_divide(F.col("pairs"), F.col("left_total")) * F.lit(100)).alias("pair_coverage_pct"),
