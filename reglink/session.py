@@ -85,3 +85,44 @@ def local_path(path: str) -> str:
 
 def default_parallelism(spark: SparkSession) -> int:
     return int(os.environ.get("BENCH_CPUS", spark.sparkContext.defaultParallelism))
+
+
+def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
+    """Total size of the files under ``paths``, summed by a distributed job
+    that lists files without reading their content (only ``length`` is read)."""
+    from pyspark.sql import functions as F
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    return int(files.agg(F.sum("length")).first()[0] or 0)
+
+
+def scale_conf(
+    total_bytes: int,
+    partition_bytes: int = 128 * 1024 * 1024,
+    min_partitions: int = 200,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
+    """Partition settings for an input of ``total_bytes``.
+
+    File splits and the adaptive target are ``partition_bytes`` each, so one
+    task's slice fits an executor core's share of memory; the initial
+    shuffle partition count covers the whole input at that size (clamped),
+    and adaptive execution coalesces it down after map-side aggregation has
+    shrunk the data. A shuffle partition over four targets counts as skewed.
+    """
+    n = max(min_partitions, min(max_partitions, -(-total_bytes // partition_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+    }
+
+
+def tune_for_input(spark: SparkSession, paths: str | list[str], **kw) -> dict[str, str]:
+    """Measure the input and apply ``scale_conf`` to the running session."""
+    conf = scale_conf(input_bytes(spark, paths), **kw)
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    return conf
