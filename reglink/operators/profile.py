@@ -13,6 +13,16 @@ from typing import Iterable, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from reglink.functions.expr import (
     UNDEFINED_MARKERS,
@@ -160,6 +170,44 @@ def _long_format(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return narrow.unpivot([], list(cols), "column_name", "value")
 
 
+def _costly_text(t: DataType) -> bool:
+    """Types whose text form is expensive to produce (floating point, dates,
+    timestamps, decimals): these are counted typed and cast once per distinct
+    value. Integers, strings and the rest are cheap and stack as text."""
+    return isinstance(t, (FloatType, DoubleType, DecimalType, DateType, TimestampType, TimestampNTZType))
+
+
+def _typed_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(column_name, value text, frequency) of every non-NULL value, counted
+    on typed values and cast to text once per distinct value.
+
+    Columns whose text is costly to produce (floating point, temporal,
+    decimal) are stacked per type (``unpivot`` needs one type) and counted on
+    typed keys, so the conversion runs once per distinct value instead of
+    once per row; all other columns stack together as text. Each group is
+    one scan, which on Parquet reads only the group's own columns. Float and
+    double groups also key on the text of zeros: grouping merges -0.0 with
+    0.0, their texts differ.
+    """
+    groups: dict[DataType, list[str]] = {}
+    for c in cols:
+        t = df.schema[c].dataType
+        groups.setdefault(t if _costly_text(t) else StringType(), []).append(c)
+    parts = []
+    for t, names in groups.items():
+        typed = df.select(*[(ref(c) if _costly_text(t) else ref(c).cast("string")).alias(c) for c in names])
+        stacked = typed.unpivot([], list(names), "column_name", "v").where(F.col("v").isNotNull())
+        keys = ["column_name", "v"]
+        text = F.col("v").cast("string")
+        if isinstance(t, (FloatType, DoubleType)):
+            stacked = stacked.withColumn("z", F.when(F.col("v") == F.lit(0.0), F.col("v").cast("string")))
+            keys.append("z")
+            text = F.coalesce(F.col("z"), text)
+        counts = stacked.groupBy(*keys).agg(F.count(F.lit(1)).alias("frequency"))
+        parts.append(counts.select("column_name", text.alias("value"), "frequency"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def value_frequencies(
     df: DataFrame,
     columns: Iterable[str] | None = None,
@@ -168,9 +216,10 @@ def value_frequencies(
 ) -> DataFrame:
     """Top-``k`` non-NULL values per column: (column, value, frequency, rank).
 
-    One scan for all columns: values are stacked into (column, value), counted
-    with map-side partial aggregation, and ranked by count descending, value
-    ascending. The rank filter lets Spark cut each partition to its own top
+    One job for all columns: values are stacked into (column, value) per
+    column type, counted on typed keys with map-side partial aggregation,
+    cast to text once per distinct value, and ranked by count descending,
+    value text ascending. The rank filter lets Spark cut each partition to its own top
     ``k`` per column before the per-column exchange, so a near-unique column
     never sends all of its values to one task. ``max_distinct_ratio`` drops
     columns whose approximate distinct share is above the ratio (one extra
@@ -186,12 +235,7 @@ def value_frequencies(
         cols = [c for i, c in enumerate(cols) if rows == 0 or stats[f"__d{i}"] / rows <= max_distinct_ratio]
         if not cols:
             raise ValueError("every column is above the distinct ratio")
-    counts = (
-        _long_format(df, cols)
-        .where(F.col("value").isNotNull())
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("frequency"))
-    )
+    counts = _typed_counts(df, cols)
     w = Window.partitionBy("column_name").orderBy(F.desc("frequency"), F.asc("value"))
     return (
         counts.withColumn("rank", F.row_number().over(w))

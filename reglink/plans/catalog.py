@@ -640,3 +640,55 @@ def q_postal_filter(spark, sf_dir):
 def q_sample_rows(spark, sf_dir):
     """One percent of ``lineitem`` with a fixed seed (sampling is the feature)."""
     return P.sample_rows(X.table(spark, sf_dir, "lineitem"), 0.01, seed=7)
+
+
+# --- profiles of a whole wide table -------------------------------------------------
+
+LINEITEM_COLUMNS = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+LINEITEM_STRINGS = {"l_returnflag", "l_linestatus"}
+
+
+def _strict_of(c: str, strings: set[str]) -> str:
+    if c in strings:
+        return f"{c} is not null and not (contains({c}, 'SEM DENOMINACAO') or contains({c}, 'VAGO'))"
+    return f"{c} is not null"
+
+
+@register(
+    "fill_comparison_lineitem",
+    "with rates as (\n"
+    + _per_column_sql(
+        lambda c: (
+            f"  select '{c}' as column_name, count({c}) / count(*) * 100 as b, "
+            f"count_if({_strict_of(c, LINEITEM_STRINGS)}) / count(*) * 100 as s from lineitem"
+        ),
+        LINEITEM_COLUMNS,
+    )
+    + "\n)\nselect column_name, round(b, 4) as pct_basic, round(s, 4) as pct_strict, "
+    "round(s - b, 4) as diff from rates order by pct_strict desc, column_name",
+)
+def q_fill_comparison_lineitem(spark, sf_dir):
+    """Basic and strict fill rates of every column of the whole line-item table."""
+    return P.fill_comparison(X.table(spark, sf_dir, "lineitem"))
+
+
+@register(
+    "value_frequencies_lineitem",
+    "with long as (\n"
+    + _per_column_sql(
+        lambda c: f"  select '{c}' as column_name, cast({c} as varchar) as value from lineitem",
+        LINEITEM_COLUMNS,
+    )
+    + """\n)
+select column_name, value, frequency, rank from (
+  select column_name, value, count(*) as frequency,
+         row_number() over (partition by column_name order by count(*) desc, value asc) as rank
+  from long where value is not null group by column_name, value
+) where rank <= 100""",
+)
+def q_value_frequencies_lineitem(spark, sf_dir):
+    """Top-100 values of every column of the whole line-item table, one job."""
+    return P.value_frequencies(X.table(spark, sf_dir, "lineitem"), k=100)

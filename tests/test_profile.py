@@ -124,3 +124,15 @@ def test_sample_is_reproducible_with_seed(spark):
     assert a == b and 0 < len(a) < line.count()
     with pytest.raises(ValueError):
         P.sample_rows(line, 1.5)
+
+
+def test_value_frequencies_typed_matches_text_semantics(spark):
+    # -0.0 and 0.0 are different texts; NaN is one value; maps fall back to text.
+    df = spark.createDataFrame(
+        [(0.0, 1, {"a": 1}), (-0.0, 1, {"a": 1}), (-0.0, 2, None), (float("nan"), None, None), (float("nan"), 3, None)],
+        "x double, n int, m map<string,int>",
+    )
+    got = {(r[0], r[1]): r[2] for r in rows(P.value_frequencies(df, k=10))}
+    assert got[("x", "-0.0")] == 2 and got[("x", "0.0")] == 1 and got[("x", "NaN")] == 2
+    assert got[("n", "1")] == 2 and ("n", None) not in got
+    assert got[("m", "{a -> 1}")] == 2
