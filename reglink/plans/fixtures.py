@@ -244,6 +244,9 @@ def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) ->
 
     from reglink.session import staging_dir
 
+    from reglink.session import ship_package
+
+    ship_package(spark)
     root = staging_dir(spark, "archives")
     fs, base = pafs.FileSystem.from_uri(root)
     fs.create_dir(base, recursive=True)

@@ -126,3 +126,34 @@ def tune_for_input(spark: SparkSession, paths: str | list[str], **kw) -> dict[st
     for key, value in conf.items():
         spark.conf.set(key, value)
     return conf
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``reglink`` importable on every executor's Python workers.
+
+    Functions run by ``mapInPandas`` are pickled by reference to this
+    package, so the workers must import it. On a cluster the package is
+    usually passed with ``--py-files``; otherwise this zips the installed
+    package once per application and ships it with ``addPyFile`` (Spark's
+    own file distribution; the zip is only read by the driver).
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    package_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(package_dir)
+    target = os.path.join(tempfile.mkdtemp(prefix="reglink-pyfiles-"), "reglink.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _, files in os.walk(package_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)

@@ -1,15 +1,17 @@
 """Zip archives of delimited files, expanded and parsed on the executors.
 
-The registries ship as many small zip files (one per municipality, one per
-month). ``expand_archives`` lists them with Spark's ``binaryFile`` source and
-unpacks each one inside the task that read it (``mapInPandas``), emitting one
-row per text line plus one status row per archive. Parsing the lines is then
-native (``from_csv``), and the success/failure tally is an ordinary
-aggregate, so one broken archive never stops the others.
-
-Limits: an archive is held in one task (``binaryFile`` caps a file at 2 GB),
-so the design suits many small archives, not one huge one; lines are split
-before CSV parsing, so quoted fields spanning lines are not supported.
+The registries ship as zip files (one per municipality, one per month).
+``expand_archives`` lists them with Spark's ``binaryFile`` source (paths and
+lengths only), reads each zip's central directory on the executors to list
+its members, spreads the members over tasks and streams each member's lines
+in bounded chunks (``mapInPandas``). Parsing the lines is then native
+(``from_csv``), and the success/failure tally is an ordinary aggregate, so
+one broken archive never stops the others.
+
+Limits: one member is one deflate stream, read sequentially by one task
+(in bounded memory); lines are split before CSV parsing, so quoted fields
+spanning lines are not supported. Executors open archives through
+``pyarrow.fs`` (local, HDFS, S3, GCS URIs).
 """
 
 from __future__ import annotations
@@ -23,6 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from reglink.session import ship_package
+
 # --- fixed values -----------------------------------------------------------
 STATUS_OK = "ok"
 STATUS_ERROR = "error"
@@ -33,56 +37,134 @@ ARCHIVE_GLOB = "*.[zZ][iI][pP]"
 EXPANDED_SCHEMA = (
     "archive string, member string, line_no bigint, line string, status string, message string"
 )
+MEMBERS_SCHEMA = "archive string, member string, size bigint, status string, message string"
+MEMBERS_SCHEMA_COLS = ["archive", "member", "size", "status", "message"]
+_COLS = ["archive", "member", "line_no", "line", "status", "message"]
 
-# Lines per emitted pandas frame: bounds the Arrow batches whatever the archive size.
+# Lines per emitted pandas frame: bounds the Arrow batches whatever the member size.
 _CHUNK = 10_000
+_ERRORS = (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, EOFError, ValueError, NotImplementedError, KeyError)
+
+
+class _RandomAccess(io.RawIOBase):
+    """A pyarrow input file seen as a raw Python file.
+
+    ``zipfile`` probes positions before the start of small files and expects
+    ``OSError`` there; pyarrow raises ``ArrowInvalid`` instead.
+    """
+
+    def __init__(self, f):
+        super().__init__()
+        self._f = f
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
 
+    def seek(self, pos: int, whence: int = 0) -> int:
+        try:
+            return self._f.seek(pos, whence)
+        except ValueError as exc:
+            raise OSError(str(exc)) from exc
 
-def _split_lines(data: bytes, encoding: str) -> list[str]:
-    text = data.decode(encoding, errors="replace")
-    lines = text.split("\n")
-    if lines and lines[-1] == "":
-        lines.pop()
-    return [ln[:-1] if ln.endswith("\r") else ln for ln in lines]
-
-
-def _expand_one(path: str, content: bytes, encoding: str) -> Iterator[pd.DataFrame]:
-    cols = ["archive", "member", "line_no", "line", "status", "message"]
-    try:
-        with zipfile.ZipFile(io.BytesIO(content)) as zf:
-            members = [i for i in zf.infolist() if not i.is_dir()]
-            n_lines = 0
-            for info in members:
-                lines = _split_lines(zf.read(info), encoding)
-                for start in range(0, len(lines), _CHUNK):
-                    chunk = lines[start:start + _CHUNK]
-                    yield pd.DataFrame(
-                        {
-                            "archive": path,
-                            "member": info.filename,
-                            "line_no": range(start, start + len(chunk)),
-                            "line": chunk,
-                            "status": STATUS_OK,
-                            "message": None,
-                        },
-                        columns=cols,
-                    )
-                n_lines += len(lines)
-        status, message = STATUS_OK, f"{len(members)} members, {n_lines} lines"
-    except (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, EOFError, ValueError, NotImplementedError) as exc:
-        status, message = STATUS_ERROR, f"{type(exc).__name__}: {exc}"
-    # The status row: no member, no line.
-    yield pd.DataFrame(
-        {"archive": [path], "member": [None], "line_no": [None], "line": [None], "status": [status], "message": [message]},
-        columns=cols,
+    def tell(self) -> int:
+        return self._f.tell()
+
+    def readinto(self, b) -> int:
+        data = self._f.read(len(b))
+        b[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        self._f.close()
+        super().close()
+
+
+def _open(uri: str):
+    """Buffered random-access file of ``uri`` on the executor (local, HDFS, S3, GCS...)."""
+    import pyarrow.fs as pafs
+
+    if uri.startswith("s3a://") or uri.startswith("s3n://"):
+        uri = "s3://" + uri.split("://", 1)[1]
+    fs, path = pafs.FileSystem.from_uri(uri)
+    return io.BufferedReader(_RandomAccess(fs.open_input_file(path)), buffer_size=1 << 20)
+
+
+def _status_frame(archive: str, member: str | None, status: str, message: str | None) -> pd.DataFrame:
+    return pd.DataFrame(
+        {"archive": [archive], "member": [member], "line_no": [None], "line": [None], "status": [status], "message": [message]},
+        columns=_COLS,
     ).astype({"line_no": "Int64"})
 
 
+def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """mapInPandas body: members of each archive from its central directory only."""
+    for pdf in batches:
+        for path in pdf["path"]:
+            try:
+                with _open(path) as f, zipfile.ZipFile(f) as zf:
+                    infos = [i for i in zf.infolist() if not i.is_dir()]
+            except _ERRORS as exc:
+                yield pd.DataFrame([(path, None, None, STATUS_ERROR, f"{type(exc).__name__}: {exc}")], columns=MEMBERS_SCHEMA_COLS)
+                continue
+            for start in range(0, len(infos), _CHUNK):
+                chunk = infos[start:start + _CHUNK]
+                yield pd.DataFrame(
+                    [(path, i.filename, i.file_size, STATUS_OK, None) for i in chunk], columns=MEMBERS_SCHEMA_COLS
+                )
+            yield pd.DataFrame([(path, None, None, STATUS_OK, f"{len(infos)} members")], columns=MEMBERS_SCHEMA_COLS)
+
+
+
+def _read_members(encoding: str):
+    """mapInPandas body: stream the lines of each (archive, member) in chunks."""
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for archive, member in zip(pdf["archive"], pdf["member"]):
+                try:
+                    with _open(archive) as f, zipfile.ZipFile(f) as zf, zf.open(member) as raw:
+                        # Lines end at "\n" only; a trailing "\r" is dropped below.
+                        text = io.TextIOWrapper(raw, encoding=encoding, errors="replace", newline="\n")
+                        chunk: list[str] = []
+                        start = 0
+                        for line in text:
+                            line = line[:-1] if line.endswith("\n") else line
+                            chunk.append(line[:-1] if line.endswith("\r") else line)
+                            if len(chunk) == _CHUNK:
+                                yield _lines_frame(archive, member, start, chunk)
+                                start += len(chunk)
+                                chunk = []
+                        if chunk:
+                            yield _lines_frame(archive, member, start, chunk)
+                except _ERRORS as exc:
+                    yield _status_frame(archive, member, STATUS_ERROR, f"{type(exc).__name__}: {exc}")
+
+    return read
+
+
+def _lines_frame(archive: str, member: str, start: int, chunk: list[str]) -> pd.DataFrame:
+    return pd.DataFrame(
+        {
+            "archive": archive,
+            "member": member,
+            "line_no": range(start, start + len(chunk)),
+            "line": chunk,
+            "status": STATUS_OK,
+            "message": None,
+        },
+        columns=_COLS,
+    )
+
+
 def list_archives(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """(path, modificationTime, length, content) of every ``.zip`` under ``path``.
 
-    A folder holding no archive gives an empty frame; a missing folder raises
-    Spark's path-not-found error.
+    Select only ``path`` and ``length`` and no file content is read. A folder
+    holding no archive gives an empty frame; a missing folder raises Spark's
+    path-not-found error.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", ARCHIVE_GLOB)
     if recursive:
@@ -90,27 +172,46 @@ def list_archives(spark: SparkSession, path: str, recursive: bool = False) -> Da
     return reader.load(path)
 
 
+def list_members(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
+    """(archive, member, size, status, message): one row per member plus one
+    status row per archive (NULL member), read from each zip's central
+    directory only; an unreadable archive gives one ``error`` row."""
+    ship_package(spark)
+    return list_archives(spark, path, recursive).select("path").mapInPandas(_list_members, MEMBERS_SCHEMA)
+
+
 def expand_archives(
     spark: SparkSession,
     path: str,
     encoding: str = "utf-8",
     recursive: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Unpack every archive under ``path`` into line rows plus status rows.
-
-    (archive, member, line_no, line, status, message): a line row has its
-    member and 0-based line number; each archive adds one status row with
-    NULL member and line, status ``ok`` or ``error`` and a message. Write
-    the result to a table (or persist it) when both lines and tally are used.
+    """Every line of every member of every archive under ``path``, plus status rows.
+
+    (archive, member, line_no, line, status, message). Line rows have status
+    ``ok``. Status rows have a NULL line: one per archive from the listing
+    (NULL member, ``ok`` or ``error``), and one per member that failed while
+    being read (status ``error``).
+
+    Members, not archives, are the unit of work: they are spread over
+    ``partitions`` tasks (default: one per member, up to four per core) by
+    an explicit-count repartition that adaptive execution leaves as is, and
+    each member is streamed in bounded chunks, so neither a large archive
+    nor a large member is ever held whole in memory. A member is one deflate
+    stream, so one member stays one task's work.
     """
-    files = list_archives(spark, path, recursive).select("path", "content")
-
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for p, content in zip(pdf["path"], pdf["content"]):
-                yield from _expand_one(p, bytes(content), encoding)
-
-    return files.mapInPandas(expand, EXPANDED_SCHEMA)
+    listing = list_members(spark, path, recursive)
+    members = listing.where(F.col("member").isNotNull()).select("archive", "member")
+    if partitions is None:
+        cap = 4 * spark.sparkContext.defaultParallelism
+        partitions = max(1, min(members.count(), cap))
+    lines = members.repartition(partitions, "archive", "member").mapInPandas(_read_members(encoding), EXPANDED_SCHEMA)
+    archive_status = listing.where(F.col("member").isNull()).select(
+        "archive", "member", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"),
+        "status", "message",
+    )
+    return lines.unionByName(archive_status)
 
 
 def archive_lines(expanded: DataFrame) -> DataFrame:
@@ -146,18 +247,26 @@ def parse_lines(
 
 
 def ingest_tally(expanded: DataFrame) -> DataFrame:
-    """(n_archives, n_succeeded, n_failed): one aggregate over the status rows."""
-    status = expanded.where(F.col("line").isNull())
-    return status.agg(
+    """(n_archives, n_succeeded, n_failed): an archive failed when its listing
+    or any of its members failed. Aggregates the status rows only (one per
+    archive plus one per failed member)."""
+    per_archive = (
+        expanded.where(F.col("line").isNull())
+        .groupBy("archive")
+        .agg(F.max((F.col("status") == STATUS_ERROR).cast("int")).alias("failed"))
+    )
+    return per_archive.agg(
         F.count(F.lit(1)).alias("n_archives"),
-        F.count_if(F.col("status") == STATUS_OK).alias("n_succeeded"),
-        F.count_if(F.col("status") == STATUS_ERROR).alias("n_failed"),
+        F.count_if(F.col("failed") == 0).alias("n_succeeded"),
+        F.count_if(F.col("failed") == 1).alias("n_failed"),
     )
 
 
 def ingest_failures(expanded: DataFrame) -> DataFrame:
-    """(archive, message) of every archive that could not be read."""
-    return expanded.where(F.col("line").isNull() & (F.col("status") == STATUS_ERROR)).select("archive", "message")
+    """(archive, member, message) of every archive or member that could not be read."""
+    return expanded.where(F.col("line").isNull() & (F.col("status") == STATUS_ERROR)).select(
+        "archive", "member", "message"
+    )
 
 
 def ingest_archives(

@@ -84,3 +84,18 @@ def test_ingest_archives_writes_once_then_parses(spark, tmp_path):
     assert sorted(rows(parsed)) == [(1, "x"), (2, "y")]
     assert rows(tally) == [(2, 1, 1)]
     assert "mapinpandas" not in parsed._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_large_member_streams_in_chunks(spark, tmp_path):
+    d = tmp_path / "big"
+    d.mkdir()
+    body = "A;B\n" + "".join(f"{i};v{i}\n" for i in range(25_000))
+    (d / "big.zip").write_bytes(_zip({"big.csv": body, "small.csv": "A;B\n7;s\n"}))
+    expanded = Z.expand_archives(spark, str(d), partitions=2)
+    lines = Z.archive_lines(expanded).where(F.col("member") == "big.csv")
+    assert rows(lines.agg(F.count("*"), F.min("line_no"), F.max("line_no"), F.count_distinct("line_no"))) == [
+        (25_001, 0, 25_000, 25_001)
+    ]
+    parsed = Z.parse_lines(Z.archive_lines(expanded), struct_from([("A", "int"), ("B", "string")]))
+    assert parsed.count() == 25_001
+    assert rows(Z.ingest_tally(expanded)) == [(1, 1, 0)]
