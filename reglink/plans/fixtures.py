@@ -121,12 +121,6 @@ def orders_file_schema():
     return StructType(fields)
 
 
-def _hadoop_fs(spark: SparkSession, path: str):
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
 def stage_state_folders(spark: SparkSession, sf_dir: str) -> str:
     """``orders`` as ``;`` files in one folder per status: ``11_FF``, ``12_OO``...
 
@@ -149,17 +143,16 @@ def stage_state_folders(spark: SparkSession, sf_dir: str) -> str:
         .option("header", True)
         .csv(f"{root}/raw")
     )
-    fs, raw = _hadoop_fs(spark, f"{root}/raw")
-    jvm = spark._jvm
+    import pyarrow.fs as pafs
+
+    fs, raw = pafs.FileSystem.from_uri(f"{root}/raw")
     statuses = sorted(
-        st.getPath().getName().split("=", 1)[1]
-        for st in fs.listStatus(raw)
-        if st.isDirectory() and st.getPath().getName().startswith("o_orderstatus=")
+        info.base_name.split("=", 1)[1]
+        for info in fs.get_file_info(pafs.FileSelector(raw))
+        if info.type == pafs.FileType.Directory and info.base_name.startswith("o_orderstatus=")
     )
     for i, status in enumerate(statuses):
-        src = jvm.org.apache.hadoop.fs.Path(raw, f"o_orderstatus={status}")
-        dst = jvm.org.apache.hadoop.fs.Path(raw, f"{11 + i:02d}_{(status * 2)[:2].upper()}")
-        fs.rename(src, dst)
+        fs.move(f"{raw}/o_orderstatus={status}", f"{raw}/{11 + i:02d}_{(status * 2)[:2].upper()}")
     table(spark, sf_dir, "nation").write.option("sep", ";").option("header", True).csv(f"{root}/raw/cnes")
     _STAGED[key] = f"{root}/raw"
     return _STAGED[key]
