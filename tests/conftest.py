@@ -21,3 +21,14 @@ def rows(df, *cols):
     """Collected rows as plain tuples (in the frame's order)."""
     sel = df.select(*cols) if cols else df
     return [tuple(r) for r in sel.collect()]
+
+
+def plan_text(df, mode: str = "simple") -> str:
+    """The plan ``df.explain(mode)`` prints, as text."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode=mode)
+    return buf.getvalue()

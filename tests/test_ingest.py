@@ -3,7 +3,7 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_text, rows
 from reglink.operators import ingest as I
 from reglink.sources import archives as Z
 from reglink.sources.schemas import struct_from
@@ -83,7 +83,7 @@ def test_ingest_archives_writes_once_then_parses(spark, tmp_path):
     parsed, tally = Z.ingest_archives(spark, str(d), struct_from([("A", "int"), ("B", "string")]), str(tmp_path / "exp"))
     assert sorted(rows(parsed)) == [(1, "x"), (2, "y")]
     assert rows(tally) == [(2, 1, 1)]
-    assert "mapinpandas" not in parsed._jdf.queryExecution().executedPlan().toString().lower()
+    assert "mapinpandas" not in plan_text(parsed).lower()
 
 
 def test_large_member_streams_in_chunks(spark, tmp_path):

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import SMALL, rows
+from conftest import SMALL, plan_text, rows
 from reglink.operators import link as L
 from reglink.operators.profile import ref
 from reglink.plans import catalog
@@ -64,7 +64,7 @@ def test_report_equals_brute_force_joins(spark):
 
 def test_report_does_not_join_pairs(spark):
     est, adr = catalog.registries(spark, SMALL)
-    plan = L.match_report(est, adr, L.registry_rules())._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan_text(L.match_report(est, adr, L.registry_rules()))
     # Both sides are aggregated per key before the one join of key counts.
     assert plan.count("Aggregate") >= 3
 
@@ -81,7 +81,7 @@ def test_health_filter_pushed_to_scan(spark, tmp_path):
     part = X.table(spark, SMALL, "part")
     path = str(tmp_path / "adr")
     X.addresses(part).write.parquet(path)
-    plan = L.health_addresses(spark.read.parquet(path))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(L.health_addresses(spark.read.parquet(path)))
     assert "PushedFilters: [IsNotNull(COD_ESPECIE), EqualTo(COD_ESPECIE,5)]" in plan
 
 
@@ -101,5 +101,5 @@ def test_link_salts_a_hot_left_key(spark):
     assert rows(salted.where(F.col("n") == "HOT").select(F.min("r_matches"), F.max("r_first_id"))) == [(5, 0)]
     hot = rows(L.hot_keys(left.select(F.col("n").alias("k")), ["k"], 0.1))
     assert hot == [("HOT", True)]
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
+    plan = plan_text(salted)
     assert "xxhash64" in plan

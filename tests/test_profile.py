@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SMALL, rows
+from conftest import SMALL, plan_text, rows
 from reglink.operators import profile as P
 from reglink.plans import fixtures as X
 
@@ -24,7 +24,7 @@ def test_fill_profile(spark):
 
 
 def test_fill_profile_is_one_scan(spark):
-    plan = P.fill_profile(_df(spark))._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(P.fill_profile(_df(spark)))
     assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1
 
 
@@ -70,7 +70,7 @@ def test_value_frequencies_mixed_types_one_job(spark):
     out = P.value_frequencies(_df(spark), k=1)
     got = {r[0]: r[1:] for r in rows(out)}
     assert set(got) == {"id", "street", "name", "v"}
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(out)
     assert "WindowGroupLimit" in plan  # per-task top-k before the per-column exchange
 
 

@@ -2,7 +2,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_text, rows
 from reglink.sources import registry as R
 from reglink.sources.schemas import ADDRESS_SCHEMA, struct_from
 
@@ -89,7 +89,7 @@ def test_write_partitioned_and_prune(spark, tmp_path):
     out = R.write_table(df, str(tmp_path / "t"), partition_by=["UF"])
     back = R.read_table(spark, out).where(F.col("UF") == "SP")
     assert sorted(rows(back, "A")) == [(2,), (3,)]
-    plan = back._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(back)
     assert "PartitionFilters: [isnotnull(UF" in plan
 
 
