@@ -190,9 +190,13 @@ def orders_archive_schema():
 def _write_zips(root: str, member_rows: int):
     """mapInPandas body: each batch of formatted lines becomes one zip archive
     of ``;`` members (header + at most ``member_rows`` lines each), written by
-    the task itself to the shared folder."""
+    the task itself to the shared folder.
+
+    Names come from the Spark partition and the batch's place in it, so a
+    retried or speculative task rewrites the same files with the same
+    content instead of adding new ones.
+    """
     import io
-    import uuid
     import zipfile
 
     import pandas as pd
@@ -203,7 +207,7 @@ def _write_zips(root: str, member_rows: int):
         import pyarrow.fs as pafs
 
         fs, base = pafs.FileSystem.from_uri(root)
-        for pdf in batches:
+        for batch_no, pdf in enumerate(batches):
             if pdf.empty:
                 continue
             lines = pdf["line"].tolist()
@@ -212,7 +216,7 @@ def _write_zips(root: str, member_rows: int):
                 for i, start in enumerate(range(0, len(lines), member_rows)):
                     body = "\n".join([header, *lines[start:start + member_rows]]) + "\n"
                     zf.writestr(f"part_{i:03d}.csv", body)
-            name = f"{base}/orders-{uuid.uuid4().hex[:16]}.zip"
+            name = f"{base}/orders-{int(pdf['pid'].iloc[0]):05d}-{batch_no:05d}.zip"
             with fs.open_output_stream(name) as out:
                 out.write(buf.getvalue())
             yield pd.DataFrame({"archive": [name], "n_lines": [len(lines)]})
@@ -225,7 +229,8 @@ def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) ->
 
     Lines are formatted by Spark (NULL as an empty field); every task packs its
     own Arrow batches into archives, so no row passes through the driver and
-    the number of archives grows with the table.
+    the number of archives grows with the table. Archive names are fixed by
+    partition and batch, so task retries overwrite rather than duplicate.
     """
     key = (spark.sparkContext.applicationId, sf_dir, "archives", member_rows)
     if key in _STAGED:
@@ -244,7 +249,7 @@ def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) ->
     fs, base = pafs.FileSystem.from_uri(root)
     fs.create_dir(base, recursive=True)
     fields = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in ORDERS_ARCHIVE_FIELDS]
-    lines = table(spark, sf_dir, "orders").select(F.concat_ws(";", *fields).alias("line"))
+    lines = table(spark, sf_dir, "orders").select(F.concat_ws(";", *fields).alias("line"), F.spark_partition_id().alias("pid"))
     written = lines.mapInPandas(_write_zips(root, member_rows), "archive string, n_lines bigint")
     written.write.format("noop").mode("overwrite").save()
     # Two fixed broken inputs next to the real archives.

@@ -99,3 +99,21 @@ def test_large_member_streams_in_chunks(spark, tmp_path):
     parsed = Z.parse_lines(Z.archive_lines(expanded), struct_from([("A", "int"), ("B", "string")]))
     assert parsed.count() == 25_001
     assert rows(Z.ingest_tally(expanded)) == [(1, 1, 0)]
+
+
+def test_archive_writer_is_idempotent_on_retry(spark, tmp_path):
+    from conftest import SMALL
+    from reglink.plans import fixtures as X
+
+    root = str(tmp_path / "zips")
+    (tmp_path / "zips").mkdir()
+    lines = X.table(spark, SMALL, "orders").select(
+        F.concat_ws(";", *[F.col(n).cast("string") for n, _ in X.ORDERS_ARCHIVE_FIELDS]).alias("line"),
+        F.spark_partition_id().alias("pid"),
+    )
+    for _ in range(2):  # a second run stands for a retried task
+        lines.mapInPandas(X._write_zips(root, 500), "archive string, n_lines bigint").write.format("noop").mode(
+            "overwrite"
+        ).save()
+    parsed = Z.parse_lines(Z.archive_lines(Z.expand_archives(spark, root)), X.orders_archive_schema())
+    assert parsed.count() == X.table(spark, SMALL, "orders").count()
