@@ -21,6 +21,7 @@ from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from reglink.functions.expr import compose_key, house_number, parse_decimal_of, postal_code
 from reglink.operators.profile import ref
@@ -136,6 +137,22 @@ def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Da
     )
 
 
+def _hashable(df: DataFrame) -> list[Column]:
+    """The columns Spark can hash (maps cannot), for a deterministic row salt."""
+
+    def ok(t) -> bool:
+        if isinstance(t, MapType):
+            return False
+        if isinstance(t, ArrayType):
+            return ok(t.elementType)
+        if isinstance(t, StructType):
+            return all(ok(f.dataType) for f in t.fields)
+        return True
+
+    cols = [ref(f.name) for f in df.schema.fields if ok(f.dataType)]
+    return cols or [F.lit(0)]
+
+
 def hot_keys(keyed: DataFrame, names: Sequence[str], hot_fraction: float) -> DataFrame:
     """Keys holding at least ``hot_fraction`` of the rows: (names..., __hot).
 
@@ -197,9 +214,9 @@ def link(
         keyed = keyed.join(hot, on=lnames, how="left").select(
             *[ref(c) for c in left.columns],
             *lnames,
-            F.when(
-                F.col("__hot"), F.pmod(F.xxhash64(*[ref(c) for c in left.columns]), F.lit(salt_buckets))
-            ).otherwise(F.lit(0)).alias("__lsalt"),
+            F.when(F.col("__hot"), F.pmod(F.xxhash64(*_hashable(left)), F.lit(salt_buckets)))
+            .otherwise(F.lit(0))
+            .alias("__lsalt"),
         )
         hot_r = hot.select(*[F.col(l).alias(r) for l, r in zip(lnames, rnames)], "__hot")
         grouped = grouped.join(hot_r, on=rnames, how="left").select(

@@ -103,3 +103,11 @@ def test_link_salts_a_hot_left_key(spark):
     assert hot == [("HOT", True)]
     plan = plan_text(salted)
     assert "xxhash64" in plan
+
+
+def test_link_salt_ignores_map_columns(spark):
+    left = spark.range(30).select(F.lit("HOT").alias("n"), F.create_map(F.lit("k"), F.col("id")).alias("m"))
+    right = spark.createDataFrame([(1, "HOT")], "rid int, m2 string")
+    rule = L.Rule("name", left=[lambda df: ref("n")], right=[lambda df: ref("m2")])
+    out = L.link(left, right, rule, right_id="rid", hot_fraction=0.5, salt_buckets=4)
+    assert rows(out.groupBy("r_matches").count()) == [(1, 30)]
