@@ -34,6 +34,7 @@ def read_registry(
     infer: bool = False,
     as_string: Iterable[str] = (),
     encoding: str | None = None,
+    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Read delimited registry files.
 
@@ -44,15 +45,20 @@ def read_registry(
     long or mistyped field (those fields are NULL otherwise).
 
     Without a schema every column is read as a string (no inference pass over
-    the data). ``infer=True`` runs Spark's inference first; ``as_string``
-    then forces identifier columns (postal codes, unit codes) back to string
-    so leading zeros survive.
+    the data). ``infer=True`` runs Spark's inference first (over a
+    ``sampling_ratio`` share of rows when given); ``as_string`` then forces
+    identifier columns (postal codes, unit codes) back to string so leading
+    zeros survive.
     """
     reader = spark.read.option("sep", sep).option("header", header)
     if encoding:
         reader = reader.option("encoding", encoding)
     if schema is None and infer:
-        inferred = reader.option("inferSchema", True).csv(path).schema
+        inferring = reader.option("inferSchema", True)
+        if sampling_ratio is not None:
+            # Inference reads the whole input by default; a ratio bounds that pass.
+            inferring = inferring.option("samplingRatio", sampling_ratio)
+        inferred = inferring.csv(path).schema
         forced = set(as_string)
         schema = StructType(
             [StructField(f.name, StringType(), True) if f.name in forced else f for f in inferred.fields]
@@ -148,13 +154,24 @@ def write_table(
     partition_by: Sequence[str] = (),
     mode: str = "overwrite",
     max_records_per_file: int | None = None,
+    files_per_partition: int | None = None,
 ) -> str:
     """Write Parquet, optionally partitioned (``partition_by=['UF']``).
 
-    No repartition before the write: input splits come from one state folder
-    each, so every task already writes to very few partition folders, and a
-    shuffle by state would put a large state in one task.
+    By default there is no shuffle before the write: input splits read from
+    state folders hold one state each, so every task writes to very few
+    partition folders. When the input is mixed (after a join or a shuffle),
+    ``files_per_partition=k`` clusters rows by the partition columns plus a
+    row-hash salt in ``[0, k)``: each partition folder gets about ``k``
+    files, and a state holding a third of the rows is still spread over
+    ``k`` tasks (a shuffle by state alone would give it one). The salt is a
+    hash of the row, so a retried task rebuilds the same split.
     """
+    if files_per_partition is not None:
+        if not partition_by:
+            raise ValueError("files_per_partition needs partition_by")
+        salt = F.pmod(F.xxhash64(*[ref(c) for c in df.columns]), F.lit(files_per_partition))
+        df = df.repartition(*[ref(c) for c in partition_by], salt)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

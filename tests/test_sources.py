@@ -100,3 +100,22 @@ def test_export_distinct_and_values(spark, tmp_path):
     out2 = R.export_distinct_values(df, str(tmp_path / "v"))
     back = spark.read.json(out2)
     assert back.where(F.col("column_name") == "q").count() == 2  # x and NULL
+
+
+def test_write_table_clusters_mixed_input(spark, tmp_path):
+    import os
+
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("SP")).otherwise(F.lit("RO")).alias("UF"), F.col("id")
+    ).repartition(7)
+    out = R.write_table(df, str(tmp_path / "t"), partition_by=["UF"], files_per_partition=4)
+    for uf in ("SP", "RO"):
+        files = [f for f in os.listdir(f"{out}/UF={uf}") if f.endswith(".parquet")]
+        assert 1 <= len(files) <= 4
+    assert R.read_table(spark, out).count() == 3000
+
+
+def test_inference_with_sampling_ratio(spark, tmp_path):
+    p = _write(tmp_path / "f" / "e.csv", "CO_CEP;N\n01310100;5\n02000000;6\n")
+    df = R.read_registry(spark, p, infer=True, as_string=["CO_CEP"], sampling_ratio=1.0)
+    assert sorted(rows(df)) == [("01310100", 5), ("02000000", 6)]
