@@ -111,3 +111,48 @@ def test_link_salt_ignores_map_columns(spark):
     rule = L.Rule("name", left=[lambda df: ref("n")], right=[lambda df: ref("m2")])
     out = L.link(left, right, rule, right_id="rid", hot_fraction=0.5, salt_buckets=4)
     assert rows(out.groupBy("r_matches").count()) == [(1, 30)]
+
+
+def test_salting_spreads_a_hot_key_over_join_tasks(spark):
+    # A third of the left rows share one name. With broadcasts and partition
+    # coalescing off, the join must shuffle: unsalted, one task gets the whole
+    # hot key; salted, no task gets more than a small share.
+    confs = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    saved = {k: spark.conf.get(k, None) for k in confs}
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        left = spark.range(30_000).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("n"), (F.col("id") % 997).cast("string"))).alias("n"),
+        )
+        right = spark.range(2000).select(
+            F.col("id").alias("rid"), F.concat(F.lit("n"), (F.col("id") % 997).cast("string")).alias("m")
+        ).union(spark.range(3).select(F.col("id").alias("rid"), F.lit("HOT").alias("m")))
+        rule = L.Rule("name", left=[lambda df: ref("n")], right=[lambda df: ref("m")])
+
+        def largest_share(df):
+            # r_matches is used so the optimizer keeps the join (with unique
+            # right keys and no right column read, it would drop it).
+            per_task = df.select(F.spark_partition_id().alias("p"), "r_matches").groupBy("p").agg(
+                F.count(F.lit(1)).alias("n"), F.sum("r_matches").alias("m")
+            )
+            sizes = [r["n"] for r in per_task.collect()]
+            return max(sizes) / sum(sizes)
+
+        plain = L.link(left, right, rule, right_id="rid", hot_fraction=None)
+        salted = L.link(left, right, rule, right_id="rid", hot_fraction=0.01, salt_buckets=16)
+        assert largest_share(plain) >= 1 / 3
+        assert largest_share(salted) < 0.15
+        assert sorted(rows(salted)) == sorted(rows(plain))
+    finally:
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
