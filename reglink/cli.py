@@ -1,6 +1,6 @@
 """Command-line entry for the registry jobs.
 
-    python -m reglink.cli integrate RAW_DIR OUT
+    python -m reglink.cli integrate RAW_DIR OUT [--rejects]
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
     python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species]
     python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ...]
@@ -41,16 +41,24 @@ def _read_any(spark: SparkSession, path: str, csv: bool, sep: str) -> DataFrame:
 
 
 def integrate(spark: SparkSession, args) -> None:
-    """All state folders -> one Parquet table partitioned by state, then counts."""
-    df = R.load_partitioned(spark, args.raw_dir, ADDRESS_SCHEMA, sep=args.sep)
+    """All state folders -> one Parquet table partitioned by state, then counts.
+
+    With ``--rejects`` the raw line of every short, long or mistyped row is
+    kept in ``_corrupt_record`` and a per-state reject report is written; the
+    report is computed from the written table, so the files are scanned once.
+    """
+    df = R.load_partitioned(spark, args.raw_dir, ADDRESS_SCHEMA, sep=args.sep, keep_rejects=args.rejects)
     R.write_table(df, f"{args.out}/addresses", partition_by=["UF"])
-    counts = R.source_counts(R.read_table(spark, f"{args.out}/addresses"), total_label="TOTAL")
-    _save(counts, args.out, "source_counts")
+    written = R.read_table(spark, f"{args.out}/addresses")
+    _save(R.source_counts(written, total_label="TOTAL"), args.out, "source_counts")
+    if args.rejects:
+        _save(R.rejected_summary(written, by=["UF"]), args.out, "rejected_rows")
 
 
 def profile(spark: SparkSession, args) -> None:
-    """Fill rates (basic, strict, losses), blanks, top values, distinct values."""
-    df = _read_any(spark, args.table, args.csv, args.sep)
+    """Fill rates (basic, strict, losses), blanks, top values, distinct values
+    of the data columns (a kept ``_corrupt_record`` column is not profiled)."""
+    df = _read_any(spark, args.table, args.csv, args.sep).drop(R.CORRUPT_COLUMN)
     comparison = P.fill_comparison(df)
     _save(comparison, args.out, "fill_comparison")
     _save(P.fill_losses(comparison), args.out, "fill_losses")
@@ -90,6 +98,7 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("raw_dir")
     a.add_argument("out")
     a.add_argument("--sep", default=";")
+    a.add_argument("--rejects", action="store_true", help="keep and report rows that do not fit the schema")
     a.set_defaults(run=integrate)
 
     b = sub.add_parser("profile", help="column quality profiles of a table")

@@ -29,9 +29,11 @@ def test_integrate_link_profile_months(spark, tmp_path):
     est = str(tmp_path / "cnes")
     X.establishments(part).write.option("sep", ";").option("header", True).csv(est)
 
-    cli.main(["integrate", raw, out], spark=spark)
+    cli.main(["integrate", raw, out, "--rejects"], spark=spark)
     counts = dict(rows(spark.read.parquet(f"{out}/source_counts")))
     assert counts["TOTAL"] == counts["RO"] + counts["SP"] == part.where("p_partkey % 2 = 1").count()
+    rejects = {r["UF"]: (r["n_rows"], r["n_rejected"]) for r in spark.read.parquet(f"{out}/rejected_rows").collect()}
+    assert rejects == {"RO": (counts["RO"], 0), "SP": (counts["SP"], 0)}
 
     cli.main(["link", f"{out}/addresses", est, f"{out}/link"], spark=spark)
     got = {r["rule"]: r.asDict() for r in spark.read.parquet(f"{out}/link/match_report").collect()}

@@ -119,3 +119,12 @@ def test_inference_with_sampling_ratio(spark, tmp_path):
     p = _write(tmp_path / "f" / "e.csv", "CO_CEP;N\n01310100;5\n02000000;6\n")
     df = R.read_registry(spark, p, infer=True, as_string=["CO_CEP"], sampling_ratio=1.0)
     assert sorted(rows(df)) == [("01310100", 5), ("02000000", 6)]
+
+
+def test_rejected_rows_per_state(spark, tmp_path):
+    raw = tmp_path / "raw"
+    _write(raw / "11_RO" / "a.csv", "A;B;C\n1;a;b\nx;a;b\n")
+    _write(raw / "35_SP" / "b.csv", "A;B;C\n2;a;b\n3;a\n4;a;b\n")
+    df = R.load_partitioned(spark, str(raw), ABC, keep_rejects=True)
+    got = sorted(rows(R.rejected_summary(df, by=["UF"])))
+    assert got == [("RO", 2, 1, 1), ("SP", 3, 1, 2)]
