@@ -45,53 +45,70 @@ class Rule:
             raise ValueError(f"rule {self.name}: left and right keys must pair up")
 
 
-def _double_key(c: Column, digits: int | None) -> Column:
-    """A double as an exact string key; -0.0 folded into 0.0 like a join would."""
-    x = F.round(c, digits) if digits is not None else c
-    x = F.when(x == F.lit(0.0), F.lit(0.0)).otherwise(x)
-    return x.cast("string")
+def _numeric(rule: Rule, i: int) -> bool:
+    return i < len(rule.numeric) and bool(rule.numeric[i])
 
 
-def _typed_parts(df: DataFrame, fns: Sequence[KeyFn], numeric: Sequence[bool]) -> list[Column]:
-    """Key parts as strings (doubles through ``_double_key``)."""
-    return [
-        _double_key(fn(df), None) if i < len(numeric) and numeric[i] else fn(df).cast("string")
-        for i, fn in enumerate(fns)
-    ]
+def _typed_parts(df: DataFrame, rule: Rule, side: str) -> list[Column]:
+    """Key parts of one side: doubles stay doubles, everything else is text.
+
+    Doubles are compared as numbers: Spark normalises grouping and join keys
+    (NaN equals NaN, -0.0 equals 0.0), the semantics of an equi-join, and no
+    per-row conversion to text is paid.
+    """
+    fns = rule.left if side == "left" else rule.right
+    return [fn(df).cast("double") if _numeric(rule, i) else fn(df).cast("string") for i, fn in enumerate(fns)]
 
 
 def _part_columns(df: DataFrame, rules: Sequence[Rule], side: str) -> tuple[DataFrame, list[list[str]]]:
-    """Every key part of every rule as its own column, computed once.
-
-    Parts are typed to strings here (doubles through ``_double_key``) so the
-    exploded rows below only reference columns: the parse of a coordinate is
-    not repeated inside each NULL test and struct field.
-    """
+    """Every key part of every rule as its own column, computed once, so the
+    exploded rows below only reference columns (the parse of a coordinate is
+    not repeated inside each NULL test and struct field)."""
     cols, names = [], []
     for j, r in enumerate(rules):
-        parts = _typed_parts(df, r.left if side == "left" else r.right, r.numeric)
+        parts = _typed_parts(df, r, side)
         part_names = [f"__r{j}p{i}" for i in range(len(parts))]
         cols += [c.alias(n) for c, n in zip(parts, part_names)]
         names.append(part_names)
     return df.select(*cols), names
 
 
-def _keyed(df: DataFrame, rules: Sequence[Rule], side: str, width: int) -> DataFrame:
-    """One row per (input row, rule): (rule, k0..k{width-1}), in one scan."""
+def _widths(rules: Sequence[Rule]) -> tuple[int, int]:
+    """(text slots, number slots) needed by the widest rule of each kind."""
+    text = max(sum(1 for i in range(len(r.left)) if not _numeric(r, i)) for r in rules)
+    num = max(sum(1 for i in range(len(r.left)) if _numeric(r, i)) for r in rules)
+    return text, num
+
+
+def _keyed(df: DataFrame, rules: Sequence[Rule], side: str) -> DataFrame:
+    """One row per (input row, rule): (rule, k0.., n0..), in one scan.
+
+    Text parts fill the ``k`` slots and numeric parts the ``n`` slots; unused
+    slots hold a constant, and every slot is NULL when any part of the rule's
+    key is NULL, so an incomplete key never matches.
+    """
     parts, names = _part_columns(df, rules, side)
+    n_text, n_num = _widths(rules)
     entries = []
     for r, part_names in zip(rules, names):
-        cols = [F.col(n) for n in part_names]
-        complete = reduce(lambda a, b: a & b, [c.isNotNull() for c in cols])
-        keys = [F.when(complete, c) for c in cols]
-        keys += [F.when(complete, F.lit("")) for _ in range(width - len(cols))]
-        entries.append(F.struct(F.lit(r.name).alias("rule"), *[k.alias(f"k{i}") for i, k in enumerate(keys)]))
+        complete = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in part_names])
+        text = [F.col(n) for i, n in enumerate(part_names) if not _numeric(r, i)]
+        num = [F.col(n) for i, n in enumerate(part_names) if _numeric(r, i)]
+        text += [F.lit("")] * (n_text - len(text))
+        num += [F.lit(0.0)] * (n_num - len(num))
+        fields = [F.when(complete, c).alias(f"k{i}") for i, c in enumerate(text)]
+        fields += [F.when(complete, c).alias(f"n{i}") for i, c in enumerate(num)]
+        entries.append(F.struct(F.lit(r.name).alias("rule"), *fields))
     return parts.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
 
 
-def _key_counts(df: DataFrame, rules: Sequence[Rule], side: str, width: int, alias: str) -> DataFrame:
-    keys = [f"k{i}" for i in range(width)]
-    return _keyed(df, rules, side, width).groupBy("rule", *keys).agg(F.count(F.lit(1)).alias(alias))
+def _key_names(rules: Sequence[Rule]) -> list[str]:
+    n_text, n_num = _widths(rules)
+    return [f"k{i}" for i in range(n_text)] + [f"n{i}" for i in range(n_num)]
+
+
+def _key_counts(df: DataFrame, rules: Sequence[Rule], side: str, alias: str) -> DataFrame:
+    return _keyed(df, rules, side).groupBy("rule", *_key_names(rules)).agg(F.count(F.lit(1)).alias(alias))
 
 
 def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -105,10 +122,9 @@ def match_report(left: DataFrame, right: DataFrame, rules: Sequence[Rule]) -> Da
     """
     if not rules:
         raise ValueError("no rule")
-    width = max(len(r.left) for r in rules)
-    keys = [f"k{i}" for i in range(width)]
-    lc = _key_counts(left, rules, "left", width, "n_left")
-    rc = _key_counts(right, rules, "right", width, "n_right")
+    keys = _key_names(rules)
+    lc = _key_counts(left, rules, "left", "n_left")
+    rc = _key_counts(right, rules, "right", "n_right")
     joined = lc.join(rc, on=["rule", *keys], how="full_outer")
     both = F.col("n_left").isNotNull() & F.col("n_right").isNotNull()
     nl = F.coalesce(F.col("n_left"), F.lit(0).cast("bigint"))
@@ -197,8 +213,8 @@ def link(
         raise ValueError("hot_fraction must be in (0, 1]")
     width = len(rule.left)
     # A NULL part never satisfies the equality, so no completeness test is needed.
-    lkeys = _typed_parts(left, rule.left, rule.numeric)
-    rkeys = _typed_parts(right, rule.right, rule.numeric)
+    lkeys = _typed_parts(left, rule, "left")
+    rkeys = _typed_parts(right, rule, "right")
     lnames = [f"__lk{i}" for i in range(width)]
     rnames = [f"__rk{i}" for i in range(width)]
     grouped = (

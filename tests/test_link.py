@@ -156,3 +156,14 @@ def test_salting_spreads_a_hot_key_over_join_tasks(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_numeric_keys_follow_join_semantics(spark):
+    # D17 at the operator level: NaN meets NaN, -0.0 meets 0.0, NULL meets nothing.
+    left = spark.createDataFrame([(1, float("nan")), (2, -0.0), (3, None), (4, 1.5)], "id int, x double")
+    right = spark.createDataFrame([(10, float("nan")), (11, 0.0), (12, None), (13, 2.5)], "rid int, y double")
+    rule = L.Rule("num", left=[lambda df: ref("x")], right=[lambda df: ref("y")], numeric=(True,))
+    r = L.match_report(left, right, [rule]).first()
+    assert (r["pairs"], r["matched_left"], r["matched_right"]) == (2, 2, 2)
+    linked = dict(rows(L.link(left, right, rule, right_id="rid").select("id", "r_first_id")))
+    assert linked == {1: 10, 2: 11, 3: None, 4: None}
