@@ -3,7 +3,7 @@
     python -m reglink.cli integrate RAW_DIR OUT [--rejects]
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
     python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species]
-    python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ...]
+    python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ... | --start D --end D]
 
 Every result is written as a table under OUT (Parquet, plus a small CSV copy
 of each report for reading by eye); nothing is collected to the driver
@@ -87,7 +87,13 @@ def link(spark: SparkSession, args) -> None:
 def months(spark: SparkSession, args) -> None:
     """Months without rows inside each group's own first..last range."""
     df = spark.read.parquet(args.path)
-    _save(I.gap_report(df, args.ts_column, args.key or []), args.out, "missing_periods")
+    if args.start or args.end:
+        if not (args.start and args.end) or args.key:
+            raise SystemExit("--start and --end go together and exclude --key")
+        gaps = I.range_gaps(df, args.ts_column, args.start, args.end)
+    else:
+        gaps = I.gap_report(df, args.ts_column, args.key or [])
+    _save(gaps, args.out, "missing_periods")
 
 
 def parser() -> argparse.ArgumentParser:
@@ -124,7 +130,9 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("path")
     d.add_argument("ts_column")
     d.add_argument("out")
-    d.add_argument("--key", action="append")
+    d.add_argument("--key", action="append", help="groups, each checked over its own first..last range")
+    d.add_argument("--start", help="first expected day (ISO), with --end: one fixed range")
+    d.add_argument("--end", help="last expected day (ISO)")
     d.set_defaults(run=months)
     return p
 

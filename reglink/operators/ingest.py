@@ -156,6 +156,23 @@ def period_bounds(
     return df.agg(*agg)
 
 
+def range_gaps(
+    df: DataFrame,
+    ts: str,
+    start: str,
+    end: str,
+    period_col: str = "period",
+) -> DataFrame:
+    """Months from ``start`` to ``end`` (inclusive, ISO dates) that hold no
+    row of ``df``: the expected calendar of a download range minus what
+    landed. The calendar comes from one literal row; the landed side is a
+    partially aggregated distinct of ``df``."""
+    bounds = df.sparkSession.range(1).select(F.lit(start).alias("__s"), F.lit(end).alias("__e"))
+    expected = _calendar_index(bounds, "__s", "__e", [])
+    gaps = expected.join(_landed_index(df, ts, []), on=["__mi"], how="left_anti")
+    return gaps.select(period_of_index(F.col("__mi")).alias(period_col))
+
+
 def gap_report(
     df: DataFrame,
     ts: str,

@@ -692,3 +692,19 @@ select column_name, value, frequency, rank from (
 def q_value_frequencies_lineitem(spark, sf_dir):
     """Top-100 values of every column of the whole line-item table, one job."""
     return P.value_frequencies(X.table(spark, sf_dir, "lineitem"), k=100)
+
+
+@register(
+    "range_gaps",
+    """select strftime(m, '%Y%m') as period
+from (select unnest(generate_series(date '1994-01-01', date '2002-12-01', interval 1 month)) as m) c
+where not exists (
+  select 1 from orders
+  where o_orderstatus = 'F' and strftime(o_orderdate, '%Y%m') = strftime(c.m, '%Y%m')
+)""",
+)
+def q_range_gaps(spark, sf_dir):
+    """Months of a fixed download range (1994-2002) with no finished order:
+    the expected calendar minus the months that hold rows."""
+    finished = X.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
+    return I.range_gaps(finished, "o_orderdate", "1994-01-01", "2002-12-31")

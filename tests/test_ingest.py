@@ -117,3 +117,12 @@ def test_archive_writer_is_idempotent_on_retry(spark, tmp_path):
         ).save()
     parsed = Z.parse_lines(Z.archive_lines(Z.expand_archives(spark, root)), X.orders_archive_schema())
     assert parsed.count() == X.table(spark, SMALL, "orders").count()
+
+
+def test_range_gaps_against_landed_months(spark):
+    landed = spark.createDataFrame([("2024-01-10",), ("2024-03-01",), ("2023-12-31",)], "d string").select(
+        F.to_date("d").alias("d")
+    )
+    got = sorted(rows(I.range_gaps(landed, "d", "2023-11-15", "2024-04-02")))
+    assert got == [("202311",), ("202402",), ("202404",)]
+    assert rows(I.range_gaps(landed, "d", "2024-05-01", "2024-04-01")) == []  # reversed range
