@@ -2,7 +2,7 @@
 
     python -m reglink.cli integrate RAW_DIR OUT [--rejects]
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
-    python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species]
+    python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species] [--links]
     python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ... | --start D --end D]
 
 Every result is written as a table under OUT (Parquet, plus a small CSV copy
@@ -69,7 +69,8 @@ def profile(spark: SparkSession, args) -> None:
 
 
 def link(spark: SparkSession, args) -> None:
-    """Coverage of every linkage rule, plus the per-establishment best link."""
+    """Coverage of every linkage rule in one job, data-quality reports of the
+    establishment file, and (``--links``) the per-establishment links."""
     addresses = spark.read.parquet(args.addresses)
     if not args.all_species:
         addresses = L.health_addresses(addresses)
@@ -79,9 +80,12 @@ def link(spark: SparkSession, args) -> None:
     _save(P.malformed_summary(establishments, "NU_LATITUDE", "NU_LONGITUDE"), args.out, "malformed_coordinates")
     _save(P.duplicate_groups(establishments, ["NO_FANTASIA", "CO_CEP"]), args.out, "duplicate_groups")
     _save(P.distinct_count(establishments, [ESTABLISHMENT_ID]), args.out, "distinct_units")
-    for rule in rules:
-        linked = L.link(establishments, addresses, rule, right_id="COD_UNICO_ENDERECO")
-        linked.write.mode("overwrite").parquet(f"{args.out}/link_{rule.name}")
+    if args.links:
+        # One table per rule: every establishment with its partner count and
+        # smallest partner id (a join per rule, so only on request).
+        for rule in rules:
+            linked = L.link(establishments, addresses, rule, right_id="COD_UNICO_ENDERECO")
+            linked.write.mode("overwrite").parquet(f"{args.out}/link_{rule.name}")
 
 
 def months(spark: SparkSession, args) -> None:
@@ -124,6 +128,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--all-species", action="store_true", help="do not keep health units only")
     c.add_argument("--normalize-number", action="store_true")
     c.add_argument("--coordinate-digits", type=int, default=None)
+    c.add_argument("--links", action="store_true", help="also write one link table per rule")
     c.set_defaults(run=link)
 
     d = sub.add_parser("months", help="missing months per group")

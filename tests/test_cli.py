@@ -35,7 +35,7 @@ def test_integrate_link_profile_months(spark, tmp_path):
     rejects = {r["UF"]: (r["n_rows"], r["n_rejected"]) for r in spark.read.parquet(f"{out}/rejected_rows").collect()}
     assert rejects == {"RO": (counts["RO"], 0), "SP": (counts["SP"], 0)}
 
-    cli.main(["link", f"{out}/addresses", est, f"{out}/link"], spark=spark)
+    cli.main(["link", f"{out}/addresses", est, f"{out}/link", "--links"], spark=spark)
     got = {r["rule"]: r.asDict() for r in spark.read.parquet(f"{out}/link/match_report").collect()}
     want = {r["rule"]: r.asDict() for r in catalog.QUERIES["match_report"](spark, SMALL).collect()}
     assert got == want
