@@ -167,3 +167,12 @@ def test_numeric_keys_follow_join_semantics(spark):
     assert (r["pairs"], r["matched_left"], r["matched_right"]) == (2, 2, 2)
     linked = dict(rows(L.link(left, right, rule, right_id="rid").select("id", "r_first_id")))
     assert linked == {1: 10, 2: 11, 3: None, 4: None}
+
+
+def test_report_join_reuses_the_key_count_partitioning(spark):
+    # Three hash exchanges: left key counts, right key counts, per-rule totals.
+    # The join of key counts must reuse their partitioning (double join keys
+    # would be re-wrapped for NaN/-0.0 normalisation and shuffled again).
+    est, adr = catalog.registries(spark, SMALL)
+    plan = plan_text(L.match_report(est, adr, L.registry_rules()))
+    assert plan.count("Exchange hashpartitioning") == 3
