@@ -179,12 +179,23 @@ def gap_report(
     keys: Sequence[str] = (),
     period_col: str = "period",
 ) -> DataFrame:
-    """Months inside each group's own first..last range that hold no row."""
-    bounds = period_bounds(df, ts, keys)
-    expected = _calendar_index(bounds, "first_ts", "last_ts", keys)
-    # The anti join compares integer month indexes; only the gaps get formatted.
-    gaps = expected.join(_landed_index(df, ts, keys), on=[*keys, "__mi"], how="left_anti")
-    return gaps.select(*[ref(k) for k in keys], period_of_index(F.col("__mi")).alias(period_col))
+    """Months inside each group's own first..last range that hold no row.
+
+    One aggregation per group gives the first and last month and the set of
+    months that hold rows; the gaps are the month sequence minus that set.
+    So the whole report is a single shuffle by the group keys. The set holds
+    distinct months only (map-side merged), so a group holding a third of
+    all rows still carries at most its calendar span, never its rows. NULL
+    group keys form one group, as in ``groupBy``.
+    """
+    mi = month_index(ref(ts))
+    per_group = df.where(ref(ts).isNotNull()).select(*[ref(k) for k in keys], mi.alias("__mi"))
+    agg = [F.min("__mi").alias("__s"), F.max("__mi").alias("__e"), F.collect_set("__mi").alias("__landed")]
+    bounds = per_group.groupBy(*[ref(k) for k in keys]).agg(*agg) if keys else per_group.agg(*agg)
+    missing = F.explode(F.array_except(F.sequence(F.col("__s"), F.col("__e")), F.col("__landed")))
+    return bounds.select(*[ref(k) for k in keys], missing.alias("__mi")).select(
+        *[ref(k) for k in keys], period_of_index(F.col("__mi")).alias(period_col)
+    )
 
 
 # --- index pages -----------------------------------------------------------------

@@ -126,3 +126,10 @@ def test_range_gaps_against_landed_months(spark):
     got = sorted(rows(I.range_gaps(landed, "d", "2023-11-15", "2024-04-02")))
     assert got == [("202311",), ("202402",), ("202404",)]
     assert rows(I.range_gaps(landed, "d", "2024-05-01", "2024-04-01")) == []  # reversed range
+
+
+def test_gap_report_is_one_shuffle(spark):
+    from conftest import SMALL, plan_text
+
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    assert plan_text(I.gap_report(orders, "o_orderdate", ["o_custkey"])).count("Exchange") == 1
