@@ -165,12 +165,16 @@ def range_gaps(
 ) -> DataFrame:
     """Months from ``start`` to ``end`` (inclusive, ISO dates) that hold no
     row of ``df``: the expected calendar of a download range minus what
-    landed. The calendar comes from one literal row; the landed side is a
-    partially aggregated distinct of ``df``."""
-    bounds = df.sparkSession.range(1).select(F.lit(start).alias("__s"), F.lit(end).alias("__e"))
-    expected = _calendar_index(bounds, "__s", "__e", [])
-    gaps = expected.join(_landed_index(df, ts, []), on=["__mi"], how="left_anti")
-    return gaps.select(period_of_index(F.col("__mi")).alias(period_col))
+    landed. One global aggregate collects the set of landed months (distinct
+    months, merged map-side, so bounded by the data's calendar span); the
+    gaps are the range's month sequence minus that set. A reversed range
+    gives no month."""
+    s, e = month_index(F.lit(start)), month_index(F.lit(end))
+    landed = df.where(ref(ts).isNotNull()).agg(F.collect_set(month_index(ref(ts))).alias("__landed"))
+    expected = F.when(s <= e, F.sequence(s, e))
+    return landed.select(F.explode(F.array_except(expected, F.col("__landed"))).alias("__mi")).select(
+        period_of_index(F.col("__mi")).alias(period_col)
+    )
 
 
 def gap_report(
