@@ -137,7 +137,9 @@ def source_counts(df: DataFrame, label: str = "UF", total_label: str | None = No
             F.when(F.col("__total") == 1, F.lit(total_label)).otherwise(ref(label)).alias(label),
             "n_rows",
         )
-    return counts.orderBy(ref(label).asc_nulls_last())
+    # One row per source: sorted in a single partition instead of a global
+    # sort (no range exchange, no sampling job).
+    return counts.coalesce(1).sortWithinPartitions(ref(label).asc_nulls_last())
 
 
 def union_sources(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:
