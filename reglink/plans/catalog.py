@@ -536,7 +536,10 @@ from o"""
 
 @register("extract_links", _links_sql())
 def q_extract_links(spark, sf_dir):
-    return I.extract_links(X.table(spark, sf_dir, "pages"), keys=["page_id"])
+    from reglink.session import spread
+
+    # Regex work per page: spread a narrowly split input over every core.
+    return I.extract_links(spread(X.table(spark, sf_dir, "pages")), keys=["page_id"])
 
 
 _ARCHIVED_COLS = ", ".join(n for n, _ in X.ORDERS_ARCHIVE_FIELDS)
@@ -601,7 +604,10 @@ def _date_sql(x: str) -> str:
     f"date_raw, {_date_sql('date_raw')} as date_clean from dirty",
 )
 def q_clean_text(spark, sf_dir):
-    dirty = X.dirty_orders(X.table(spark, sf_dir, "orders"))
+    from reglink.session import spread
+
+    # Several regexes and date parses per row: spread a narrowly split input.
+    dirty = X.dirty_orders(spread(X.table(spark, sf_dir, "orders")))
     return dirty.select(
         "o_orderkey",
         "street_raw",

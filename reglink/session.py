@@ -157,3 +157,14 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(target)
     _SHIPPED.add(app)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over ``min_partitions`` tasks (default: the
+    cores) when the input is split narrower than that, as a single-file,
+    single-row-group table is. Per-row work that would otherwise run in one
+    task then uses every core. Inputs already split at least that wide (any
+    large table) are returned unchanged, so no shuffle is added at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -21,3 +21,12 @@ def test_checkpoint_dir_is_kept_and_staging_under_it(spark):
     root = ensure_checkpoint_dir(spark)
     assert ensure_checkpoint_dir(spark) == root
     assert staging_dir(spark, "x").startswith(root.rstrip("/") + "/staging/x-")
+
+
+def test_spread_only_widens_narrow_inputs(spark):
+    from reglink.session import spread
+
+    narrow = spark.range(100).coalesce(1)
+    assert spread(narrow, 4).rdd.getNumPartitions() == 4
+    wide = spark.range(100).repartition(6)
+    assert spread(wide, 4) is wide
