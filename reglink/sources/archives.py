@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reglink.session import ship_package
+from reglink.session import ensure_checkpoint_dir, ship_package
 
 # --- fixed values -----------------------------------------------------------
 STATUS_OK = "ok"
@@ -201,7 +201,13 @@ def expand_archives(
     nor a large member is ever held whole in memory. A member is one deflate
     stream, so one member stays one task's work.
     """
-    listing = list_members(spark, path, recursive)
+    # The listing (one small row per member) feeds the member count, the
+    # members and the status rows. Checkpointed eagerly to the shared
+    # folder, it is computed once while being written: each archive's
+    # central directory is read once (one request per archive on object
+    # storage instead of three), and the lineage is cut.
+    ensure_checkpoint_dir(spark)
+    listing = list_members(spark, path, recursive).checkpoint(eager=True)
     members = listing.where(F.col("member").isNotNull()).select("archive", "member")
     if partitions is None:
         cap = 4 * spark.sparkContext.defaultParallelism
