@@ -54,8 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach (HDFS, object store); it is read, never replaced. Local runs and
-    tests have none, so a fresh temporary folder is used there.
+    reach (HDFS, object store); it is read, never replaced, and its absence
+    is an error. Local runs and tests have none, so a fresh temporary folder
+    is used there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -63,6 +64,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        # A machine-local folder would leave each executor's files on its own
+        # disk, out of reach of the others: a cluster must name a shared one.
+        raise RuntimeError("spark.checkpoint.dir is unset: set it to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="reglink-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
