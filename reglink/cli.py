@@ -30,7 +30,8 @@ from reglink.sources.schemas import ADDRESS_SCHEMA, ESTABLISHMENT_ID
 def _save(df: DataFrame, out: str, name: str, csv_copy: bool = True) -> None:
     df.write.mode("overwrite").parquet(f"{out}/{name}")
     if csv_copy:
-        # Reports are small (one row per column or per rule): one CSV file each.
+        # Only for reports bounded by the schema, the rules or the sources (one
+        # row per column, rule or state, or a top-k): one CSV file each.
         df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}_csv")
 
 
@@ -97,7 +98,8 @@ def months(spark: SparkSession, args) -> None:
         gaps = I.range_gaps(df, args.ts_column, args.start, args.end)
     else:
         gaps = I.gap_report(df, args.ts_column, args.key or [])
-    _save(gaps, args.out, "missing_periods")
+    # Grows with groups x months: Parquet only (a one-file copy would be one task).
+    _save(gaps, args.out, "missing_periods", csv_copy=False)
 
 
 def parser() -> argparse.ArgumentParser:
