@@ -75,7 +75,10 @@ def link(spark: SparkSession, args) -> None:
     addresses = spark.read.parquet(args.addresses)
     if not args.all_species:
         addresses = L.health_addresses(addresses)
-    establishments = R.read_registry(spark, args.establishments, sep=args.sep, encoding=args.encoding)
+    # The delimited file feeds every report below: parse it once into a
+    # Parquet table under OUT (cuts the lineage; later reads prune columns).
+    raw = R.read_registry(spark, args.establishments, sep=args.sep, encoding=args.encoding)
+    establishments = R.read_table(spark, R.write_table(raw, f"{args.out}/establishments"))
     rules = L.registry_rules(normalize_number=args.normalize_number, coordinate_digits=args.coordinate_digits)
     _save(L.match_report(establishments, addresses, rules), args.out, "match_report")
     _save(P.malformed_summary(establishments, "NU_LATITUDE", "NU_LONGITUDE"), args.out, "malformed_coordinates")
