@@ -36,3 +36,10 @@ def test_standardize_date_single_digit_layout(spark):
     df = spark.createDataFrame([("5/1/2024",), ("05/01/2024",)], "s string")
     got = [r[0] for r in rows(df.select(C.standardize_date("s", formats=["d/M/yyyy"]).alias("d")))]
     assert got == ["2024-01-05", "2024-01-05"]
+
+
+def test_clean_columns_in_place(spark):
+    df = spark.createDataFrame([(1, " av.  Brasil ", "x")], "id int, street string, other string")
+    out = C.clean_columns(df, ["street"])
+    assert out.columns == ["id", "street", "other"]
+    assert rows(out) == [(1, "AVENIDA Brasil", "x")]

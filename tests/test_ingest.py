@@ -133,3 +133,29 @@ def test_gap_report_is_one_shuffle(spark):
 
     orders = spark.read.parquet(f"{SMALL}/orders.parquet")
     assert plan_text(I.gap_report(orders, "o_orderdate", ["o_custkey"])).count("Exchange") == 1
+
+
+def test_month_sequence_edges(spark):
+    df = spark.createDataFrame(
+        [("2024-01-31", "2024-03-01"), ("2024-03-05", "2024-01-01"), (None, "2024-01-01")], "s string, e string"
+    )
+    got = [r[0] for r in rows(df.select(I.month_sequence(F.col("s"), F.col("e")).alias("m")))]
+    assert [str(d) for d in got[0]] == ["2024-01-01", "2024-02-01", "2024-03-01"]
+    assert got[1] == [] and got[2] is None
+
+
+def test_resolve_url_cases(spark):
+    df = spark.createDataFrame(
+        [("https://h", "a.zip"), ("https://h/x/y.html?q=1#f", "b.zip"), ("https://h/x/", "/root.zip"), ("https://h/x/", "ftp://o/c.zip")],
+        "page string, href string",
+    )
+    got = [r[0] for r in rows(df.select(I.resolve_url(F.col("page"), F.col("href"))))]
+    assert got == ["https://h/a.zip", "https://h/x/b.zip", "https://h/root.zip", "ftp://o/c.zip"]
+
+
+def test_list_members_reads_central_directory(spark, tmp_path):
+    d = tmp_path / "z"
+    d.mkdir()
+    (d / "a.zip").write_bytes(_zip({"m1.csv": "x\n", "sub/m2.csv": "y\nz\n"}))
+    got = sorted(rows(Z.list_members(spark, str(d)).select("member", "size", "status")), key=str)
+    assert got == sorted([(None, None, "ok"), ("m1.csv", 2, "ok"), ("sub/m2.csv", 4, "ok")], key=str)

@@ -136,3 +136,8 @@ def test_value_frequencies_typed_matches_text_semantics(spark):
     assert got[("x", "-0.0")] == 2 and got[("x", "0.0")] == 1 and got[("x", "NaN")] == 2
     assert got[("n", "1")] == 2 and ("n", None) not in got
     assert got[("m", "{a -> 1}")] == 2
+
+
+def test_approx_distinct_count_of_pairs(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 3), ("b", None)], "s string, n int")
+    assert rows(P.distinct_count(df, ["s", "n"], approx=True)) == [(2,)]  # tuples with a NULL skipped
