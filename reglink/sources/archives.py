@@ -118,8 +118,13 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 
-def _read_members(encoding: str):
-    """mapInPandas body: stream the lines of each (archive, member) in chunks."""
+def _read_members(encoding: str, expected_header: str | None = None):
+    """mapInPandas body: stream the lines of each (archive, member) in chunks.
+
+    With ``expected_header`` a member whose first line differs is not read:
+    it gets an ``error`` status row instead, so a reordered file can never
+    shift values into the wrong columns.
+    """
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -132,7 +137,11 @@ def _read_members(encoding: str):
                         start = 0
                         for line in text:
                             line = line[:-1] if line.endswith("\n") else line
-                            chunk.append(line[:-1] if line.endswith("\r") else line)
+                            line = line[:-1] if line.endswith("\r") else line
+                            if expected_header is not None and start == 0 and not chunk and line != expected_header:
+                                yield _status_frame(archive, member, STATUS_ERROR, f"header mismatch: {line[:200]!r}")
+                                break
+                            chunk.append(line)
                             if len(chunk) == _CHUNK:
                                 yield _lines_frame(archive, member, start, chunk)
                                 start += len(chunk)
@@ -186,6 +195,7 @@ def expand_archives(
     encoding: str = "utf-8",
     recursive: bool = False,
     partitions: int | None = None,
+    expected_header: str | None = None,
 ) -> DataFrame:
     """Every line of every member of every archive under ``path``, plus status rows.
 
@@ -199,7 +209,8 @@ def expand_archives(
     an explicit-count repartition that adaptive execution leaves as is, and
     each member is streamed in bounded chunks, so neither a large archive
     nor a large member is ever held whole in memory. A member is one deflate
-    stream, so one member stays one task's work.
+    stream, so one member stays one task's work. ``expected_header`` rejects
+    members whose first line differs (status ``error``, no lines).
     """
     # The listing (one small row per member) feeds the member count, the
     # members and the status rows. Checkpointed eagerly to the shared
@@ -212,7 +223,7 @@ def expand_archives(
     if partitions is None:
         cap = 4 * spark.sparkContext.defaultParallelism
         partitions = max(1, min(members.count(), cap))
-    lines = members.repartition(partitions, "archive", "member").mapInPandas(_read_members(encoding), EXPANDED_SCHEMA)
+    lines = members.repartition(partitions, "archive", "member").mapInPandas(_read_members(encoding, expected_header), EXPANDED_SCHEMA)
     archive_status = listing.where(F.col("member").isNull()).select(
         "archive", "member", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"),
         "status", "message",
@@ -283,14 +294,18 @@ def ingest_archives(
     sep: str = ";",
     header: bool = True,
     encoding: str = "utf-8",
+    check_header: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Expand once into a Parquet table under ``staging``, then parse and tally.
 
     The unpacking (the only Python step) runs once and its output is written
     to the shared folder, which cuts the lineage: parsing, the tally and any
     retry after a lost executor read the written table instead of unpacking
-    the archives again. Returns (parsed rows, tally).
+    the archives again. With a header, each member's first line must name
+    the schema's fields in order (``check_header``), as the folder reader
+    checks files. Returns (parsed rows, tally).
     """
-    expand_archives(spark, path, encoding).write.mode("overwrite").parquet(staging)
+    expected = sep.join(f.name for f in schema.fields) if header and check_header else None
+    expand_archives(spark, path, encoding, expected_header=expected).write.mode("overwrite").parquet(staging)
     expanded = spark.read.parquet(staging)
     return parse_lines(archive_lines(expanded), schema, sep, header), ingest_tally(expanded)

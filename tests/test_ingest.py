@@ -159,3 +159,15 @@ def test_list_members_reads_central_directory(spark, tmp_path):
     (d / "a.zip").write_bytes(_zip({"m1.csv": "x\n", "sub/m2.csv": "y\nz\n"}))
     got = sorted(rows(Z.list_members(spark, str(d)).select("member", "size", "status")), key=str)
     assert got == sorted([(None, None, "ok"), ("m1.csv", 2, "ok"), ("sub/m2.csv", 4, "ok")], key=str)
+
+
+def test_archive_member_with_reordered_header_is_rejected(spark, tmp_path):
+    # D8 for archives: a reordered header fails that member instead of shifting values.
+    d = tmp_path / "z"
+    d.mkdir()
+    (d / "good.zip").write_bytes(_zip({"m.csv": "A;B\n1;x\n"}))
+    (d / "swapped.zip").write_bytes(_zip({"m.csv": "B;A\ny;2\n"}))
+    schema = struct_from([("A", "int"), ("B", "string")])
+    parsed, tally = Z.ingest_archives(spark, str(d), schema, str(tmp_path / "exp"))
+    assert rows(parsed) == [(1, "x")]
+    assert rows(tally) == [(2, 1, 1)]
