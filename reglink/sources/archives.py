@@ -23,7 +23,7 @@ from typing import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reglink.session import ensure_checkpoint_dir, ship_package
 
@@ -247,17 +247,26 @@ def parse_lines(
     sep: str = ";",
     header: bool = True,
     keep_source: bool = False,
+    keep_rejects: bool = False,
 ) -> DataFrame:
     """Parse delimited lines natively with ``from_csv`` under ``schema``.
 
     With ``header`` the first line of every member is skipped. Bad fields are
-    NULL (permissive), as with the file reader.
+    NULL (permissive), as with the file reader; ``keep_rejects`` adds the
+    ``_corrupt_record`` column holding the raw line of every short, long or
+    mistyped row (``registry.rejected_summary`` counts them).
     """
+    from reglink.sources.registry import CORRUPT_COLUMN
+
     rows = lines.where(F.col("line_no") > 0) if header else lines
+    options = {"sep": sep}
+    if keep_rejects:
+        schema = StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
+        options.update({"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
     parsed = rows.select(
         "archive",
         "member",
-        F.from_csv(F.col("line"), ddl(schema), {"sep": sep}).alias("__r"),
+        F.from_csv(F.col("line"), ddl(schema), options).alias("__r"),
     )
     fields = [F.col(f"__r.`{f.name}`").alias(f.name) for f in schema.fields]
     return parsed.select(*(["archive", "member"] if keep_source else []), *fields)

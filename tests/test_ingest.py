@@ -171,3 +171,14 @@ def test_archive_member_with_reordered_header_is_rejected(spark, tmp_path):
     parsed, tally = Z.ingest_archives(spark, str(d), schema, str(tmp_path / "exp"))
     assert rows(parsed) == [(1, "x")]
     assert rows(tally) == [(2, 1, 1)]
+
+
+def test_archive_lines_keep_rejects(spark, tmp_path):
+    from reglink.sources import registry as R
+
+    d = tmp_path / "z"
+    d.mkdir()
+    (d / "a.zip").write_bytes(_zip({"m.csv": "A;B\n1;x\nbad;x\n2\n3;y;z\n"}))
+    lines = Z.archive_lines(Z.expand_archives(spark, str(d)))
+    parsed = Z.parse_lines(lines, struct_from([("A", "int"), ("B", "string")]), keep_rejects=True)
+    assert rows(R.rejected_summary(parsed)) == [(4, 3, 1)]
