@@ -304,6 +304,7 @@ def ingest_archives(
     header: bool = True,
     encoding: str = "utf-8",
     check_header: bool = True,
+    keep_rejects: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Expand once into a Parquet table under ``staging``, then parse and tally.
 
@@ -317,4 +318,5 @@ def ingest_archives(
     expected = sep.join(f.name for f in schema.fields) if header and check_header else None
     expand_archives(spark, path, encoding, expected_header=expected).write.mode("overwrite").parquet(staging)
     expanded = spark.read.parquet(staging)
-    return parse_lines(archive_lines(expanded), schema, sep, header), ingest_tally(expanded)
+    parsed = parse_lines(archive_lines(expanded), schema, sep, header, keep_rejects=keep_rejects)
+    return parsed, ingest_tally(expanded)
