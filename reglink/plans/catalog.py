@@ -714,3 +714,36 @@ def q_range_gaps(spark, sf_dir):
     the expected calendar minus the months that hold rows."""
     finished = X.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
     return I.range_gaps(finished, "o_orderdate", "1994-01-01", "2002-12-31")
+
+
+def _norm_number_sql(x: str) -> str:
+    # Spark side: upper(trim), leading zeros dropped before a digit, '' -> NULL.
+    t = f"upper(trim(cast({x} as varchar)))"
+    return f"nullif(regexp_replace({t}, '^0+([0-9])', '\\1'), '')"
+
+
+_ROUNDED_KEYED_SQL = f"""
+lk as (
+  select CO_UNIDADE as id, NO_FANTASIA as name, NO_LOGRADOURO as street,
+         {_norm_number_sql('NU_ENDERECO')} as num, {_postal_sql('CO_CEP')} as pc,
+         round({_decimal_sql('NU_LATITUDE')}, 0) as lat, round({_decimal_sql('NU_LONGITUDE')}, 0) as lon
+  from est
+),
+rk as (
+  select COD_UNICO_ENDERECO as id, DSC_ESTABELECIMENTO as name,
+         nullif(concat_ws(' ', NOM_TIPO_SEGLOGR, NOM_TITULO_SEGLOGR, NOM_SEGLOGR), '') as street,
+         {_norm_number_sql('NUM_ENDERECO')} as num, {_postal_sql('CEP')} as pc,
+         round(LATITUDE, 0) as lat, round(LONGITUDE, 0) as lon
+  from adr where COD_ESPECIE = 5
+)"""
+
+
+def _rounded_report_sql() -> str:
+    return _report_sql().replace(KEYED_SQL, _ROUNDED_KEYED_SQL)
+
+
+@register("match_report_normalized", _rounded_report_sql())
+def q_match_report_normalized(spark, sf_dir):
+    """All rules with house numbers normalised and coordinates rounded to whole degrees."""
+    est, adr = registries(spark, sf_dir)
+    return L.match_report(est, adr, L.registry_rules(normalize_number=True, coordinate_digits=0))
