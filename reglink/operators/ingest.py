@@ -41,6 +41,8 @@ ANCHOR_TEXT_REGEX = r"(?is)^<a\s[^>]*>(.*)</a>$"
 SCHEME_REGEX = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 # Scheme and authority of a URL (http://host:port).
 ORIGIN_REGEX = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*"
+# Basic named HTML entities, decoded in this order (ampersand last).
+HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 # ----------------------------------------------------------------------------
 
 
@@ -209,6 +211,14 @@ def _strip_quotes(c: Column) -> Column:
     return F.regexp_replace(c, r"""^["']|["']$""", "")
 
 
+def decode_entities(c: Column) -> Column:
+    """The basic named HTML entities as characters (``&amp;`` last, so
+    ``&amp;lt;`` stays ``&lt;``), as an HTML parser reads text and attributes."""
+    for entity, char in HTML_ENTITIES:
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` seen from page ``base``.
 
@@ -241,17 +251,18 @@ def extract_links(
     ``/`` whose name looks like a state folder (``NN_XX``), ``archive`` for a
     link ending in ``.zip`` (case-sensitive), ``other`` otherwise. The parent
     folder link is never a folder or an archive. Anchor text has inner tags
-    removed and is trimmed; entities are left as written.
+    removed and is trimmed; the basic named entities are decoded in text and
+    href (numeric entities are left as written).
     """
     anchors = F.posexplode(F.regexp_extract_all(ref(html), F.lit(ANCHOR_REGEX), 0))
     exploded = pages.select(*[ref(k) for k in keys], ref(url).alias("__page"), anchors.alias("link_no", "__a"))
     raw_href = F.regexp_extract("__a", HREF_REGEX, 1)
-    text = F.trim(F.regexp_replace(F.regexp_extract("__a", ANCHOR_TEXT_REGEX, 1), r"<[^>]*>", ""))
+    text = F.trim(decode_entities(F.regexp_replace(F.regexp_extract("__a", ANCHOR_TEXT_REGEX, 1), r"<[^>]*>", "")))
     links = exploded.select(
         *[ref(k) for k in keys],
         "__page",
         F.col("link_no").cast("bigint").alias("link_no"),
-        _strip_quotes(raw_href).alias("href"),
+        decode_entities(_strip_quotes(raw_href)).alias("href"),
         text.alias("text"),
         (raw_href != F.lit("")).alias("__has_href"),
     ).where("__has_href")

@@ -498,6 +498,12 @@ def q_landed_periods(spark, sf_dir):
     return I.landed_periods(X.table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderstatus"])
 
 
+def _entities_sql(x: str) -> str:
+    for entity, char in I.HTML_ENTITIES:
+        x = f"replace({x}, '{entity.replace(chr(39), chr(39) * 2)}', '{char.replace(chr(39), chr(39) * 2)}')"
+    return x
+
+
 def _links_sql() -> str:
     anchor = I.ANCHOR_REGEX.replace("'", "''")
     href = I.HREF_REGEX.replace("'", "''")
@@ -509,11 +515,11 @@ def _links_sql() -> str:
 h as (
   select page_id, url, link_no,
          regexp_extract(a, '{href}', 1) as raw_href,
-         trim(regexp_replace(regexp_extract(a, '{text}', 1), '<[^>]*>', '', 'g')) as text
+         trim({_entities_sql("regexp_replace(regexp_extract(a, '" + text + "', 1), '<[^>]*>', '', 'g')")}) as text
   from a
 ),
 k as (
-  select page_id, link_no, regexp_replace(raw_href, '^["'']|["'']$', '', 'g') as href, text, url
+  select page_id, link_no, {_entities_sql("regexp_replace(raw_href, '^[\"'']|[\"'']$', '', 'g')")} as href, text, url
   from h where raw_href <> ''
 ),
 n as (

@@ -32,6 +32,7 @@ INDEX = """<html><body>
 <a href="11_RO/">11_RO/</a> <A HREF='35_SP/'><b>35_SP/</b></A>
 <a href="docs/">docs/</a><a href="3550308_SAO_PAULO.zip">3550308_SAO_PAULO.zip</a>
 <a href="x.ZIP">upper</a><a href="http://other.org/a.zip">abs</a><a name="top">no href</a>
+<a href="R&amp;D.zip">R&amp;D &lt;2022&gt;</a>
 </body></html>"""
 
 
@@ -46,9 +47,11 @@ def test_extract_links_classifies_index_page(spark):
     assert got["3550308_SAO_PAULO.zip"] == ("archive", "https://host/census/2022/3550308_SAO_PAULO.zip")
     assert got["x.ZIP"][0] == "other"  # the listing test is case-sensitive
     assert got["http://other.org/a.zip"] == ("archive", "http://other.org/a.zip")
-    assert len(got) == 8  # the anchor without href is skipped
+    assert got["R&D.zip"] == ("archive", "https://host/census/2022/R&D.zip")  # entities decoded
+    assert rows(links.where(F.col("href") == "R&D.zip").select("text")) == [("R&D <2022>",)]
+    assert len(got) == 9  # the anchor without href is skipped
     assert sorted(rows(I.state_folders(links))) == [("11_RO",), ("35_SP",)]
-    assert rows(I.archive_links(links)).__len__() == 2
+    assert rows(I.archive_links(links)).__len__() == 3
 
 
 def _zip(members):
