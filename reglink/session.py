@@ -171,5 +171,9 @@ def spread(df, min_partitions: int | None = None):
     task then uses every core. Inputs already split at least that wide (any
     large table) are returned unchanged, so no shuffle is added at scale.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD view (for example a Spark Connect session): leave as is
+        return df
+    return df.repartition(target) if narrow else df
