@@ -1,8 +1,11 @@
 """The registered queries of the subpackage and their SQL."""
 
-from reglink.llm import decontaminate
+from reglink.llm import decontaminate, language, licenses, secrets
 from reglink.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
+    "op3_secret_scan": secrets.op3_secret_scan,
     "op6_decontaminate": decontaminate.op6_decontaminate,
+    "op7_language_id": language.op7_language_id,
+    "op9_license_scan": licenses.op9_license_scan,
 }
