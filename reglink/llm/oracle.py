@@ -28,4 +28,114 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLE_SQL = {"op6_decontaminate": OP6}
+# Unrolled dynamic programming, one relation per bucket: dp{k}(j, cost, i) is
+# the least padding of the j shortest lengths in at most k buckets, i the last
+# cut (the smallest among equals).
+_BUCKETS, _MAX, _BUDGET = 8, 2048, 16384
+_layers = ",\n".join(
+    f"""dp{k} AS (
+  SELECT 0 AS j, 0::HUGEINT AS cost, 0 AS i
+  UNION ALL
+  SELECT j, cost, i FROM (
+    SELECT h.j, p.j AS i, p.cost + h.length * (h.rows - coalesce(g.rows, 0)) - (h.tokens - coalesce(g.tokens, 0)) AS cost,
+      row_number() OVER (PARTITION BY h.j ORDER BY p.cost + h.length * (h.rows - coalesce(g.rows, 0)) - (h.tokens - coalesce(g.tokens, 0)), p.j) AS r
+    FROM h JOIN dp{k - 1} AS p ON p.j < h.j LEFT JOIN h AS g ON g.j = p.j
+  ) WHERE r = 1
+)"""
+    for k in range(1, _BUCKETS + 1)
+)
+_walk = ",\n".join(
+    f"cut{k} AS (SELECT i AS j FROM dp{k} JOIN {'top' if k == _BUCKETS else f'cut{k + 1}'} USING (j) WHERE j > 0)" for k in range(_BUCKETS, 0, -1)
+)
+_all_cuts = " UNION ".join(["SELECT j FROM top", *[f"SELECT j FROM cut{k}" for k in range(1, _BUCKETS + 1)]])
+OP1 = f"""
+WITH n AS (SELECT doc_id, md5(coalesce(text, '')) AS digest, len({PLAIN_WORDS}) AS n FROM documents),
+cutup AS (
+  SELECT doc_id, digest, p AS piece, p * {_MAX} AS start, least({_MAX}, n - p * {_MAX}) AS length
+  FROM n, unnest(range(0, greatest(1, CAST(ceil(n / {_MAX}.0) AS BIGINT)))) AS t(p)
+),
+hist AS (SELECT length, count(*) AS c FROM cutup WHERE length > 0 GROUP BY 1),
+h AS (
+  SELECT row_number() OVER (ORDER BY length) AS j, length,
+    sum(c) OVER (ORDER BY length) AS rows, sum(c * length) OVER (ORDER BY length) AS tokens FROM hist
+),
+dp0 AS (SELECT 0 AS j, 0::HUGEINT AS cost, 0 AS i),
+{_layers},
+top AS (SELECT max(j) AS j FROM h),
+{_walk},
+ends AS (SELECT h.length AS bucket FROM h JOIN ({_all_cuts}) AS c USING (j)),
+placed AS (
+  SELECT doc_id, piece, start, length, (SELECT min(bucket) FROM ends WHERE bucket >= length) AS bucket,
+    md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || piece || ':' || digest) AS ord
+  FROM cutup
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY ord, doc_id, piece, length) - 1 AS place,
+    {_BUDGET} // bucket AS rows
+  FROM placed WHERE length > 0
+)
+SELECT doc_id, piece, start, length, bucket, place // rows AS batch, place % rows AS slot FROM ranked
+UNION ALL
+SELECT doc_id, piece, start, length, NULL, NULL, NULL FROM placed WHERE length <= 0
+"""
+
+OP8 = """
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d),
+e AS (
+  SELECT *, i = len(lines) OR CAST('0x' || substr(md5((CASE WHEN i > 1 THEN md5(lines[i - 1]) ELSE '' END) || md5(lines[i])), 1, 8) AS BIGINT) % 3 = 0 AS ends
+  FROM l
+),
+c AS (
+  SELECT doc_id, lines[i] AS line, i,
+    coalesce(sum(CASE WHEN ends THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place
+  FROM e
+),
+chunks AS (SELECT doc_id, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS chunk FROM c GROUP BY 1, 2),
+judged AS (
+  SELECT *, n >= 2 AND row_number() OVER (PARTITION BY chunk ORDER BY doc_id, place) > 1 AS gone FROM chunks
+)
+SELECT documents.doc_id,
+  CASE WHEN documents.text IS NULL THEN NULL ELSE coalesce(j.kept, '') END AS text,
+  coalesce(j.n_lines, 0) AS n_lines, coalesce(j.n_removed, 0) AS n_removed
+FROM documents LEFT JOIN (
+  SELECT doc_id, sum(n) AS n_lines, sum(CASE WHEN gone THEN n ELSE 0 END) AS n_removed,
+    string_agg(chunk, chr(10) ORDER BY place) FILTER (NOT gone) AS kept
+  FROM judged GROUP BY 1
+) AS j ON documents.doc_id = j.doc_id
+"""
+
+# The audit's result follows from the damage alone: the trees only find it.
+OP10 = r"""
+WITH r AS (
+  SELECT page_id AS key, e'WARC/1.0\r\nWARC-Type: resource\r\n'
+    || CASE WHEN page_id IS NULL THEN '' ELSE 'WARC-Record-ID: <urn:page:' || page_id || e'>\r\n' END
+    || CASE WHEN url IS NULL THEN '' ELSE 'WARC-Target-URI: ' || url || e'\r\n' END
+    || e'WARC-Date: 2024-01-01T00:00:00Z\r\nContent-Type: text/html\r\nContent-Length: '
+    || strlen(coalesce(html, '')) || e'\r\n\r\n' || coalesce(html, '') AS rec
+  FROM pages
+),
+m AS (
+  SELECT key, rec, CASE key % 50
+    WHEN 7 THEN substr(rec, 1, length(rec) // 2)
+      || CASE WHEN substr(rec, length(rec) // 2 + 1, 1) = '~' THEN '!' ELSE '~' END || substr(rec, length(rec) // 2 + 2)
+    WHEN 19 THEN substr(rec, 1, length(rec) // 2) || repeat(' ', length(rec) - length(rec) // 2)
+    WHEN 31 THEN NULL ELSE rec END AS mir
+  FROM r
+),
+h AS (
+  SELECT key, strlen(rec) + 4 AS length, sha256(rec) AS digest, strlen(mir) + 4 AS found_length, sha256(mir) AS found_digest FROM m
+),
+f AS (
+  SELECT *, CAST('0x' || substr(md5(coalesce(CAST(key AS VARCHAR), '') || digest), 1, 8) AS BIGINT)
+    % greatest(1, CAST(ceil((SELECT sum(length) FROM h) / 1048576.0) AS BIGINT)) AS file FROM h
+),
+o AS (
+  SELECT *, coalesce(sum(length) OVER (PARTITION BY file ORDER BY key, digest, length ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM f
+)
+SELECT file, off AS "offset", off // 65536 AS "range", key AS page_id, length, digest, found_length, found_digest,
+  CASE WHEN found_digest IS NULL THEN 'missing' ELSE 'corrupt' END AS status
+FROM o WHERE digest IS DISTINCT FROM found_digest
+"""
+
+ORACLE_SQL = {"op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}
