@@ -138,4 +138,67 @@ SELECT file, off AS "offset", off // 65536 AS "range", key AS page_id, length, d
 FROM o WHERE digest IS DISTINCT FROM found_digest
 """
 
-ORACLE_SQL = {"op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}
+_GRID = {
+    "symbols": [0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.3, 0.5],
+    "dup_lines": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.8],
+    "repeats": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5],
+    "upper": [0.05, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9],
+}
+_grid = ", ".join(f"('{r}', CAST({c} AS DOUBLE))" for r, cs in _GRID.items() for c in cs)
+OP5 = rf"""
+WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {PLAIN_WORDS} AS w FROM documents),
+wins AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n
+  FROM d, unnest(range(1, len(w) - 1)) AS x(i)
+),
+rep AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat FROM wins, unnest(range(0, 3)) AS x(o) WHERE n > 1 GROUP BY 1),
+ln AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^ 	-]') GROUP BY 1
+),
+m AS (
+  SELECT d.doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+    coalesce(n_repeat, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, len(regexp_extract_all(t, '\p{{Lu}}')) AS n_upper
+  FROM d LEFT JOIN rep USING (doc_id) LEFT JOIN ln USING (doc_id)
+),
+s AS (
+  SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    CASE WHEN lang IS NULL THEN 'null' ELSE '=' || lang END AS stratum,
+    map {{
+      'symbols': CASE WHEN word_chars > 0 THEN n_symbols / word_chars ELSE 0 END,
+      'dup_lines': CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END,
+      'repeats': CASE WHEN n_words > 0 THEN n_repeat_words / n_words ELSE 0 END,
+      'upper': CASE WHEN word_chars > 0 THEN n_upper / word_chars ELSE 0 END
+    }} AS score FROM m
+),
+q AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
+grid(rule, cutoff) AS (VALUES {_grid}),
+tests AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good <> 1) AS n_bad,
+    count(*) FILTER (good = 1 AND score[rule] > cutoff) AS k, count(*) FILTER (good <> 1 AND score[rule] > cutoff) AS bad
+  FROM s JOIN q USING (doc_id), grid WHERE NOT base_failed GROUP BY 1, 2, 3
+),
+p AS (
+  SELECT *, CASE WHEN k <= n * 0.01 THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(
+    lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) ELSE 1 END AS p FROM tests
+),
+gains AS (
+  SELECT *, bad / greatest(n_bad, 1) - 20.0 * k / greatest(n, 1) AS gain FROM p
+  WHERE p <= 0.05 / ((SELECT count(DISTINCT stratum) FROM p) * (SELECT count(*) FROM grid))
+),
+best AS (
+  SELECT stratum, rule, cutoff FROM gains WHERE gain > 0
+  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1
+),
+failed AS (
+  SELECT s.doc_id, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'dup_lines' THEN 2 WHEN 'repeats' THEN 3 ELSE 4 END) AS rules
+  FROM s JOIN best ON s.stratum = best.stratum AND s.score[best.rule] > best.cutoff GROUP BY 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND rules IS NULL AS kept, coalesce(rules, '') AS failed_rules
+FROM s LEFT JOIN failed USING (doc_id)
+"""
+
+ORACLE_SQL = {"op5_quality_rules": OP5, "op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}

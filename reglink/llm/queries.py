@@ -1,11 +1,12 @@
 """The registered queries of the subpackage and their SQL."""
 
-from reglink.llm import decontaminate, language, licenses, lines, packing, secrets, warc
+from reglink.llm import decontaminate, language, licenses, lines, packing, quality, secrets, warc
 from reglink.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op1_length_buckets": packing.op1_length_buckets,
     "op3_secret_scan": secrets.op3_secret_scan,
+    "op5_quality_rules": quality.op5_quality_rules,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_language_id": language.op7_language_id,
     "op8_line_chunks": lines.op8_line_chunks,
