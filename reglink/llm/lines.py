@@ -31,34 +31,44 @@ WINDOW = 2
 LEAST = 2
 
 
-def chunked(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR) -> DataFrame:
-    """The rows with ``__id``, ``__hash`` (of the text) and ``__chunks`` (the
-    lines of each chunk) added."""
-    body = F.col(text).cast("string")
-    out = docs.withColumn("__id", F.col(key)).withColumn("__hash", F.xxhash64(body)).withColumn("__lines", F.split(body, "\n", -1))
-    out = out.withColumn("__rolling", F.transform("__lines", lambda x: F.md5(x)))
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is evaluated once per row: as a lambda's
+    variable it cannot be written out again wherever the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
-    def ends(i):
-        last = F.element_at("__rolling", i)
-        before = F.when(i > 1, F.element_at("__rolling", F.greatest(i - 1, F.lit(1)))).otherwise(F.lit(""))
-        value = F.conv(F.substring(F.md5(F.concat(before, last)), 1, 8), 16, 10).cast("bigint")
-        return (i == F.size("__lines")) | (value % divisor == 0)
 
-    out = out.withColumn("__ends", F.filter(F.sequence(F.lit(1), F.size("__lines")), ends))
-    starts = F.concat(F.array(F.lit(0)), F.slice("__ends", F.lit(1), F.greatest(F.size("__ends") - 1, F.lit(0))))
-    cut = F.zip_with(starts, "__ends", lambda a, b: F.slice("__lines", a + 1, b - a))
-    return out.withColumn("__chunks", F.when(body.isNotNull(), cut)).drop("__lines", "__rolling", "__ends")
+def chunks(text: Column, divisor: int = DIVISOR) -> Column:
+    """The chunks of a text in order, each an array of lines."""
+
+    def cut(lines: Column) -> Column:
+        def ends(hashes: Column) -> Column:
+            def ends_at(i: Column) -> Column:
+                last = F.slice(hashes, F.greatest(i - WINDOW + 1, F.lit(1)), F.least(i, F.lit(WINDOW)))
+                value = F.conv(F.substring(F.md5(F.array_join(last, "")), 1, 8), 16, 10).cast("bigint")
+                return (i == F.size(lines)) | (value % divisor == 0)
+
+            return F.filter(F.sequence(F.lit(1), F.size(lines)), ends_at)
+
+        def parts(end: Column) -> Column:
+            start = F.concat(F.array(F.lit(0)), F.slice(end, F.lit(1), F.size(end) - 1))
+            return F.zip_with(start, end, lambda a, b: F.slice(lines, a + 1, b - a))
+
+        return _let(F.transform(lines, lambda x: F.md5(x)), lambda h: _let(ends(h), parts))
+
+    return F.when(text.isNotNull(), _let(F.split(text, "\n", -1), cut))
 
 
 def _hashes() -> list[Column]:
     return [F.xxhash64("chunk").alias("h1"), F.xxhash64(F.lit("second"), F.col("chunk")).alias("h2")]
 
 
-def removals(cut: DataFrame, least: int = LEAST) -> DataFrame:
-    """(__id, __hash, __removed): for every text that loses chunks, their
-    places."""
+def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR, least: int = LEAST) -> DataFrame:
+    """(__id, __hash, __removed): for every text that loses chunks, the
+    places of those among its chunks."""
+    body = F.col(f"`{text}`").cast("string")
+    # The outer form: it does not ask for the array once more to test its size.
     places = (
-        cut.select("__id", "__hash", F.posexplode("__chunks").alias("place", "lines"))
+        docs.select(F.col(key).alias("__id"), F.xxhash64(body).alias("__hash"), F.posexplode_outer(chunks(body, divisor)).alias("place", "lines"))
         .where(F.size("lines") >= least)
         .select("__id", "__hash", "place", F.array_join("lines", "\n").alias("chunk"))
     )
@@ -77,18 +87,21 @@ def removals(cut: DataFrame, least: int = LEAST) -> DataFrame:
 def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR, least: int = LEAST) -> DataFrame:
     """The documents with repeated chunks cut out of ``text``, and the numbers
     of lines before (``__n_lines``) and removed (``__n_removed``)."""
-    cut = chunked(docs, key, text, divisor)
-    gone = frames.keep(removals(cut, least)).select(F.col("__id").alias("__gone_id"), F.col("__hash").alias("__gone_hash"), "__removed")
-    joined = cut.join(gone, F.col("__id").eqNullSafe(F.col("__gone_id")) & (F.col("__hash") == F.col("__gone_hash")), "left")
-    none = F.array().cast("array<int>")
-    removed = F.coalesce("__removed", none)
-    stays = F.filter("__chunks", lambda c, i: ~F.array_contains(removed, i))
-    lost = F.filter("__chunks", lambda c, i: F.array_contains(removed, i))
-    rebuilt = F.when(F.col("__removed").isNull(), F.col(text)).otherwise(F.array_join(F.flatten(stays), "\n"))
+    body = F.col(f"`{text}`").cast("string")
+    gone = frames.keep(removals(docs, key, text, divisor, least)).select(F.col("__id").alias("__gone_id"), F.col("__hash").alias("__gone_hash"), "__removed")
+    joined = docs.join(gone, F.col(key).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(body) == F.col("__gone_hash")), "left")
+
+    def split(all_chunks: Column) -> Column:
+        stays = F.filter(all_chunks, lambda c, i: ~F.array_contains("__removed", i))
+        lost = F.filter(all_chunks, lambda c, i: F.array_contains("__removed", i))
+        return F.struct(F.array_join(F.flatten(stays), "\n").alias("text"), F.size(F.flatten(lost)).cast("bigint").alias("n"))
+
+    joined = joined.withColumn("__split", F.when(F.col("__removed").isNotNull(), _let(chunks(body, divisor), split)))
+    rebuilt = F.when(F.col("__removed").isNull(), F.col(f"`{text}`")).otherwise(F.col("__split.text"))
     return joined.select(
         *[rebuilt.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
-        F.coalesce(F.size(F.flatten("__chunks")), F.lit(0)).cast("bigint").alias("__n_lines"),
-        F.coalesce(F.size(F.flatten(lost)), F.lit(0)).cast("bigint").alias("__n_removed"),
+        F.when(body.isNull(), 0).otherwise(F.size(F.split(body, "\n", -1))).cast("bigint").alias("__n_lines"),
+        F.coalesce("__split.n", F.lit(0)).cast("bigint").alias("__n_removed"),
     )
 
 
