@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,9 +17,24 @@ def ready(spark: SparkSession) -> None:
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Cut lineage with a copy in the shared checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage with a table in the shared checkpoint folder. A table read
+    again has a plan of its own size, its bytes are known to the planner, and
+    every executor can read it after another is lost. The folder lives as
+    long as results that read it are wanted; ``clean`` removes it."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Remove every kept table of this application."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -17,6 +17,9 @@
    Skip merging: lists whose members are all in one component are done. The
    rounds end when no list spans two components, which is when every
    colliding pair has been compared or is connected already.
+   In a long list the first leader is a pivot: its exact similarity with every
+   member rules out, by the triangle inequality of Jaccard distances, most
+   pairs of a member near it and a member far from it.
 5. Met pairs that agree on m coordinates are confirmed on the whole sets, and
    components grow by contraction along the confirmed links.
 
@@ -45,10 +48,11 @@ from pyspark.sql import functions as F
 from reglink.llm import frames
 from reglink.llm.text import PLAIN, find_words, mix, slices, window_hashes
 
-COORDINATES = 64
+COORDINATES = 128
 MISS = 1e-6
 SKETCH_BITS = 20
-LEADERS = 2  # of each list in the first round; times four in each later one
+SMALL = 16  # in lists up to this long every member leads at once; in longer
+# ones one member does, then about three more, fifteen more, and so on
 _U = np.uint64
 
 
@@ -116,7 +120,7 @@ def _classes(size: int, signed: bool):
                 columns = {"key": part.column("key"), "n": pa.array(n, pa.int64()), "class": pa.array(digest, pa.binary())}
                 if signed:
                     rows = np.flatnonzero(s.count > 0)
-                    signature = [x.tobytes() for x in s.signatures(rows)] if len(rows) else []
+                    signature = [x.tobytes() for x in _stored(s.signatures(rows))] if len(rows) else []
                     columns = {k: v.take(pa.array(rows)) for k, v in columns.items() if k != "n"} | {"signature": pa.array(signature, pa.binary())}
                 yield pa.RecordBatch.from_pydict(columns)
 
@@ -128,8 +132,16 @@ def _slots(signature: np.ndarray) -> np.ndarray:
     return mix(signature ^ mix(np.arange(COORDINATES, dtype=_U))[None, :])
 
 
+def _stored(signature: np.ndarray) -> np.ndarray:
+    """The low 48 bits of every value: enough to tell values apart."""
+    return np.ascontiguousarray(signature.view(np.uint8).reshape(len(signature), COORDINATES, 8)[:, :, :6])
+
+
 def _signatures(column: pa.Array) -> np.ndarray:
-    return np.array([np.frombuffer(x, _U) for x in column.to_pylist()], _U).reshape(-1, COORDINATES)
+    raw = np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, COORDINATES, 6)
+    out = np.zeros((len(raw), COORDINATES, 8), np.uint8)
+    out[:, :, :6] = raw
+    return out.view(_U).reshape(len(raw), COORDINATES)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -168,10 +180,13 @@ def _brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _match(m: int):
+    """Pairs that agree on m coordinates, and all pairs with a pivot."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES) for c in ("brief_a", "brief_b"))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array((a == b).sum(axis=1) >= m))
+            near = (a == b).sum(axis=1) >= m
+            yield batch.select(["a", "b", "pivot"]).filter(pa.array(near | batch.column("pivot").to_numpy(zero_copy_only=False)))
 
     return run
 
@@ -204,12 +219,14 @@ def _confirm(size: int, per: int, of: int):
             return s
 
         for batch in batches:
-            yes = []
+            share, yes = [], []
             for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "body_a", "body_b")), strict=True):
                 p, q = own(a, x), own(b, y)
                 common = len(np.intersect1d(p, q, assume_unique=True))
-                yes.append(of * common >= per * (len(p) + len(q) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(yes, pa.bool_()))
+                union = len(p) + len(q) - common
+                share.append(common / union)
+                yes.append(of * common >= per * union)
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("pivot"), pa.array(share, pa.float64()), pa.array(yes, pa.bool_())], names=["a", "b", "pivot", "share", "linked"])
 
     return run
 
@@ -219,21 +236,34 @@ def contract(edges: DataFrame) -> DataFrame:
     connected component. In each round every node moves to the neighbour (or
     itself) that comes first in an order drawn anew for the round, and edges
     move with their ends, until none is left."""
-    nodes = frames.keep(edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root")))
+    nodes = edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root"))
     left, turn = edges.select("a", "b"), 0
     while True:
         left = frames.keep(left.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if left.isEmpty():
-            return nodes
+            return frames.keep(nodes)
         both = left.union(left.select("b", "a"))
         order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("o"), F.col(c).alias("c"))  # noqa: B023, E731
-        move = both.groupBy("a").agg(F.least(F.min(order("b")), F.min(order("a"))).alias("m")).select(F.col("a").alias("from"), F.col("m.c").alias("to"))
-        move = frames.keep(move)
-        nodes = frames.keep(nodes.join(move, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root")))
+        move = frames.keep(both.groupBy("a").agg(F.least(F.min(order("b")), F.min(order("a"))).alias("m")).select(F.col("a").alias("from"), F.col("m.c").alias("to")))
+        nodes = nodes.join(move, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root"))
         left = left.join(move.toDF("a", "a2"), "a", "left").join(move.toDF("b", "b2"), "b", "left").select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
         turn += 1
 
 
+def merge(roots: DataFrame | None, new: DataFrame) -> DataFrame:
+    """The roots after further edges: only roots are contracted again."""
+    if roots is None:
+        return contract(new)
+    lifted = (
+        new.join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
+        .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+    )
+    moved = contract(lifted).toDF("root", "to")
+    old = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    fresh = moved.toDF("node", "root").join(roots.select("node"), "node", "left_anti").select("node", "root")
+    return frames.keep(old.union(fresh))
+
+
 def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
     """(class, root) of every class that is linked with another. ``source``
     has key and text."""
@@ -259,35 +289,50 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         .join(reps.alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
         .select("s.class", "body").dropDuplicates(["class"])
     )
-    seen = edges = roots = None
-    turn = 0
+    lists = lists.withColumn("share", F.lit(None).cast("double"))
+    seen = roots = None
+    turn, reach = 0, 1 - per / of + 1e-9
     while True:
         placed = lists if roots is None else lists.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        placed = placed.select("list", "class", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
+        placed = placed.select("list", "class", "share", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
         spans = placed.groupBy("list").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("class").alias("head"))
         spans = frames.keep(spans.where("low != high").select("list", "n", "head"))
         if spans.isEmpty():
             break
         open_lists = frames.keep(placed.join(spans, "list"))
         draw = F.pmod(F.xxhash64("list", "class", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        lead = (F.col("class") == F.col("head")) | (draw < F.lit(float(LEADERS * 4**turn)) / F.col("n"))
-        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root")))
+        lead = (F.col("class") == F.col("head")) | (F.col("n") <= SMALL) | (draw < F.lit(float(4**turn - 1)) / F.col("n"))
+        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), F.col("share").alias("leader_share")))
+        # Two texts whose distances to the list's pivot differ by more than
+        # the distance of a link cannot be linked (triangle inequality).
+        may_link = F.coalesce(F.abs(F.col("share") - F.col("leader_share")) <= reach, F.lit(True))
+        pivot = (F.col("n") > SMALL) & ((F.col("leader") == F.col("head")) if turn == 0 else F.lit(False))
         pairs = (
-            open_lists.join(leaders, "list").where("root != leader_root")
-            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"))
-            .groupBy("a", "b").agg(F.count("*").alias("collisions"))
+            open_lists.join(leaders, "list").where((F.col("root") != F.col("leader_root")) & may_link)
+            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"), pivot.alias("pivot"))
+            .groupBy("a", "b").agg(F.count("*").alias("collisions"), F.max("pivot").alias("pivot"))
         )
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = frames.keep(pairs.select("a", "b"))
-        seen = pairs if seen is None else frames.keep(seen.union(pairs))
-        near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary")
+        pairs = frames.keep(pairs.select("a", "b", "pivot"))
+        seen = pairs.select("a", "b") if seen is None else frames.keep(seen.union(pairs.select("a", "b")))
+        near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean")
         near = frames.keep(near)
-        new = near.join(bodies.toDF("b", "body_b"), "b").join(bodies.toDF("a", "body_a"), "a").mapInArrow(_confirm(size, per, of), "a binary, b binary")
-        edges = frames.keep(new if edges is None else edges.union(new))
-        roots = contract(edges)
+        # Pairs of one class stay together for its decoded set, in eight parts.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        both = near.join(bodies.toDF("b", "body_b"), "b").join(bodies.toDF("a", "body_a"), "a").repartition(parts, "a", F.pmod(F.xxhash64("b"), F.lit(8)))
+        compared = frames.keep(both.mapInArrow(_confirm(size, per, of), "a binary, b binary, pivot boolean, share double, linked boolean"))
+        roots = merge(roots, compared.where("linked").select("a", "b"))
         # A leader has met all it could meet in its list.
-        lists = frames.keep(lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti"))
+        lists = lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti")
+        if turn == 0:
+            ends = compared.where("pivot").select("a", "b", F.col("share").alias("found"))
+            lists = (
+                lists.join(spans.where(F.col("n") > SMALL).select("list", "head"), "list")
+                .withColumn("a", F.least("class", "head")).withColumn("b", F.greatest("class", "head"))
+                .join(ends, ["a", "b"], "left").select("list", "class", F.col("found").alias("share"))
+            )
+        lists = frames.keep(lists)
         turn += 1
     return roots
 
