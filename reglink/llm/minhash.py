@@ -361,5 +361,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     return out.withColumn("kept", F.col("key").eqNullSafe(F.col("component_id"))).withColumnRenamed("key", key)
 
 
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, per: int = 80, of: int = 100) -> DataFrame:
+    """The documents, one of each group of near duplicates (the one with the
+    smallest key, then text hash); rows equal in key and text are one."""
+    rows = docs.withColumns({"__id": F.coalesce(F.col(key).cast("string"), F.lit("")), "__hash": F.xxhash64(F.col(f"`{text}`").cast("string"))})
+    named = rows.select(F.struct(F.col(key), "__id", "__hash").alias("__row"), F.col(f"`{text}`").alias("__text"))
+    kept = near_duplicates(named, "__row", "__text", size, per, of).where("kept").select("__row.__id", "__row.__hash").distinct()
+    out = rows.join(frames.keep(kept), ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(frames.read(spark, sf_dir, "documents"))
+    return near_duplicates(frames.read(spark, sf_dir, "documents")).drop("class_id")

@@ -138,6 +138,37 @@ SELECT file, off AS "offset", off // 65536 AS "range", key AS page_id, length, d
 FROM o WHERE digest IS DISTINCT FROM found_digest
 """
 
+OP2 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 2], ' ') END AS sh
+  FROM d, unnest(range(1, greatest(len(w) - 1, 2))) AS t(i) WHERE len(w) > 0
+),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s AS a JOIN s AS b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN n AS x ON x.doc_id = a JOIN n AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM d UNION SELECT reach.doc_id, link.b FROM reach JOIN link ON reach.other = link.a
+),
+comp AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN comp USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, {PLAIN_WORDS} AS w FROM documents),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 34], ' ') AS s FROM d, unnest(range(1, len(w) - 33)) AS t(i)),
+rep AS (SELECT doc_id, i FROM win QUALIFY count(*) OVER (PARTITION BY s) > 1),
+gone AS (SELECT DISTINCT doc_id, i + o AS p FROM rep, unnest(range(0, 35)) AS t(o)),
+words AS (SELECT doc_id, p, w[p] AS word FROM d, unnest(range(1, len(w) + 1)) AS t(p)),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS txt FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY 1),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT d.doc_id, len(w) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(txt, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)
+"""
+
 _GRID = {
     "symbols": [0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.12, 0.2, 0.3, 0.5],
     "dup_lines": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.8],
@@ -155,7 +186,8 @@ rep AS (SELECT doc_id, count(DISTINCT i + o) AS n_repeat FROM wins, unnest(range
 ln AS (
   SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup
   FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d)
-  WHERE regexp_matches(line, '[^ 	-]') GROUP BY 1
+  WHERE regexp_matches(line, '[^ 	-
+]') GROUP BY 1
 ),
 m AS (
   SELECT d.doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
@@ -201,4 +233,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM s LEFT JOIN failed USING (doc_id)
 """
 
-ORACLE_SQL = {"op5_quality_rules": OP5, "op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}
+ORACLE_SQL = {"op2_near_duplicates": OP2, "op4_substring_dedup": OP4, "op5_quality_rules": OP5, "op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}

@@ -1,12 +1,13 @@
 """The registered queries of the subpackage and their SQL."""
 
-from reglink.llm import decontaminate, language, licenses, lines, minhash, packing, quality, secrets, warc
+from reglink.llm import decontaminate, language, licenses, lines, minhash, packing, quality, secrets, substrings, warc
 from reglink.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
     "op1_length_buckets": packing.op1_length_buckets,
     "op2_near_duplicates": minhash.op2_near_duplicates,
     "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_substring_dedup": substrings.op4_substring_dedup,
     "op5_quality_rules": quality.op5_quality_rules,
     "op6_decontaminate": decontaminate.op6_decontaminate,
     "op7_language_id": language.op7_language_id,
