@@ -89,7 +89,8 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int
     of lines before (``__n_lines``) and removed (``__n_removed``)."""
     body = F.col(f"`{text}`").cast("string")
     gone = frames.keep(removals(docs, key, text, divisor, least)).select(F.col("__id").alias("__gone_id"), F.col("__hash").alias("__gone_hash"), "__removed")
-    joined = docs.join(gone, F.col(key).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(body) == F.col("__gone_hash")), "left")
+    # Sorted and merged at every size: no broadcast that holds only while small.
+    joined = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(body) == F.col("__gone_hash")), "left")
 
     def split(all_chunks: Column) -> Column:
         stays = F.filter(all_chunks, lambda c, i: ~F.array_contains("__removed", i))
