@@ -280,13 +280,13 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         sketch[r.column("slot").to_numpy()] = r.column("n").to_numpy()
     posted = classes.select("class", "signature").mapInArrow(_post(spark.sparkContext.broadcast(sketch), COORDINATES - m + 1), "list bigint, class binary")
     shared = frames.keep(posted.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"))
-    lists = frames.keep(posted.join(shared, "list").select("list", "class"))
+    lists = frames.keep(posted.join(shared.hint("merge"), "list").select("list", "class"))
     met = lists.select("class").distinct()
     briefs = frames.keep(classes.select("class", "signature").mapInArrow(_brief, "class binary, brief binary").join(met, "class"))
     reps = frames.keep(classes.join(met, "class").select("class", "rep"))
     bodies = frames.keep(
         source.mapInArrow(_bodies(size), f"key {kind}, class binary, body binary").alias("s")
-        .join(reps.alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
+        .join(reps.hint("merge").alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
         .select("s.class", "body").dropDuplicates(["class"])
     )
     lists = lists.withColumn("share", F.lit(None).cast("double"))
@@ -367,7 +367,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     rows = docs.withColumns({"__id": F.coalesce(F.col(key).cast("string"), F.lit("")), "__hash": F.xxhash64(F.col(f"`{text}`").cast("string"))})
     named = rows.select(F.struct(F.col(key), "__id", "__hash").alias("__row"), F.col(f"`{text}`").alias("__text"))
     kept = near_duplicates(named, "__row", "__text", size, per, of).where("kept").select("__row.__id", "__row.__hash").distinct()
-    out = rows.join(frames.keep(kept), ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
+    out = rows.join(frames.keep(kept).hint("merge"), ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

@@ -224,12 +224,12 @@ def repeated_spans(source: DataFrame, copies: DataFrame, size: int = SIZE) -> Da
     seeds = frames.keep(counted.where("rows > 1").select("seed", ((F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2"))).alias("branches")))
     placed = source.select("text").mapInArrow(_paths(size, True), "seed bigint, h1 bigint, h2 bigint, source binary, first int, n int")
     # A text's copies give equal rows; one of each is enough from here.
-    found = frames.keep(placed.join(seeds, "seed").select("source", "first", "n", "branches").distinct())
+    found = frames.keep(placed.join(seeds.hint("merge"), "seed").select("source", "first", "n", "branches").distinct())
     whole = found.where(~F.col("branches")).select("source", "first", "n")
     open_ = found.where("branches").groupBy("source").agg(F.collect_list(F.struct("first", "n")).alias("open"))
     todo = frames.keep(open_.join(copies.select("source", "least"), "source").withColumnRenamed("source", "name"))
     bodies = source.mapInArrow(_pack, f"key {kind}, source binary, body binary")
-    opened = bodies.join(todo, (F.col("source") == F.col("name")) & _null_safe("key", "least")).select("source", "body", "open").dropDuplicates(["source"])
+    opened = bodies.join(todo.hint("merge"), (F.col("source") == F.col("name")) & _null_safe("key", "least")).select("source", "body", "open").dropDuplicates(["source"])
     # Every window with its places; one row for each place of each source.
     windows = frames.keep(opened.mapInArrow(_windows(size), "source binary, at int, h1 bigint, h2 bigint"))
     twice = frames.keep(windows.groupBy("h1", "h2").agg(F.count("*").alias("c")).where("c > 1").select("h1", "h2"))
@@ -249,7 +249,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     spans = repeated_spans(source, copies, size)
     marked = frames.keep(copies.join(spans, "source", "left").where("c > 1 OR spans IS NOT NULL").select(F.col("source").alias("name"), (F.col("c") > 1).alias("copied"), "spans"))
     bodies = source.mapInArrow(_pack, f"key {kind}, source binary, body binary")
-    joined = bodies.join(marked, F.col("source") == F.col("name"), "left").select("key", "body", F.coalesce("copied", F.lit(False)).alias("copied"), "spans")
+    joined = bodies.join(marked.hint("merge"), F.col("source") == F.col("name"), "left").select("key", "body", F.coalesce("copied", F.lit(False)).alias("copied"), "spans")
     out = joined.mapInArrow(_cut(size), f"key {kind}, n_words bigint, n_removed bigint, kept_text string, removed array<struct<first:int,end:int>>")
     return out.withColumnRenamed("key", key)
 
