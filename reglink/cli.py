@@ -27,12 +27,15 @@ from reglink.sources import registry as R
 from reglink.sources.schemas import ADDRESS_SCHEMA, ESTABLISHMENT_ID
 
 
-def _save(df: DataFrame, out: str, name: str, csv_copy: bool = True) -> None:
+def _save(df: DataFrame, out: str, name: str, csv_copy: bool = True) -> DataFrame:
+    """Write a report once; the CSV copy and the returned frame read it back."""
     df.write.mode("overwrite").parquet(f"{out}/{name}")
+    written = df.sparkSession.read.schema(df.schema).parquet(f"{out}/{name}")
     if csv_copy:
         # Only for reports bounded by the schema, the rules or the sources (one
         # row per column, rule or state, or a top-k): one CSV file each.
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}_csv")
+        written.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{out}/{name}_csv")
+    return written
 
 
 def _read_any(spark: SparkSession, path: str, csv: bool, sep: str) -> DataFrame:
@@ -60,8 +63,7 @@ def profile(spark: SparkSession, args) -> None:
     """Fill rates (basic, strict, losses), blanks, top values, distinct values
     of the data columns (a kept ``_corrupt_record`` column is not profiled)."""
     df = _read_any(spark, args.table, args.csv, args.sep).drop(R.CORRUPT_COLUMN)
-    comparison = P.fill_comparison(df)
-    _save(comparison, args.out, "fill_comparison")
+    comparison = _save(P.fill_comparison(df), args.out, "fill_comparison")
     _save(P.fill_losses(comparison), args.out, "fill_losses")
     if string_columns(df):
         _save(P.empty_profile(df), args.out, "empty_profile")

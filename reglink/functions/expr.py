@@ -16,8 +16,9 @@ from pyspark.sql.types import DataType, NumericType, StringType
 ColumnOrName = Column | str
 
 # --- fixed values -----------------------------------------------------------
-# A decimal in plain or scientific notation, after comma-to-dot rewriting.
-DECIMAL_REGEX = r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"
+# A decimal in plain or scientific notation with a dot for the comma; a dot at
+# the end is allowed (the cast reads it).
+DECIMAL_REGEX = r"^-?\d+(?:\.|(?:\.\d+)?(?:[eE][+-]?\d+)?)$"
 # Markers that mean "no real value" in the address registry.
 UNDEFINED_MARKERS = ("SEM DENOMINACAO", "VAGO")
 # ----------------------------------------------------------------------------
@@ -35,8 +36,8 @@ def parse_decimal(
 ) -> Column:
     """Tolerant decimal parse: comma decimals, trailing separators, else NULL.
 
-    Strings are trimmed of spaces, ``,`` becomes ``.``, a bare trailing ``.``
-    gets a ``0``; anything that then is not a plain or scientific decimal is
+    Strings are trimmed of spaces, ``,`` becomes ``.``, which may also end the
+    number; anything that then is not a plain or scientific decimal is
     NULL instead of an error. Numeric inputs (``data_type`` numeric) are cast
     directly with NaN and infinities turned into NULL. ``finite_only`` also
     turns overflowing strings (``1e400``) into NULL; ``bounds`` keeps values
@@ -47,9 +48,7 @@ def parse_decimal(
         as_double = col.cast("double")
         out = F.when(~F.isnan(as_double) & (F.abs(as_double) != F.lit(float("inf"))), as_double)
     else:
-        text = F.trim(col.cast("string"))
-        text = F.regexp_replace(text, ",", ".")
-        text = F.regexp_replace(text, r"\.$", ".0")
+        text = F.translate(F.trim(col.cast("string")), ",", ".")
         out = F.when(text.rlike(DECIMAL_REGEX), text.try_cast("double"))
         if finite_only:
             out = F.when(F.abs(out) != F.lit(float("inf")), out)

@@ -17,6 +17,7 @@ collected. Network transfer itself is out of scope.
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -139,9 +140,12 @@ def missing_periods(
     keys: Sequence[str] = (),
     period_col: str = "period",
 ) -> DataFrame:
-    """Expected (keys..., period) rows with no landed counterpart."""
+    """Expected (keys..., period) rows with no landed counterpart; NULL keys
+    are one group, as in the gap report."""
     on = [*keys, period_col]
-    return expected.join(landed.select(*[ref(c) for c in on]), on=on, how="left_anti")
+    there = landed.select(*[ref(c).alias(f"__there{i}") for i, c in enumerate(on)])
+    same = [expected[c].eqNullSafe(there[f"__there{i}"]) for i, c in enumerate(on)]
+    return expected.join(there, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def period_bounds(

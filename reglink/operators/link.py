@@ -191,10 +191,11 @@ def link(
     rows are spread over ``salt_buckets`` by a hash of the whole row (the
     same on a task retry), and their single grouped right row is copied once
     per bucket. At most ``1 / hot_fraction`` keys are hot, so the hot-key
-    list is broadcast with a proven bound. ``hot_fraction=None`` disables it.
+    list is broadcast with a proven bound. Rows whose key has a NULL part match
+    nothing and are spread the same way. ``hot_fraction=None`` disables it.
     """
-    if hot_fraction is not None and not 0.0 < hot_fraction <= 1.0:
-        raise ValueError("hot_fraction must be in (0, 1]")
+    if hot_fraction is not None and not 1e-5 <= hot_fraction <= 1.0:
+        raise ValueError("hot_fraction must be in [1e-5, 1]: its inverse bounds the broadcast hot-key list")
     width = len(rule.left)
     # A NULL part never satisfies the equality, so no completeness test is needed.
     lkeys = _typed_parts(left, rule.left, rule.numeric)
@@ -214,7 +215,7 @@ def link(
         keyed = keyed.join(hot, on=lnames, how="left").select(
             *[ref(c) for c in left.columns],
             *lnames,
-            F.when(F.col("__hot"), F.pmod(F.xxhash64(*_hashable(left)), F.lit(salt_buckets)))
+            F.when(F.col("__hot") | reduce(lambda a, b: a | b, [F.col(n).isNull() for n in lnames]), F.pmod(F.xxhash64(*_hashable(left)), F.lit(salt_buckets)))
             .otherwise(F.lit(0))
             .alias("__lsalt"),
         )

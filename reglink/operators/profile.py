@@ -212,7 +212,6 @@ def value_frequencies(
     df: DataFrame,
     columns: Iterable[str] | None = None,
     k: int = 100,
-    max_distinct_ratio: float | None = None,
 ) -> DataFrame:
     """Top-``k`` non-NULL values per column: (column, value, frequency, rank).
 
@@ -221,20 +220,9 @@ def value_frequencies(
     cast to text once per distinct value, and ranked by count descending,
     value text ascending. The rank filter lets Spark cut each partition to its own top
     ``k`` per column before the per-column exchange, so a near-unique column
-    never sends all of its values to one task. ``max_distinct_ratio`` drops
-    columns whose approximate distinct share is above the ratio (one extra
-    pass), where a top list says nothing.
+    never sends all of its values to one task.
     """
     cols = list(columns) if columns is not None else df.columns
-    if max_distinct_ratio is not None:
-        stats = df.agg(
-            F.count(F.lit(1)).alias("__rows"),
-            *[F.approx_count_distinct(ref(c)).alias(f"__d{i}") for i, c in enumerate(cols)],
-        ).first()
-        rows = stats["__rows"] or 0
-        cols = [c for i, c in enumerate(cols) if rows == 0 or stats[f"__d{i}"] / rows <= max_distinct_ratio]
-        if not cols:
-            raise ValueError("every column is above the distinct ratio")
     counts = _typed_counts(df, cols)
     w = Window.partitionBy("column_name").orderBy(F.desc("frequency"), F.asc("value"))
     return (
@@ -328,6 +316,17 @@ def malformed_summary(df: DataFrame, lat: str, lon: str) -> DataFrame:
     )
 
 
+def sample_by_key(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
+    """The rows whose keys' MD5 falls below ``share`` of its range. The choice
+    depends on the keys alone: not on splits, order or the engine. Rows with
+    equal keys go together; NULL keys count as empty."""
+    if not 0.0 <= share <= 1.0:
+        raise ValueError("share must be within [0, 1]")
+    text = F.concat_ws(":", *[F.coalesce(ref(c).cast("string"), F.lit("")) for c in keys])
+    value = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint")
+    return df.where(value < F.lit(int(share * 2**32)))
+
+
 def sample_rows(df: DataFrame, fraction: float, seed: int = 0, with_replacement: bool = False) -> DataFrame:
     """Bernoulli sample of ``fraction`` of the rows, reproducible through ``seed``.
 

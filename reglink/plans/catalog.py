@@ -75,6 +75,9 @@ adr as (
   from part where p_partkey % 2 = 1
 )"""
 
+# Both registries over every part, for queries that look at one of them only.
+WHOLE_SQL = REGISTRIES_SQL.replace(" where p_partkey % 2 = 0", "").replace(" where p_partkey % 2 = 1", "")
+
 
 def _decimal_sql(x: str) -> str:
     cleaned = f"regexp_replace(replace(trim({x}), ',', '.'), '\\.$', '.0')"
@@ -264,11 +267,11 @@ def q_duplicate_groups(spark, sf_dir):
 
 @register(
     "parse_decimal",
-    f"with {REGISTRIES_SQL}\nselect CO_UNIDADE, NU_LATITUDE, NU_LONGITUDE, "
+    f"with {WHOLE_SQL}\nselect CO_UNIDADE, NU_LATITUDE, NU_LONGITUDE, "
     f"{_decimal_sql('NU_LATITUDE')} as lat_d, {_decimal_sql('NU_LONGITUDE')} as lon_d from est",
 )
 def q_parse_decimal(spark, sf_dir):
-    est = X.establishments(X.table(spark, sf_dir, "part"))
+    est = X.establishments(X.table(spark, sf_dir, "part"), whole=True)
     return P.with_coordinates(est, "NU_LATITUDE", "NU_LONGITUDE").select(
         "CO_UNIDADE", "NU_LATITUDE", "NU_LONGITUDE", "lat_d", "lon_d"
     )
@@ -276,14 +279,14 @@ def q_parse_decimal(spark, sf_dir):
 
 @register(
     "compose_key",
-    f"with {REGISTRIES_SQL}\nselect COD_UNICO_ENDERECO, "
+    f"with {WHOLE_SQL}\nselect COD_UNICO_ENDERECO, "
     "concat_ws(' ', NOM_TIPO_SEGLOGR, NOM_TITULO_SEGLOGR, NOM_SEGLOGR) as street, "
     "nullif(concat_ws(' ', NOM_TITULO_SEGLOGR, NOM_TITULO_SEGLOGR), '') as empty_key from adr",
 )
 def q_compose_key(spark, sf_dir):
     from reglink.functions.expr import compose_key
 
-    adr = X.addresses(X.table(spark, sf_dir, "part"))
+    adr = X.addresses(X.table(spark, sf_dir, "part"), whole=True)
     return adr.select(
         "COD_UNICO_ENDERECO",
         compose_key("NOM_TIPO_SEGLOGR", "NOM_TITULO_SEGLOGR", "NOM_SEGLOGR").alias("street"),
@@ -293,7 +296,7 @@ def q_compose_key(spark, sf_dir):
 
 @register(
     "split_malformed",
-    f"""with {REGISTRIES_SQL},
+    f"""with {WHOLE_SQL},
 p as (select NU_LATITUDE, NU_LONGITUDE, {_decimal_sql('NU_LATITUDE')} as lat,
              {_decimal_sql('NU_LONGITUDE')} as lon from est)
 select count(*) as n_rows,
@@ -303,18 +306,18 @@ select count(*) as n_rows,
 from p""",
 )
 def q_split_malformed(spark, sf_dir):
-    est = X.establishments(X.table(spark, sf_dir, "part"))
+    est = X.establishments(X.table(spark, sf_dir, "part"), whole=True)
     return P.malformed_summary(est, "NU_LATITUDE", "NU_LONGITUDE")
 
 
 @register(
     "malformed_values",
-    f"""with {REGISTRIES_SQL}
+    f"""with {WHOLE_SQL}
 select distinct NU_LATITUDE, NU_LONGITUDE from est
 where {_decimal_sql('NU_LATITUDE')} is null or {_decimal_sql('NU_LONGITUDE')} is null""",
 )
 def q_malformed_values(spark, sf_dir):
-    est = X.establishments(X.table(spark, sf_dir, "part"))
+    est = X.establishments(X.table(spark, sf_dir, "part"), whole=True)
     return P.split_malformed(est, "NU_LATITUDE", "NU_LONGITUDE").malformed_values
 
 
@@ -425,8 +428,9 @@ def q_read_rejects(spark, sf_dir):
 @register("union_sources", "select * from orders")
 def q_union_sources(spark, sf_dir):
     orders = X.table(spark, sf_dir, "orders")
-    finished = orders.where(F.col("o_orderstatus") == "F")
-    rest = orders.where(F.col("o_orderstatus") != "F").select(*reversed(orders.columns))
+    done = F.col("o_orderstatus").eqNullSafe("F")
+    finished = orders.where(done)
+    rest = orders.where(~done).select(*reversed(orders.columns))
     return R.union_sources([finished, rest])
 
 
@@ -542,10 +546,7 @@ from o"""
 
 @register("extract_links", _links_sql())
 def q_extract_links(spark, sf_dir):
-    from reglink.session import spread
-
-    # Regex work per page: spread a narrowly split input over every core.
-    return I.extract_links(spread(X.table(spark, sf_dir, "pages")), keys=["page_id"])
+    return I.extract_links(X.table(spark, sf_dir, "pages"), keys=["page_id"])
 
 
 _ARCHIVED_COLS = ", ".join(n for n, _ in X.ORDERS_ARCHIVE_FIELDS)
@@ -610,10 +611,7 @@ def _date_sql(x: str) -> str:
     f"date_raw, {_date_sql('date_raw')} as date_clean from dirty",
 )
 def q_clean_text(spark, sf_dir):
-    from reglink.session import spread
-
-    # Several regexes and date parses per row: spread a narrowly split input.
-    dirty = X.dirty_orders(spread(X.table(spark, sf_dir, "orders")))
+    dirty = X.dirty_orders(X.table(spark, sf_dir, "orders"))
     return dirty.select(
         "o_orderkey",
         "street_raw",
@@ -625,10 +623,10 @@ def q_clean_text(spark, sf_dir):
 
 # --- filters and sampling ---------------------------------------------------------
 
-@register("health_addresses", f"with {REGISTRIES_SQL} select * from adr where COD_ESPECIE = 5")
+@register("health_addresses", f"with {WHOLE_SQL} select * from adr where COD_ESPECIE = 5")
 def q_health_addresses(spark, sf_dir):
     """Address rows of health establishments; the filter reaches the scan."""
-    return L.health_addresses(X.addresses(X.table(spark, sf_dir, "part")))
+    return L.health_addresses(X.addresses(X.table(spark, sf_dir, "part"), whole=True))
 
 
 # A postal code present at every scale: size 22, brand 13.
@@ -637,21 +635,25 @@ POSTAL_PROBE = "00022013"
 
 @register(
     "postal_filter",
-    f"with {REGISTRIES_SQL} select * from est where {_postal_sql('CO_CEP')} = '{POSTAL_PROBE}'",
+    f"with {WHOLE_SQL} select * from est where {_postal_sql('CO_CEP')} = '{POSTAL_PROBE}'",
 )
 def q_postal_filter(spark, sf_dir):
     """Establishments with one postal code, compared on the normalised key
     (the raw column is an integer that lost its leading zeros)."""
     from reglink.functions.expr import postal_code
 
-    est = X.establishments(X.table(spark, sf_dir, "part"))
+    est = X.establishments(X.table(spark, sf_dir, "part"), whole=True)
     return est.where(postal_code("CO_CEP") == F.lit(POSTAL_PROBE))
 
 
-@register("sample_rows")
+@register(
+    "sample_rows",
+    f"""select * from lineitem
+where cast('0x' || substr(md5(l_orderkey || ':' || l_linenumber), 1, 8) as bigint) < {int(0.01 * 2**32)}""",
+)
 def q_sample_rows(spark, sf_dir):
-    """One percent of ``lineitem`` with a fixed seed (sampling is the feature)."""
-    return P.sample_rows(X.table(spark, sf_dir, "lineitem"), 0.01, seed=7)
+    """One percent of ``lineitem``, chosen by its key (sampling is the feature)."""
+    return P.sample_by_key(X.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], 0.01)
 
 
 # --- profiles of a whole wide table -------------------------------------------------
@@ -712,14 +714,13 @@ def q_value_frequencies_lineitem(spark, sf_dir):
 from (select unnest(generate_series(date '1994-01-01', date '2002-12-01', interval 1 month)) as m) c
 where not exists (
   select 1 from orders
-  where o_orderstatus = 'F' and strftime(o_orderdate, '%Y%m') = strftime(c.m, '%Y%m')
+  where strftime(o_orderdate, '%Y%m') = strftime(c.m, '%Y%m')
 )""",
 )
 def q_range_gaps(spark, sf_dir):
-    """Months of a fixed download range (1994-2002) with no finished order:
+    """Months of a fixed download range (1994-2002) with no order:
     the expected calendar minus the months that hold rows."""
-    finished = X.table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "F")
-    return I.range_gaps(finished, "o_orderdate", "1994-01-01", "2002-12-31")
+    return I.range_gaps(X.table(spark, sf_dir, "orders"), "o_orderdate", "1994-01-01", "2002-12-31")
 
 
 def _norm_number_sql(x: str) -> str:

@@ -4,7 +4,8 @@ The linkage and profiling operators expect an establishment registry and an
 address registry. The driver ships TPC-H-like tables instead, so the whole
 ``part`` table is split into two registries that share real, repeated keys:
 even ``p_partkey`` rows become establishments, odd ones addresses (every row
-lands on exactly one side). ``p_name`` (64 values) plays the name, brand and
+lands on exactly one side; ``whole`` gives a side every row, for queries that
+look at one side only). ``p_name`` (64 values) plays the name, brand and
 type the street parts, size the house number; size and brand also make a
 postal code and coordinates, written the way the establishment file writes
 them (comma decimals, some unparseable).
@@ -35,11 +36,11 @@ def _odd(part: DataFrame) -> DataFrame:
     return part.where(F.pmod(F.col("p_partkey"), F.lit(2)) == 1)
 
 
-def establishments(part: DataFrame) -> DataFrame:
+def establishments(part: DataFrame, whole: bool = False) -> DataFrame:
     """Left registry: establishment rows with string coordinates and an int postal code."""
     size = F.col("p_size").cast("string")
     brand = _brand_no().cast("string")
-    return _even(part).select(
+    return (part if whole else _even(part)).select(
         F.col("p_partkey").alias("CO_UNIDADE"),
         F.col("p_name").alias("NO_FANTASIA"),
         F.concat_ws(" ", "p_brand", "p_type").alias("NO_LOGRADOURO"),
@@ -54,9 +55,9 @@ def establishments(part: DataFrame) -> DataFrame:
     )
 
 
-def addresses(part: DataFrame) -> DataFrame:
+def addresses(part: DataFrame, whole: bool = False) -> DataFrame:
     """Right registry: address rows with street parts, int number, string postal code."""
-    return _odd(part).select(
+    return (part if whole else _odd(part)).select(
         F.col("p_partkey").alias("COD_UNICO_ENDERECO"),
         F.col("p_name").alias("DSC_ESTABELECIMENTO"),
         F.col("p_brand").alias("NOM_TIPO_SEGLOGR"),

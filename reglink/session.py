@@ -88,10 +88,6 @@ def local_path(path: str) -> str:
     return path
 
 
-def default_parallelism(spark: SparkSession) -> int:
-    return int(os.environ.get("BENCH_CPUS", spark.sparkContext.defaultParallelism))
-
-
 def input_bytes(spark: SparkSession, paths: str | list[str]) -> int:
     """Total size of the files under ``paths``, summed by a distributed job
     that lists files without reading their content (only ``length`` is read)."""
@@ -105,17 +101,16 @@ def scale_conf(
     total_bytes: int,
     partition_bytes: int = 128 * 1024 * 1024,
     min_partitions: int = 200,
-    max_partitions: int = 100_000,
 ) -> dict[str, str]:
     """Partition settings for an input of ``total_bytes``.
 
     File splits and the adaptive target are ``partition_bytes`` each, so one
     task's slice fits an executor core's share of memory; the initial
-    shuffle partition count covers the whole input at that size (clamped),
+    shuffle partition count covers the whole input at that size,
     and adaptive execution coalesces it down after map-side aggregation has
     shrunk the data. A shuffle partition over four targets counts as skewed.
     """
-    n = max(min_partitions, min(max_partitions, -(-total_bytes // partition_bytes)))
+    n = max(min_partitions, -(-total_bytes // partition_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
         "spark.sql.shuffle.partitions": str(n),
@@ -162,18 +157,3 @@ def ship_package(spark: SparkSession) -> None:
                     zf.write(full, os.path.relpath(full, root))
     sc.addPyFile(target)
     _SHIPPED.add(app)
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin the rows over ``min_partitions`` tasks (default: the
-    cores) when the input is split narrower than that, as a single-file,
-    single-row-group table is. Per-row work that would otherwise run in one
-    task then uses every core. Inputs already split at least that wide (any
-    large table) are returned unchanged, so no shuffle is added at scale.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # no RDD view (for example a Spark Connect session): leave as is
-        return df
-    return df.repartition(target) if narrow else df

@@ -16,6 +16,7 @@ spanning lines are not supported. Executors open archives through
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from typing import Iterator
@@ -43,7 +44,16 @@ _COLS = ["archive", "member", "line_no", "line", "status", "message"]
 
 # Lines per emitted pandas frame: bounds the Arrow batches whatever the member size.
 _CHUNK = 10_000
-_ERRORS = (zipfile.BadZipFile, zipfile.LargeZipFile, OSError, EOFError, ValueError, NotImplementedError, KeyError)
+# Damaged, truncated and encrypted members raise errors of many types (zlib's
+# own among them); whatever one raises, it fails alone.
+_ERRORS = Exception
+
+
+def _same_header(line: str, expected: str) -> bool:
+    """Field names are compared, not text: a byte-order mark and quotes go."""
+    sep = next((c for c in ";,|\t" if c in expected), ";")
+    names = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])
+    return [x.strip() for x in names] == expected.split(sep)
 
 
 class _RandomAccess(io.RawIOBase):
@@ -138,8 +148,8 @@ def _read_members(encoding: str, expected_header: str | None = None):
                         for line in text:
                             line = line[:-1] if line.endswith("\n") else line
                             line = line[:-1] if line.endswith("\r") else line
-                            if expected_header is not None and start == 0 and not chunk and line != expected_header:
-                                yield _status_frame(archive, member, STATUS_ERROR, f"header mismatch: {line[:200]!r}")
+                            if expected_header is not None and start == 0 and not chunk and not _same_header(line, expected_header):
+                                yield _status_frame(archive, member, STATUS_ERROR, f"header mismatch: {line!r}")
                                 break
                             chunk.append(line)
                             if len(chunk) == _CHUNK:
@@ -205,7 +215,7 @@ def expand_archives(
     being read (status ``error``).
 
     Members, not archives, are the unit of work: they are spread over
-    ``partitions`` tasks (default: one per member, up to four per core) by
+    ``partitions`` tasks (default: the shuffle partitions) by
     an explicit-count repartition that adaptive execution leaves as is, and
     each member is streamed in bounded chunks, so neither a large archive
     nor a large member is ever held whole in memory. A member is one deflate
@@ -221,8 +231,7 @@ def expand_archives(
     listing = list_members(spark, path, recursive).checkpoint(eager=True)
     members = listing.where(F.col("member").isNotNull()).select("archive", "member")
     if partitions is None:
-        cap = 4 * spark.sparkContext.defaultParallelism
-        partitions = max(1, min(members.count(), cap))
+        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = members.repartition(partitions, "archive", "member").mapInPandas(_read_members(encoding, expected_header), EXPANDED_SCHEMA)
     archive_status = listing.where(F.col("member").isNull()).select(
         "archive", "member", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"),
@@ -232,8 +241,11 @@ def expand_archives(
 
 
 def archive_lines(expanded: DataFrame) -> DataFrame:
-    """The line rows of ``expand_archives`` output."""
-    return expanded.where(F.col("line").isNotNull()).select("archive", "member", "line_no", "line")
+    """The line rows of ``expand_archives`` output, without the lines that a
+    member gave before it failed."""
+    failed = expanded.where(F.col("line").isNull() & F.col("member").isNotNull() & (F.col("status") == STATUS_ERROR)).select("archive", "member").distinct()
+    lines = expanded.where(F.col("line").isNotNull()).select("archive", "member", "line_no", "line")
+    return lines.join(failed, ["archive", "member"], "left_anti")
 
 
 def ddl(schema: StructType) -> str:
@@ -305,6 +317,7 @@ def ingest_archives(
     encoding: str = "utf-8",
     check_header: bool = True,
     keep_rejects: bool = False,
+    keep_source: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Expand once into a Parquet table under ``staging``, then parse and tally.
 
@@ -318,5 +331,5 @@ def ingest_archives(
     expected = sep.join(f.name for f in schema.fields) if header and check_header else None
     expand_archives(spark, path, encoding, expected_header=expected).write.mode("overwrite").parquet(staging)
     expanded = spark.read.parquet(staging)
-    parsed = parse_lines(archive_lines(expanded), schema, sep, header, keep_rejects=keep_rejects)
+    parsed = parse_lines(archive_lines(expanded), schema, sep, header, keep_source, keep_rejects)
     return parsed, ingest_tally(expanded)

@@ -34,7 +34,6 @@ def read_registry(
     infer: bool = False,
     as_string: Iterable[str] = (),
     encoding: str | None = None,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Read delimited registry files.
 
@@ -45,8 +44,8 @@ def read_registry(
     long or mistyped field (those fields are NULL otherwise).
 
     Without a schema every column is read as a string (no inference pass over
-    the data). ``infer=True`` runs Spark's inference first (over a
-    ``sampling_ratio`` share of rows when given); ``as_string`` then forces
+    the data). ``infer=True`` runs Spark's inference first, over
+    the whole input; ``as_string`` then forces
     identifier columns (postal codes, unit codes) back to string so leading
     zeros survive.
     """
@@ -54,11 +53,9 @@ def read_registry(
     if encoding:
         reader = reader.option("encoding", encoding)
     if schema is None and infer:
-        inferring = reader.option("inferSchema", True)
-        if sampling_ratio is not None:
-            # Inference reads the whole input by default; a ratio bounds that pass.
-            inferring = inferring.option("samplingRatio", sampling_ratio)
-        inferred = inferring.csv(path).schema
+        # Over the whole input: a type taken from a part of it would turn
+        # values outside that type into NULL.
+        inferred = reader.option("inferSchema", True).csv(path).schema
         forced = set(as_string)
         schema = StructType(
             [StructField(f.name, StringType(), True) if f.name in forced else f for f in inferred.fields]
@@ -137,9 +134,9 @@ def source_counts(df: DataFrame, label: str = "UF", total_label: str | None = No
             F.when(F.col("__total") == 1, F.lit(total_label)).otherwise(ref(label)).alias(label),
             "n_rows",
         )
-    # One row per source: sorted in a single partition instead of a global
-    # sort (no range exchange, no sampling job).
-    return counts.coalesce(1).sortWithinPartitions(ref(label).asc_nulls_last())
+    # A sort above the aggregate's own exchange: the final counts are made in
+    # every shuffle partition, not in one task.
+    return counts.orderBy(ref(label).asc_nulls_last())
 
 
 def union_sources(frames: Sequence[DataFrame], allow_missing: bool = False) -> DataFrame:

@@ -185,3 +185,11 @@ def test_archive_lines_keep_rejects(spark, tmp_path):
     lines = Z.archive_lines(Z.expand_archives(spark, str(d)))
     parsed = Z.parse_lines(lines, struct_from([("A", "int"), ("B", "string")]), keep_rejects=True)
     assert rows(R.rejected_summary(parsed)) == [(4, 3, 1)]
+
+
+def test_missing_periods_with_null_keys(spark):
+    rows_ = [(None, "202401"), ("a", "202401"), ("a", "202402")]
+    expected = spark.createDataFrame(rows_, "k string, period string")
+    assert I.missing_periods(expected, expected, ["k"]).count() == 0
+    left = I.missing_periods(expected, expected.where("k = 'a'"), ["k"]).collect()
+    assert [tuple(r) for r in left] == [(None, "202401")]

@@ -176,3 +176,14 @@ def test_report_join_reuses_the_key_count_partitioning(spark):
     est, adr = catalog.registries(spark, SMALL)
     plan = plan_text(L.match_report(est, adr, L.registry_rules()))
     assert plan.count("Exchange hashpartitioning") == 3
+
+
+def test_null_keys_are_spread_over_join_tasks(spark):
+    """A third of the left keys NULL: they match nothing, and no task gets
+    them all."""
+    left = spark.range(3000).selectExpr("id", "if(id % 3 = 0, null, concat('k', id)) AS name", "id AS payload")
+    right = spark.range(500).selectExpr("id AS rid", "concat('k', id * 4) AS name")
+    rule = L.Rule("n", left=[lambda df: F.col("name")], right=[lambda df: F.col("name")])
+    out = L.link(left, right, rule, "rid", salt_buckets=16)
+    assert out.where("name IS NULL AND r_matches > 0").count() == 0
+    assert out.count() == 3000

@@ -5,7 +5,7 @@ from reglink.session import ensure_checkpoint_dir, input_bytes, scale_conf, stag
 def test_scale_conf_sizes_partitions_from_input():
     tb = 100 * 1024**4
     conf = scale_conf(tb)
-    assert conf["spark.sql.shuffle.partitions"] == "100000"  # clamped
+    assert conf["spark.sql.shuffle.partitions"] == str(tb // (128 * 1024**2))  # no clamp
     assert scale_conf(10 * 1024**3)["spark.sql.shuffle.partitions"] == "200"  # floor
     assert scale_conf(1024**4)["spark.sql.shuffle.partitions"] == str(1024**4 // (128 * 1024**2))
 
@@ -21,12 +21,3 @@ def test_checkpoint_dir_is_kept_and_staging_under_it(spark):
     root = ensure_checkpoint_dir(spark)
     assert ensure_checkpoint_dir(spark) == root
     assert staging_dir(spark, "x").startswith(root.rstrip("/") + "/staging/x-")
-
-
-def test_spread_only_widens_narrow_inputs(spark):
-    from reglink.session import spread
-
-    narrow = spark.range(100).coalesce(1)
-    assert spread(narrow, 4).rdd.getNumPartitions() == 4
-    wide = spark.range(100).repartition(6)
-    assert spread(wide, 4) is wide

@@ -115,9 +115,9 @@ def test_write_table_clusters_mixed_input(spark, tmp_path):
     assert R.read_table(spark, out).count() == 3000
 
 
-def test_inference_with_sampling_ratio(spark, tmp_path):
+def test_inference_keeps_identifiers_as_text(spark, tmp_path):
     p = _write(tmp_path / "f" / "e.csv", "CO_CEP;N\n01310100;5\n02000000;6\n")
-    df = R.read_registry(spark, p, infer=True, as_string=["CO_CEP"], sampling_ratio=1.0)
+    df = R.read_registry(spark, p, infer=True, as_string=["CO_CEP"])
     assert sorted(rows(df)) == [("01310100", 5), ("02000000", 6)]
 
 
@@ -128,3 +128,12 @@ def test_rejected_rows_per_state(spark, tmp_path):
     df = R.load_partitioned(spark, str(raw), ABC, keep_rejects=True)
     got = sorted(rows(R.rejected_summary(df, by=["UF"])))
     assert got == [("RO", 2, 1, 1), ("SP", 3, 1, 2)]
+
+
+def test_rows_of_failed_members_are_left_out(spark):
+    from reglink.sources import archives as Z
+
+    rows_ = [("z", "good", 0, "A", "ok", None), ("z", "bad", 0, "A", "ok", None), ("z", "bad", None, None, "error", "crc"), ("z", None, None, None, "ok", None)]
+    df = spark.createDataFrame(rows_, "archive string, member string, line_no bigint, line string, status string, message string")
+    assert [r.member for r in Z.archive_lines(df).collect()] == ["good"]
+    assert Z._same_header('﻿"A";"B"', "A;B") and not Z._same_header("B;A", "A;B")
