@@ -24,7 +24,17 @@ def keep(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{folder(spark)}/{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._kept_at = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Remove kept tables that nothing reads any more."""
+    for df in tables:
+        path = getattr(df, "_kept_at", None)
+        if path:
+            _delete(df.sparkSession, path)
 
 
 def folder(spark: SparkSession) -> str:
@@ -33,7 +43,11 @@ def folder(spark: SparkSession) -> str:
 
 def clean(spark: SparkSession) -> None:
     """Remove every kept table of this application."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder(spark))
+    _delete(spark, folder(spark))
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 

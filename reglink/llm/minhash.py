@@ -17,9 +17,11 @@
    Skip merging: lists whose members are all in one component are done. The
    rounds end when no list spans two components, which is when every
    colliding pair has been compared or is connected already.
-   In a long list the first leader is a pivot: its exact similarity with every
-   member rules out, by the triangle inequality of Jaccard distances, most
-   pairs of a member near it and a member far from it.
+   The first two leaders of a long list are pivots: their exact similarity
+   with every member rules out, by the triangle inequality of Jaccard
+   distances, most pairs of a member near one and a member far from it. What
+   is left of long lists after that is posted once more under the rarest
+   shingles of the sets themselves, by the prefix filter of an exact join.
 5. Met pairs that agree on m coordinates are confirmed on the whole sets, and
    components grow by contraction along the confirmed links.
 
@@ -231,6 +233,48 @@ def _confirm(size: int, per: int, of: int):
     return run
 
 
+def _shingle_sketch(size: int):
+    """How often each shingle occurs in the given bodies, by hashed slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        for batch in batches:
+            for x in batch.column("body").to_pylist():
+                own = Shingles(pa.array([unpack.decompress(x)], pa.binary()).cast(pa.large_string()), size).of(0)
+                np.add.at(total, (own >> _U(64 - SKETCH_BITS)).astype(np.int64), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], names=["slot", "n"])
+
+    return run
+
+
+def _rare(size: int, per: int, of: int, sketch):
+    """Each class under its rarest shingles, as many as the prefix filter of
+    an exact similarity join asks for: a linked set shares one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        for batch in batches:
+            lists, names = [np.empty(0, _U)], []
+            for name, x in zip(batch.column("class").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                own = Shingles(pa.array([unpack.decompress(x)], pa.binary()).cast(pa.large_string()), size).of(0)
+                order = np.lexsort((own, sketch.value[(own >> _U(64 - SKETCH_BITS)).astype(np.int64)]))
+                lists.append(own[order[: len(own) + per * len(own) // -of + 1]])
+                names += [name] * len(lists[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(names, pa.binary())], names=["list", "class"])
+
+    return run
+
+
+def _counters(df: DataFrame, kernel) -> np.ndarray:
+    """A summed sketch: 2 ** SKETCH_BITS counters, whatever the corpus."""
+    out = np.zeros(1 << SKETCH_BITS, np.int64)
+    for r in df.mapInArrow(kernel, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
+        out[r.column("slot").to_numpy()] = r.column("n").to_numpy()
+    return out
+
+
 def contract(edges: DataFrame) -> DataFrame:
     """(node, root) of every node of the edges (a, b): one root for each
     connected component. In each round every node moves to the neighbour (or
@@ -274,10 +318,7 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         source.mapInArrow(_classes(size, True), f"key {kind}, class binary, signature binary")
         .groupBy("class").agg(F.min("key").alias("rep"), F.first("signature").alias("signature"))
     )
-    # The sketch has 2 ** SKETCH_BITS counters, whatever the corpus.
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    for r in classes.select("signature").mapInArrow(_sketch, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow().to_batches():
-        sketch[r.column("slot").to_numpy()] = r.column("n").to_numpy()
+    sketch = _counters(classes.select("signature"), _sketch)
     posted = classes.select("class", "signature").mapInArrow(_post(spark.sparkContext.broadcast(sketch), COORDINATES - m + 1), "list bigint, class binary")
     shared = frames.keep(posted.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"))
     lists = frames.keep(posted.join(shared.hint("merge"), "list").select("list", "class"))
@@ -289,33 +330,39 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         .join(reps.hint("merge").alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
         .select("s.class", "body").dropDuplicates(["class"])
     )
-    lists = lists.withColumn("share", F.lit(None).cast("double"))
+    none = F.lit(None).cast("double")
+    previous, lists = lists, lists.withColumns({"share0": none, "share1": none})
     seen = roots = None
     turn, reach = 0, 1 - per / of + 1e-9
     while True:
         placed = lists if roots is None else lists.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        placed = placed.select("list", "class", "share", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
-        spans = placed.groupBy("list").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), F.min("class").alias("head"))
+        placed = placed.select("list", "class", "share0", "share1", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
+        spans = placed.groupBy("list").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), (F.min("class") if turn == 0 else F.max_by("class", F.coalesce("share0", F.lit(0.0)))).alias("head"))
         spans = frames.keep(spans.where("low != high").select("list", "n", "head"))
         if spans.isEmpty():
             break
         open_lists = frames.keep(placed.join(spans, "list"))
         draw = F.pmod(F.xxhash64("list", "class", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        lead = (F.col("class") == F.col("head")) | (F.col("n") <= SMALL) | (draw < F.lit(float(4**turn - 1)) / F.col("n"))
-        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), F.col("share").alias("leader_share")))
-        # Two texts whose distances to the list's pivot differ by more than
+        more = 4.0**turn - 1 if turn > 1 else 0.0
+        lead = (F.col("class") == F.col("head")) | (F.col("n") <= SMALL) | (draw < F.lit(more) / F.col("n"))
+        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), *[F.col(c).alias(f"leader_{c}") for c in ("share0", "share1")]))
+        # Two texts whose distances to a pivot of the list differ by more than
         # the distance of a link cannot be linked (triangle inequality).
-        may_link = F.coalesce(F.abs(F.col("share") - F.col("leader_share")) <= reach, F.lit(True))
-        pivot = (F.col("n") > SMALL) & ((F.col("leader") == F.col("head")) if turn == 0 else F.lit(False))
+        apart = [F.coalesce(F.abs(F.col(c) - F.col(f"leader_{c}")) > reach, F.lit(False)) for c in ("share0", "share1")]
+        # In the first two rounds the leader of a long list is its pivot and
+        # meets every member: some member first, then the one nearest to it.
+        pivot = (F.col("n") > SMALL) & (F.col("leader") == F.col("head")) if turn < 2 else F.lit(False)
+        meet = (F.col("root") != F.col("leader_root")) & ~(apart[0] | apart[1])
         pairs = (
-            open_lists.join(leaders, "list").where((F.col("root") != F.col("leader_root")) & may_link)
+            open_lists.join(leaders, "list").where((meet | pivot) & (F.col("class") != F.col("leader")))
             .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"), pivot.alias("pivot"))
             .groupBy("a", "b").agg(F.count("*").alias("collisions"), F.max("pivot").alias("pivot"))
         )
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
         pairs = frames.keep(pairs.select("a", "b", "pivot"))
-        seen = pairs.select("a", "b") if seen is None else frames.keep(seen.union(pairs.select("a", "b")))
+        before, seen = seen, frames.keep(pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b")))
+        frames.drop(before)
         near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean")
         near = frames.keep(near)
         # Pairs of one class stay together for its decoded set, in eight parts.
@@ -325,15 +372,27 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         roots = merge(roots, compared.where("linked").select("a", "b"))
         # A leader has met all it could meet in its list.
         lists = lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti")
-        if turn == 0:
+        if turn < 2:
             ends = compared.where("pivot").select("a", "b", F.col("share").alias("found"))
             lists = (
                 lists.join(spans.where(F.col("n") > SMALL).select("list", "head"), "list")
                 .withColumn("a", F.least("class", "head")).withColumn("b", F.greatest("class", "head"))
-                .join(ends, ["a", "b"], "left").select("list", "class", F.col("found").alias("share"))
+                .join(ends, ["a", "b"], "left")
+                .select("list", "class", *[(F.col("found") if i == turn else F.col(c)).alias(c) for i, c in enumerate(("share0", "share1"))])
             )
+        if turn == 1:
+            # What is left of the long lists: texts alike in too many
+            # coordinates and yet not linked. Their classes are posted anew,
+            # under the rarest of their own shingles.
+            rest = frames.keep(bodies.join(lists.select("class").distinct(), "class"))
+            rare = frames.keep(rest.mapInArrow(_rare(size, per, of, spark.sparkContext.broadcast(_counters(rest.select("body"), _shingle_sketch(size)))), "list bigint, class binary"))
+            again = rare.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
+            lists = rare.join(again, "list").withColumns({"share0": none, "share1": none})
         lists = frames.keep(lists)
+        frames.drop(spans, open_lists, leaders, pairs, near, compared, previous)
+        previous = lists
         turn += 1
+    frames.drop(spans, seen, previous, classes, shared, briefs, reps, bodies)
     return roots
 
 
