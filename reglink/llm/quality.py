@@ -58,7 +58,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     twin = lambda x, j: (x.h == F.get("__s", j - 1).h) | (x.h == F.get("__s", j + 1).h)
     out = out.withColumn("__p", F.sort_array(F.transform(F.filter("__s", twin), lambda x: x.i)))
     covers = F.transform("__p", lambda x, j: F.least(F.lit(3), F.coalesce(F.get("__p", j + 1) - x, F.lit(3))))
-    return out.withColumns({
+    counts = {
         "__n_words": F.size("__w").cast("bigint"),
         "__word_chars": F.length(F.array_join("__w", "")).cast("bigint"),
         "__n_symbols": F.regexp_count(body, F.lit(r"[#*$%&|<>]")).cast("bigint"),
@@ -66,7 +66,11 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
         "__n_repeat_words": F.aggregate(covers, F.lit(0), lambda a, x: a + x).cast("bigint"),
         "__n_lines": F.size("__l").cast("bigint"),
         "__n_upper": F.regexp_count(body, F.lit(r"\p{Lu}")).cast("bigint"),
-    }).drop("__w", "__l", "__s", "__p")
+    }
+    # As a generator's output the counts are made once a row: a filter above
+    # is not moved below them, where it would write their lambdas out again.
+    one = F.explode_outer(F.array(F.struct(*[c.alias(n) for n, c in counts.items()])))
+    return out.withColumn("__m", one).select(*[F.col(f"`{c}`") for c in docs.columns], "__m.*")
 
 
 def base_failed() -> Column:
