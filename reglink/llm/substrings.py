@@ -91,17 +91,21 @@ class Text:
         self.n = b - a
         self.one, self.two = both[0][a:b], both[1][a:b]
 
-    def digest(self) -> bytes:
-        h = hashlib.blake2b(self.one.tobytes(), digest_size=16)
-        h.update(self.two.tobytes())
-        return h.digest()
-
     def path_rows(self, size: int):
         seed, first, n = paths(self.one, size)
         length = n + size - 1
         return seed, first, n, _range_hash(self.one, first, length, 0), _range_hash(self.two, first, length, 1)
 
 
+def _digest(words: list[bytes]) -> bytes | None:
+    """Equal for texts that are equal word for word; none without words."""
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest() if words else None
+
+
+def _raw(column: pa.Array) -> list[bytes]:
+    return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
 def _texts(column: pa.Array) -> Iterator[Text]:
     w = find_words(column, PLAIN, False)
     both = (w.hashes(0), w.hashes(1))
@@ -112,8 +116,9 @@ def _texts(column: pa.Array) -> Iterator[Text]:
 def _sources(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch):
-            texts = list(_texts(part.column("text")))
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([t.digest() if t.n else None for t in texts], pa.binary()), pa.array([t.n for t in texts], pa.int64())], names=["key", "source", "n_words"])
+            # bytes.split() parts at the six white-space bytes of the rule.
+            words = [x.split() for x in _raw(part.column("text"))]
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([_digest(w) for w in words], pa.binary()), pa.array([len(w) for w in words], pa.int64())], names=["key", "source", "n_words"])
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -125,10 +130,10 @@ def _paths(size: int, places: bool):
         for batch in batches:
             for part in slices(batch):
                 digest, rows = [], []
-                for t in _texts(part.column("text")):
+                for t, raw in zip(_texts(part.column("text")), _raw(part.column("text")), strict=True):
                     if t.n >= size:
                         rows.append(t.path_rows(size))
-                        digest.append(t.digest())
+                        digest.append(_digest(raw.split()) if places else None)
                 if not rows:
                     continue
                 seed, first, n, one, two = (np.concatenate(x) for x in zip(*rows, strict=True))
@@ -145,9 +150,8 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(level=1)
     for batch in batches:
         for part in slices(batch):
-            raw = part.column("text").cast(pa.binary()).to_pylist()
-            digest = [t.digest() if t.n else None for t in _texts(part.column("text"))]
-            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(digest, pa.binary()), pa.array([press.compress(x or b"") for x in raw], pa.binary())], names=["key", "source", "body"])
+            raw = _raw(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([_digest(x.split()) for x in raw], pa.binary()), pa.array([press.compress(x) for x in raw], pa.binary())], names=["key", "source", "body"])
 
 
 def _unpack(column: pa.Array) -> pa.Array:
