@@ -2,9 +2,12 @@
 blocks with license templates.
 
 A block is a paragraph: a run of lines that each have a word. A template
-holds in a block if the block contains at least ``THRESHOLD`` of its distinct
-words. The join is exact and cheap by three filters over tokens in ascending
-order of their frequency in all blocks of the corpus:
+holds in a block if some window of the block, of at most ``SPREAD`` times the
+template's words, contains at least ``THRESHOLD`` of its distinct words and
+what sets it apart from the notices of other licenses (``DECIDING``). The
+window keeps the test as strict in a long block as in a short one. The join is
+exact and cheap by three filters over tokens in ascending order of their
+frequency in all blocks of the corpus:
 
 - prefix: a template of t words of which r are required can only be met by a
   block with one of its t - r + 1 rarest words, so blocks are looked up
@@ -13,7 +16,7 @@ order of their frequency in all blocks of the corpus:
 - position: if the rarest shared word is the template's p-th, at most t - p
   words are shared, which must still reach r.
 
-Survivors are verified on the whole sets. Templates are few and fixed, so
+Survivors are verified in windows slid over the whole block. Templates are few and fixed, so
 their index travels with the task; the documents are never shuffled.
 
 Null texts count as empty and have no words. Repeated rows each give their
@@ -23,6 +26,7 @@ row; further columns are passed over.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +39,7 @@ from reglink.llm import frames
 from reglink.llm.text import ALNUM, find_words, slices
 
 THRESHOLD = 0.8
+SPREAD = 2
 
 # The base phrases and their labels.
 PHRASES = {
@@ -60,6 +65,21 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software",
 }
 
+# Of every group a window must hold one phrase, at a place where
+# none of the words given with it (those of another license) comes next.
+LICENSE = {"license": (), "licence": ()}
+CC_BY = {"creative commons attribution": ("noncommercial", "non", "sharealike", "share", "noderivatives", "noderivs", "no")}
+DECIDING = {
+    "mit/short": [{"mit": ()}, LICENSE],
+    "apache/short": [{"apache": ()}, LICENSE],
+    "gpl/short": [{"gnu general public": ()}],
+    "cc-by-nc/short": [{"by nc": ("sa", "nd")}],
+    "apache": [{"apache": ()}],
+    "gpl": [{"gnu general public": ()}],
+    "mpl": [{"mozilla": ()}],
+    "cc-by": [CC_BY],
+}
+
 
 def _tokens(texts: list[str]):
     return find_words(pa.array(texts, pa.large_string()), ALNUM, True)
@@ -84,13 +104,17 @@ class Lexicon:
 
 
 class Templates:
-    def __init__(self, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD):
+    def __init__(self, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, deciding: dict[str, list[dict]] = DECIDING):
         self.labels = [name.partition("/")[0] for name in templates]
         w = _tokens(list(templates.values()))
         hashes = w.hashes()
         self.lexicon = Lexicon(hashes)
         self.sets = [set(np.searchsorted(self.lexicon.known, hashes[w.first[i]:w.first[i + 1]]).tolist()) for i in range(len(templates))]
         self.required = [math.ceil(threshold * len(s) - 1e-9) for s in self.sets]
+        self.window = [SPREAD * int(n) for n in w.counts()]
+        # Phrases are named by themselves and what may not follow them.
+        self.deciding = [[[(phrase, after) for phrase, after in group.items()] for group in deciding.get(name, [])] for name in templates]
+        self.phrases = Phrases({phrase: phrase for groups in self.deciding for group in groups for phrase, _ in group})
 
     def index(self, frequency: dict[int, int]) -> None:
         """Prefix index under the global order (frequency, token)."""
@@ -100,21 +124,54 @@ class Templates:
             for place, token in enumerate(order[: len(order) - self.required[t] + 1]):
                 self.prefix.setdefault(token, []).append((t, place))
 
-    def matches(self, tokens: set[int], n_words: int) -> list[tuple[int, float]]:
-        """Templates that hold in a block with these tokens."""
+    def candidates(self, tokens: set[int], n_words: int) -> list[int]:
+        """Templates that could hold in a block with these tokens."""
         first: dict[int, int] = {}
         for token in tokens & self.prefix.keys():
             for t, place in self.prefix[token]:
                 first[t] = min(place, first.get(t, place))
-        out = []
-        for t, place in first.items():
-            need = self.required[t]
-            if n_words >= need and len(self.sets[t]) - place >= need:
-                shared = len(self.sets[t] & tokens)
-                if shared >= need:
-                    out.append((t, shared / len(self.sets[t])))
+        return [t for t, place in first.items() if n_words >= self.required[t] <= len(self.sets[t]) - place and len(self.sets[t] & tokens) >= self.required[t]]
+
+    def marks(self, w, hashes: np.ndarray, text: np.ndarray) -> dict[tuple[str, tuple], list[int]]:
+        """The places of every deciding phrase, in order."""
+        places: dict[str, list[int]] = {}
+        for p, phrase in self.phrases.find(w, hashes, text):
+            places.setdefault(phrase, []).append(p)
+        out = {}
+        for phrase, after in {x for groups in self.deciding for group in groups for x in group}:
+            size, bad = len(phrase.split()), {x.encode() for x in after}
+            out[phrase, after] = [p for p in places.get(phrase, []) if not (p + size < len(text) and text[p + size] == text[p] and w.word(p + size) in bad)]
         return out
 
+    def share(self, t: int, words: list[tuple[int, int]], end: int, marks: dict) -> float:
+        """The largest share of template t in any window, decided and before
+        ``end``, of a block with these (place, token)."""
+
+        def decided(a: int, z: int) -> bool:
+            def inside(phrase: str, after: tuple) -> bool:
+                at = marks[phrase, after]
+                i = bisect_left(at, a)
+                return i < len(at) and at[i] + len(phrase.split()) <= z
+
+            return all(any(inside(*x) for x in group) for group in self.deciding[t])
+
+        if not decided(words[0][0], end):
+            return 0.0
+        words = [x for x in words if x[1] in self.sets[t]]
+        best, right = 0, 0
+        seen: Counter = Counter()
+        for a, token in words:
+            z = min(a + self.window[t], end)
+            while right < len(words) and words[right][0] < z:
+                seen[words[right][1]] += 1
+                right += 1
+            if len(seen) > best and decided(a, z):
+                best = len(seen)
+            seen[token] -= 1
+            if not seen[token]:
+                del seen[token]
+        return best / len(self.sets[t]) if best >= self.required[t] else 0.0
+
 
 def _block_of(w) -> np.ndarray:
     """Number of the block of each word: a new one with each text and
@@ -181,13 +238,23 @@ def _scan(templates, phrases):
                 blocks: list[list[dict]] = [[] for _ in range(n)]
                 block = _block_of(w)
                 at, token = templates.value.lexicon.find(hashes)
-                for b, tokens in _groups(block[at], token):
-                    if not (set(tokens) & templates.value.prefix.keys()):
+                marks = None
+                for b, places_of in _groups(block[at], np.arange(len(at))):
+                    tokens = set(token[places_of].tolist())
+                    if not (tokens & templates.value.prefix.keys()):
                         continue
                     a, z = np.searchsorted(block, [b, b + 1])
-                    for t, share in templates.value.matches(set(tokens), int(z - a)):
-                        first = int(w.first[text[a]])
-                        blocks[text[a]].append({"label": templates.value.labels[t], "start": int(a) - first, "end": int(z) - first, "containment": share})
+                    candidates = templates.value.candidates(tokens, int(z - a))
+                    if not candidates:
+                        continue
+                    if marks is None:
+                        marks = templates.value.marks(w, hashes, text)
+                    words = list(zip(at[places_of].tolist(), token[places_of].tolist(), strict=True))
+                    for t in candidates:
+                        share = templates.value.share(t, words, int(z), marks)
+                        if share > 0:
+                            first = int(w.first[text[a]])
+                            blocks[text[a]].append({"label": templates.value.labels[t], "start": int(a) - first, "end": int(z) - first, "containment": share})
                 base = [sorted({x for _, x in p}) for p in places]
                 labels = [sorted({*x, *(y["label"] for y in z)}) for x, z in zip(base, blocks, strict=True)]
                 yield pa.RecordBatch.from_arrays(

@@ -455,6 +455,33 @@ def test_license_scan(spark, odd, empty):
     assert licenses.scan(odd).count() == len(odd_texts()) and licenses.scan(empty).count() == 0
 
 
+def test_license_scan_of_other_licenses_and_long_lines(spark):
+    """Notices of other licenses, and a long line with a template's words far
+    apart, hold no template; notices inside a long line do."""
+    rng = random.Random(6)
+    own = sorted({x for t in licenses.TEMPLATES.values() for x in FOLDED.findall(fold(t))})
+    spread = " ".join(" ".join([x, *(f"filler{rng.randint(0, 99)}" for _ in range(40))]) for x in own)
+    filler = " ".join(f"word{rng.randint(0, 99)}" for _ in range(3000))
+    lgpl = licenses.TEMPLATES["gpl"].replace("GNU General", "GNU Lesser General")
+    cases = [
+        ("Released under the BSD License", ""),
+        ("Licensed under the Mozilla Public License, Version 2.0", ""),
+        ("Licensed under CC BY 4.0", "cc-by"),
+        ("Licensed under CC BY-NC-SA 4.0", "cc-by"),
+        (licenses.TEMPLATES["cc-by"].replace("Attribution", "Attribution-NonCommercial 4.0"), ""),
+        (lgpl, ""),
+        (spread, ""),
+        (f"{filler} Released under the (MIT) Licence {filler}", "mit"),
+        (f"{filler} {licenses.TEMPLATES['bsd']} {filler}", "bsd"),
+        (f"{spread} licensed under terms of the Apache 2.0 license version {filler}", "apache"),
+        ("Licensed under CC BY-NC 4.0", "cc-by,cc-by-nc"),
+        (licenses.TEMPLATES["cc-by"], "cc-by"),
+        (licenses.TEMPLATES["mpl"], "mpl"),
+    ]
+    out = {r["doc_id"]: r["labels"] for r in got(licenses.scan(frame(spark, [(i, t) for i, (t, _) in enumerate(cases)])))}
+    assert [out[i] for i in range(len(cases))] == [want for _, want in cases]
+
+
 # --- WARC ------------------------------------------------------------------
 
 
