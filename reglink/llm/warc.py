@@ -10,7 +10,8 @@ nodes only, level by level, and at last the records of differing ranges, so
 the work below the leaves follows the damage and not the archive.
 
 Every node has a bounded number of children, so no task gathers an unbounded
-group. ``write_warc`` and ``read_warc`` keep replicas as WARC files.
+group. ``write_warc`` and ``read_warc`` keep replicas as WARC files;
+``audit_files`` compares two of them, whatever the files' names.
 
 A null page id, URL or body gives a record without that field or with an
 empty body. Equal records are told apart by their offsets. An empty table
@@ -19,9 +20,10 @@ has no tree; two empty replicas are equal. Further columns are passed over.
 
 from __future__ import annotations
 
-import gzip
 import re
+import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,6 +37,8 @@ RANGE_BYTES = 1 << 16
 FANOUT = 8
 DATE = "2024-01-01T00:00:00Z"
 END = "\r\n\r\n"
+START = re.compile(rb"\r\n\r\n(?=WARC/\d)")
+PIECE = 1 << 16  # compressed bytes read at a time
 
 
 def record(page_id: Column, url: Column, body: Column, date: str = DATE) -> Column:
@@ -149,37 +153,111 @@ def write_warc(pages: DataFrame, path: str, key: str = "page_id", url: str = "ur
     pages.select(record(F.col(key), F.col(url), F.col(body)).alias("value")).write.option("lineSep", END).option("compression", compression).text(path)
 
 
+def _unzip(content: bytes) -> Iterator[tuple[int, bytes, bytes]]:
+    """(offset, bytes, lost) of each readable stretch of a gzip file, which may
+    have many members. A damaged member ends a stretch: what could be read of
+    it belongs to the stretch, ``lost`` are its compressed bytes. The next
+    member that begins with a record goes on at its own offset, which the
+    damaged member's size field tells."""
+    at, base, out = 0, 0, bytearray()
+    while at < len(content):
+        reader, fed, size, broken = zlib.decompressobj(31), at, len(out), False
+        try:
+            while not reader.eof and fed < len(content):
+                out += reader.decompress(content[fed:fed + PIECE])
+                fed += PIECE
+        except zlib.error:
+            broken = True
+        if not broken and reader.eof:
+            at = min(fed, len(content)) - len(reader.unused_data)
+            # Zeros may pad the file.
+            if content[at:at + 1] == b"\0" and not content[at:].strip(b"\0"):
+                break
+            continue
+        stop = _member(content, at + 1)
+        yield base, bytes(out), content[at:stop]
+        told = int.from_bytes(content[stop - 4:stop], "little") if stop < len(content) else 0
+        base, out, at = base + max(len(out), size + told), bytearray(), stop
+    if out:
+        yield base, bytes(out), b""
+
+
+def _member(content: bytes, at: int) -> int:
+    """Where the next gzip member that begins with a record begins."""
+    while (at := content.find(b"\x1f\x8b\x08", at)) >= 0:
+        try:
+            if zlib.decompressobj(31).decompress(content[at:at + PIECE], 5) == b"WARC/":
+                return at
+        except zlib.error:
+            pass
+        at += 1
+    return len(content)
+
+
+def _records(raw: bytes) -> Iterator[tuple[int, bytes, bytes | None]]:
+    """(offset, record, body) of each record, and of each damaged stretch
+    between records, without body: one whose header cannot be read or whose
+    length does not lead to a record's end, up to the next record."""
+    at = 0
+    while at < len(raw):
+        head = raw.find(b"\r\n\r\n", at)
+        size = re.search(rb"(?i)\r\nContent-Length: *(\d+)", raw[at:head]) if head >= 0 and raw.startswith(b"WARC/", at) else None
+        end = head + 4 + int(size[1]) if size else -1
+        if size and (end == len(raw) or raw.startswith(END.encode(), end) or raw.startswith(b"WARC/", end + len(END))):
+            yield at, raw[at:end], raw[head + 4:end]
+            at = end + len(END)
+            continue
+        after = START.search(raw, head + 4 if size else at)
+        stop = after.start() if after else len(raw)
+        if stop > at:
+            yield at, raw[at:stop], None
+        at = after.end() if after else stop
+
+
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
-            raw = gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
-            rows, at = [], 0
-            while at < len(raw):
-                head = raw.find(b"\r\n\r\n", at)
-                size = re.search(rb"(?i)\r\nContent-Length: *(\d+)", raw[at:head]) if head >= 0 else None
-                if size is None or not raw.startswith(b"WARC/", at):
-                    # Unreadable from here on: one damaged stretch, as it is.
-                    rows.append((path.rpartition("/")[2], at, raw[at:], None))
-                    break
-                end = head + 4 + int(size[1])
-                rows.append((path.rpartition("/")[2], at, raw[at:end], raw[head + 4:end]))
-                at = end + len(END)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.binary()), pa.array([r[3] for r in rows], pa.binary())], names=["name", "offset", "record", "body"])
+            rows = []
+            for base, raw, lost in _unzip(content) if content[:2] == b"\x1f\x8b" else [(0, content, b"")]:
+                rows += [(base + at, record, body) for at, record, body in _records(raw)]
+                if lost:
+                    rows.append((base + len(raw), lost, None))
+            yield pa.RecordBatch.from_arrays([pa.array([path.rpartition("/")[2]] * len(rows), pa.string()), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], names=["name", "offset", "record", "body"])
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """(name, offset, record, body) of every record of the WARC files in a
-    folder. A file is read whole, so files are to be of ordinary WARC size."""
+    folder. A damaged stretch is a row with the bytes found and no body; the
+    records after it are read. A file is read whole, so files are to be of
+    ordinary WARC size."""
     frames.ready(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_parse, "name string, offset bigint, record binary, body binary")
 
 
-def files_archive(records: DataFrame) -> DataFrame:
-    """The records of ``read_warc`` in the form the audit takes."""
-    names = records.select("name").distinct()
-    number = names.withColumn("file", F.conv(F.regexp_extract("name", r"part-(\d+)", 1), 10, 10).cast("bigint"))
+def file_numbers(*replicas: DataFrame) -> DataFrame:
+    """(name, file): the files of all replicas, numbered from 0 by name."""
+    names = reduce(DataFrame.union, [r.select("name") for r in replicas]).distinct().orderBy("name")
+    return frames.keep(names.rdd.map(lambda r: r.name).zipWithIndex().toDF("name string, file bigint"))
+
+
+def _files(records: DataFrame, numbers: DataFrame) -> DataFrame:
     key = F.regexp_extract(F.col("record").cast("string"), r"WARC-Record-ID: <([^>]*)>", 1)
-    return records.join(number, "name").select("file", "offset", F.octet_length("record").cast("bigint").alias("length"), key.alias("key"), F.sha2("record", 256).alias("digest"))
+    return records.join(numbers, "name").select("file", "offset", F.octet_length("record").cast("bigint").alias("length"), key.alias("key"), F.sha2("record", 256).alias("digest"))
+
+
+def files_archive(records: DataFrame) -> DataFrame:
+    """The records of ``read_warc`` in the form the audit takes. File numbers
+    are those of this replica's names: ``audit_files`` compares two replicas."""
+    frames.ready(records.sparkSession)
+    return _files(records, file_numbers(records))
+
+
+def audit_files(primary: DataFrame, replica: DataFrame) -> DataFrame:
+    """``audit`` of two replicas read by ``read_warc``, with the ``name`` of
+    each file. A file is the same in both if its name is."""
+    frames.ready(primary.sparkSession)
+    numbers = file_numbers(primary, replica)
+    return audit(_files(primary, numbers), _files(replica, numbers)).join(numbers, "file").select("name", "file", "offset", "range", "key", "length", "digest", "found_length", "found_digest", "status")
 
 
 def aged(text: Column, key: Column) -> Column:

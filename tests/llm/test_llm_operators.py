@@ -1,5 +1,6 @@
 """Operators of ``llm`` against brute force, and their edge cases."""
 
+import gzip
 import hashlib
 import itertools
 import math
@@ -506,6 +507,48 @@ def test_warc_round_trip_and_audit(spark, tmp_path):
     assert {r.status for r in warc.audit(same, none).collect()} == {"missing"}
 
 
+def test_warc_files_of_any_name_with_damage(spark, tmp_path):
+    one = lambda i: f"WARC/1.0\r\nWARC-Record-ID: <r{i}>\r\nContent-Length: 40\r\n\r\n{i:040d}".encode()
+    end, size = b"\r\n\r\n", len(one(0)) + 4
+    names = ["CC-MAIN-a.warc", "CC-MAIN-b.warc", "part-00000-x.c000", "part-00000-x.c001"]
+    plain = {n: [one(10 * k + i) + end for i in range(5)] for k, n in enumerate(names)}
+    zipped = {"CC-MAIN-c.warc.gz": gzip.compress(b"".join(one(70 + i) + end for i in range(5)), mtime=0), "CC-MAIN-d.warc.gz": b"".join(gzip.compress(one(80 + i) + end, mtime=0) for i in range(5))}
+    sides = []
+    for side in ("primary", "replica"):
+        (tmp_path / side).mkdir()
+        for n, parts in plain.items():
+            raw = b"".join(parts)
+            if side == "replica":
+                if n == "CC-MAIN-a.warc":
+                    continue  # lost as a whole
+                if n == "CC-MAIN-b.warc":
+                    raw = raw.replace(b"WARC/", b"XARC/", 2).replace(b"XARC/", b"WARC/", 1)  # the second header
+                if n.endswith("c001"):
+                    raw = raw[: size * 2] + raw[size * 2:].replace(b"Content-Length: 40", b"Content-Length: 99", 1)
+            (tmp_path / side / n).write_bytes(raw)
+        for n, raw in zipped.items():
+            if side == "replica" and "-c" in n:
+                raw = raw[:-20]  # torn
+            if side == "replica" and "-d" in n:
+                at = raw.index(b"\x1f\x8b\x08", 1)
+                raw = raw[: at + 10] + b"\xff" * 8 + raw[at + 18:]
+            (tmp_path / side / n).write_bytes(raw)
+        sides.append(warc.read_warc(spark, str(tmp_path / side)))
+    assert sides[0].where("body IS NULL").count() == 0 and sides[0].count() == 30
+    same = warc.files_archive(sides[0])
+    assert same.count() == 30 == same.select("file", "offset").distinct().count() and same.agg(F.max("file")).first()[0] == 5
+    found = {(r["name"], r.offset // size): r.status for r in warc.audit_files(*sides).collect() if "-c.warc" not in r["name"]}
+    want = {("CC-MAIN-a.warc", i): "missing" for i in range(5)}
+    want |= {("CC-MAIN-b.warc", 1): "corrupt", ("part-00000-x.c001", 2): "corrupt", ("CC-MAIN-d.warc.gz", 1): "corrupt"}
+    assert found == want
+    torn = [r for r in warc.audit_files(*sides).collect() if "-c.warc" in r["name"]]
+    assert torn and all(r.status in ("missing", "corrupt", "extra") for r in torn)
+    assert warc.audit_files(sides[0], sides[0]).count() == 0
+    none = sides[0].limit(0)
+    assert warc.audit_files(none, none).count() == 0
+    assert Counter(r.status for r in warc.audit_files(sides[0], none).collect()) == {"missing": 30}
+
+
 def test_warc_archive(spark):
     pages = table(spark, "pages").withColumn("key", F.lit(1)).withColumn("file", F.lit("x"))
     rows = warc.archive(pages, file_bytes=20_000).collect()
