@@ -3,8 +3,8 @@
 A text is the normalised TF-IDF vector of its hashed byte trigrams (ASCII
 letters folded, other ASCII replaced by spaces), taken over the whole text.
 Each language has up to ``CENTROIDS`` centroids, found by spherical k-means
-over a bounded sample of its labelled texts (``PER_LANGUAGE`` expected texts
-a language, chosen by a hash of the row). A text gets the language of the
+over a bounded sample of its labelled texts (at most ``PER_LANGUAGE`` distinct
+rows a language, those with the smallest hashes of key and text). A text gets the language of the
 centroid with the largest cosine; ``rejected`` tells texts that lie farther
 from that centroid than its own texts did in training.
 
@@ -25,6 +25,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reglink.llm import frames
@@ -32,8 +33,9 @@ from reglink.llm.text import FOLD, slices
 
 BUCKETS = 1 << 13
 CENTROIDS = 4
-PER_LANGUAGE = 400  # expected size of the sample of one language
+PER_LANGUAGE = 400  # size of the sample of one language
 MAX_LANGUAGES = 256  # the most frequent ones are learned
+SPARE = 2  # times the sample is drawn before it is cut to its size
 ROUNDS = 8
 ROWS = 128  # texts that are vectors at the same time
 SLACK = 0.05  # added to a centroid's radius
@@ -145,18 +147,30 @@ class Model:
         self.radius = np.array([r.radius for r in rows])
 
 
+def _place() -> Column:
+    return F.pmod("order", F.lit(1 << 40))
+
+
+def _sample(rows: DataFrame, per_language: int) -> DataFrame:
+    """Of each language the distinct rows that come first by hash. Equal rows
+    are one before any row moves, so a hot key or text fills no task."""
+    rows = rows.groupBy("lang", "order").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(W.partitionBy("lang").orderBy(_place(), "order"))
+    return frames.keep(rows.withColumn("rank", rank).where(F.col("rank") <= per_language).drop("rank"))
+
+
 def fit(labelled: DataFrame, key: Column, lang: str = "lang", text: str = "text", per_language: int = PER_LANGUAGE) -> Model:
-    """Train on labelled rows. ``key`` decides, by its hash, which rows are
-    in the sample; it takes no part in a prediction."""
+    """Train on labelled rows. ``key`` decides, by its hash with the text's,
+    which rows are in the sample; it takes no part in a prediction."""
     spark = labelled.sparkSession
     frames.ready(spark)
-    source = labelled.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key).alias("order")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # At most MAX_LANGUAGES rows.
-    size = {r.lang: r.n for r in source.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    source = labelled.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key, F.col(text).cast("string")).alias("order")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    # Distinct rows, counted within a few percent; at most MAX_LANGUAGES rows.
+    size = {r.lang: r.n for r in source.groupBy("lang").agg(F.count("*").alias("all"), F.approx_count_distinct("order", 0.02).alias("n")).orderBy(F.desc("all"), "lang").limit(MAX_LANGUAGES).collect()}
     if not size:
         return Model(np.ones(BUCKETS, np.float32), [])
-    share = F.element_at(F.create_map(*[x for k, n in size.items() for x in (F.lit(k), F.lit(min(1.0, per_language / n)))]), F.col("lang"))
-    sample = frames.keep(source.where(F.pmod("order", F.lit(1 << 20)) < share * (1 << 20)))
+    share = F.element_at(F.create_map(*[x for k, n in size.items() for x in (F.lit(k), F.lit(min(1.0, SPARE * per_language / n)))]), F.col("lang"))
+    sample = _sample(source.where(_place() < share * (1 << 40)), per_language)
     seen = {r.bucket: r.n for r in sample.mapInArrow(_document_frequency, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = seen.pop(-1, 0)
     idf = np.zeros(BUCKETS, np.float32)

@@ -382,6 +382,18 @@ def test_language_odd(spark, odd, empty):
     assert {r["lang_pred"] for r in got(language.identify(odd, nothing))} == {"und"}
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """One key, or none, for all rows; a third of them equal."""
+    drawn, keep = [], language._sample
+    monkeypatch.setattr(language, "_sample", lambda *a: drawn.append(keep(*a)) or drawn[-1])
+    texts = [(k, lang, f"{lang} word{i} and more of {i * i}") for k, lang in ((None, "aa"), (7, "bb")) for i in range(600)]
+    texts += [(k, lang, "the same text") for k, lang in ((None, "aa"), (7, "bb")) for _ in range(300)] + [(9, "cc", "only one")] * 50
+    model = language.fit(spark.createDataFrame(texts, "doc_id bigint, lang string, text string"), F.col("doc_id"), per_language=40)
+    n = {r.lang: (r.n, r.d) for r in drawn[0].groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("d")).collect()}
+    assert n == {"aa": (40, 40), "bb": (40, 40), "cc": (1, 1)}
+    assert set(model.lang) == {"aa", "bb", "cc"}
+
+
 # --- lines -----------------------------------------------------------------
 
 
