@@ -8,8 +8,10 @@ rows a language, those with the smallest hashes of key and text). A text gets th
 centroid with the largest cosine; ``rejected`` tells texts that lie farther
 from that centroid than its own texts did in training.
 
-The model (inverse document frequencies, centroids, radii) has a size fixed
-by the parameters, so it is broadcast; texts are never shuffled.
+Every language with a labelled text is learned. Up to ``BLOCK`` centroids are
+broadcast and the texts are never shuffled. More are dealt into blocks of about
+half that size; the texts are scored against one block at a time, and each
+takes the best over all blocks, by a shuffle of scores without texts.
 
 Null texts and texts without a letter are ``und`` with score 0, and so is
 every text when nothing labelled was given. Null languages and null texts are
@@ -20,6 +22,7 @@ passed over.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -34,7 +37,8 @@ from reglink.llm.text import FOLD, slices
 BUCKETS = 1 << 13
 CENTROIDS = 4
 PER_LANGUAGE = 400  # size of the sample of one language
-MAX_LANGUAGES = 256  # the most frequent ones are learned
+BLOCK = 1024  # centroids broadcast at once
+SMALL = 100_000  # languages whose shares are broadcast
 SPARE = 2  # times the sample is drawn before it is cut to its size
 ROUNDS = 8
 ROWS = 128  # texts that are vectors at the same time
@@ -139,6 +143,25 @@ def _fit(idf):
 
 
 class Model:
+    """``table`` has the ``n`` centroids, or is None with none."""
+
+    def __init__(self, idf: np.ndarray, table: DataFrame | None = None, n: int = 0):
+        self.idf, self.table, self.n = idf, table, n
+
+    def blocks(self, limit: int) -> Iterator[Block]:
+        """The centroids, those of one language in one block."""
+        if self.n <= limit:
+            yield Block(self.idf, self.table.collect() if self.n else [])
+            return
+        count = -(-2 * self.n // limit)
+        dealt = self.table.withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(count)))
+        for i in range(count):
+            rows = dealt.where(F.col("block") == i).drop("block").collect()
+            if rows:
+                yield Block(self.idf, rows)
+
+
+class Block:
     def __init__(self, idf: np.ndarray, rows: list):
         rows = sorted(rows, key=lambda r: (r.lang, bytes(r.centroid)))
         self.idf = idf
@@ -165,19 +188,22 @@ def fit(labelled: DataFrame, key: Column, lang: str = "lang", text: str = "text"
     spark = labelled.sparkSession
     frames.ready(spark)
     source = labelled.select(F.col(lang).alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(key, F.col(text).cast("string")).alias("order")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # Distinct rows, counted within a few percent; at most MAX_LANGUAGES rows.
-    size = {r.lang: r.n for r in source.groupBy("lang").agg(F.count("*").alias("all"), F.approx_count_distinct("order", 0.02).alias("n")).orderBy(F.desc("all"), "lang").limit(MAX_LANGUAGES).collect()}
-    if not size:
-        return Model(np.ones(BUCKETS, np.float32), [])
-    share = F.element_at(F.create_map(*[x for k, n in size.items() for x in (F.lit(k), F.lit(min(1.0, SPARE * per_language / n)))]), F.col("lang"))
-    sample = _sample(source.where(_place() < share * (1 << 40)), per_language)
+    # Distinct rows, counted within a few percent.
+    size = frames.keep(source.groupBy("lang").agg(F.approx_count_distinct("order", 0.02).alias("n")))
+    n = size.count()
+    if not n:
+        return Model(np.ones(BUCKETS, np.float32))
+    size = F.broadcast(size) if n <= SMALL else size
+    drawn = source.join(size, "lang").where(_place() < (SPARE * per_language / F.col("n")) * (1 << 40)).select(source.columns)
+    sample = _sample(drawn, per_language)
     seen = {r.bucket: r.n for r in sample.mapInArrow(_document_frequency, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = seen.pop(-1, 0)
     idf = np.zeros(BUCKETS, np.float32)
     for b, n in seen.items():
         idf[b] = np.log((1 + total) / (1 + n)) + 1
     shared = spark.sparkContext.broadcast(idf)
-    return Model(idf, sample.groupBy("lang").applyInPandas(_fit(shared), "lang string, centroid binary, radius double").collect())
+    table = frames.keep(sample.groupBy("lang").applyInPandas(_fit(shared), "lang string, centroid binary, radius double"))
+    return Model(idf, table, table.count())
 
 
 def _predict(model):
@@ -200,14 +226,27 @@ def _predict(model):
     return run
 
 
-def identify(docs: DataFrame, model: Model, key: str = "doc_id", held_out: Column | None = None, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Model, key: str = "doc_id", held_out: Column | None = None, text: str = "text", block: int = BLOCK) -> DataFrame:
     """(key, held_out, lang_pred, score, rejected) for every row."""
     spark = docs.sparkSession
     frames.ready(spark)
     kind = docs.schema[key].dataType.simpleString()
+    schema = "key {}, held_out boolean, lang_pred string, score double, rejected boolean"
     source = docs.select(F.col(key).alias("key"), (F.lit(None).cast("boolean") if held_out is None else held_out).alias("held_out"), F.col(text).cast("string").alias("text"))
-    run = _predict(spark.sparkContext.broadcast(model))
-    return source.mapInArrow(run, f"key {kind}, held_out boolean, lang_pred string, score double, rejected boolean").withColumnRenamed("key", key)
+    if model.n <= block:
+        (whole,) = model.blocks(block)
+        return source.mapInArrow(_predict(spark.sparkContext.broadcast(whole)), schema.format(kind)).withColumnRenamed("key", key)
+    row = F.struct("key", F.monotonically_increasing_id().alias("row"))
+    rows = frames.keep(source.withColumn("key", row))
+    found = []
+    for one in model.blocks(block):
+        shared = spark.sparkContext.broadcast(one)
+        found.append(frames.keep(rows.mapInArrow(_predict(shared), schema.format(rows.schema["key"].dataType.simpleString()))))
+        shared.unpersist()
+    # Of equal scores the first language, as within a block.
+    best = F.min(F.struct((-F.col("score")).alias("far"), "lang_pred", "rejected", "key", "held_out")).alias("best")
+    best = reduce(DataFrame.unionAll, found).groupBy("key.row").agg(best)
+    return best.select(F.col("best.key.key").alias(key), "best.held_out", "best.lang_pred", (-F.col("best.far")).alias("score"), "best.rejected")
 
 
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

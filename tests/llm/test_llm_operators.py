@@ -391,7 +391,20 @@ def test_language_sample_is_bounded(spark, monkeypatch):
     model = language.fit(spark.createDataFrame(texts, "doc_id bigint, lang string, text string"), F.col("doc_id"), per_language=40)
     n = {r.lang: (r.n, r.d) for r in drawn[0].groupBy("lang").agg(F.count("*").alias("n"), F.countDistinct("text").alias("d")).collect()}
     assert n == {"aa": (40, 40), "bb": (40, 40), "cc": (1, 1)}
-    assert set(model.lang) == {"aa", "bb", "cc"}
+    assert {r.lang for r in model.table.collect()} == {"aa", "bb", "cc"}
+
+
+def test_language_learns_every_language(spark):
+    rng = random.Random(8)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for _ in range(300)]
+    rows = [(3 * k + j, f"l{k:03d}", " ".join(rng.sample(w, 9))) for k, w in enumerate(words) for j in range(3)] + [(None, "l000", None), (-1, None, "!!!"), (None, None, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = language.fit(docs, F.col("doc_id"))
+    whole, parts = (language.identify(docs, model, held_out=F.col("doc_id") > 5, block=n) for n in (language.BLOCK, 64))
+    assert whole.columns == parts.columns and 64 < model.n <= language.BLOCK
+    say = lambda df: sorted((str(r.doc_id), str(r.held_out), r.lang_pred, round(r.score, 4), r.rejected) for r in df.collect())
+    assert say(whole) == say(parts) and len(say(parts)) == len(rows)
+    assert {r.doc_id: r.lang_pred for r in parts.where("doc_id >= 0").collect()} == {i: lang for i, lang, _ in rows if i is not None and i >= 0}
 
 
 # --- lines -----------------------------------------------------------------
