@@ -1,7 +1,8 @@
 """Language identification by the nearest of several centroids per language.
 
 A text is the normalised TF-IDF vector of its hashed byte trigrams (ASCII
-letters folded, other ASCII replaced by spaces), taken over the whole text.
+letters folded, other ASCII replaced by spaces), taken over the whole text;
+document frequencies are those of all labelled texts.
 Each language has up to ``CENTROIDS`` centroids, found by spherical k-means
 over a bounded sample of its labelled texts (at most ``PER_LANGUAGE`` distinct
 rows a language, those with the smallest hashes of key and text). A text gets the language of the
@@ -196,7 +197,8 @@ def fit(labelled: DataFrame, key: Column, lang: str = "lang", text: str = "text"
     size = F.broadcast(size) if n <= SMALL else size
     drawn = source.join(size, "lang").where(_place() < (SPARE * per_language / F.col("n")) * (1 << 40)).select(source.columns)
     sample = _sample(drawn, per_language)
-    seen = {r.bucket: r.n for r in sample.mapInArrow(_document_frequency, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
+    # A statistic of all learnable rows; at most BUCKETS + 1 rows come back.
+    seen = {r.bucket: r.n for r in source.select("text").mapInArrow(_document_frequency, "bucket int, n bigint").groupBy("bucket").agg(F.sum("n").alias("n")).collect()}
     total = seen.pop(-1, 0)
     idf = np.zeros(BUCKETS, np.float32)
     for b, n in seen.items():

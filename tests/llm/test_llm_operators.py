@@ -9,6 +9,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -407,6 +408,15 @@ def test_language_learns_every_language(spark):
     assert {r.doc_id: r.lang_pred for r in parts.where("doc_id >= 0").collect()} == {i: lang for i, lang, _ in rows if i is not None and i >= 0}
 
 
+def test_language_document_frequencies_are_of_all_rows(spark):
+    """A sample of ten texts a language weighs the trigrams of all."""
+    rows = [(i, "aa", f"text number{i}") for i in range(200)] + [(1000 + i, "bb", f"other {i}") for i in range(30)] + [(5000, None, "qqq")]
+    model = language.fit(spark.createDataFrame(rows, "doc_id bigint, lang string, text string"), F.col("doc_id"), per_language=10)
+    seen = (language.counts(pa.array([t for _, lang, t in rows if lang is not None])) > 0).sum(axis=0)
+    want = np.where(seen > 0, np.log((1 + 230) / (1 + seen)) + 1, 0)
+    assert np.allclose(model.idf, want, atol=1e-5)
+
+
 # --- lines -----------------------------------------------------------------
 
 
