@@ -11,12 +11,12 @@ cutoffs a rule takes the one that catches most bad texts for the good ones
 it costs; a rule without a certified cutoff that catches any rejects nothing.
 
 Everything is DataFrame functions. The texts are scored where they lie; only
-scores and labels are joined. The cutoffs (at most ``STRATA`` rows) are
-broadcast.
+scores and labels are joined. The cutoffs are joined by stratum, broadcast
+if there are no more than ``SMALL`` strata with any.
 
 Null texts have no words and fail the base rule. A null language is a
-stratum of its own; languages beyond the ``STRATA`` most labelled ones share
-one. A null label is none; of contradicting labels of one document, the good
+stratum of its own; a stratum without labelled texts has no cutoffs. A null
+label is none; of contradicting labels of one document, the good
 one counts. Repeated rows each give their row. Further columns of the
 documents go through ``keep`` unchanged.
 """
@@ -32,7 +32,7 @@ from reglink.llm import frames
 
 RISK = 0.01
 ERROR = 0.05
-STRATA = 255
+SMALL = 10_000
 PRICE = 20.0  # good texts lost count this much more than bad texts caught
 SPACE = r"[\x20\x09-\x0D]+"
 GRID = {
@@ -119,12 +119,9 @@ def certify(measured: DataFrame, labels: DataFrame, lang: str = "lang", key: str
         above = F.col(rule) > cutoff
         sums += [F.sum((above & (F.col("__good") == 1)).cast("bigint")).alias(f"k{i}"), F.sum((above & (F.col("__good") != 1)).cast("bigint")).alias(f"b{i}")]
     counted = labelled.groupBy("stratum").agg(F.sum((F.col("__good") == 1).cast("bigint")).alias("n"), F.sum((F.col("__good") != 1).cast("bigint")).alias("n_bad"), *sums)
-    # Beyond the most labelled strata the rest is one stratum.
-    top = counted.orderBy(F.desc("n"), "stratum").limit(STRATA).select("stratum", F.col("stratum").alias("__own"))
-    whole = counted.join(F.broadcast(top), "stratum", "left").groupBy(F.coalesce("__own", F.lit("other")).alias("stratum")).agg(*[F.sum(c).alias(c) for c in counted.columns[1:]])
-    long = whole.select("stratum", "n", "n_bad", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("bad")) for i, (r, c) in enumerate(tests)])).alias("t")).select("stratum", "n", "n_bad", "t.*")
+    long = counted.select("stratum", "n", "n_bad", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("bad")) for i, (r, c) in enumerate(tests)])).alias("t")).select("stratum", "n", "n_bad", "t.*")
     long = frames.keep(long.withColumn("p", binomial_tail(F.col("n"), F.col("k"), risk)))
-    strata = long.select("stratum").distinct().count()  # at most STRATA + 1
+    strata = long.select("stratum").distinct().count()
     return long.withColumn("certified", F.col("p") <= error / max(1, strata * len(tests)))
 
 
@@ -140,17 +137,12 @@ def cutoffs(tests: DataFrame, price: float = PRICE) -> DataFrame:
 def judge(measured: DataFrame, chosen: DataFrame, lang: str = "lang") -> DataFrame:
     """The measured rows with ``__base_failed``, ``__failed`` (the rules that
     reject) and ``__kept`` added."""
-    # At most STRATA + 1 rows.
-    rows = {r.stratum: dict(r["__cutoffs"] or {}) for r in chosen.collect()}
-    own = F.when(stratum(lang).isin(list(rows)), stratum(lang)).otherwise("other")
-    hit = []
-    for rule, score in scores().items():
-        known = {s: c[rule] for s, c in rows.items() if rule in c}
-        if known:
-            table = F.create_map(*[F.lit(x) for kv in known.items() for x in kv])
-            hit.append(F.when(score > F.try_element_at(table, own), F.lit(rule)))
-    failed = F.array_compact(F.array(*hit)) if hit else F.array().cast("array<string>")
-    out = measured.withColumns({"__base_failed": base_failed(), "__failed": failed})
+    table = frames.keep(chosen.where("__cutoffs IS NOT NULL").select(F.col("stratum").alias("__stratum"), "__cutoffs"))
+    table = F.broadcast(table) if table.count() <= SMALL else table
+    failed = F.array_compact(F.array(*[F.when(score > F.try_element_at("__cutoffs", F.lit(rule)), F.lit(rule)) for rule, score in scores().items()]))
+    columns = [F.col(f"`{c}`") for c in measured.columns]
+    joined = measured.join(table, stratum(lang) == F.col("__stratum"), "left")
+    out = joined.select(*columns, base_failed().alias("__base_failed"), failed.alias("__failed"))
     return out.withColumn("__kept", ~F.col("__base_failed") & (F.size("__failed") == 0))
 
 

@@ -318,6 +318,25 @@ def test_quality_cutoffs_hold_the_risk(spark):
     assert kept == {i for i in range(1500) if i % 5}
 
 
+def test_quality_strata_are_never_pooled(spark):
+    """Three hundred languages: 299 with bad texts full of symbols, one whose
+    good texts are, and one without labels of its own."""
+    text = lambda i, odd: " ".join(f"w{i}x{j}" + ("###" if odd else "") for j in range(60))
+    rows = [(i, f"l{i % 299:03d}", text(i, i % 2)) for i in range(299 * 20)]
+    rows += [(10_000 + i, "zz", text(i, 1)) for i in range(5)] + [(20_000 + i, "none", text(i, 1)) for i in range(5)]
+    rows += [(30_000 + i, "big", text(i, i % 3 == 0)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    good = lambda i: int(10_000 <= i < 20_000 or (i % 3 > 0 if i >= 30_000 else i % 2 == 0))
+    labels = spark.createDataFrame([(i, good(i), 0) for i, lang, _ in rows if lang != "none"], "doc_id bigint, quality int, toxic int")
+    tests = quality.certify(quality.measures(docs), labels)
+    assert {r.stratum for r in tests.select("stratum").distinct().collect()} == {f"={lang}" for _, lang, _ in rows if lang != "none"}
+    first = tests.agg(F.min("p"), F.max(F.when(F.col("certified"), F.col("p")))).first()
+    assert first[0] <= 0.05 / (301 * 40) and first[1] <= 0.05 / (301 * 40)
+    kept = {r.doc_id for r in quality.keep(docs, labels).select("doc_id").collect()}
+    # Twenty labels certify nothing, two thousand good ones do.
+    assert kept == {i for i, lang, _ in rows if lang != "big" or i % 3}
+
+
 # --- decontamination -------------------------------------------------------
 
 
