@@ -198,9 +198,12 @@ def report(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **kw) ->
     """One row per document: key, n_words, n_hit (words inside hits), n_items,
     items_sha256 and the verdict ``contaminated``."""
     hits = find_hits(docs, benchmark, key, **kw)
-    key_type = docs.schema[key].dataType.simpleString()
+    return _verdicts(hits, docs.schema[key].dataType.simpleString()).withColumnRenamed("key", key)
+
+
+def _verdicts(hits: DataFrame, key_type: str) -> DataFrame:
     out = hits.mapInArrow(_judge, f"key {key_type}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string")
-    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (RULE * F.col("n_hit") >= F.col("n_words"))).withColumnRenamed("key", key)
+    return out.withColumn("contaminated", (F.col("n_hit") > 0) & (RULE * F.col("n_hit") >= F.col("n_words")))
 
 
 def _mark(windows, text_index: int):
@@ -231,6 +234,26 @@ def _cut(text: str, w, i: int, hit: np.ndarray) -> str:
     return b"".join([*out, raw[last:]]).decode()
 
 
+def _cut_found(text_index: int):
+    """Batches whose last two columns, the starts and lengths of the hits,
+    give way to the text without the hit words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, part_name := batch.schema.names[text_index]):
+                w = find_words(part.column(part_name), ALNUM, True)
+                cut = part.column(part_name).to_pylist()
+                hit = np.zeros(len(w.starts), bool)
+                for i, (starts, lengths) in enumerate(zip(part.column("starts").to_pylist(), part.column("lengths").to_pylist(), strict=True)):
+                    if starts:
+                        a, b = int(w.first[i]), int(w.first[i + 1])
+                        hit[a:b] = covered(b - a, np.array(starts, np.int64), np.array(lengths, np.int64))
+                        cut[i] = _cut(cut[i], w, i, hit)
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(cut, pa.string())], names=[*part.schema.names[:-2], "__cut"])
+
+    return run
+
+
 def clean(docs: DataFrame, benchmark: DataFrame, spans: bool = False, size: int = SIZE, max_windows: int = MAX_WINDOWS) -> DataFrame:
     """The documents, all columns as they were, without the contaminated ones;
     with ``spans``, hit words are cut out of the documents that stay."""
@@ -239,11 +262,19 @@ def clean(docs: DataFrame, benchmark: DataFrame, spans: bool = False, size: int
     windows = benchmark_windows(benchmark, size)
     known = windows.limit(max_windows + 1).collect()
     if len(known) > max_windows:
-        if spans:
-            raise ValueError("cutting spans needs a benchmark of at most max_windows windows")
         rows = frames.keep(docs.withColumn("__row", F.monotonically_increasing_id()))
-        bad = report(rows, benchmark, "__row", size=size, max_windows=max_windows).where("contaminated").select("__row")
-        return rows.join(bad, "__row", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+        names = docs.columns
+        at = [c.lower() for c in names].index("text")
+        hits = find_hits(rows.select("__row", F.col(f"`{names[at]}`").alias("text")), benchmark, "__row", size, max_windows)
+        hits = frames.keep(hits) if spans else hits
+        bad = _verdicts(hits, "bigint").where("contaminated").select(F.col("key").alias("__row"))
+        kept = rows.join(bad, "__row", "left_anti")
+        if not spans:
+            return kept.select(*[F.col(f"`{c}`") for c in names])
+        where = hits.where(F.size("starts") > 0).select(F.col("key").alias("__row"), "starts", "lengths")
+        flat = kept.join(where, "__row", "left").select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], "starts", "lengths")
+        schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", __cut string"
+        return flat.mapInArrow(_cut_found(at), schema).select(*[F.col("__cut" if i == at else f"c{i}").alias(c) for i, c in enumerate(names)])
     shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in known]))
     schema = f"{docs.schema.simpleString()[7:-1]},__n_words:bigint,__n_hit:bigint,__cut:string"
     names = docs.columns

@@ -380,6 +380,18 @@ def test_decontaminate(spark, odd, empty):
     assert {r.n_hit for r in decontaminate.report(odd, bench.limit(0)).collect()} == {0}
 
 
+def test_decontaminate_cuts_the_same_spans_by_join(spark, odd, empty):
+    base = next(t for i, t in odd_texts() if i == 5).split()
+    items = [(1, "two"), (2, " ".join(base[50:53])), (3, "wörds apart"), (4, "third line")]
+    bench = spark.createDataFrame(items, "item_id bigint, text string")
+    say = lambda df: Counter(tuple(map(str, r)) for r in df.collect())
+    whole, joined = (decontaminate.clean(odd, bench, spans=True, max_windows=n) for n in (decontaminate.MAX_WINDOWS, 2))
+    assert joined.schema.names == odd.schema.names and joined.schema["text"].dataType == odd.schema["text"].dataType
+    want = say(whole)
+    assert say(joined) == want != say(decontaminate.clean(odd, bench))
+    assert decontaminate.clean(empty, bench, spans=True, max_windows=2).count() == 0
+
+
 # --- language --------------------------------------------------------------
 
 
