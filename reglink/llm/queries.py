@@ -1,6 +1,6 @@
 """The registered queries of the subpackage and their SQL."""
 
-from reglink.llm import decontaminate, language, licenses, lines, minhash, packing, quality, secrets, substrings, warc
+from reglink.llm import decontaminate, language, licenses, lines, minhash, packing, quality, secrets, spelling, substrings, warc
 from reglink.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -14,4 +14,5 @@ QUERIES = {
     "op8_line_chunks": lines.op8_line_chunks,
     "op9_license_scan": licenses.op9_license_scan,
     "op10_warc_fixity": warc.op10_warc_fixity,
+    "op11_spelling_variants": spelling.op11_spelling_variants,
 }
