@@ -1,6 +1,6 @@
 """The registered queries of the subpackage and their SQL."""
 
-from reglink.llm import bpe, decontaminate, language, licenses, lines, minhash, packing, quality, secrets, spelling, substrings, warc
+from reglink.llm import bpe, decontaminate, dialogs, language, licenses, lines, minhash, packing, quality, secrets, spelling, substrings, warc
 from reglink.llm.oracle import ORACLE_SQL  # noqa: F401
 
 QUERIES = {
@@ -15,5 +15,6 @@ QUERIES = {
     "op9_license_scan": licenses.op9_license_scan,
     "op10_warc_fixity": warc.op10_warc_fixity,
     "op11_spelling_variants": spelling.op11_spelling_variants,
+    "op12_conversation_repair": dialogs.op12_conversation_repair,
     "op13_byte_bpe": bpe.op13_byte_bpe,
 }
