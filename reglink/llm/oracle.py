@@ -233,4 +233,123 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM s LEFT JOIN failed USING (doc_id)
 """
 
-ORACLE_SQL = {"op2_near_duplicates": OP2, "op4_substring_dedup": OP4, "op5_quality_rules": OP5, "op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6}
+
+# crc32 of a list of bytes, by the usual table.
+def _crc_entry(c: int) -> int:
+    for _ in range(8):
+        c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+    return c
+
+
+_CRC = f"CAST({[_crc_entry(i) for i in range(256)]} AS UBIGINT[])"
+
+
+def crc32(text: str) -> str:
+    """SQL for the crc32 of a text whose code points lie below U+0800."""
+    points = f"list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), CAST(flatten({points}) AS UBIGINT[])), lambda c, b: xor(c >> 8, {_CRC}[CAST((xor(c, b) & 255) + 1 AS BIGINT)])), CAST(4294967295 AS UBIGINT))"
+
+
+# levenshtein() counts bytes: the 64 letters beyond ASCII get a byte each.
+_WIDE = "".join(map(chr, range(0xC0, 0x100)))
+_NARROW = (UPPER + "0123456789" + "!#$%&()*+,-./:;<=>?@[]^_{|}~")[: len(_WIDE)]
+OP11 = f"""
+WITH RECURSIVE runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+),
+hashed AS (SELECT run, {crc32("id || ':' || run")} AS h FROM runs WHERE len(run) >= 6),
+cut AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, CAST(h % len(run) AS BIGINT)) || substr(run, CAST(h % len(run) AS BIGINT) + 2) ELSE run END AS word FROM hashed
+),
+words AS (
+  SELECT word, count(*) AS n, translate(word, '{_WIDE}', '{_NARROW}') AS bytes FROM cut WHERE len(word) >= 6 GROUP BY 1 HAVING count(*) >= 5
+),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n
+  FROM words a JOIN words b ON len(b.word) BETWEEN len(a.word) - 1 AND len(a.word) + 1 AND levenshtein(a.bytes, b.bytes) = 1
+),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS r FROM near
+),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 5 * words.n THEN other END AS form, CASE WHEN other_n >= 5 * words.n THEN other_n END AS form_n
+  FROM words LEFT JOIN ranked ON words.word = ranked.word AND r = 1
+),
+chain AS (
+  SELECT word, word AS at FROM formed
+  UNION ALL
+  SELECT chain.word, formed.form FROM chain JOIN formed ON chain.at = formed.word WHERE formed.form IS NOT NULL
+),
+ends AS (SELECT chain.word, chain.at AS root FROM chain JOIN formed ON chain.at = formed.word WHERE formed.form IS NULL)
+SELECT word, form, root, CAST(n AS BIGINT) AS n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n FROM formed JOIN ends USING (word)
+"""
+
+# A state is the cost in nine digits followed by the audit, so the least text
+# is the least (cost, audit); s0 to s3 are the places of the wanted pattern.
+def _plus(state: str, cost: str, edit: str) -> str:
+    return f"(lpad(CAST(CAST(left({state}, 9) AS BIGINT) + {cost} AS VARCHAR), 9, '0') || substr({state}, 10) || '{edit}')"
+
+
+_into2 = f"least({_plus('s0', '2', 'I')}, {_plus('s1', '2', 'I')})"
+_c2 = f"least(s2, {_into2}, {_plus('s3', '2', 'I')})"
+_c3 = f"least(s3, {_plus(f'least(s2, {_into2})', '2', 'I')})"
+OP12 = rf"""
+WITH RECURSIVE base AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS fault FROM conversations
+),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM base, unnest(range(0, CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS t(copy) WHERE fault <> 0
+),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged
+),
+judged AS (
+  SELECT *, left(role, 1) AS c, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+    right(body, 1) NOT IN ('.', '!', '?') AS cut, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) || left(role, 1) AS pair FROM placed
+),
+rows AS (SELECT *, NOT blank AND NOT again AS alive, CASE WHEN cut THEN 1 ELSE 0 END AS more FROM judged),
+counts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (alive AND cut) AS truncated,
+    count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM rows GROUP BY 1
+),
+dp AS (
+  SELECT conv_id, 0 AS i, '000000000' AS s0, CAST(NULL AS VARCHAR) AS s1, CAST(NULL AS VARCHAR) AS s2, CAST(NULL AS VARCHAR) AS s3 FROM counts
+  UNION ALL
+  SELECT conv_id, i, {_plus('c0', '3', 'D')},
+    least({_plus('c1', '3', 'D')}, CASE WHEN alive AND c = 's' THEN {_plus('c0', 'more', 'K')} END),
+    least({_plus('c2', '3', 'D')}, CASE WHEN alive AND c = 'u' THEN {_plus('least(c0, c1, c3)', 'more', 'K')} END, CASE WHEN alive THEN {_plus('least(c0, c1, c3)', '2 + more', 'R')} END),
+    least({_plus('c3', '3', 'D')}, CASE WHEN alive AND c = 'a' THEN {_plus('c2', 'more', 'K')} END, CASE WHEN alive THEN {_plus('c2', '2 + more', 'R')} END)
+  FROM (
+    SELECT rows.conv_id, rows.i, alive, more, c, s0 AS c0, s1 AS c1, {_c2} AS c2, {_c3} AS c3
+    FROM dp JOIN rows ON rows.conv_id IS NOT DISTINCT FROM dp.conv_id AND rows.i = dp.i + 1
+  )
+),
+parsed AS (
+  SELECT conv_id, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit
+  FROM (SELECT dp.conv_id, least(s0, {_c3}) AS best FROM dp JOIN counts ON dp.conv_id IS NOT DISTINCT FROM counts.conv_id AND dp.i = counts.n)
+),
+edits AS (
+  SELECT conv_id, audit, k, substr(audit, k, 1) AS e, len(replace(substr(audit, 1, k), 'I', '')) AS i,
+    len(replace(substr(audit, 1, k - 1), 'D', '')) AS place, len(replace(audit, 'D', '')) % 2 AS odd
+  FROM parsed, unnest(range(1, len(audit) + 1)) AS t(k)
+),
+repaired AS (
+  SELECT edits.conv_id, place, CASE WHEN e = 'K' THEN role WHEN place % 2 = odd THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN e = 'I' THEN '' ELSE text END AS line
+  FROM edits LEFT JOIN rows ON edits.conv_id IS NOT DISTINCT FROM rows.conv_id AND edits.i = rows.i WHERE e <> 'D'
+),
+digests AS (SELECT conv_id, sha256(string_agg(line, chr(10) ORDER BY place)) AS digest FROM repaired GROUP BY 1)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS o
+LEFT JOIN counts ON o.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN parsed ON o.conv_id IS NOT DISTINCT FROM parsed.conv_id
+LEFT JOIN digests ON o.conv_id IS NOT DISTINCT FROM digests.conv_id
+"""
+
+ORACLE_SQL = {"op2_near_duplicates": OP2, "op4_substring_dedup": OP4, "op5_quality_rules": OP5, "op10_warc_fixity": OP10, "op1_length_buckets": OP1, "op8_line_chunks": OP8, "op6_decontaminate": OP6, "op11_spelling_variants": OP11, "op12_conversation_repair": OP12}
