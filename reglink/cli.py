@@ -1,6 +1,8 @@
 """Command-line entry for the registry jobs.
 
     python -m reglink.cli integrate RAW_DIR OUT [--rejects]
+    python -m reglink.cli archives RAW_DIR OUT
+    python -m reglink.cli links PAGES OUT
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
     python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species] [--links]
     python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ... | --start D --end D]
@@ -17,13 +19,16 @@ import argparse
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reglink.functions.expr import string_columns
 from reglink.operators import ingest as I
 from reglink.operators import link as L
 from reglink.operators import profile as P
-from reglink.session import build_session
+from reglink.session import build_session, staging_dir
+from reglink.sources import archives as Z
 from reglink.sources import registry as R
+from reglink.sources import store as S
 from reglink.sources.schemas import ADDRESS_SCHEMA, ESTABLISHMENT_ID
 
 
@@ -52,13 +57,34 @@ def integrate(spark: SparkSession, args) -> None:
     report is computed from the written table, so the files are scanned once.
     """
     df = R.load_partitioned(spark, args.raw_dir, ADDRESS_SCHEMA, sep=args.sep, keep_rejects=args.rejects)
-    R.write_table(df, f"{args.out}/addresses", partition_by=["UF"])
-    written = R.read_table(spark, f"{args.out}/addresses")
-    _save(R.source_counts(written, total_label="TOTAL"), args.out, "source_counts")
+    # The counts are metrics of the write.
+    counts = S.write_counted(df, f"{args.out}/addresses", "UF", R.state_labels(spark, args.raw_dir))
+    _save(counts.fillna("TOTAL", ["UF"]), args.out, "source_counts")
     if args.rejects:
+        written = R.read_table(spark, f"{args.out}/addresses")
         _save(R.rejected_summary(written, by=["UF"]), args.out, "rejected_rows")
 
 
+def archives(spark: SparkSession, args) -> None:
+    """State folders of archives -> the table partitioned by state; the states
+    found replace theirs. Writes the tally of archives per state, the rows per
+    state by the manifest, and the files that differ from it."""
+    out = f"{args.out}/addresses"
+    tally = Z.integrate_archives(spark, args.raw_dir, out, ADDRESS_SCHEMA, staging_dir(spark, "archives"), sep=args.sep, encoding=args.encoding)
+    _save(tally, args.out, "archive_tally")
+    counts = S.manifest(spark, out).groupBy(F.col("label").alias("UF")).agg(F.sum("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_files"))
+    _save(counts, args.out, "state_counts")
+    _save(S.verify_partitions(spark, out, "UF"), args.out, "manifest_faults", csv_copy=False)
+
+
+def links(spark: SparkSession, args) -> None:
+    """Links of saved index pages (columns url, html): all of them, the state
+    folders and the archives to fetch."""
+    found = _save(I.extract_links(spark.read.parquet(args.pages)), args.out, "links", csv_copy=False)
+    _save(I.state_folders(found), args.out, "state_folders")
+    _save(I.archive_links(found), args.out, "archive_links", csv_copy=False)
+
+
 def profile(spark: SparkSession, args) -> None:
     """Fill rates (basic, strict, losses), blanks, top values, distinct values
     of the data columns (a kept ``_corrupt_record`` column is not profiled)."""
@@ -118,6 +144,18 @@ def parser() -> argparse.ArgumentParser:
     a.add_argument("--rejects", action="store_true", help="keep and report rows that do not fit the schema")
     a.set_defaults(run=integrate)
 
+    e = sub.add_parser("archives", help="state folders of zip archives -> partitioned Parquet + tally")
+    e.add_argument("raw_dir")
+    e.add_argument("out")
+    e.add_argument("--sep", default=";")
+    e.add_argument("--encoding", default="utf-8")
+    e.set_defaults(run=archives)
+
+    f = sub.add_parser("links", help="links of saved index pages")
+    f.add_argument("pages")
+    f.add_argument("out")
+    f.set_defaults(run=links)
+
     b = sub.add_parser("profile", help="column quality profiles of a table")
     b.add_argument("table")
     b.add_argument("out")

@@ -378,6 +378,7 @@ def q_match_report(spark, sf_dir):
 
 from reglink.session import staging_dir  # noqa: E402
 from reglink.sources import registry as R  # noqa: E402
+from reglink.sources import store as S  # noqa: E402
 
 _STATE_LABEL_SQL = "o_orderstatus || o_orderstatus"
 _ORDERS_FILE_COLS = "o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority"
@@ -408,11 +409,35 @@ def q_source_counts(spark, sf_dir):
 
 @register("integrate", _COUNTS_SQL)
 def q_integrate(spark, sf_dir):
-    """Folders of delimited files -> one Parquet table partitioned by state,
-    then per-state and total counts read back from the written table."""
-    out = staging_dir(spark, "integrated")
-    R.write_table(_loaded(spark, sf_dir), out, partition_by=["UF"])
-    return R.source_counts(R.read_table(spark, out))
+    """Folders of delimited files -> one Parquet table partitioned by state;
+    the per-state and total counts are metrics of that write, so one job
+    reads the data."""
+    raw = X.stage_state_folders(spark, sf_dir)
+    return S.write_counted(R.load_partitioned(spark, raw, X.orders_file_schema()), staging_dir(spark, "integrated"), "UF", R.state_labels(spark, raw))
+
+
+@register("replace_state", f"select {_ORDERS_FILE_COLS}, {_STATE_LABEL_SQL} as UF from orders")
+def q_replace_state(spark, sf_dir):
+    """The whole table committed, then one state ingested again: its
+    partition is replaced, the others keep their files."""
+    out = staging_dir(spark, "states-table")
+    loaded = _loaded(spark, sf_dir)
+    S.replace_partitions(loaded, out, "UF")
+    S.replace_partitions(loaded.where(F.col("UF") == "FF"), out, "UF")
+    return R.read_table(spark, out)
+
+
+@register("committed_files", f"select {_STATE_LABEL_SQL} as label, count(*) as n_rows, 0 as n_faults from orders group by 1")
+def q_committed_files(spark, sf_dir):
+    """Rows per state by the manifest of such a table, and files that differ
+    from it (none)."""
+    out = staging_dir(spark, "states-table")
+    loaded = _loaded(spark, sf_dir)
+    S.replace_partitions(loaded, out, "UF")
+    S.replace_partitions(loaded.where(F.col("UF") == "FF"), out, "UF")
+    listed = S.manifest(spark, out).select("label", "n_rows", F.lit(0).alias("fault"))
+    faults = S.verify_partitions(spark, out, "UF").select("label", F.lit(0).alias("n_rows"), F.lit(1).alias("fault"))
+    return listed.unionByName(faults).groupBy("label").agg(F.sum("n_rows").alias("n_rows"), F.sum("fault").alias("n_faults"))
 
 
 @register(
@@ -463,6 +488,7 @@ def q_export_distinct_values(spark, sf_dir):
 
 from reglink.operators import ingest as I  # noqa: E402
 from reglink.sources import archives as Z  # noqa: E402
+from reglink.sources.schemas import STATE_FOLDER_GLOB  # noqa: E402
 
 _BOUNDS_SQL = (
     "bounds as (select o_custkey, min(o_orderdate) as first_ts, max(o_orderdate) as last_ts "
@@ -566,10 +592,46 @@ def q_archived_orders(spark, sf_dir):
     return parsed
 
 
-@register("ingest_tally")
+_BLOCKS_SQL = f"select distinct o_orderstatus || o_orderstatus as UF, o_orderkey // {X.STATE_ARCHIVE_KEYS} as block from orders"
+
+
+@register(
+    "ingest_tally",
+    f"select count(*) + 2 as n_archives, count(*) + 1 as n_succeeded, 1 as n_failed from ({_BLOCKS_SQL})",
+)
 def q_ingest_tally(spark, sf_dir):
-    """(n_archives, n_succeeded, n_failed); archive count follows the task layout."""
-    return Z.ingest_tally(_expanded(spark, sf_dir))
+    """(n_archives, n_succeeded, n_failed) over state folders of archives: one
+    per status and range of keys, one broken, one empty."""
+    return Z.ingest_tally(Z.expand_archives(spark, X.stage_state_archives(spark, sf_dir) + "/" + STATE_FOLDER_GLOB))
+
+
+@register(
+    "ingest_tally_states",
+    f"""select UF, count(*) + case when UF = 'FF' then 2 else 0 end as n_archives,
+  count(*) + case when UF = 'FF' then 1 else 0 end as n_succeeded, case when UF = 'FF' then 1 else 0 end as n_failed
+from ({_BLOCKS_SQL}) group by UF""",
+)
+def q_ingest_tally_states(spark, sf_dir):
+    """Archives read and failed per state folder, from the road below."""
+    return _archived_states(spark, sf_dir)[1]
+
+
+@register("archived_states", f"select {_ORDERS_FILE_COLS}, {_STATE_LABEL_SQL} as UF from orders")
+def q_archived_states(spark, sf_dir):
+    """State folders of archives -> lines packed into tasks by size -> one
+    table with a state column, read back whole."""
+    return R.read_table(spark, _archived_states(spark, sf_dir)[0])
+
+
+@register("archived_state_counts", _COUNTS_SQL)
+def q_archived_state_counts(spark, sf_dir):
+    return R.source_counts(R.read_table(spark, _archived_states(spark, sf_dir)[0]))
+
+
+def _archived_states(spark, sf_dir):
+    out = staging_dir(spark, "archived-states")
+    tally = Z.integrate_archives(spark, X.stage_state_archives(spark, sf_dir), out, X.orders_file_schema(), staging_dir(spark, "expanded"))
+    return out, tally
 
 
 # --- cleaning extensions ---------------------------------------------------------

@@ -152,6 +152,9 @@ def stage_state_folders(spark: SparkSession, sf_dir: str) -> str:
         for info in fs.get_file_info(pafs.FileSelector(raw))
         if info.type == pafs.FileType.Directory and info.base_name.startswith("o_orderstatus=")
     )
+    labels = [(status * 2)[:2].upper() for status in statuses]
+    if len(set(labels)) < len(labels) or len(labels) > 89 or not all(x.isascii() and x.isalpha() for x in labels):
+        raise ValueError(f"statuses without state folders of their own: {statuses}")
     for i, status in enumerate(statuses):
         fs.move(f"{raw}/o_orderstatus={status}", f"{raw}/{11 + i:02d}_{(status * 2)[:2].upper()}")
     table(spark, sf_dir, "nation").write.option("sep", ";").option("header", True).csv(f"{root}/raw/cnes")
@@ -267,6 +270,83 @@ def stage_archives(spark: SparkSession, sf_dir: str, member_rows: int = 4000) ->
     return root
 
 
+# Orders per archive of ``stage_state_archives`` (a range of keys).
+STATE_ARCHIVE_KEYS = 8192
+
+
+def _write_state_zips(root: str, header: str):
+    """applyInPandas body: the lines of one (state, range of keys) become one
+    archive in the state's folder, one member per priority. A retry writes
+    the same file again."""
+    import io
+    import zipfile
+
+    import pandas as pd
+
+    def write(key, pdf):
+        import pyarrow.fs as pafs
+
+        fs, base = pafs.FileSystem.from_uri(root)
+        folder, block = key
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+            for member, lines in pdf.sort_values("line").groupby("member")["line"]:
+                zf.writestr(f"{member}.csv", "\n".join([header, *lines]) + "\n")
+        fs.create_dir(f"{base}/{folder}", recursive=True)
+        with fs.open_output_stream(f"{base}/{folder}/orders-{block:09d}.zip") as out:
+            out.write(buf.getvalue())
+        return pd.DataFrame({"n_lines": [len(pdf)]})
+
+    return write
+
+
+def stage_state_archives(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as zip archives in state folders (``11_FF/orders-0.zip``):
+    one archive per status and range of ``STATE_ARCHIVE_KEYS`` keys, so their
+    number grows with the table and SQL can count them. A broken and an empty
+    archive lie in the folder 11_FF, a readable one outside any state folder.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, "state_archives")
+    if key in _STAGED:
+        return _STAGED[key]
+    import io
+    import zipfile
+
+    import pyarrow.fs as pafs
+
+    from reglink.session import ship_package, staging_dir
+
+    ship_package(spark)
+    root = staging_dir(spark, "state-archives")
+    orders = table(spark, sf_dir, "orders")
+    # Statuses are few codes; folder numbers follow their order.
+    folder = F.concat(F.element_at(F.create_map(*[F.lit(x) for x in ("F", "11", "O", "12", "P", "13")]), F.col("o_orderstatus")), F.lit("_"), F.repeat("o_orderstatus", 2))
+    if orders.where(folder.isNull()).head(1):
+        raise ValueError("a status outside F, O and P has no folder number")
+    fields = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in ORDERS_FILE_FIELDS]
+    lines = orders.select(
+        folder.alias("folder"),
+        F.floor(F.col("o_orderkey") / STATE_ARCHIVE_KEYS).alias("block"),
+        F.concat(F.lit("p"), F.substring("o_orderpriority", 1, 1)).alias("member"),
+        F.concat_ws(";", *fields).alias("line"),
+    )
+    header = ";".join(n for n, _ in ORDERS_FILE_FIELDS)
+    written = lines.groupBy("folder", "block").applyInPandas(_write_state_zips(root, header), "n_lines bigint")
+    written.write.format("noop").mode("overwrite").save()
+    empty, stray = io.BytesIO(), io.BytesIO()
+    with zipfile.ZipFile(empty, "w"):
+        pass
+    with zipfile.ZipFile(stray, "w") as zf:
+        zf.writestr("p1.csv", f"{header}\n1;1;1;2000-01-01 00:00:00;x\n")
+    fs, base = pafs.FileSystem.from_uri(root)
+    for folder_, name, body in (("11_FF", "broken.zip", b"PK\x03\x04 this is not a complete zip archive"), ("11_FF", "EMPTY.ZIP", empty.getvalue()), ("cnes", "stray.zip", stray.getvalue())):
+        fs.create_dir(f"{base}/{folder_}", recursive=True)
+        with fs.open_output_stream(f"{base}/{folder_}/{name}") as out:
+            out.write(body)
+    _STAGED[key] = root
+    return root
+
+
 # Abbreviations (and one unknown word) written into the dirty street text.
 DIRTY_WORDS = ("R", "av", "TV.", "Dr", "xyz")
 

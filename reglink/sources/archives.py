@@ -3,8 +3,9 @@
 The registries ship as zip files (one per municipality, one per month).
 ``expand_archives`` lists them with Spark's ``binaryFile`` source (paths and
 lengths only), reads each zip's central directory on the executors to list
-its members, spreads the members over tasks and streams each member's lines
-in bounded chunks (``mapInPandas``). Parsing the lines is then native
+its members, packs the members into tasks of even size and streams each
+member's lines in bounded chunks (``mapInPandas``). ``integrate_archives``
+goes on from state folders of archives to a table with a state column. Parsing the lines is then native
 (``from_csv``), and the success/failure tally is an ordinary aggregate, so
 one broken archive never stops the others.
 
@@ -22,15 +23,20 @@ import zipfile
 from typing import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from reglink.operators.profile import ref
 from reglink.session import ensure_checkpoint_dir, ship_package
+from reglink.sources.schemas import STATE_FOLDER_GLOB
+from reglink.sources.store import ROWS_PER_FILE, partition_sizes, replace_partitions
 
 # --- fixed values -----------------------------------------------------------
 STATUS_OK = "ok"
 STATUS_ERROR = "error"
+# State label in the path of an archive: the letters of its NN_XX folder.
+ARCHIVE_STATE_REGEX = r"/[0-9]{2}_([A-Z]{2})/[^/]*$"
 # Case-insensitive archive suffix for the file listing.
 ARCHIVE_GLOB = "*.[zZ][iI][pP]"
 # ----------------------------------------------------------------------------
@@ -42,6 +48,9 @@ MEMBERS_SCHEMA = "archive string, member string, size bigint, status string, mes
 MEMBERS_SCHEMA_COLS = ["archive", "member", "size", "status", "message"]
 _COLS = ["archive", "member", "line_no", "line", "status", "message"]
 
+# Unpacked bytes of a task's members, and shards of the listing in ``pack_members``.
+TASK_BYTES = 256 * 1024 * 1024
+_SHARDS = 256
 # Lines per emitted pandas frame: bounds the Arrow batches whatever the member size.
 _CHUNK = 10_000
 # Damaged, truncated and encrypted members raise errors of many types (zlib's
@@ -199,13 +208,43 @@ def list_members(spark: SparkSession, path: str, recursive: bool = False) -> Dat
     return list_archives(spark, path, recursive).select("path").mapInPandas(_list_members, MEMBERS_SCHEMA)
 
 
+def pack_members(members: DataFrame, task_bytes: int) -> DataFrame:
+    """(archive, member, size, task) of a listing: tasks 0, 1, ... of even
+    unpacked size.
+
+    Members of ``task_bytes`` or more have a task of their own; the others
+    are laid end to end and cut every ``task_bytes``, so such a task holds
+    less than twice that. The running total is taken within shards of the
+    listing and moved on by the totals of the shards before, so no task sees
+    the whole listing. Empty members count one byte.
+    """
+    if task_bytes < 1:
+        raise ValueError("task_bytes must be positive")
+    listed = members.select("archive", "member", "size", F.greatest(F.col("size"), F.lit(1)).alias("weight"))
+    listed = listed.withColumn("shard", F.pmod(F.xxhash64("archive", "member"), F.lit(_SHARDS)))
+    small, large = listed.where(F.col("weight") < task_bytes), listed.where(F.col("weight") >= task_bytes)
+
+    def running(rows: DataFrame, measure: Column) -> DataFrame:
+        within = Window.partitionBy("shard").orderBy("archive", "member").rowsBetween(Window.unboundedPreceding, -1)
+        totals = rows.groupBy("shard").agg(F.sum(measure).alias("total"))
+        # One row per shard.
+        offsets = totals.select("shard", F.coalesce(F.sum("total").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("offset"))
+        return rows.withColumn("before", F.coalesce(F.sum(measure).over(within), F.lit(0))).join(F.broadcast(offsets), "shard")
+
+    begin = small.agg(F.coalesce(F.floor((F.sum("weight") - 1) / task_bytes) + 1, F.lit(0))).scalar()
+    cut = running(small, F.col("weight")).withColumn("task", F.floor((F.col("before") + F.col("offset")) / task_bytes))
+    alone = running(large, F.lit(1)).withColumn("task", begin + F.col("before") + F.col("offset"))
+    return cut.unionByName(alone).select("archive", "member", "size", F.col("task").cast("int").alias("task"))
+
+
 def expand_archives(
     spark: SparkSession,
     path: str,
     encoding: str = "utf-8",
     recursive: bool = False,
-    partitions: int | None = None,
+    task_bytes: int | None = None,
     expected_header: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Every line of every member of every archive under ``path``, plus status rows.
 
@@ -214,25 +253,30 @@ def expand_archives(
     (NULL member, ``ok`` or ``error``), and one per member that failed while
     being read (status ``error``).
 
-    Members, not archives, are the unit of work: they are spread over
-    ``partitions`` tasks (default: the shuffle partitions) by
-    an explicit-count repartition that adaptive execution leaves as is, and
-    each member is streamed in bounded chunks, so neither a large archive
-    nor a large member is ever held whole in memory. A member is one deflate
-    stream, so one member stays one task's work. ``expected_header`` rejects
-    members whose first line differs (status ``error``, no lines).
+    Members, not archives, are the unit of work. They are packed into tasks
+    by their unpacked sizes from the listing (``pack_members``): at most
+    ``task_bytes`` a task (default: 256 MB, or less where ``partitions``
+    tasks, by default the shuffle partitions, would otherwise not all get
+    work), with a task of its own for a larger member. Each member is streamed in bounded chunks, so neither a
+    large archive nor a large member is ever held whole in memory. A member
+    is one deflate stream, so one member stays one task's work.
+    ``expected_header`` rejects members whose first line differs (status
+    ``error``, no lines).
     """
-    # The listing (one small row per member) feeds the member count, the
-    # members and the status rows. Checkpointed eagerly to the shared
-    # folder, it is computed once while being written: each archive's
-    # central directory is read once (one request per archive on object
-    # storage instead of three), and the lineage is cut.
+    # The listing (one small row per member) feeds the sizes, the members and
+    # the status rows. Checkpointed eagerly to the shared folder, it is
+    # computed once while being written: each archive's central directory is
+    # read once (one request per archive on object storage), and the lineage
+    # is cut.
     ensure_checkpoint_dir(spark)
     listing = list_members(spark, path, recursive).checkpoint(eager=True)
-    members = listing.where(F.col("member").isNotNull()).select("archive", "member")
-    if partitions is None:
-        partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lines = members.repartition(partitions, "archive", "member").mapInPandas(_read_members(encoding, expected_header), EXPANDED_SCHEMA)
+    members = listing.where(F.col("member").isNotNull())
+    if task_bytes is None:
+        total = members.agg(F.sum("size")).first()[0] or 0
+        task_bytes = min(TASK_BYTES, max(1, -(-total // (partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))))))
+    packed = pack_members(members, task_bytes)
+    tasks = 1 + (packed.agg(F.max("task")).first()[0] or 0)
+    lines = packed.repartitionById(tasks, "task").select("archive", "member").mapInPandas(_read_members(encoding, expected_header), EXPANDED_SCHEMA)
     archive_status = listing.where(F.col("member").isNull()).select(
         "archive", "member", F.lit(None).cast("bigint").alias("line_no"), F.lit(None).cast("string").alias("line"),
         "status", "message",
@@ -284,16 +328,25 @@ def parse_lines(
     return parsed.select(*(["archive", "member"] if keep_source else []), *fields)
 
 
-def ingest_tally(expanded: DataFrame) -> DataFrame:
+def archive_state(archive: str = "archive") -> Column:
+    """State label of an archive from its folder (``.../11_RO/x.zip``: RO);
+    NULL outside a state folder."""
+    label = F.regexp_extract(archive, ARCHIVE_STATE_REGEX, 1)
+    return F.when(label != "", label)
+
+
+def ingest_tally(expanded: DataFrame, label: str | None = None) -> DataFrame:
     """(n_archives, n_succeeded, n_failed): an archive failed when its listing
     or any of its members failed. Aggregates the status rows only (one per
-    archive plus one per failed member)."""
+    archive plus one per failed member). With ``label``, one row per state
+    folder under that name."""
+    keys = [archive_state().alias(label)] if label else []
     per_archive = (
         expanded.where(F.col("line").isNull())
-        .groupBy("archive")
+        .groupBy(*keys, "archive")
         .agg(F.max((F.col("status") == STATUS_ERROR).cast("int")).alias("failed"))
     )
-    return per_archive.agg(
+    return per_archive.groupBy(*([ref(label)] if label else [])).agg(
         F.count(F.lit(1)).alias("n_archives"),
         F.count_if(F.col("failed") == 0).alias("n_succeeded"),
         F.count_if(F.col("failed") == 1).alias("n_failed"),
@@ -333,3 +386,44 @@ def ingest_archives(
     expanded = spark.read.parquet(staging)
     parsed = parse_lines(archive_lines(expanded), schema, sep, header, keep_source, keep_rejects)
     return parsed, ingest_tally(expanded)
+
+
+def integrate_archives(
+    spark: SparkSession,
+    raw_dir: str,
+    out: str,
+    schema: StructType,
+    staging: str,
+    label: str = "UF",
+    sep: str = ";",
+    encoding: str = "utf-8",
+    check_header: bool = True,
+    rows_per_file: int = ROWS_PER_FILE,
+    task_bytes: int | None = None,
+) -> DataFrame:
+    """State folders of archives (``11_RO/*.zip``) to one Parquet table under
+    ``out``, partitioned by state; returns the tally of archives per state.
+
+    The archives are unpacked once into ``staging``. A member's state comes
+    with its lines from the archive's path. The states that are found replace
+    theirs in the table and leave others alone, in files of about
+    ``rows_per_file`` rows (lines counted per archive from the staged table,
+    of which only two columns are read for it). Archives outside state
+    folders are not read; ones that cannot be read are failures in the tally
+    and give no rows.
+    """
+    if label in schema.fieldNames():
+        raise ValueError(f"{label} is a field of the files: choose another label")
+    expected = sep.join(f.name for f in schema.fields) if check_header else None
+    folders = f"{raw_dir.rstrip('/')}/{STATE_FOLDER_GLOB}"
+    expand_archives(spark, folders, encoding, expected_header=expected, task_bytes=task_bytes).write.mode("overwrite").parquet(staging)
+    expanded = spark.read.schema(EXPANDED_SCHEMA).parquet(staging)
+    lines = archive_lines(expanded).where(F.col("line_no") > 0).withColumn("state", archive_state())
+    fields = [F.col(f"r.`{f.name}`").alias(f.name) for f in schema.fields]
+    row_no = "row_no"
+    while row_no in (*schema.fieldNames(), label):
+        row_no += "_"
+    rows = lines.select(F.from_csv("line", ddl(schema), {"sep": sep}).alias("r"), "state", F.xxhash64("archive", "member", "line_no").alias("row_no"))
+    sizes = partition_sizes(lines, "state")
+    replace_partitions(rows.select(*fields, F.col("state").alias(label), F.col("row_no").alias(row_no)), out, label, rows_per_file, sizes, spread=row_no)
+    return ingest_tally(expanded, label)

@@ -118,6 +118,14 @@ def load_partitioned(
     return df.withColumn(label, state)
 
 
+def state_labels(spark: SparkSession, raw_dir: str) -> list[str]:
+    """Labels of the state folders under ``raw_dir`` that hold files, from a
+    listing (no content is read; one label per folder comes back)."""
+    files = spark.read.format("binaryFile").load(f"{raw_dir.rstrip('/')}/{STATE_FOLDER_GLOB}")
+    label = F.regexp_extract("path", r"^.*/[0-9]{2}_([A-Z]{2})/", 1)
+    return sorted(r.label for r in files.select(label.alias("label")).distinct().collect())
+
+
 def source_counts(df: DataFrame, label: str = "UF", total_label: str | None = None) -> DataFrame:
     """Rows per source plus the grand total, in one aggregate.
 

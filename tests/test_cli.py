@@ -49,3 +49,26 @@ def test_integrate_link_profile_months(spark, tmp_path):
     direct = I.gap_report(spark.read.parquet(orders), "o_orderdate", ["o_custkey"])
     assert spark.read.parquet(f"{out}/months/missing_periods").exceptAll(direct).count() == 0
     assert spark.read.parquet(f"{out}/months/missing_periods").count() == direct.count()
+
+
+def test_archives_and_links(spark, tmp_path):
+    import zipfile
+
+    header = ";".join(f.name for f in ADDRESS_SCHEMA.fields)
+    for folder, n in (("11_RO", 3), ("35_SP", 2)):
+        (tmp_path / "raw" / folder).mkdir(parents=True)
+        with zipfile.ZipFile(tmp_path / "raw" / folder / "a.zip", "w") as z:
+            z.writestr("a.csv", "\n".join([header, *[f"{i}" + ";" * (len(ADDRESS_SCHEMA.fields) - 1) for i in range(n)]]) + "\n")
+    out = str(tmp_path / "out")
+    cli.main(["archives", str(tmp_path / "raw"), out], spark=spark)
+    assert sorted(rows(spark.read.parquet(f"{out}/state_counts"))) == [("RO", 3, 1), ("SP", 2, 1)]
+    assert sorted(rows(spark.read.parquet(f"{out}/archive_tally"))) == [("RO", 1, 1, 0), ("SP", 1, 1, 0)]
+    assert spark.read.parquet(f"{out}/manifest_faults").count() == 0
+    table = spark.read.parquet(f"{out}/addresses")
+    assert table.columns == [*ADDRESS_SCHEMA.fieldNames(), "UF"] and table.count() == 5
+
+    pages = [("http://h/d/index.html", '<a href="11_RO/">RO</a> <a href="x.zip">x</a> <a href="../">Parent Directory</a>')]
+    spark.createDataFrame(pages, "url string, html string").write.parquet(str(tmp_path / "pages"))
+    cli.main(["links", str(tmp_path / "pages"), out], spark=spark)
+    assert rows(spark.read.parquet(f"{out}/state_folders")) == [("11_RO",)]
+    assert rows(spark.read.parquet(f"{out}/archive_links")) == [("http://h/d/x.zip",)]
