@@ -4,7 +4,7 @@
     python -m reglink.cli archives RAW_DIR OUT
     python -m reglink.cli links PAGES OUT
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
-    python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species] [--links]
+    python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species] [--links] [--all-links]
     python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ... | --start D --end D]
 
 Every result is written as a table under OUT (Parquet, plus a small CSV copy
@@ -112,6 +112,10 @@ def link(spark: SparkSession, args) -> None:
     _save(P.malformed_summary(establishments, "NU_LATITUDE", "NU_LONGITUDE"), args.out, "malformed_coordinates")
     _save(P.duplicate_groups(establishments, ["NO_FANTASIA", "CO_CEP"]), args.out, "duplicate_groups")
     _save(P.distinct_count(establishments, [ESTABLISHMENT_ID]), args.out, "distinct_units")
+    if args.all_links:
+        # Every establishment under every rule, by one join; a folder per rule.
+        linked = L.link_all(establishments, addresses, rules, ESTABLISHMENT_ID, "COD_UNICO_ENDERECO")
+        linked.write.mode("overwrite").partitionBy("rule").parquet(f"{args.out}/links")
     if args.links:
         # One table per rule: every establishment with its partner count and
         # smallest partner id (a join per rule, so only on request).
@@ -174,6 +178,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--normalize-number", action="store_true")
     c.add_argument("--coordinate-digits", type=int, default=None)
     c.add_argument("--links", action="store_true", help="also write one link table per rule")
+    c.add_argument("--all-links", action="store_true", help="also write the links under all rules as one table")
     c.set_defaults(run=link)
 
     d = sub.add_parser("months", help="missing months per group")

@@ -238,6 +238,73 @@ def link(
     )
 
 
+def _rule_keys(df: DataFrame, rules: Sequence[Rule], side: str, width: int, row_id: str, salt: bool) -> DataFrame:
+    """(row_id, hash, rule, k0...): one row per (input row, rule). A key with
+    a NULL part is NULL throughout, as it matches nothing."""
+    cols, entries = [ref(row_id).alias("row_id"), (F.xxhash64(*_hashable(df)) if salt else F.lit(0).cast("bigint")).alias("hash")], []
+    for j, r in enumerate(rules):
+        names = [f"r{j}p{i}" for i in range(len(r.left))]
+        cols += [c.alias(n) for c, n in zip(_typed_parts(df, r.left if side == "left" else r.right, r.numeric), names)]
+        complete = reduce(lambda a, b: a & b, [F.col(n).isNotNull() for n in names])
+        keys = [F.when(complete, F.col(names[i]) if i < len(names) else F.lit("")).alias(f"k{i}") for i in range(width)]
+        entries.append(F.struct(F.lit(r.name).alias("rule"), *keys))
+    return df.select(*cols).select("row_id", "hash", F.inline(F.array(*entries)))
+
+
+def link_all(
+    left: DataFrame,
+    right: DataFrame,
+    rules: Sequence[Rule],
+    left_id: str,
+    right_id: str,
+    target_rows: int = 1_000_000,
+    max_hot: int = 50_000,
+) -> DataFrame:
+    """Partners of every left row under every rule, in one join.
+
+    (left_id, rule, matches, first_id): one row per left row and rule, with
+    the number of right rows of equal key (0 when none) and the smallest of
+    their ids. Every row becomes one (rule, key) per rule; the right side is
+    grouped by (rule, key) and joined once. The right side is read once, the
+    left one twice (its keys are counted first; its number of rows comes from
+    file footers).
+
+    The join is salted by each key's measured count: a key of n left rows is
+    dealt to ``ceil(n / target)`` tasks by a hash of the row, with a copy of
+    its one right row for each. NULL keys count as a key per rule and are
+    dealt the same way. ``target`` is ``target_rows``, or so much more that at
+    most ``max_hot`` keys lie above it: the list of these keys is collected
+    and broadcast, and ``max_hot`` bounds it. So no key sends more than
+    ``target_rows`` or a share of ``1 / max_hot`` of all rows to a task;
+    left rows equal in all columns share a hash and stay together.
+    """
+    if not rules or len({r.name for r in rules}) < len(rules):
+        raise ValueError("rules have to be given, under different names")
+    if target_rows < 1 or max_hot < 1:
+        raise ValueError("target_rows and max_hot must be positive")
+    spark, width = left.sparkSession, max(len(r.left) for r in rules)
+    keys = ["rule", *[f"k{i}" for i in range(width)]]
+    lk = _rule_keys(left, rules, "left", width, left_id, True)
+    rk = _rule_keys(right, rules, "right", width, right_id, False)
+    target = max(target_rows, -(-left.count() * len(rules) // max_hot))
+    counted = lk.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > target)
+    # Counts above the target add up to the total at most: max_hot rows or fewer.
+    hot_rows = [(*(r[k] for k in keys), -(-r.n // target)) for r in counted.collect()]
+    hot = spark.createDataFrame(hot_rows, ", ".join(f"`h_{k}` string" for k in keys) + ", salts bigint")
+
+    def salted(df: DataFrame) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"h_{k}")) for k in keys])
+        return df.join(F.broadcast(hot), same, "left").withColumn("salts", F.coalesce("salts", F.lit(1).cast("bigint")))
+
+    grouped = rk.where(F.col("k0").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("row_id").alias("first_id"))
+    partners = salted(grouped).select(*keys, "n", "first_id", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
+    rows = salted(lk).select("row_id", *keys, F.pmod("hash", "salts").alias("salt"))
+    joined = rows.join(partners, [*keys, "salt"], "left")
+    return joined.select(
+        F.col("row_id").alias(left_id), "rule", F.coalesce("n", F.lit(0).cast("bigint")).alias("matches"), "first_id"
+    )
+
+
 def _c(name: str) -> KeyFn:
     return lambda df: ref(name)
 

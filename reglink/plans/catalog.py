@@ -349,6 +349,22 @@ from est left join (
     )(_link_query(_rule))
 
 
+def _all_rules_sql() -> str:
+    parts = [
+        f"""select est.CO_UNIDADE, '{rule}' as rule, coalesce(m.n, 0) as matches, m.first_id
+from est left join (select lk.id, count(*) as n, min(rk.id) as first_id from lk join rk on {cond} group by lk.id) m on est.CO_UNIDADE = m.id"""
+        for rule, cond in RULE_CONDITIONS.items()
+    ]
+    return f"with {REGISTRIES_SQL},{KEYED_SQL}\n" + "\nunion all\n".join(parts)
+
+
+@register("link_all_rules", _all_rules_sql())
+def q_link_all_rules(spark, sf_dir):
+    """Every establishment's partners under each of the five rules, by one join."""
+    est, adr = registries(spark, sf_dir)
+    return L.link_all(est, adr, L.registry_rules(), "CO_UNIDADE", "COD_UNICO_ENDERECO")
+
+
 def _report_sql() -> str:
     parts = []
     for rule, cond in RULE_CONDITIONS.items():

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL, plan_text, rows
@@ -187,3 +188,71 @@ def test_null_keys_are_spread_over_join_tasks(spark):
     out = L.link(left, right, rule, "rid", salt_buckets=16)
     assert out.where("name IS NULL AND r_matches > 0").count() == 0
     assert out.count() == 3000
+
+
+# --- all rules in one pass ------------------------------------------------------
+
+
+def _hot_registries(spark, tmp_path, n=12_000):
+    """A third of the left rows under one name, a third without a name."""
+    name = F.when(F.col("id") % 3 == 0, "HOT").when(F.col("id") % 3 == 1, F.concat(F.lit("N"), (F.col("id") % 500).cast("string")))
+    left = spark.range(n).select(F.col("id").alias("a"), name.alias("name"), (F.col("id") % 7).cast("string").alias("street"), F.lit("x").alias("rule"), F.lit(1).alias("salt"))
+    right = spark.range(900).select(F.col("id").alias("b"), F.when(F.col("id") < 20, "HOT").when(F.col("id") < 800, F.concat(F.lit("N"), F.col("id").cast("string"))).alias("name"), (F.col("id") % 7).cast("string").alias("street"))
+    for df, at in ((left, "left"), (right, "right")):
+        df.write.parquet(str(tmp_path / at))
+    return spark.read.parquet(str(tmp_path / "left")), spark.read.parquet(str(tmp_path / "right"))
+
+
+def _named(*columns):
+    return [lambda df, c=c: df[c] for c in columns]
+
+
+RULES = [L.Rule("name", _named("name"), _named("name")), L.Rule("name_street", _named("name", "street"), _named("name", "street")), L.Rule("street", _named("street"), _named("street"))]
+
+
+def test_all_rules_in_one_pass_match_one_by_one(spark, tmp_path):
+    left, right = _hot_registries(spark, tmp_path)
+    for target in (50, 1_000_000):
+        out = L.link_all(left, right, RULES, "a", "b", target_rows=target)
+        assert out.columns == ["a", "rule", "matches", "first_id"] and out.count() == 3 * 12_000
+        for rule in RULES:
+            one = L.link(left, right, rule, right_id="b").select("a", "r_matches", "r_first_id")
+            assert sorted(rows(out.where(F.col("rule") == rule.name), "a", "matches", "first_id"), key=str) == sorted(rows(one), key=str)
+
+
+def test_all_rules_read_the_left_side_twice(spark, tmp_path):
+    left, right = _hot_registries(spark, tmp_path)
+    out = L.link_all(left, right, RULES, "a", "b", target_rows=50)
+    # The keys were counted by the call itself: that is the other time.
+    plan = plan_text(out)
+    assert plan.count(f"{tmp_path}/left") == 1 and plan.count(f"{tmp_path}/right") == 1
+    assert plan.count("Join") - plan.count("BroadcastHashJoin") <= 1
+
+
+def test_hot_and_null_keys_are_dealt_to_many_tasks(spark, tmp_path):
+    left, right = _hot_registries(spark, tmp_path)
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "24"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        out = L.link_all(left, right, RULES[:2], "a", "b", target_rows=100)
+        # A column of the right side keeps the optimizer from dropping the join.
+        sizes = [n for _, n in rows(out.groupBy(F.spark_partition_id().alias("p")).agg(F.count(F.coalesce("first_id", "matches"))))]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 24_000 and max(sizes) <= 0.15 * sum(sizes)
+
+
+def test_all_rules_on_empty_sides_and_bad_input(spark, tmp_path):
+    left, right = _hot_registries(spark, tmp_path, 30)
+    assert L.link_all(left.where("a < 0"), right, RULES, "a", "b").count() == 0
+    alone = L.link_all(left, right.where("b < 0"), RULES, "a", "b", target_rows=1)
+    assert set(rows(alone, "matches", "first_id")) == {(0, None)} and alone.count() == 90
+    for bad in ({"rules": []}, {"rules": [RULES[0], RULES[0]]}, {"rules": RULES, "target_rows": 0}, {"rules": RULES, "max_hot": 0}):
+        with pytest.raises(ValueError):
+            L.link_all(left, right, left_id="a", right_id="b", **bad)
+    # Fewer keys than asked are broadcast when the list is bounded tightly.
+    bounded = L.link_all(left, right, RULES, "a", "b", target_rows=1, max_hot=1)
+    assert sorted(rows(bounded), key=str) == sorted(rows(L.link_all(left, right, RULES, "a", "b")), key=str)
