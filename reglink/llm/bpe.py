@@ -13,8 +13,8 @@ encoded by itself in two tiers:
   ranks; entries whose pair has changed since are passed over when popped.
 
 The distinct pre-tokens of a slice of texts are resolved once, the first tier
-as array operations over all of them, and a task remembers the misses it has
-merged (``MEMORY`` of them, then it starts again).
+as array operations over all of them, and a worker remembers the misses it
+has merged lately (``MEMORY``).
 
 The vocabulary is read on the driver and broadcast; a rank file above
 ``MAX_VOCABULARY`` bytes is refused. Tokenizers are never trained here.
@@ -22,7 +22,7 @@ The vocabulary is read on the driver and broadcast; a rank file above
 Null texts encode like empty ones: no ids, and they decode to no bytes. Null
 ids, or ids that the vocabulary does not have, decode to null. Repeated rows
 each give their row, empty tables give empty results, further columns are
-passed over. Slices are about a megabyte; one very long text is a slice of
+passed over. Slices are about four megabytes; one very long text is a slice of
 its own, and one very long pre-token needs memory in proportion to its
 length.
 """
@@ -31,8 +31,9 @@ from __future__ import annotations
 
 import base64
 import heapq
-from array import array
 from collections.abc import Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,14 +46,18 @@ from reglink.llm import frames
 from reglink.llm.text import Words, mix, slices
 
 MAX_VOCABULARY = 1 << 26
-MEMORY = 1 << 17
+MEMORY = 1 << 18
 # Longer misses are merged each time instead of being remembered.
 REMEMBERED_BYTES = 64
 KEYS_PER_BUCKET = 4
 TRIES = 256
+# Bytes of text encoded, and ids decoded, at a time.
+SLICE_BYTES = 1 << 22
 SLICE_IDS = 1 << 18
 FILE = "byte_bpe_50k.tiktoken"
 
+# Two ids are one integer in the table of pairs.
+_SHIFT = 31
 _STEP = np.uint64(0xD1342543DE82EF95)
 
 
@@ -122,32 +127,68 @@ class PerfectHash:
         return np.where(same, self.owner[place], -1)
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the adjacent pair of lowest rank merges first."""
-    n = len(piece)
-    after, before = array("q", range(1, n + 1)), array("q", range(-1, n - 1))
-    alive = bytearray(b"\1") * n
-    heap = [rank << 32 | i for i in range(n - 1) if (rank := ranks.get(piece[i:i + 2])) is not None]
+def merge(piece: bytes, alone: list[int], pairs: dict[int, int]) -> tuple[int, ...]:
+    """Ids of one pre-token: the adjacent pair of lowest rank merges first.
+    ``alone`` has the id of each byte, ``pairs`` the id of each two ids that
+    are a token together (the left one shifted by ``_SHIFT``)."""
+    n, find, pop, push = len(piece), pairs.get, heapq.heappop, heapq.heappush
+    # An entry is a rank and a place: small integers for short pieces.
+    bits = 12 if n <= 4096 else 32
+    mask = (1 << bits) - 1
+    ids = [alone[b] for b in piece]
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    # The entry of the pair that begins at a place now; any other one in the
+    # heap is out of date.
+    heap = [rank << bits | i for i, rank in enumerate([find(a << _SHIFT | b, -1) for a, b in zip(ids, ids[1:], strict=False)]) if rank >= 0]
+    now = [-1] * n
+    for entry in heap:
+        now[entry & mask] = entry
     heapq.heapify(heap)
     while heap:
-        entry = heapq.heappop(heap)
-        i = entry & 0xFFFFFFFF
-        j = after[i]
-        if not alive[i] or j >= n or ranks.get(piece[i:after[j]]) != entry >> 32:
+        entry = pop(heap)
+        i = entry & mask
+        if now[i] != entry:
             continue
-        alive[j], end = 0, after[j]
-        after[i] = end
+        rank, gone = entry >> bits, after[i]
+        ids[i], now[gone], now[i], after[i] = rank, -1, -1, (end := after[gone])
         if end < n:
             before[end] = i
-            if (rank := ranks.get(piece[i:after[end]])) is not None:
-                heapq.heappush(heap, rank << 32 | i)
-        if i and (rank := ranks.get(piece[before[i]:end])) is not None:
-            heapq.heappush(heap, rank << 32 | before[i])
-    ids, i = [], 0
+            new = find(rank << _SHIFT | ids[end], -1)
+            if new >= 0:
+                now[i] = new = new << bits | i
+                push(heap, new)
+        if i:
+            left = before[i]
+            new = find(ids[left] << _SHIFT | rank, -1)
+            if new >= 0:
+                now[left] = new = new << bits | left
+                push(heap, new)
+            else:
+                now[left] = -1
+    out, i = [], 0
     while i < n:
-        ids.append(ranks[piece[i:after[i]]])
+        out.append(ids[i])
         i = after[i]
-    return ids
+    return tuple(out)
+
+
+class Memory:
+    """What a worker has merged lately: a young and an old generation of at
+    most ``MEMORY`` pre-tokens each."""
+
+    def __init__(self):
+        self.young, self.old = {}, {}
+
+    def get(self, piece: bytes) -> tuple[int, ...] | None:
+        ids = self.young.get(piece)
+        if ids is None and (ids := self.old.get(piece)) is not None:
+            self.put(piece, ids)
+        return ids
+
+    def put(self, piece: bytes, ids: tuple[int, ...]) -> None:
+        if len(self.young) >= MEMORY:
+            self.young, self.old = {}, self.young
+        self.young[piece] = ids
 
 
 class Vocabulary:
@@ -159,6 +200,8 @@ class Vocabulary:
         if len(set(ranks.values())) != len(ranks) or b"" in ranks or min(ranks.values()) < 0:
             raise ValueError("ranks have to be distinct, not negative, and of non-empty tokens")
         self.pattern, self.ranks = pattern, ranks
+        if max(ranks.values()) >= 1 << _SHIFT:
+            raise ValueError(f"ranks have to be below {1 << _SHIFT}")
         tokens = list(ranks)
         self.ids = np.array([ranks[t] for t in tokens], np.int32)
         self.hash = PerfectHash(tokens)
@@ -169,6 +212,18 @@ class Vocabulary:
         ordered = [by_id.get(i, b"") for i in range(len(self.known))]
         self.ends = np.cumsum([len(t) for t in ordered])
         self.raw = np.frombuffer(b"".join(ordered), np.uint8)
+        self.alone = [ranks[bytes([b])] for b in range(256)]
+        halves = [(left << _SHIFT | right, rank) for t, rank in ranks.items() for i in range(1, len(t)) if (left := ranks.get(t[:i])) is not None and (right := ranks.get(t[i:])) is not None]
+        self._pairs = np.array(halves, np.int64).reshape(-1, 2)
+
+    @cached_property
+    def pairs(self) -> dict[int, int]:
+        return dict(self._pairs.tolist())
+
+    @cached_property
+    def memory(self) -> Memory:
+        """Shared by the tasks of one worker process."""
+        return Memory()
 
     @classmethod
     def load(cls, path: str, pattern: str) -> Vocabulary:
@@ -179,20 +234,19 @@ class Vocabulary:
             raise ValueError(f"{path}: over {MAX_VOCABULARY} bytes, too large to broadcast")
         return cls({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, filter(None, content.splitlines()))}, pattern)
 
-    def encode(self, pieces: list[bytes], merged: dict[bytes, list[int]]) -> list[list[int]]:
-        """Ids of distinct pre-tokens; ``merged`` remembers the misses."""
-        out = []
-        for piece, at in zip(pieces, self.hash.find(pieces).tolist(), strict=True):
-            if at >= 0:
-                out.append([int(self.ids[at])])
+    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        """Ids of distinct pre-tokens."""
+        out, memory, alone, pairs = [], self.memory, self.alone, self.pairs
+        whole = self.hash.find(pieces)
+        for piece, id_ in zip(pieces, np.where(whole < 0, -1, self.ids[whole]).tolist(), strict=True):
+            if id_ >= 0:
+                out.append((id_,))
                 continue
-            ids = merged.get(piece)
+            ids = memory.get(piece)
             if ids is None:
-                ids = merge(piece, self.ranks)
+                ids = merge(piece, alone, pairs)
                 if len(piece) <= REMEMBERED_BYTES:
-                    if len(merged) >= MEMORY:
-                        merged.clear()
-                    merged[piece] = ids
+                    memory.put(piece, ids)
             out.append(ids)
         return out
 
@@ -228,17 +282,17 @@ def _encode(vocabulary: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        voc, merged = vocabulary.value, {}
+        voc = vocabulary.value
         cut = regex.compile(voc.pattern).findall
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, limit=SLICE_BYTES):
                 found = [cut(text) if text else [] for text in part.column("text").to_pylist()]
                 rows = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int64)
                 pieces = pa.chunked_array([pa.array(x, pa.string()) for x in found]).combine_chunks().dictionary_encode()
-                ids = voc.encode(pieces.dictionary.cast(pa.binary()).to_pylist(), merged)
+                ids = voc.encode(pieces.dictionary.cast(pa.binary()).to_pylist())
                 ends = np.cumsum([len(x) for x in ids])
                 which = pieces.indices.to_numpy()
-                flat, sizes = _gather(np.array([i for x in ids for i in x], np.int32), np.concatenate([[0], ends[:-1]]).astype(np.int64)[which], ends[which]) if len(which) else (np.empty(0, np.int32), np.empty(0, np.int64))
+                flat, sizes = _gather(np.fromiter(chain.from_iterable(ids), np.int32), np.concatenate([[0], ends[:-1]]).astype(np.int64)[which], ends[which]) if len(which) else (np.empty(0, np.int32), np.empty(0, np.int64))
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(pa.array(_offsets(sizes, rows), pa.int32()), pa.array(flat))], names=["key", "ids"])
 
     return run
