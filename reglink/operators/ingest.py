@@ -32,12 +32,14 @@ from reglink.sources.schemas import STATE_FOLDER_REGEX
 PARENT_LINK_TEXT = "Parent Directory"
 # Suffix of a downloadable archive link.
 ARCHIVE_SUFFIX = ".zip"
-# Whole anchor element, case-insensitive, across line breaks.
-ANCHOR_REGEX = r"(?is)<a\s[^>]*>.*?</a>"
+# Where an anchor opens, case-insensitive.
+ANCHOR_OPEN_REGEX = r"(?i)<a(?=[\s>])"
+# Attributes of an opened anchor up to its ">" (which may stand within quotes).
+ANCHOR_TAG_REGEX = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 # href attribute value: double-quoted, single-quoted or bare.
-HREF_REGEX = r"""(?is)^<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Text between the opening and closing tag of one anchor.
-ANCHOR_TEXT_REGEX = r"(?is)^<a\s[^>]*>(.*)</a>$"
+HREF_REGEX = r"""(?is)(?:^|[\s"'])href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# The end of an anchor's text, case-insensitive.
+ANCHOR_CLOSE_REGEX = r"(?i)</a\s*>"
 # A URL with a scheme (http:, https:, ftp:, ...).
 SCHEME_REGEX = r"^[A-Za-z][A-Za-z0-9+.-]*:"
 # Scheme and authority of a URL (http://host:port).
@@ -223,22 +225,46 @@ def decode_entities(c: Column) -> Column:
     return c
 
 
+def remove_dot_segments(path: Column) -> Column:
+    """``path`` with its ``.`` and ``..`` segments folded away; a ``..``
+    beyond the root is dropped, and a path that ends in one keeps a slash."""
+    segments = F.split(path, "/")
+    last = F.element_at(segments, -1)
+    # The empty segment before a leading slash is never taken back.
+    folded = F.aggregate(
+        segments,
+        F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.when(F.size(acc) > 1, F.slice(acc, F.lit(1), F.size(acc) - 1)).otherwise(acc))
+        .when(x == ".", acc)
+        .otherwise(F.concat(acc, F.array(x))),
+    )
+    tail = F.when(last.isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    # Few paths hold such a segment.
+    return F.when(path.rlike(r"(^|/)\.{1,2}(/|$)"), F.concat(F.array_join(folded, "/"), tail)).otherwise(path)
+
+
 def resolve_url(base: Column, href: Column) -> Column:
     """Absolute URL of ``href`` seen from page ``base``.
 
-    Scheme URLs are kept, ``/path`` goes under the page's origin, anything
-    else under the page's folder (its path up to the last ``/``, query and
-    fragment dropped).
+    Scheme URLs are kept; ``//host/path`` takes the page's scheme; ``/path``
+    goes under the page's origin; ``?query`` replaces the page's query and
+    ``#part`` its fragment; anything else goes under the page's folder (its
+    path up to the last ``/``). ``.`` and ``..`` segments are folded.
     """
-    page = F.regexp_replace(base, r"[?#].*$", "")
+    whole = F.regexp_replace(base, r"#.*$", "")
+    page = F.regexp_replace(whole, r"\?.*$", "")
     origin = F.regexp_extract(page, ORIGIN_REGEX, 0)
-    folder = F.when(page == origin, F.concat(page, F.lit("/"))).otherwise(
-        F.regexp_extract(page, r"^(.*/)", 1)
-    )
+    path = F.substring(page, F.length(origin) + 1, F.length(page))
+    folder = F.when(page == origin, F.lit("/")).otherwise(F.regexp_extract(path, r"^(.*/)", 1))
+    at = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.substring(href, F.length(at) + 1, F.length(href))
     return (
         F.when(href.rlike(SCHEME_REGEX), href)
-        .when(href.startswith("/"), F.concat(origin, href))
-        .otherwise(F.concat(folder, href))
+        .when(href.startswith("//"), F.concat(F.regexp_extract(base, SCHEME_REGEX, 0), href))
+        .when(href.startswith("?"), F.concat(page, href))
+        .when((href == "") | href.startswith("#"), F.concat(whole, href))
+        .when(href.startswith("/"), F.concat(origin, remove_dot_segments(at), rest))
+        .otherwise(F.concat(origin, remove_dot_segments(F.concat(folder, at)), rest))
     )
 
 
@@ -254,34 +280,39 @@ def extract_links(
     href without trailing slashes; ``kind`` is ``folder`` for a link ending in
     ``/`` whose name looks like a state folder (``NN_XX``), ``archive`` for a
     link ending in ``.zip`` (case-sensitive), ``other`` otherwise. The parent
-    folder link is never a folder or an archive. Anchor text has inner tags
-    removed and is trimmed; the basic named entities are decoded in text and
+    folder link is never a folder or an archive.
+
+    A page is cut where anchors open, in one linear pass, so an anchor that
+    is never closed ends where the next one opens. ``link_no`` counts the
+    openings of a page from 0, those without an ``href`` included. Anchor
+    text has inner tags removed and white space around it (tabs and line
+    breaks too) dropped; the basic named entities are decoded in text and
     href (numeric entities are left as written).
     """
-    anchors = F.posexplode(F.regexp_extract_all(ref(html), F.lit(ANCHOR_REGEX), 0))
-    exploded = pages.select(*[ref(k) for k in keys], ref(url).alias("__page"), anchors.alias("link_no", "__a"))
-    raw_href = F.regexp_extract("__a", HREF_REGEX, 1)
-    text = F.trim(decode_entities(F.regexp_replace(F.regexp_extract("__a", ANCHOR_TEXT_REGEX, 1), r"<[^>]*>", "")))
-    links = exploded.select(
-        *[ref(k) for k in keys],
-        "__page",
-        F.col("link_no").cast("bigint").alias("link_no"),
-        decode_entities(_strip_quotes(raw_href)).alias("href"),
-        text.alias("text"),
-        (raw_href != F.lit("")).alias("__has_href"),
-    ).where("__has_href")
-    name = F.regexp_replace("href", r"/+$", "")
-    usable = F.col("text") != F.lit(PARENT_LINK_TEXT)
+    # The piece before the first opening is not an anchor.
+    opened = F.split(ref(html), ANCHOR_OPEN_REGEX)
+    pieces = F.posexplode(F.slice(opened, F.lit(2), F.greatest(F.size(opened) - 1, F.lit(0))))
+    cut = pages.select(*[ref(k).alias(f"__k{i}") for i, k in enumerate(keys)], ref(url).alias("__page"), pieces.alias("__no", "__piece"))
+    tag = F.regexp_extract("__piece", ANCHOR_TAG_REGEX, 1)
+    body = F.substring(F.col("__piece"), F.length(tag) + 2, F.length("__piece"))
+    text = F.get(F.split(body, ANCHOR_CLOSE_REGEX, 2), 0)
+    named = [F.col(f"__k{i}") for i in range(len(keys))]
+    raw = cut.select(*named, "__page", "__no", F.regexp_extract(tag, HREF_REGEX, 1).alias("__href"), text.alias("__text")).where(F.col("__href") != "")
+    href = decode_entities(_strip_quotes(F.col("__href")))
+    shown = F.regexp_replace(decode_entities(F.regexp_replace("__text", r"<[^>]*>", "")), r"^\s+|\s+$", "")
+    links = raw.select(*named, "__page", "__no", href.alias("__href"), shown.alias("__text"))
+    name = F.regexp_replace("__href", r"/+$", "")
+    usable = F.col("__text") != F.lit(PARENT_LINK_TEXT)
     kind = (
-        F.when(usable & F.col("href").endswith("/") & name.rlike(STATE_FOLDER_REGEX), F.lit("folder"))
-        .when(usable & F.col("href").endswith(ARCHIVE_SUFFIX), F.lit("archive"))
+        F.when(usable & F.col("__href").endswith("/") & name.rlike(STATE_FOLDER_REGEX), F.lit("folder"))
+        .when(usable & F.col("__href").endswith(ARCHIVE_SUFFIX), F.lit("archive"))
         .otherwise(F.lit("other"))
     )
     return links.select(
-        *[ref(k) for k in keys],
-        "link_no",
-        "href",
-        "text",
+        *[c.alias(k) for c, k in zip(named, keys)],
+        F.col("__no").cast("bigint").alias("link_no"),
+        F.col("__href").alias("href"),
+        F.col("__text").alias("text"),
         name.alias("name"),
         kind.alias("kind"),
         resolve_url(F.col("__page"), name).alias("link_url"),

@@ -258,6 +258,42 @@ def distinct_count(df: DataFrame, columns: Sequence[str], approx: bool = False,
     return df.agg(F.count_distinct(*cols).alias("n_distinct"))
 
 
+def distinct_sketch(df: DataFrame, columns: Iterable[str], by: Sequence[str] = (), lg_k: int = 14) -> DataFrame:
+    """(by..., column_name, n_rows, sketch): per group and column a mergeable
+    HyperLogLog sketch of its non-NULL values, as text.
+
+    Kept as a table (per state and month, say), the sketches of old months
+    need not be made again: ``merge_sketches`` adds up any groups. One scan
+    makes the sketches of all columns; a sketch has at most ``2**lg_k``
+    bytes, whatever its group. A column without values has a NULL sketch.
+    """
+    cols = list(columns)
+    if not cols:
+        raise ValueError("no column to sketch")
+    sketches = [F.hll_sketch_agg(ref(c).cast("string"), lg_k).alias(f"s{i}") for i, c in enumerate(cols)]
+    wide = df.groupBy(*[ref(c) for c in by]).agg(F.count(F.lit(1)).alias("n"), *[F.count(ref(c)).alias(f"n{i}") for i, c in enumerate(cols)], *sketches)
+    entries = [
+        F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), F.when(F.col(f"n{i}") > 0, F.col(f"s{i}")).alias("sketch"))
+        for i, c in enumerate(cols)
+    ]
+    return wide.select(*[ref(c) for c in by], F.inline(F.array(*entries)))
+
+
+def merge_sketches(sketches: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., column_name, n_rows, sketch) of coarser groups, from the
+    sketches alone."""
+    return sketches.groupBy(*[ref(c) for c in by], "column_name").agg(
+        F.sum("n_rows").alias("n_rows"), F.hll_union_agg("sketch").alias("sketch")
+    )
+
+
+def sketch_estimate(sketches: DataFrame) -> DataFrame:
+    """(by..., column_name, n_rows, n_distinct): estimates of the sketches, 0
+    for a column without values."""
+    keep = [ref(c) for c in sketches.columns if c != "sketch"]
+    return sketches.select(*keep, F.coalesce(F.hll_sketch_estimate("sketch"), F.lit(0).cast("bigint")).alias("n_distinct"))
+
+
 def duplicate_groups(
     df: DataFrame, keys: Sequence[str], k: int | None = 100, count_col: str = "n"
 ) -> DataFrame:
@@ -301,6 +337,28 @@ def split_malformed(df: DataFrame, lat: str, lon: str) -> MalformedSplit:
     )
 
 
+def write_split(df: DataFrame, lat: str, lon: str, path: str) -> MalformedSplit:
+    """The same three frames from one scan and one parse of ``df``: every row
+    is written once under ``path``, in a folder per verdict, and the frames
+    read their folder. The distinct bad values read two columns of the
+    malformed rows only."""
+    parsed = with_coordinates(df, lat, lon)
+    verdict = "verdict"
+    while verdict.lower() in {c.lower() for c in parsed.columns}:
+        verdict += "_"
+    ok = F.col("lat_d").isNotNull() & F.col("lon_d").isNotNull()
+    judged = parsed.withColumn(verdict, F.when(ok, "valid").otherwise("malformed"))
+    judged.write.mode("overwrite").partitionBy(verdict).parquet(path)
+    # A declared schema: either folder may be missing.
+    written = df.sparkSession.read.schema(judged.schema).parquet(path)
+    malformed = written.where(F.col(verdict) == "malformed").drop(verdict)
+    return MalformedSplit(
+        valid=written.where(F.col(verdict) == "valid").drop(verdict),
+        malformed=malformed,
+        malformed_values=malformed.select(ref(lat), ref(lon)).distinct(),
+    )
+
+
 def malformed_summary(df: DataFrame, lat: str, lon: str) -> DataFrame:
     """(n_rows, n_valid, n_malformed, n_malformed_values) in one aggregate."""
     lat_d = parse_decimal_of(df, lat)

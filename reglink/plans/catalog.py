@@ -321,6 +321,63 @@ def q_malformed_values(spark, sf_dir):
     return P.split_malformed(est, "NU_LATITUDE", "NU_LONGITUDE").malformed_values
 
 
+def _split_sql(where: str) -> str:
+    return f"""with {WHOLE_SQL},
+p as (select est.*, {_decimal_sql('NU_LATITUDE')} as lat_d, {_decimal_sql('NU_LONGITUDE')} as lon_d from est)
+select * from p where {where}"""
+
+
+def _written_split(spark, sf_dir):
+    from reglink.session import staging_dir
+
+    est = X.establishments(X.table(spark, sf_dir, "part"), whole=True)
+    return P.write_split(est, "NU_LATITUDE", "NU_LONGITUDE", staging_dir(spark, "verdicts"))
+
+
+@register("valid_rows", _split_sql("lat_d is not null and lon_d is not null"))
+def q_valid_rows(spark, sf_dir):
+    """Rows with both coordinates, from one write by verdict."""
+    return _written_split(spark, sf_dir).valid
+
+
+@register("malformed_rows", _split_sql("lat_d is null or lon_d is null"))
+def q_malformed_rows(spark, sf_dir):
+    return _written_split(spark, sf_dir).malformed
+
+
+@register("bad_values", ORACLE_SQL["malformed_values"])
+def q_bad_values(spark, sf_dir):
+    return _written_split(spark, sf_dir).malformed_values
+
+
+# --- sketches kept per state and month --------------------------------------------
+
+_SKETCHED = ("o_orderkey", "o_custkey", "o_orderpriority", "o_totalprice")
+# A sketch of 2**14 registers has a relative error of about 0.8 %.
+_SKETCH_ERROR = 0.05
+
+
+@register(
+    "merged_sketches",
+    "select o_orderstatus, column_name, count(*) as n_rows, count(distinct v) as n_distinct, true as within_error from (\n"
+    + "\nunion all\n".join(f"select o_orderstatus, '{c}' as column_name, cast({c} as varchar) as v from orders" for c in _SKETCHED)
+    + "\n) group by 1, 2",
+)
+def q_merged_sketches(spark, sf_dir):
+    """Sketches per state and month, written, then merged to states without
+    the rows; beside them the exact counts they are held against."""
+    from reglink.session import staging_dir
+
+    orders = X.table(spark, sf_dir, "orders")
+    monthly = orders.withColumn("month", F.date_format("o_orderdate", "yyyyMM"))
+    kept = staging_dir(spark, "sketches")
+    P.distinct_sketch(monthly, _SKETCHED, ["o_orderstatus", "month"]).write.parquet(kept)
+    estimate = P.sketch_estimate(P.merge_sketches(spark.read.parquet(kept), ["o_orderstatus"])).withColumnRenamed("n_distinct", "estimate")
+    exact = orders.groupBy("o_orderstatus").agg(*[F.count_distinct(c).alias(c) for c in _SKETCHED]).unpivot(["o_orderstatus"], list(_SKETCHED), "column_name", "n_distinct")
+    near = F.abs(F.col("estimate") - F.col("n_distinct")) <= F.ceil(F.col("n_distinct") * _SKETCH_ERROR)
+    return estimate.join(exact, ["o_orderstatus", "column_name"]).select("o_orderstatus", "column_name", "n_rows", "n_distinct", near.alias("within_error"))
+
+
 # --- linkage -------------------------------------------------------------------
 
 def registries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -503,6 +560,7 @@ def q_export_distinct_values(spark, sf_dir):
 # --- acquisition re-aimed as Spark jobs -----------------------------------------
 
 from reglink.operators import ingest as I  # noqa: E402
+from reglink.operators import landing as LD  # noqa: E402
 from reglink.sources import archives as Z  # noqa: E402
 from reglink.sources.schemas import STATE_FOLDER_GLOB  # noqa: E402
 
@@ -544,6 +602,26 @@ def q_landed_periods(spark, sf_dir):
     return I.landed_periods(X.table(spark, sf_dir, "orders"), "o_orderdate", ["o_orderstatus"])
 
 
+_LANDING_RANGE = ("1991-07-01", "2003-06-30")
+
+
+@register(
+    "missing_landings",
+    """select strftime(m, '%Y%m') as period
+from (select unnest(generate_series(date '1991-07-01', date '2003-06-01', interval 1 month)) as m)
+where strftime(m, '%Y%m') not in (select strftime(o_orderdate, '%Y%m') from orders where o_orderdate is not null)""",
+)
+def q_missing_landings(spark, sf_dir):
+    """Months without a whole folder among monthly dumps of the orders, by a
+    ledger brought up to date in two runs; an empty, a half-written and a
+    zero-length folder lie among them."""
+    root, ledger = X.stage_monthly_dumps(spark, sf_dir), staging_dir(spark, "ledger")
+    start, end = _LANDING_RANGE
+    LD.update_ledger(spark, root, ledger, start, "1996-12-31")
+    LD.update_ledger(spark, root, ledger, start, end)
+    return LD.missing_landings(spark, ledger, start, end)
+
+
 def _entities_sql(x: str) -> str:
     for entity, char in I.HTML_ENTITIES:
         x = f"replace({x}, '{entity.replace(chr(39), chr(39) * 2)}', '{char.replace(chr(39), chr(39) * 2)}')"
@@ -551,9 +629,10 @@ def _entities_sql(x: str) -> str:
 
 
 def _links_sql() -> str:
-    anchor = I.ANCHOR_REGEX.replace("'", "''")
-    href = I.HREF_REGEX.replace("'", "''")
-    text = I.ANCHOR_TEXT_REGEX.replace("'", "''")
+    # Patterns of its own, not the module's.
+    anchor = r"(?is)<a\s[^>]*>.*?</a>"
+    href = r"""(?is)^<a\s[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""".replace("'", "''")
+    text = r"(?is)^<a\s[^>]*>(.*)</a>$"
     return rf"""with a as (
   select page_id, url, unnest(l) as a, unnest(generate_series(0, len(l) - 1)) as link_no
   from (select page_id, url, regexp_extract_all(html, '{anchor}', 0) as l from pages)
@@ -591,6 +670,72 @@ def q_extract_links(spark, sf_dir):
     return I.extract_links(X.table(spark, sf_dir, "pages"), keys=["page_id"])
 
 
+# The same links by another road: the listing's entries from their templates,
+# the pages' own anchors (all written <a href="...">) by cutting at that text.
+_INDEX_LINKS_SQL = """
+u as (
+  select page_id, url, html, split_part(split_part(url, '#', 1), '?', 1) as page, split_part(url, '#', 1) as whole, split_part(url, '/', 1) as scheme,
+    split_part(url, '/', 1) || '//' || split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) as origin,
+    ['11_RO', '35_SP', '33_RJ'][page_id % 3 + 1] as state, cast(page_id as varchar) as p from pages
+),
+f as (
+  select *, case when page = origin then origin || '/' else page[1:length(page) - strpos(reverse(page), '/') + 1] end as folder from u
+),
+g as (
+  select *, case when folder = origin || '/' then folder
+    else folder[1:length(folder) - 1][1:length(folder) - strpos(reverse(folder[1:length(folder) - 1]), '/')] end as parent from f
+),
+listing as (
+  select page_id, unnest([
+    {'link_no': 0, 'href': state || '/', 'text': state, 'name': state, 'kind': 'folder', 'link_url': folder || state},
+    {'link_no': 1, 'href': '17_TO//', 'text': 'T&O', 'name': '17_TO', 'kind': 'folder', 'link_url': folder || '17_TO'},
+    {'link_no': 2, 'href': 'data/m' || p || '.zip', 'text': 'm' || p, 'name': 'data/m' || p || '.zip', 'kind': 'archive', 'link_url': folder || 'data/m' || p || '.zip'},
+    {'link_no': 3, 'href': '../up' || p || '.zip', 'text': 'up', 'name': '../up' || p || '.zip', 'kind': 'archive', 'link_url': parent || 'up' || p || '.zip'},
+    {'link_no': 4, 'href': '../', 'text': 'Parent Directory', 'name': '..', 'kind': 'other', 'link_url': parent},
+    {'link_no': 5, 'href': '/pub/12_AC/', 'text': 'nested', 'name': '/pub/12_AC', 'kind': 'other', 'link_url': origin || '/pub/12_AC'},
+    {'link_no': 6, 'href': '//mirror.example.org/x.zip', 'text': 'mirror', 'name': '//mirror.example.org/x.zip', 'kind': 'archive', 'link_url': scheme || '//mirror.example.org/x.zip'},
+    {'link_no': 7, 'href': '?C=N;O=D', 'text': 'Name', 'name': '?C=N;O=D', 'kind': 'other', 'link_url': page || '?C=N;O=D'},
+    {'link_no': 8, 'href': '#top', 'text': 'top', 'name': '#top', 'kind': 'other', 'link_url': whole || '#top'},
+    {'link_no': 10, 'href': 'x.ZIP', 'text': 'bare', 'name': 'x.ZIP', 'kind': 'other', 'link_url': folder || 'x.ZIP'},
+    {'link_no': 11, 'href': './a/./b/../c.zip', 'text': 'dots', 'name': './a/./b/../c.zip', 'kind': 'archive', 'link_url': folder || 'a/c.zip'},
+    {'link_no': 12, 'href': 'last.zip', 'text': 'Parent Directory', 'name': 'last.zip', 'kind': 'other', 'link_url': folder || 'last.zip'}
+  ], recursive := true) from g
+),
+cut as (
+  select page_id, origin, i, string_split(html, '<a href="')[i + 1] as piece
+  from g, unnest(range(1, len(string_split(html, '<a href="')))) as t(i)
+),
+own as (
+  select page_id, i + 12 as link_no, split_part(piece, '"', 1) as href, split_part(split_part(piece, '>', 2), '<', 1) as text, origin from cut
+),
+links as (
+  select page_id, cast(link_no as bigint) as link_no, href, text, name, kind, link_url from listing
+  union all
+  select page_id, cast(link_no as bigint), href, text, rtrim(href, '/'), 'other', origin || rtrim(href, '/') from own
+)"""
+
+
+def _index_links(spark, sf_dir):
+    return I.extract_links(X.index_pages(X.table(spark, sf_dir, "pages")), keys=["page_id"])
+
+
+@register("extract_index_links", f"with {_INDEX_LINKS_SQL} select * from links")
+def q_extract_index_links(spark, sf_dir):
+    """Anchors of pages that begin with a folder listing: folders, archives,
+    parent links, unclosed anchors, every way to write a relative link."""
+    return _index_links(spark, sf_dir)
+
+
+@register("state_folders", f"with {_INDEX_LINKS_SQL} select distinct name from links where kind = 'folder'")
+def q_state_folders(spark, sf_dir):
+    return I.state_folders(_index_links(spark, sf_dir))
+
+
+@register("archive_links", f"with {_INDEX_LINKS_SQL} select distinct link_url from links where kind = 'archive'")
+def q_archive_links(spark, sf_dir):
+    return I.archive_links(_index_links(spark, sf_dir))
+
+
 _ARCHIVED_COLS = ", ".join(n for n, _ in X.ORDERS_ARCHIVE_FIELDS)
 
 

@@ -347,6 +347,49 @@ def stage_state_archives(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def stage_monthly_dumps(spark: SparkSession, sf_dir: str) -> str:
+    """``orders`` as ``;`` files in a folder per month (``period=199501``),
+    beside a folder without files, one with a file still being written, one
+    with a file of no bytes, and a file outside any month."""
+    key = (spark.sparkContext.applicationId, sf_dir, "monthly_dumps")
+    if key in _STAGED:
+        return _STAGED[key]
+    import pyarrow.fs as pafs
+
+    from reglink.session import staging_dir
+
+    root = staging_dir(spark, "dumps")
+    cols = [n for n, _ in ORDERS_FILE_FIELDS]
+    monthly = table(spark, sf_dir, "orders").where("o_orderdate is not null").select(*cols, F.date_format("o_orderdate", "yyyyMM").alias("period"))
+    # A shuffle by month keeps the files few; months are of even size.
+    monthly.repartition("period").write.partitionBy("period").option("sep", ";").option("header", True).csv(root)
+    fs, base = pafs.FileSystem.from_uri(root)
+    for folder, name, body in (("period=200301", None, b""), ("period=200302", "dump.csv.part", b"a;b\n1"), ("period=200303", "dump.csv", b""), ("notes", "200304.txt", b"no dump")):
+        fs.create_dir(f"{base}/{folder}", recursive=True)
+        if name:
+            with fs.open_output_stream(f"{base}/{folder}/{name}") as out:
+                out.write(body)
+    _STAGED[key] = root
+    return root
+
+
+def index_pages(pages: DataFrame) -> DataFrame:
+    """``pages`` with the entries of a folder listing in front of their own
+    content: state folders, archives, the parent link, an anchor that is
+    never closed, one without ``href``, and relative, rooted, protocol-relative,
+    query and fragment links."""
+    p = F.col("page_id").cast("string")
+    state = F.element_at(F.array(F.lit("11_RO"), F.lit("35_SP"), F.lit("33_RJ")), (F.pmod("page_id", F.lit(3)) + 1).cast("int"))
+    listing = F.concat(
+        F.lit('<a href="'), state, F.lit('/">'), state, F.lit("</a>\n<A class='x' HREF='17_TO//'>T&amp;O</A>\n"),
+        F.lit('<a\n title="a > b" href="data/m'), p, F.lit('.zip"><b>m</b>'), p, F.lit('</a>\n<a href="../up'), p, F.lit('.zip">up\n'),
+        F.lit('<a href="../">\t Parent Directory\n</a><a href="/pub/12_AC/">nested</a><a href="//mirror.example.org/x.zip">mirror</a>'),
+        F.lit('<a href="?C=N;O=D">Name</a><a href="#top"> top </a><a name="here">no link</a><a href=x.ZIP>bare</a>'),
+        F.lit('<a href="./a/./b/../c.zip">dots</a><a data-href="no.zip" href="last.zip">Parent Directory</a><abbr>no anchor</abbr>'),
+    )
+    return pages.withColumn("html", F.concat(listing, F.coalesce("html", F.lit(""))))
+
+
 # Abbreviations (and one unknown word) written into the dirty street text.
 DIRTY_WORDS = ("R", "av", "TV.", "Dr", "xyz")
 

@@ -193,3 +193,48 @@ def test_missing_periods_with_null_keys(spark):
     assert I.missing_periods(expected, expected, ["k"]).count() == 0
     left = I.missing_periods(expected, expected.where("k = 'a'"), ["k"]).collect()
     assert [tuple(r) for r in left] == [(None, "202401")]
+
+
+def test_resolve_url_of_every_kind(spark):
+    page = "https://h.org/a/b/c.html?q=1#f"
+    want = {
+        "x.zip": "https://h.org/a/b/x.zip", "../x": "https://h.org/a/x", "../../../x": "https://h.org/x", "./x/./y/../z?k=../1#..": "https://h.org/a/b/x/z?k=../1#..",
+        "..": "https://h.org/a/", ".": "https://h.org/a/b/", "//o.net/p": "https://o.net/p", "/r/../s": "https://h.org/s", "?n=2": "https://h.org/a/b/c.html?n=2",
+        "#g": "https://h.org/a/b/c.html?q=1#g", "": "https://h.org/a/b/c.html?q=1", "mailto:a@b": "mailto:a@b", "a..b/.c": "https://h.org/a/b/a..b/.c", "d//e": "https://h.org/a/b/d//e",
+    }
+    df = spark.createDataFrame([(page, h) for h in want], "page string, href string")
+    got = {r.href: r.u for r in df.select("href", I.resolve_url(F.col("page"), F.col("href")).alias("u")).collect()}
+    assert got == want
+    bare = spark.createDataFrame([("http://h", x) for x in ("a", "../a", "?q", "/")], "page string, href string")
+    assert [r[0] for r in rows(bare.select(I.resolve_url(F.col("page"), F.col("href"))))] == ["http://h/a", "http://h/a", "http://h?q", "http://h/"]
+
+
+def test_anchors_are_cut_where_they_open(spark):
+    html = [
+        '<a href="one.zip">one<a href="11_RO/">\n RO\t</a>',  # never closed
+        '<A HREF = two.zip >two</A ><a name=x>no</a><abbr href="no">x</abbr><a>none</a>',
+        "<a title='a > b' data-href=\"no\" href='three.zip'><i>th</i>ree &lt;3</a> after",
+        '<a href="">empty</a><a href="open.zip',  # the tag itself never ends
+        None,
+        "",
+        "no anchors",
+    ]
+    df = spark.createDataFrame([(i, "http://h/d/", h) for i, h in enumerate(html)], "link_no int, url string, html string")
+    got = sorted((tuple(r) for r in I.extract_links(df.withColumnRenamed("link_no", "href"), keys=["href"]).collect()), key=str)
+    assert [(r[0], r[1], r[2], r[3], r[5]) for r in got] == [
+        (0, 0, "one.zip", "one", "archive"),
+        (0, 1, "11_RO/", "RO", "folder"),
+        (1, 0, "two.zip", "two", "archive"),
+        (2, 0, "three.zip", "three <3", "archive"),
+        (3, 0, "", "empty", "other"),
+    ]
+
+
+def test_long_pages_take_linear_time(spark):
+    import time
+
+    many = "<a href='x.zip'>unclosed " * 40_000 + "<a " + "x='" * 100_001
+    df = spark.createDataFrame([("http://h/", many)], "url string, html string")
+    begin = time.time()
+    assert I.extract_links(df).count() == 40_000
+    assert time.time() - begin < 60

@@ -140,3 +140,34 @@ def test_value_frequencies_typed_matches_text_semantics(spark):
 def test_approx_distinct_count_of_pairs(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), (None, 3), ("b", None)], "s string, n int")
     assert rows(P.distinct_count(df, ["s", "n"], approx=True)) == [(2,)]  # tuples with a NULL skipped
+
+
+def test_split_written_once(spark, tmp_path):
+    df = spark.createDataFrame(
+        [(1, "-20,3", "-40,1", "a"), (2, "S/N", "-40,1", "b"), (3, "S/N", "-40,1", "c"), (4, None, "x", "d"), (5, "1", "2", "e")],
+        "id int, lat string, lon string, verdict string",
+    )
+    out = P.write_split(df, "lat", "lon", str(tmp_path / "split"))
+    plain = P.split_malformed(df, "lat", "lon")
+    for a, b in zip(out, plain, strict=True):
+        assert a.columns == b.columns and sorted(rows(a), key=str) == sorted(rows(b), key=str)
+    assert "PartitionFilters: [isnotnull(verdict_" in plan_text(out.malformed_values)
+    valid = P.write_split(df.where("id in (1, 5)"), "lat", "lon", str(tmp_path / "one"))
+    assert valid.valid.count() == 2 and valid.malformed.count() == 0 and valid.malformed_values.count() == 0
+
+
+def test_sketches_merge_to_the_sketch_of_all(spark):
+    df = spark.range(30_000).selectExpr("concat('v', id % 9000) as a", "if(id % 2 = 0, id, null) as b", "cast(null as string) as c", "id % 3 as state", "id % 7 as month")
+    fine = P.distinct_sketch(df, ["a", "b", "c"], ["state", "month"])
+    merged = {(r.state, r.column_name): (r.n_rows, r.n_distinct) for r in P.sketch_estimate(P.merge_sketches(fine, ["state"])).collect()}
+    direct = {(r.state, r.column_name): (r.n_rows, r.n_distinct) for r in P.sketch_estimate(P.distinct_sketch(df, ["a", "b", "c"], ["state"])).collect()}
+    assert {k: v[0] for k, v in merged.items()} == {k: v[0] for k, v in direct.items()}
+    for state in range(3):
+        assert abs(merged[state, "a"][1] - 3000) <= 90 and abs(merged[state, "b"][1] - 5000) <= 150 and merged[state, "c"][1] == 0
+    # A month that arrives later is added without the old rows.
+    new = P.distinct_sketch(spark.range(30_000).selectExpr("concat('w', id) as a", "id as b", "cast(null as string) as c"), ["a", "b", "c"])
+    total = {r.column_name: r.n_distinct for r in P.sketch_estimate(P.merge_sketches(fine.select("column_name", "n_rows", "sketch").unionByName(new))).collect()}
+    assert abs(total["a"] - 39_000) <= 1200
+    assert P.sketch_estimate(P.merge_sketches(P.distinct_sketch(df.where("state > 9"), ["a"], ["state"]), ["state"])).count() == 0
+    with pytest.raises(ValueError):
+        P.distinct_sketch(df, [])
