@@ -107,7 +107,7 @@ def link(spark: SparkSession, args) -> None:
     # Parquet table under OUT (cuts the lineage; later reads prune columns).
     raw = R.read_registry(spark, args.establishments, sep=args.sep, encoding=args.encoding)
     establishments = R.read_table(spark, R.write_table(raw, f"{args.out}/establishments"))
-    rules = L.registry_rules(normalize_number=args.normalize_number, coordinate_digits=args.coordinate_digits)
+    rules = L.registry_rules(normalize_number=args.normalize_number, coordinate_digits=args.coordinate_digits, clean=args.clean)
     _save(L.match_report(establishments, addresses, rules), args.out, "match_report")
     _save(P.malformed_summary(establishments, "NU_LATITUDE", "NU_LONGITUDE"), args.out, "malformed_coordinates")
     _save(P.duplicate_groups(establishments, ["NO_FANTASIA", "CO_CEP"]), args.out, "duplicate_groups")
@@ -177,6 +177,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--all-species", action="store_true", help="do not keep health units only")
     c.add_argument("--normalize-number", action="store_true")
     c.add_argument("--coordinate-digits", type=int, default=None)
+    c.add_argument("--clean", action="store_true", help="compare names and streets after cleaning")
     c.add_argument("--links", action="store_true", help="also write one link table per rule")
     c.add_argument("--all-links", action="store_true", help="also write the links under all rules as one table")
     c.set_defaults(run=link)

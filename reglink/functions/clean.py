@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from itertools import chain
-from typing import Mapping, Sequence
+from typing import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +25,9 @@ DATE_FORMATS = ("yyyy-MM-dd", "dd/MM/yyyy", "dd-MM-yyyy", "dd.MM.yyyy", "yyyyMMd
 DATE_OUTPUT = "yyyy-MM-dd"
 # Characters kept by remove_special: letters, digits and whitespace.
 KEEP_CLASS = r"\p{L}\p{N}\s"
-# Common abbreviations in Brazilian street names and titles.
-STREET_ABBREVIATIONS = {
+# Common abbreviations of street types (the first word of a street) and of
+# titles (in front of a name) in Brazilian registries.
+STREET_TYPES = {
     "R": "RUA",
     "AV": "AVENIDA",
     "TV": "TRAVESSA",
@@ -39,6 +40,8 @@ STREET_ABBREVIATIONS = {
     "VL": "VILA",
     "JD": "JARDIM",
     "PQ": "PARQUE",
+}
+TITLES = {
     "STA": "SANTA",
     "STO": "SANTO",
     "DR": "DOUTOR",
@@ -50,6 +53,7 @@ STREET_ABBREVIATIONS = {
     "DEP": "DEPUTADO",
     "MAL": "MARECHAL",
 }
+STREET_ABBREVIATIONS = {**STREET_TYPES, **TITLES}
 # ----------------------------------------------------------------------------
 
 
@@ -113,12 +117,27 @@ def layout_regex(fmt: str) -> str | None:
     return "^" + "".join(out) + "$"
 
 
+def _word_key(w: Column) -> Column:
+    """A word as the dictionaries have it: upper case, one trailing dot off."""
+    up = F.upper(w)
+    return F.when(up.endswith("."), up.substr(F.lit(1), F.length(up) - 1)).otherwise(up)
+
+
+def _dictionary(mapping: Mapping[str, str]) -> Column:
+    return F.create_map(*chain.from_iterable((F.lit(k.upper()), F.lit(v)) for k, v in mapping.items()))
+
+
+def _any_word(mapping: Iterable[str]) -> str:
+    return "|".join(re.escape(k) for k in sorted(mapping, key=len, reverse=True))
+
+
 def expand_abbreviations(
     c: ColumnOrName,
     mapping: Mapping[str, str] = STREET_ABBREVIATIONS,
     sep: str = " ",
 ) -> Column:
-    """Replace whole words found in ``mapping`` by their full form.
+    """Replace whole words found in ``mapping`` by their full form, wherever
+    they stand (``expand_street`` minds the place).
 
     Words are split on ``sep``; the lookup ignores case and one trailing dot
     (``av.`` and ``AV`` both find ``AV``). Unknown words are kept as written.
@@ -128,37 +147,68 @@ def expand_abbreviations(
     if not mapping:
         return _col(c)
     col = _col(c)
-    lookup = F.create_map(*chain.from_iterable((F.lit(k.upper()), F.lit(v)) for k, v in mapping.items()))
-
-    def key(w: Column) -> Column:
-        up = F.upper(w)
-        return F.when(up.endswith("."), up.substr(F.lit(1), F.length(up) - 1)).otherwise(up)
-
+    lookup = _dictionary(mapping)
     expanded = F.array_join(
-        F.transform(F.split(col, re.escape(sep)), lambda w: F.coalesce(F.try_element_at(lookup, key(w)), w)), sep
+        F.transform(F.split(col, re.escape(sep)), lambda w: F.coalesce(F.try_element_at(lookup, _word_key(w)), w)), sep
     )
     # Rows without any dictionary word skip the split and the per-word lookup.
-    words = "|".join(re.escape(k) for k in sorted(mapping, key=len, reverse=True))
     s = re.escape(sep)
-    candidate = col.rlike(f"(?i)(^|{s})({words})\\.?({s}|$)")
+    candidate = col.rlike(f"(?i)(^|{s})({_any_word(mapping)})\\.?({s}|$)")
     return F.when(candidate, expanded).otherwise(col)
 
 
+def expand_street(
+    c: ColumnOrName,
+    types: Mapping[str, str] = STREET_TYPES,
+    titles: Mapping[str, str] = TITLES,
+    sep: str = " ",
+) -> Column:
+    """Expand abbreviations by their place: a street type only as the first of
+    several words, a title wherever another word follows it.
+
+    So ``R DR SILVA`` becomes ``RUA DOUTOR SILVA``, while the initial in
+    ``JOAO R SILVA`` and a last word like ``AV`` stay as written. The lookup
+    is that of ``expand_abbreviations``.
+    """
+    if not types and not titles:
+        return _col(c)
+    col = _col(c)
+    # In first place a title counts as well; a type goes before it.
+    first, later = _dictionary({**titles, **types}), _dictionary(titles) if titles else None
+    words = F.split(col, re.escape(sep))
+    count = F.size(words)
+
+    def full(w: Column, i: Column) -> Column:
+        out = F.when((i == 0) & (count > 1), F.try_element_at(first, _word_key(w)))
+        if later is not None:
+            out = out.when(i < count - 1, F.try_element_at(later, _word_key(w)))
+        return F.coalesce(out, w)
+
+    s = re.escape(sep)
+    places = [f"^({_any_word([*types, *titles])})\\.?{s}"] + ([f"{s}({_any_word(titles)})\\.?{s}"] if titles else [])
+    candidate = col.rlike("(?i)" + "|".join(places))
+    return F.when(candidate, F.array_join(F.transform(words, full), sep)).otherwise(col)
+
+
 def clean_text(
     c: ColumnOrName,
     special: bool = True,
-    abbreviations: Mapping[str, str] | None = STREET_ABBREVIATIONS,
+    abbreviations: Mapping[str, str] | str | None = "street",
     upper: bool = False,
 ) -> Column:
     """The matching pipeline: strip, drop symbols, squeeze spaces, expand
-    abbreviations; an empty result is NULL so it never joins."""
+    abbreviations; an empty result is NULL so it never joins. Abbreviations
+    expand by their place (``"street"``: ``expand_street``), or wherever they
+    stand by a mapping given here, or not at all (None)."""
     out = _col(c)
     if upper:
         out = F.upper(out)
     if special:
         out = remove_special(out)
     out = strip_whitespace(out, squeeze=True)
-    if abbreviations:
+    if abbreviations == "street":
+        out = expand_street(out)
+    elif abbreviations:
         out = expand_abbreviations(out, abbreviations)
     return F.nullif(out, F.lit(""))
 

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from reglink.functions.clean import clean_text
 from reglink.functions.expr import compose_key, house_number, parse_decimal_of, postal_code
 from reglink.operators.profile import ref
 from reglink.sources import schemas as S
@@ -313,18 +314,24 @@ def registry_rules(
     normalize_number: bool = False,
     coordinate_digits: int | None = None,
     left_street: str = S.ESTABLISHMENT_STREET,
+    clean: bool = False,
 ) -> list[Rule]:
     """The five establishment-to-address rules: coordinates, name, name+street,
-    name+street+number, name+postal code."""
+    name+street+number, name+postal code. With ``clean``, names and streets
+    are compared after ``clean_text`` in upper case: without symbols and
+    stray white space, abbreviations expanded."""
+
+    def text(fn: KeyFn) -> KeyFn:
+        return (lambda df: clean_text(fn(df), upper=True)) if clean else fn
 
     def coord(df: DataFrame, name: str) -> Column:
         x = parse_decimal_of(df, name)
         return F.round(x, coordinate_digits) if coordinate_digits is not None else x
 
-    name = (_c(S.ESTABLISHMENT_NAME), _c("DSC_ESTABELECIMENTO"))
+    name = (text(_c(S.ESTABLISHMENT_NAME)), text(_c("DSC_ESTABELECIMENTO")))
     street = (
-        _c(left_street),
-        lambda df: compose_key(*[ref(p) for p in S.ADDRESS_STREET_PARTS], as_key=True),
+        text(_c(left_street)),
+        text(lambda df: compose_key(*[ref(p) for p in S.ADDRESS_STREET_PARTS], as_key=True)),
     )
     number = (
         lambda df: house_number(ref(S.ESTABLISHMENT_NUMBER), normalize_number),

@@ -968,12 +968,50 @@ rk as (
 )"""
 
 
+# The establishments of ``fixtures.rough_establishments``.
+_ROUGH_SQL = REGISTRIES_SQL.replace("est as (", "plain as (", 1) + """,
+est as (
+  select * replace (' 00' || NU_ENDERECO as NU_ENDERECO, case when NU_LATITUDE = 'S/N' then 'S/N' else left(NU_LATITUDE, length(NU_LATITUDE) - 2) || '27' end as NU_LATITUDE)
+  from plain
+)"""
+
+
 def _rounded_report_sql() -> str:
-    return _report_sql().replace(KEYED_SQL, _ROUNDED_KEYED_SQL)
+    return _report_sql().replace(KEYED_SQL, _ROUNDED_KEYED_SQL).replace(REGISTRIES_SQL, _ROUGH_SQL)
 
 
 @register("match_report_normalized", _rounded_report_sql())
 def q_match_report_normalized(spark, sf_dir):
-    """All rules with house numbers normalised and coordinates rounded to whole degrees."""
-    est, adr = registries(spark, sf_dir)
-    return L.match_report(est, adr, L.registry_rules(normalize_number=True, coordinate_digits=0))
+    """All rules with house numbers normalised and coordinates rounded to
+    whole degrees, over establishments that match in no other way."""
+    part = X.table(spark, sf_dir, "part")
+    rules = L.registry_rules(normalize_number=True, coordinate_digits=0)
+    return L.match_report(X.rough_establishments(part), L.health_addresses(X.addresses(part)), rules)
+
+
+@register(
+    "match_report_cleaned",
+    """with l as (select p_partkey, p_partkey // 2 % 3 = 0 as written_out, upper(p_name) as name, p_type as kind from part where p_partkey % 2 = 0),
+r as (select p_partkey, upper(p_name) as name, p_type as kind from part where p_partkey % 2 = 1 and p_size <= 45)
+select 'name' as rule, (select count(*) from l) as left_total,
+  (select count(*) from l where written_out and name in (select name from r)) as matched_raw,
+  (select count(*) from l where name in (select name from r)) as matched_clean,
+  (select count(*) from l join r using (name)) as pairs_clean
+union all
+select 'name_street', (select count(*) from l),
+  (select count(*) from l where written_out and (name, kind) in (select (name, kind) from r)),
+  (select count(*) from l where (name, kind) in (select (name, kind) from r)),
+  (select count(*) from l join r using (name, kind))""",
+)
+def q_match_report_cleaned(spark, sf_dir):
+    """What cleaning adds to the name and street rules, where two thirds of
+    the establishments abbreviate what the addresses write out."""
+    est, adr = X.messy_registries(X.table(spark, sf_dir, "part"))
+    adr = L.health_addresses(adr)
+    reports = []
+    for clean in (False, True):
+        rules = [L.rule_by_name(L.registry_rules(clean=clean), n) for n in ("name", "name_street")]
+        reports.append(L.match_report(est, adr, rules))
+    raw, cleaned = reports
+    raw = raw.select("rule", F.col("matched_left").alias("matched_raw"))
+    return cleaned.select("rule", "left_total", F.col("matched_left").alias("matched_clean"), F.col("pairs").alias("pairs_clean")).join(F.broadcast(raw), "rule")

@@ -71,6 +71,36 @@ def addresses(part: DataFrame, whole: bool = False) -> DataFrame:
     )
 
 
+def rough_establishments(part: DataFrame) -> DataFrame:
+    """Establishments whose numbers have leading zeros and blanks and whose
+    latitudes are a little off: they match after normalising only."""
+    est = establishments(part)
+    return est.withColumns(
+        {
+            "NU_ENDERECO": F.concat(F.lit(" 00"), "NU_ENDERECO"),
+            "NU_LATITUDE": F.when(F.col("NU_LATITUDE") == "S/N", "S/N").otherwise(F.regexp_replace("NU_LATITUDE", ",25$", ",27")),
+        }
+    )
+
+
+def messy_registries(part: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both registries with a doctor's name (an initial ``R`` in its midst)
+    and an avenue: the addresses write them out, of the establishments only
+    every third does, the others abbreviate in two ways."""
+    way, name, kind = F.pmod(F.floor(F.col("CO_UNIDADE") / 2), F.lit(3)), F.col("NO_FANTASIA"), F.col("p_type")
+    est = establishments(part).join(part.select(F.col("p_partkey").alias("CO_UNIDADE"), "p_type"), "CO_UNIDADE")
+    est = est.withColumns(
+        {
+            "NO_FANTASIA": F.when(way == 0, F.concat(F.lit("DOUTOR JOAO R "), F.upper(name)))
+            .when(way == 1, F.concat(F.lit("  dr. Joao r. "), F.lower(name), F.lit(" #")))
+            .otherwise(F.concat(F.lit("Dr  Joao R\t"), name)),
+            "NO_LOGRADOURO": F.when(way == 0, F.concat(F.lit("AVENIDA "), kind)).when(way == 1, F.concat(F.lit("av. "), F.lower(kind))).otherwise(F.concat(F.lit("Av "), kind, F.lit("!"))),
+        }
+    ).drop("p_type")
+    adr = addresses(part).withColumns({"DSC_ESTABELECIMENTO": F.concat(F.lit("DOUTOR JOAO R "), F.upper("DSC_ESTABELECIMENTO")), "NOM_TIPO_SEGLOGR": F.lit("AVENIDA")})
+    return est, adr
+
+
 def profiled_part(part: DataFrame) -> DataFrame:
     """``part`` with NULLs, empty strings and "no value" markers derived in.
 

@@ -43,3 +43,42 @@ def test_clean_columns_in_place(spark):
     out = C.clean_columns(df, ["street"])
     assert out.columns == ["id", "street", "other"]
     assert rows(out) == [(1, "AVENIDA Brasil", "x")]
+
+
+def test_abbreviations_by_their_place(spark):
+    want = {
+        "JOAO R SILVA": "JOAO R SILVA",
+        "R JOAO R SILVA": "RUA JOAO R SILVA",
+        "av. Dr. Prof Lima": "AVENIDA DOUTOR PROFESSOR Lima",
+        "DR JOAO": "DOUTOR JOAO",
+        "MARIA DR": "MARIA DR",
+        "R": "R",
+        "AV": "AV",
+        "R AV": "RUA AV",
+        "Sto Antonio R": "SANTO Antonio R",
+        "PRACA R": "PRACA R",
+        "": "",
+        "RUA DR": "RUA DR",
+        "JD DR": "JARDIM DR",
+    }
+    df = spark.createDataFrame([(k,) for k in want] + [(None,)], "s string")
+    got = {r.s: r.t for r in df.select("s", C.expand_street("s").alias("t")).collect()}
+    assert got == {**want, None: None}
+    # Without titles, without types, with neither.
+    row = spark.createDataFrame([("R DR SILVA",)], "s string")
+    assert rows(row.select(C.expand_street("s", titles={}), C.expand_street("s", types={}), C.expand_street("s", {}, {}))) == [("RUA DR SILVA", "R DOUTOR SILVA", "R DR SILVA")]
+    assert rows(row.select(C.clean_text("s", abbreviations=None), C.clean_text("s", abbreviations={"SILVA": "SYLVA"}))) == [("R DR SILVA", "R DR SYLVA")]
+
+
+def test_cleaned_rules_match_more(spark):
+    from reglink.operators import link as L
+
+    est = spark.createDataFrame([(1, " dr. Ana  R Lima", "av. brasil"), (2, "Joao R Silva", "R B"), (3, None, "x"), (4, "#", "y")], "CO_UNIDADE int, NO_FANTASIA string, NO_LOGRADOURO string")
+    adr = spark.createDataFrame(
+        [(7, "DOUTOR ANA R LIMA", "AVENIDA", None, "BRASIL"), (8, "JOAO R SILVA", "RUA", None, "B"), (9, "JOAO RUA SILVA", "RUA", None, "B"), (10, "!", "RUA", None, "C")],
+        "COD_UNICO_ENDERECO int, DSC_ESTABELECIMENTO string, NOM_TIPO_SEGLOGR string, NOM_TITULO_SEGLOGR string, NOM_SEGLOGR string",
+    )
+    for clean, found in ((False, {}), (True, {1: 7, 2: 8})):
+        rule = L.rule_by_name(L.registry_rules(clean=clean), "name_street")
+        linked = L.link(est, adr, rule, right_id="COD_UNICO_ENDERECO").where("r_matches > 0")
+        assert dict(rows(linked, "CO_UNIDADE", "r_first_id")) == found
