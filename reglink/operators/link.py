@@ -360,6 +360,22 @@ def registry_rules(
     ]
 
 
+def raw_coordinates_rule() -> Rule:
+    """Coordinates as they are written: only text that is a plain number
+    already matches (``-20.3``, not ``-20,3``). What cleaning adds shows
+    against the ``coordinates`` rule."""
+
+    def number(name: str) -> KeyFn:
+        return lambda df: ref(name).try_cast("double")
+
+    return Rule(
+        "coordinates_raw",
+        left=[number(S.ESTABLISHMENT_LAT), number(S.ESTABLISHMENT_LON)],
+        right=[number("LATITUDE"), number("LONGITUDE")],
+        numeric=(True, True),
+    )
+
+
 def health_addresses(addresses: DataFrame, species: int = S.HEALTH_SPECIES) -> DataFrame:
     """Address rows of health establishments (pushed down to the scan)."""
     return addresses.where(F.col("COD_ESPECIE") == F.lit(species))

@@ -374,6 +374,19 @@ def malformed_summary(df: DataFrame, lat: str, lon: str) -> DataFrame:
     )
 
 
+def preview(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    """The first ``n`` rows by ``keys`` (NULLs first), the same on every run;
+    rows equal in the keys are ordered by their whole text."""
+    text = F.to_json(F.struct(*[ref(c) for c in df.columns]))
+    return df.orderBy(*[ref(k).asc_nulls_first() for k in keys], text).limit(n)
+
+
+def schema_listing(df: DataFrame) -> DataFrame:
+    """(position, column_name, type, nullable) of every column, from 0."""
+    fields = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    return df.sparkSession.createDataFrame(fields, "position int, column_name string, type string, nullable boolean")
+
+
 def sample_by_key(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
     """The rows whose keys' MD5 falls below ``share`` of its range. The choice
     depends on the keys alone: not on splits, order or the engine. Rows with

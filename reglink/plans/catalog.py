@@ -1015,3 +1015,62 @@ def q_match_report_cleaned(spark, sf_dir):
     raw, cleaned = reports
     raw = raw.select("rule", F.col("matched_left").alias("matched_raw"))
     return cleaned.select("rule", "left_total", F.col("matched_left").alias("matched_clean"), F.col("pairs").alias("pairs_clean")).join(F.broadcast(raw), "rule")
+
+
+# --- declared and inferred reads ---------------------------------------------------
+
+from reglink.sources.schemas import ADDRESS_SCHEMA  # noqa: E402
+
+_ADR_COLS = ("COD_UNICO_ENDERECO", "DSC_ESTABELECIMENTO", "NOM_TIPO_SEGLOGR", "NOM_SEGLOGR", "NUM_ENDERECO", "CEP", "LATITUDE", "LONGITUDE", "COD_ESPECIE")
+_DOTTED_SQL = WHOLE_SQL.replace("est as (", "plain as (", 1) + """,
+est as (
+  select * replace (case when CO_UNIDADE // 2 % 3 = 0 then replace(rtrim(NU_LATITUDE, ','), ',', '.') else NU_LATITUDE end as NU_LATITUDE,
+    case when CO_UNIDADE // 2 % 3 = 0 then replace(rtrim(NU_LONGITUDE, ','), ',', '.') else NU_LONGITUDE end as NU_LONGITUDE) from plain
+)"""
+
+
+@register(
+    "address_schema",
+    f"with {WHOLE_SQL} select "
+    + ", ".join(f.name if f.name in _ADR_COLS else f"null as {f.name}" for f in ADDRESS_SCHEMA.fields)
+    + ", case when NUM_ENDERECO % 2 = 0 then 'RO' else 'SP' end as UF from adr",
+)
+def q_address_schema(spark, sf_dir):
+    """State folders of files with the 34 declared fields, read typed."""
+    return R.load_partitioned(spark, X.stage_address_files(spark, sf_dir), ADDRESS_SCHEMA)
+
+
+@register(
+    "inferred_read",
+    f"""with {_DOTTED_SQL}
+select CO_UNIDADE, NO_FANTASIA, NO_LOGRADOURO, cast(NU_ENDERECO as integer) as NU_ENDERECO, lpad(cast(CO_CEP as varchar), 8, '0') as CO_CEP,
+  NU_LATITUDE, NU_LONGITUDE from est""",
+)
+def q_inferred_read(spark, sf_dir):
+    """Types inferred over the whole file, the postal code kept as text."""
+    return R.read_registry(spark, X.stage_establishment_file(spark, sf_dir), infer=True, as_string=["CO_CEP"])
+
+
+@register("preview", "select * from orders order by o_orderdate nulls first, o_orderkey limit 20")
+def q_preview(spark, sf_dir):
+    return P.preview(X.table(spark, sf_dir, "orders"), ["o_orderdate", "o_orderkey"], 20)
+
+
+@register(
+    "match_report_raw",
+    f"""with {_DOTTED_SQL},
+l as (select *, try_cast(NU_LATITUDE as double) as raw_lat, try_cast(NU_LONGITUDE as double) as raw_lon,
+  {_decimal_sql('NU_LATITUDE')} as lat, {_decimal_sql('NU_LONGITUDE')} as lon from est where CO_UNIDADE % 2 = 0),
+r as (select * from adr where COD_ESPECIE = 5 and COD_UNICO_ENDERECO % 2 = 1)
+select 'coordinates_raw' as rule, (select count(*) from l) as left_total, (select count(*) from l join r on raw_lat = LATITUDE and raw_lon = LONGITUDE) as pairs,
+  (select count(*) from l where (raw_lat, raw_lon) in (select (LATITUDE, LONGITUDE) from r)) as matched_left
+union all
+select 'coordinates', (select count(*) from l), (select count(*) from l join r on lat = LATITUDE and lon = LONGITUDE),
+  (select count(*) from l where (lat, lon) in (select (LATITUDE, LONGITUDE) from r))""",
+)
+def q_match_report_raw(spark, sf_dir):
+    """Coordinates compared as written and after parsing."""
+    part = X.table(spark, sf_dir, "part")
+    rules = [L.raw_coordinates_rule(), L.rule_by_name(L.registry_rules(), "coordinates")]
+    report = L.match_report(X.dotted_establishments(part), L.health_addresses(X.addresses(part)), rules)
+    return report.select("rule", "left_total", "pairs", "matched_left")

@@ -71,6 +71,18 @@ def addresses(part: DataFrame, whole: bool = False) -> DataFrame:
     )
 
 
+def dotted_establishments(part: DataFrame, whole: bool = False) -> DataFrame:
+    """Establishments of which every third writes its coordinates with a dot
+    and no comma at the end, as plain numbers."""
+    plain = F.pmod(F.floor(F.col("CO_UNIDADE") / 2), F.lit(3)) == 0
+
+    def dot(c: str):
+        return F.when(plain, F.regexp_replace(F.regexp_replace(c, ",$", ""), ",", ".")).otherwise(F.col(c))
+
+    est = establishments(part, whole)
+    return est.withColumns({c: dot(c) for c in ("NU_LATITUDE", "NU_LONGITUDE")})
+
+
 def rough_establishments(part: DataFrame) -> DataFrame:
     """Establishments whose numbers have leading zeros and blanks and whose
     latitudes are a little off: they match after normalising only."""
@@ -377,6 +389,39 @@ def stage_state_archives(spark: SparkSession, sf_dir: str) -> str:
     return root
 
 
+def stage_address_files(spark: SparkSession, sf_dir: str) -> str:
+    """Every part as an address with all 34 declared fields, as ``;`` files in
+    two state folders (even house numbers in 11_RO, odd ones in 35_SP)."""
+    key = (spark.sparkContext.applicationId, sf_dir, "address_files")
+    if key in _STAGED:
+        return _STAGED[key]
+    from reglink.session import staging_dir
+    from reglink.sources.schemas import ADDRESS_SCHEMA
+
+    root = staging_dir(spark, "address-files")
+    adr = addresses(table(spark, sf_dir, "part"), whole=True)
+    full = adr.select(*[(F.col(f.name) if f.name in adr.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in ADDRESS_SCHEMA.fields])
+    for folder, odd in (("11_RO", 0), ("35_SP", 1)):
+        full.where(F.col("NUM_ENDERECO") % 2 == odd).write.option("sep", ";").option("header", True).csv(f"{root}/{folder}")
+    _STAGED[key] = root
+    return root
+
+
+def stage_establishment_file(spark: SparkSession, sf_dir: str) -> str:
+    """Every part as an establishment, as ``;`` files with postal codes of
+    eight digits and latitudes of which a third is written with a dot."""
+    key = (spark.sparkContext.applicationId, sf_dir, "establishment_file")
+    if key in _STAGED:
+        return _STAGED[key]
+    from reglink.session import staging_dir
+
+    root = staging_dir(spark, "establishments")
+    est = dotted_establishments(table(spark, sf_dir, "part"), whole=True)
+    est.withColumn("CO_CEP", F.lpad(F.col("CO_CEP").cast("string"), 8, "0")).write.option("sep", ";").option("header", True).csv(root)
+    _STAGED[key] = root
+    return root
+
+
 def stage_monthly_dumps(spark: SparkSession, sf_dir: str) -> str:
     """``orders`` as ``;`` files in a folder per month (``period=199501``),
     beside a folder without files, one with a file still being written, one

@@ -256,3 +256,10 @@ def test_all_rules_on_empty_sides_and_bad_input(spark, tmp_path):
     # Fewer keys than asked are broadcast when the list is bounded tightly.
     bounded = L.link_all(left, right, RULES, "a", "b", target_rows=1, max_hot=1)
     assert sorted(rows(bounded), key=str) == sorted(rows(L.link_all(left, right, RULES, "a", "b")), key=str)
+
+
+def test_raw_coordinates_match_plain_numbers_only(spark):
+    left = spark.createDataFrame([(1, "-20.3", "-40.1"), (2, "-20,3", "-40,1"), (3, "S/N", "-40.1"), (4, None, None)], "CO_UNIDADE int, NU_LATITUDE string, NU_LONGITUDE string")
+    right = spark.createDataFrame([(9, -20.3, -40.1), (8, None, None)], "b int, LATITUDE double, LONGITUDE double")
+    found = L.match_report(left, right, [L.raw_coordinates_rule(), L.rule_by_name(L.registry_rules(), "coordinates")])
+    assert dict(rows(found, "rule", "matched_left")) == {"coordinates_raw": 1, "coordinates": 2}

@@ -171,3 +171,10 @@ def test_sketches_merge_to_the_sketch_of_all(spark):
     assert P.sketch_estimate(P.merge_sketches(P.distinct_sketch(df.where("state > 9"), ["a"], ["state"]), ["state"])).count() == 0
     with pytest.raises(ValueError):
         P.distinct_sketch(df, [])
+
+
+def test_preview_and_schema_listing(spark):
+    df = spark.createDataFrame([(2, "b"), (None, "c"), (1, "z"), (1, "a"), (3, "d")], "k int, v string")
+    assert rows(P.preview(df, ["k"], 3)) == [(None, "c"), (1, "a"), (1, "z")]
+    assert P.preview(df.where("k > 9"), ["k"]).count() == 0
+    assert rows(P.schema_listing(df)) == [(0, "k", "int", True), (1, "v", "string", True)]
