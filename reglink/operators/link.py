@@ -15,6 +15,7 @@ still count in the totals.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Callable, Sequence
@@ -155,7 +156,13 @@ def _hashable(df: DataFrame) -> list[Column]:
 
 
 def hot_keys(keyed: DataFrame, names: Sequence[str], hot_fraction: float) -> DataFrame:
-    """Keys holding at least ``hot_fraction`` of the rows: (names..., __hot).
+    """Keys holding at least ``hot_fraction`` of the rows: (names..., __hot)."""
+    return _hot_salts(keyed, names, hot_fraction).drop("__salts")
+
+
+def _hot_salts(keyed: DataFrame, names: Sequence[str], hot_fraction: float) -> DataFrame:
+    """The hot keys with the number of such shares of all rows that each
+    holds: (names..., __hot, __salts).
 
     The threshold is a scalar subquery over the key counts (no driver action).
     Since the counts add up to the row total, at most ``1 / hot_fraction``
@@ -166,7 +173,7 @@ def hot_keys(keyed: DataFrame, names: Sequence[str], hot_fraction: float) -> Dat
     ).agg(F.count(F.lit(1)).alias("__cnt"))
     total = counts.agg(F.sum("__cnt")).scalar()
     threshold = F.greatest(F.ceil(total * F.lit(hot_fraction)), F.lit(1))
-    return counts.where(F.col("__cnt") >= threshold).select(*names, F.lit(True).alias("__hot"))
+    return counts.where(F.col("__cnt") >= threshold).select(*names, F.lit(True).alias("__hot"), F.ceil(F.col("__cnt") / threshold).alias("__salts"))
 
 
 def link(
@@ -176,7 +183,7 @@ def link(
     right_id: str,
     prefix: str = "r_",
     hot_fraction: float | None = 0.001,
-    salt_buckets: int = 64,
+    salt_buckets: int | None = None,
 ) -> DataFrame:
     """Left rows enriched with their partners under ``rule``.
 
@@ -189,11 +196,14 @@ def link(
     all its rows in one join task; adaptive skew splitting does not apply
     here because the right input is an aggregate, not a plain shuffle. So
     keys holding at least ``hot_fraction`` of the left rows are salted: their
-    rows are spread over ``salt_buckets`` by a hash of the whole row (the
+    rows are spread over as many buckets as the key holds such shares by its
+    measured count (or over ``salt_buckets``) by a hash of the whole row (the
     same on a task retry), and their single grouped right row is copied once
-    per bucket. At most ``1 / hot_fraction`` keys are hot, so the hot-key
+    per bucket. So a bucket has about ``hot_fraction`` of the rows, whatever
+    the key's size. At most ``1 / hot_fraction`` keys are hot, so the hot-key
     list is broadcast with a proven bound. Rows whose key has a NULL part match
     nothing and are spread the same way. ``hot_fraction=None`` disables it.
+    ``link_all`` does all rules at once.
     """
     if hot_fraction is not None and not 1e-5 <= hot_fraction <= 1.0:
         raise ValueError("hot_fraction must be in [1e-5, 1]: its inverse bounds the broadcast hot-key list")
@@ -212,21 +222,25 @@ def link(
     keyed = left.select("*", *[k.alias(n) for k, n in zip(lkeys, lnames)])
     cond = reduce(lambda a, b: a & b, [F.col(l) == F.col(r) for l, r in zip(lnames, rnames)])
     if hot_fraction is not None:
-        hot = F.broadcast(hot_keys(keyed, lnames, hot_fraction))
+        hot = F.broadcast(_hot_salts(keyed, lnames, hot_fraction))
+        spread = F.xxhash64(*_hashable(left))
+        buckets = F.col("__salts") if salt_buckets is None else F.lit(salt_buckets).cast("bigint")
+        no_key = reduce(lambda a, b: a | b, [F.col(n).isNull() for n in lnames])
         keyed = keyed.join(hot, on=lnames, how="left").select(
             *[ref(c) for c in left.columns],
             *lnames,
-            F.when(F.col("__hot") | reduce(lambda a, b: a | b, [F.col(n).isNull() for n in lnames]), F.pmod(F.xxhash64(*_hashable(left)), F.lit(salt_buckets)))
+            F.when(F.col("__hot"), F.pmod(spread, buckets))
+            .when(no_key, F.pmod(spread, F.lit(salt_buckets or math.ceil(1 / hot_fraction))))
             .otherwise(F.lit(0))
             .alias("__lsalt"),
         )
-        hot_r = hot.select(*[F.col(l).alias(r) for l, r in zip(lnames, rnames)], "__hot")
+        hot_r = hot.select(*[F.col(l).alias(r) for l, r in zip(lnames, rnames)], "__hot", "__salts")
         grouped = grouped.join(hot_r, on=rnames, how="left").select(
             *rnames,
             "__n",
             "__first",
             F.explode(
-                F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), F.lit(salt_buckets - 1).cast("bigint")))
+                F.when(F.col("__hot"), F.sequence(F.lit(0).cast("bigint"), buckets - 1))
                 .otherwise(F.array(F.lit(0).cast("bigint")))
             ).alias("__rsalt"),
         )

@@ -263,3 +263,12 @@ def test_raw_coordinates_match_plain_numbers_only(spark):
     right = spark.createDataFrame([(9, -20.3, -40.1), (8, None, None)], "b int, LATITUDE double, LONGITUDE double")
     found = L.match_report(left, right, [L.raw_coordinates_rule(), L.rule_by_name(L.registry_rules(), "coordinates")])
     assert dict(rows(found, "rule", "matched_left")) == {"coordinates_raw": 1, "coordinates": 2}
+
+
+def test_salts_follow_the_measured_count(spark):
+    left = spark.range(1000).select(F.when(F.col("id") < 600, "A").when(F.col("id") < 700, "B").otherwise(F.col("id").cast("string")).alias("n"))
+    assert sorted(rows(L._hot_salts(left, ["n"], 0.05))) == [("A", True, 12), ("B", True, 2)]
+    right = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B")], "rid int, m string")
+    rule = L.Rule("name", left=[lambda df: ref("n")], right=[lambda df: ref("m")])
+    by_count, plain = L.link(left, right, rule, "rid", hot_fraction=0.05), L.link(left, right, rule, "rid", hot_fraction=None)
+    assert sorted(rows(by_count)) == sorted(rows(plain))
