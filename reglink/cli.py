@@ -3,6 +3,7 @@
     python -m reglink.cli integrate RAW_DIR OUT [--rejects]
     python -m reglink.cli archives RAW_DIR OUT
     python -m reglink.cli links PAGES OUT
+    python -m reglink.cli landings ROOT OUT --start 2024-01 --end 2024-12
     python -m reglink.cli profile TABLE OUT [--csv] [--sep ;] [--top 100]
     python -m reglink.cli link ADDRESSES ESTABLISHMENTS OUT [--sep ;] [--all-species] [--links] [--all-links]
     python -m reglink.cli months PATH TS_COLUMN OUT [--key COL ... | --start D --end D]
@@ -23,9 +24,10 @@ from pyspark.sql import functions as F
 
 from reglink.functions.expr import string_columns
 from reglink.operators import ingest as I
+from reglink.operators import landing as LD
 from reglink.operators import link as L
 from reglink.operators import profile as P
-from reglink.session import build_session, staging_dir
+from reglink.session import build_session, staging_dir, tune_for_input
 from reglink.sources import archives as Z
 from reglink.sources import registry as R
 from reglink.sources import store as S
@@ -124,6 +126,13 @@ def link(spark: SparkSession, args) -> None:
             linked.write.mode("overwrite").parquet(f"{args.out}/link_{rule.name}")
 
 
+def landings(spark: SparkSession, args) -> None:
+    """Monthly folders under ROOT -> the ledger under OUT brought up to date,
+    and the months of the range that have not landed whole."""
+    LD.update_ledger(spark, args.root, f"{args.out}/ledger", args.start, args.end)
+    _save(LD.missing_landings(spark, f"{args.out}/ledger", args.start, args.end), args.out, "missing_landings")
+
+
 def months(spark: SparkSession, args) -> None:
     """Months without rows inside each group's own first..last range."""
     df = spark.read.parquet(args.path)
@@ -182,6 +191,13 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--all-links", action="store_true", help="also write the links under all rules as one table")
     c.set_defaults(run=link)
 
+    g = sub.add_parser("landings", help="months whose folder has not landed whole")
+    g.add_argument("root")
+    g.add_argument("out")
+    g.add_argument("--start", required=True, help="first month (ISO)")
+    g.add_argument("--end", required=True, help="last month (ISO)")
+    g.set_defaults(run=landings)
+
     d = sub.add_parser("months", help="missing months per group")
     d.add_argument("path")
     d.add_argument("ts_column")
@@ -195,7 +211,13 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
-    session = spark or build_session(app_name=f"reglink-{args.command}")
+    session = spark
+    if session is None:
+        session = build_session(app_name=f"reglink-{args.command}")
+        # Shuffle partitions and splits by the measured size of the input.
+        source = next((getattr(args, a) for a in ("raw_dir", "table", "addresses", "pages", "path") if hasattr(args, a)), None)
+        if source:
+            tune_for_input(session, source)
     args.run(session, args)
 
 

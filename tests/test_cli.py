@@ -72,3 +72,11 @@ def test_archives_and_links(spark, tmp_path):
     cli.main(["links", str(tmp_path / "pages"), out], spark=spark)
     assert rows(spark.read.parquet(f"{out}/state_folders")) == [("11_RO",)]
     assert rows(spark.read.parquet(f"{out}/archive_links")) == [("http://h/d/x.zip",)]
+
+
+def test_landings(spark, tmp_path):
+    for month in ("202401", "202403"):
+        (tmp_path / "raw" / f"BASE_{month}").mkdir(parents=True)
+        (tmp_path / "raw" / f"BASE_{month}" / "a.csv").write_text("x")
+    cli.main(["landings", str(tmp_path / "raw"), str(tmp_path / "out"), "--start", "2024-01", "--end", "2024-03"], spark=spark)
+    assert rows(spark.read.parquet(str(tmp_path / "out" / "missing_landings"))) == [("202402",)]
