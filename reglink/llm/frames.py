@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from reglink.session import ensure_checkpoint_dir, ship_package
 
@@ -55,5 +54,13 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def text_of(column: str = "text") -> Column:
-    return F.col(f"`{column}`").cast("string")
+def numbered(df: DataFrame) -> DataFrame:
+    """The table with its columns named c0, c1, ...: whatever they are called,
+    they cannot clash with an operator's own."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def at(df: DataFrame, name: str) -> str:
+    """The name in ``numbered`` of the column ``name`` of ``df``."""
+    names = df.columns
+    return f"c{names.index(name) if name in names else [c.lower() for c in names].index(name.lower())}"

@@ -38,7 +38,6 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +52,7 @@ from reglink.llm.text import PLAIN, find_words, mix, slices, window_hashes
 COORDINATES = 128
 MISS = 1e-6
 SKETCH_BITS = 20
+HEAD_PAIRS = 256
 SMALL = 16  # in lists up to this long every member leads at once; in longer
 # ones one member does, then about three more, fifteen more, and so on
 _U = np.uint64
@@ -188,7 +188,7 @@ def _match(m: int):
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES) for c in ("brief_a", "brief_b"))
             near = (a == b).sum(axis=1) >= m
-            yield batch.select(["a", "b", "pivot"]).filter(pa.array(near | batch.column("pivot").to_numpy(zero_copy_only=False)))
+            yield batch.select(["a", "b", "pivot", "head"]).filter(pa.array(near | batch.column("pivot").to_numpy(zero_copy_only=False)))
 
     return run
 
@@ -207,32 +207,45 @@ def _bodies(size: int):
 
 
 def _confirm(size: int, per: int, of: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        sets: OrderedDict[bytes, np.ndarray] = OrderedDict()
-
-        def own(name: bytes, body: bytes) -> np.ndarray:
-            if name in sets:
-                sets.move_to_end(name)
-                return sets[name]
-            sets[name] = s = Shingles(pa.array([unpack.decompress(body)], pa.binary()).cast(pa.large_string()), size).of(0)
-            if len(sets) > 256:
-                sets.popitem(last=False)
-            return s
+    """Rows (head, a, b, pivot, body) in order: the body of a head class
+    first, then the bodies of the classes it met, each compared with it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack, head = zstandard.ZstdDecompressor(), None
         for batch in batches:
-            share, yes = [], []
-            for a, b, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "body_a", "body_b")), strict=True):
-                p, q = own(a, x), own(b, y)
-                common = len(np.intersect1d(p, q, assume_unique=True))
-                union = len(p) + len(q) - common
+            met, share, yes = [], [], []
+            for i, (b, body) in enumerate(zip(batch.column("b"), batch.column("body"), strict=True)):
+                own = Shingles(pa.array([unpack.decompress(body.as_buffer())], pa.binary()).cast(pa.large_string()), size).of(0)
+                if not b.is_valid:
+                    head = own
+                    continue
+                common = len(np.intersect1d(head, own, assume_unique=True))
+                union = len(head) + len(own) - common
+                met.append(i)
                 share.append(common / union)
                 yes.append(of * common >= per * union)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), batch.column("pivot"), pa.array(share, pa.float64()), pa.array(yes, pa.bool_())], names=["a", "b", "pivot", "share", "linked"])
+            found = batch.select(["a", "b", "pivot"]).take(pa.array(met, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*found.columns, pa.array(share, pa.float64()), pa.array(yes, pa.bool_())], names=["a", "b", "pivot", "share", "linked"])
 
     return run
 
 
+def confirm(near: DataFrame, bodies: DataFrame, size: int, per: int, of: int) -> DataFrame:
+    """(a, b, pivot, share, linked) of met pairs (a, b, pivot, head), by their
+    whole sets. A head's pairs are dealt to tasks ``HEAD_PAIRS`` at a time, by
+    their measured number; its body travels once for each of these parts,
+    not with every pair."""
+    parts = int(near.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    other = F.when(F.col("head") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    sizes = near.groupBy("head").agg(F.ceil(F.count("*") / HEAD_PAIRS).alias("parts"))
+    met = near.join(sizes.hint("merge"), "head").select("a", "b", "pivot", "head", other.alias("class"), "parts")
+    met = met.withColumn("part", F.pmod(F.xxhash64("class"), "parts")).drop("parts")
+    heads = met.select("head", "part").distinct().join(bodies.withColumnRenamed("class", "head"), "head")
+    rows = heads.unionByName(met.join(bodies, "class").drop("class"), allowMissingColumns=True)
+    ordered = rows.repartition(parts, "head", "part").sortWithinPartitions("head", "part", F.asc_nulls_first("b"))
+    return ordered.select("head", "a", "b", "pivot", "body").mapInArrow(_confirm(size, per, of), "a binary, b binary, pivot boolean, share double, linked boolean")
+
+
 def _shingle_sketch(size: int):
     """How often each shingle occurs in the given bodies, by hashed slot."""
 
@@ -280,16 +293,19 @@ def contract(edges: DataFrame) -> DataFrame:
     connected component. In each round every node moves to the neighbour (or
     itself) that comes first in an order drawn anew for the round, and edges
     move with their ends, until none is left."""
-    nodes = edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root"))
-    left, turn = edges.select("a", "b"), 0
+    nodes = frames.keep(edges.select("a").union(edges.select("b")).distinct().select(F.col("a").alias("node"), F.col("a").alias("root")))
+    left, turn, spent = edges.select("a", "b"), 0, []
     while True:
         left = frames.keep(left.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        frames.drop(*spent)
         if left.isEmpty():
-            return frames.keep(nodes)
+            frames.drop(left)
+            return nodes
         both = left.union(left.select("b", "a"))
         order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("o"), F.col(c).alias("c"))  # noqa: B023, E731
         move = frames.keep(both.groupBy("a").agg(F.least(F.min(order("b")), F.min(order("a"))).alias("m")).select(F.col("a").alias("from"), F.col("m.c").alias("to")))
-        nodes = nodes.join(move, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root"))
+        older, nodes = nodes, frames.keep(nodes.join(move, F.col("root") == F.col("from"), "left").select("node", F.coalesce("to", "root").alias("root")))
+        spent = [older, left, move]
         left = left.join(move.toDF("a", "a2"), "a", "left").join(move.toDF("b", "b2"), "b", "left").select(F.coalesce("a2", "a").alias("a"), F.coalesce("b2", "b").alias("b"))
         turn += 1
 
@@ -302,10 +318,13 @@ def merge(roots: DataFrame | None, new: DataFrame) -> DataFrame:
         new.join(roots.toDF("a", "root_a"), "a", "left").join(roots.toDF("b", "root_b"), "b", "left")
         .select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
     )
-    moved = contract(lifted).toDF("root", "to")
+    contracted = contract(lifted)
+    moved = contracted.toDF("root", "to")
     old = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
     fresh = moved.toDF("node", "root").join(roots.select("node"), "node", "left_anti").select("node", "root")
-    return frames.keep(old.union(fresh))
+    out = frames.keep(old.union(fresh))
+    frames.drop(roots, contracted)
+    return out
 
 
 def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
@@ -355,20 +374,17 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         meet = (F.col("root") != F.col("leader_root")) & ~(apart[0] | apart[1])
         pairs = (
             open_lists.join(leaders, "list").where((meet | pivot) & (F.col("class") != F.col("leader")))
-            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"), pivot.alias("pivot"))
-            .groupBy("a", "b").agg(F.count("*").alias("collisions"), F.max("pivot").alias("pivot"))
+            .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"), pivot.alias("pivot"), "leader")
+            .groupBy("a", "b").agg(F.max("pivot").alias("pivot"), F.min("leader").alias("head"))
         )
         if seen is not None:
             pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = frames.keep(pairs.select("a", "b", "pivot"))
+        pairs = frames.keep(pairs.select("a", "b", "pivot", "head"))
         before, seen = seen, frames.keep(pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b")))
         frames.drop(before)
-        near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean")
+        near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean, head binary")
         near = frames.keep(near)
-        # Pairs of one class stay together for its decoded set, in eight parts.
-        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        both = near.join(bodies.toDF("b", "body_b"), "b").join(bodies.toDF("a", "body_a"), "a").repartition(parts, "a", F.pmod(F.xxhash64("b"), F.lit(8)))
-        compared = frames.keep(both.mapInArrow(_confirm(size, per, of), "a binary, b binary, pivot boolean, share double, linked boolean"))
+        compared = frames.keep(confirm(near, bodies, size, per, of))
         roots = merge(roots, compared.where("linked").select("a", "b"))
         # A leader has met all it could meet in its list.
         lists = lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti")
@@ -389,7 +405,7 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
             again = rare.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
             lists = rare.join(again, "list").withColumns({"share0": none, "share1": none})
         lists = frames.keep(lists)
-        frames.drop(spans, open_lists, leaders, pairs, near, compared, previous)
+        frames.drop(spans, open_lists, leaders, pairs, near, compared, previous, *([rest, rare] if turn == 1 else []))
         previous = lists
         turn += 1
     frames.drop(spans, seen, previous, classes, shared, briefs, reps, bodies)
@@ -422,12 +438,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, per: int = 80, of: int = 100) -> DataFrame:
     """The documents, one of each group of near duplicates (the one with the
-    smallest key, then text hash); rows equal in key and text are one."""
-    rows = docs.withColumns({"__id": F.coalesce(F.col(key).cast("string"), F.lit("")), "__hash": F.xxhash64(F.col(f"`{text}`").cast("string"))})
-    named = rows.select(F.struct(F.col(key), "__id", "__hash").alias("__row"), F.col(f"`{text}`").alias("__text"))
-    kept = near_duplicates(named, "__row", "__text", size, per, of).where("kept").select("__row.__id", "__row.__hash").distinct()
-    out = rows.join(frames.keep(kept).hint("merge"), ["__id", "__hash"], "left_semi").dropDuplicates(["__id", "__hash"])
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    smallest key, null first, then text hash); of rows equal in key and text,
+    whatever their other columns, one stays. All columns as they were."""
+    at_key, at_text = frames.at(docs, key), frames.at(docs, text)
+    named = F.when(F.col(at_key).isNull(), "").otherwise(F.concat(F.lit("="), F.col(at_key).cast("string")))
+    rows = frames.numbered(docs).withColumns({"id": named, "hash": F.xxhash64(F.col(at_text).cast("string"))})
+    source = rows.select(F.struct(F.col(at_key).alias("key"), "id", "hash").alias("row"), F.col(at_text).alias("body"))
+    kept = near_duplicates(source, "row", "body", size, per, of).where("kept").select("row.id", "row.hash").distinct()
+    out = rows.join(frames.keep(kept).hint("merge"), ["id", "hash"], "left_semi").dropDuplicates(["id", "hash"])
+    return out.drop("id", "hash").toDF(*docs.columns)
 
 
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
