@@ -255,35 +255,32 @@ def _cut_found(text_index: int):
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, spans: bool = False, size: int = SIZE, max_windows: int = MAX_WINDOWS) -> DataFrame:
-    """The documents, all columns as they were, without the contaminated ones;
-    with ``spans``, hit words are cut out of the documents that stay."""
+    """The documents, all columns as they were whatever their names, without
+    the contaminated ones; with ``spans``, hit words are cut out of the
+    documents that stay."""
     spark = docs.sparkSession
     frames.ready(spark)
     windows = benchmark_windows(benchmark, size)
     known = windows.limit(max_windows + 1).collect()
+    names, text = docs.columns, frames.at(docs, "text")
+    flat, at = frames.numbered(docs), int(text[1:])
+    through = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields))
     if len(known) > max_windows:
-        rows = frames.keep(docs.withColumn("__row", F.monotonically_increasing_id()))
-        names = docs.columns
-        at = [c.lower() for c in names].index("text")
-        hits = find_hits(rows.select("__row", F.col(f"`{names[at]}`").alias("text")), benchmark, "__row", size, max_windows)
+        rows = frames.keep(flat.withColumn("row", F.monotonically_increasing_id()))
+        hits = find_hits(rows.select("row", F.col(text).alias("text")), benchmark, "row", size, max_windows)
         hits = frames.keep(hits) if spans else hits
-        bad = _verdicts(hits, "bigint").where("contaminated").select(F.col("key").alias("__row"))
-        kept = rows.join(bad, "__row", "left_anti")
+        bad = _verdicts(hits, "bigint").where("contaminated").select(F.col("key").alias("row"))
+        kept = rows.join(bad, "row", "left_anti")
         if not spans:
-            return kept.select(*[F.col(f"`{c}`") for c in names])
-        where = hits.where(F.size("starts") > 0).select(F.col("key").alias("__row"), "starts", "lengths")
-        flat = kept.join(where, "__row", "left").select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], "starts", "lengths")
-        schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", __cut string"
-        return flat.mapInArrow(_cut_found(at), schema).select(*[F.col("__cut" if i == at else f"c{i}").alias(c) for i, c in enumerate(names)])
+            return kept.drop("row").toDF(*names)
+        where = hits.where(F.size("starts") > 0).select(F.col("key").alias("row"), "starts", "lengths")
+        found = kept.join(where, "row", "left").drop("row")
+        cut = found.mapInArrow(_cut_found(at), f"{through}, __cut string")
+        return cut.select(*["__cut" if i == at else f"c{i}" for i in range(len(names))]).toDF(*names)
     shared = spark.sparkContext.broadcast(WindowSet([tuple(r) for r in known]))
-    schema = f"{docs.schema.simpleString()[7:-1]},__n_words:bigint,__n_hit:bigint,__cut:string"
-    names = docs.columns
-    # Columns go through by position, so odd or repeated names cannot clash.
-    flat = docs.toDF(*[f"c{i}" for i in range(len(names))])
-    at = [c.lower() for c in names].index("text")
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields)) + ", __n_words bigint, __n_hit bigint, __cut string"
-    kept = flat.mapInArrow(_mark(shared, at), schema).where((F.col("__n_hit") == 0) | (RULE * F.col("__n_hit") < F.col("__n_words")))
-    return kept.select(*[(F.col("__cut") if spans and i == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)])
+    marked = flat.mapInArrow(_mark(shared, at), f"{through}, __n_words bigint, __n_hit bigint, __cut string")
+    kept = marked.where((F.col("__n_hit") == 0) | (RULE * F.col("__n_hit") < F.col("__n_words")))
+    return kept.select(*["__cut" if spans and i == at else f"c{i}" for i in range(len(names))]).toDF(*names)
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -84,13 +84,17 @@ def removals(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor:
     )
 
 
-def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR, least: int = LEAST) -> DataFrame:
+def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int = DIVISOR, least: int = LEAST, counts: tuple[str, str] = ("__n_lines", "__n_removed")) -> DataFrame:
     """The documents with repeated chunks cut out of ``text``, and the numbers
-    of lines before (``__n_lines``) and removed (``__n_removed``)."""
-    body = F.col(f"`{text}`").cast("string")
-    gone = frames.keep(removals(docs, key, text, divisor, least)).select(F.col("__id").alias("__gone_id"), F.col("__hash").alias("__gone_hash"), "__removed")
+    of lines before and removed under the names of ``counts``, which must not
+    be columns of ``docs``; its other columns may have any names."""
+    if {c.lower() for c in counts} & {c.lower() for c in docs.columns}:
+        raise ValueError(f"{counts} are columns of the documents: name the counts otherwise")
+    flat, at_key, at_text = frames.numbered(docs), frames.at(docs, key), frames.at(docs, text)
+    body = F.col(at_text).cast("string")
+    gone = frames.keep(removals(flat, at_key, at_text, divisor, least)).select(F.col("__id").alias("__gone_id"), F.col("__hash").alias("__gone_hash"), "__removed")
     # Sorted and merged at every size: no broadcast that holds only while small.
-    joined = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(body) == F.col("__gone_hash")), "left")
+    joined = flat.join(gone.hint("merge"), F.col(at_key).eqNullSafe(F.col("__gone_id")) & (F.xxhash64(body) == F.col("__gone_hash")), "left")
 
     def split(all_chunks: Column) -> Column:
         stays = F.filter(all_chunks, lambda c, i: ~F.array_contains("__removed", i))
@@ -98,14 +102,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", divisor: int
         return F.struct(F.array_join(F.flatten(stays), "\n").alias("text"), F.size(F.flatten(lost)).cast("bigint").alias("n"))
 
     joined = joined.withColumn("__split", F.when(F.col("__removed").isNotNull(), _let(chunks(body, divisor), split)))
-    rebuilt = F.when(F.col("__removed").isNull(), F.col(f"`{text}`")).otherwise(F.col("__split.text"))
-    return joined.select(
-        *[rebuilt.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
+    rebuilt = F.when(F.col("__removed").isNull(), F.col(at_text)).otherwise(F.col("__split.text"))
+    out = joined.select(
+        *[rebuilt.alias(c) if c == at_text else F.col(c) for c in flat.columns],
         F.when(body.isNull(), 0).otherwise(F.size(F.split(body, "\n", -1))).cast("bigint").alias("__n_lines"),
         F.coalesce("__split.n", F.lit(0)).cast("bigint").alias("__n_removed"),
     )
+    return out.toDF(*docs.columns, *counts)
 
 
 def op8_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.read(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup(docs).withColumnRenamed("__n_lines", "n_lines").withColumnRenamed("__n_removed", "n_removed")
+    return dedup(docs, counts=("n_lines", "n_removed"))
