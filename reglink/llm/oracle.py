@@ -175,7 +175,10 @@ _GRID = {
     "repeats": [0.05, 0.1, 0.15, 0.2, 0.25, 0.3, 0.35, 0.4, 0.45, 0.5],
     "upper": [0.05, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9],
 }
-_grid = ", ".join(f"('{r}', CAST({c} AS DOUBLE))" for r, cs in _GRID.items() for c in cs)
+# Cutoffs from the mildest; a score's first level is the number it does not exceed.
+_mild = {r: sorted(c, reverse=True) for r, c in _GRID.items()}
+_first = ", ".join(f"len(list_filter({c}, lambda c: score['{r}'] <= c))" for r, c in _mild.items())
+_failed = ", ".join(f"CASE WHEN score['{r}'] > {c}[j + 1] THEN '{r}' END" for r, c in _mild.items())
 OP5 = rf"""
 WITH d AS (SELECT doc_id, lang, coalesce(text, '') AS t, {PLAIN_WORDS} AS w FROM documents),
 wins AS (
@@ -206,31 +209,27 @@ s AS (
     }} AS score FROM m
 ),
 q AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1),
-grid(rule, cutoff) AS (VALUES {_grid}),
+f AS (SELECT *, least({_first}) AS first_level FROM s),
 tests AS (
-  SELECT stratum, rule, cutoff, count(*) FILTER (good = 1) AS n, count(*) FILTER (good <> 1) AS n_bad,
-    count(*) FILTER (good = 1 AND score[rule] > cutoff) AS k, count(*) FILTER (good <> 1 AND score[rule] > cutoff) AS bad
-  FROM s JOIN q USING (doc_id), grid WHERE NOT base_failed GROUP BY 1, 2, 3
+  SELECT stratum, j, count(*) FILTER (good = 1) AS n, count(*) FILTER (good <> 1) AS n_bad,
+    count(*) FILTER (good = 1 AND first_level <= j) AS k, count(*) FILTER (good <> 1 AND first_level <= j) AS bad
+  FROM f JOIN q USING (doc_id), unnest(range(0, {len(next(iter(_GRID.values())))})) AS t(j) WHERE NOT base_failed GROUP BY 1, 2
 ),
 p AS (
   SELECT *, CASE WHEN k <= n * 0.01 THEN list_sum(list_transform(range(0, k + 1), lambda i: exp(
     lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.01) + (n - i) * ln(0.99)))) ELSE 1 END AS p FROM tests
 ),
 gains AS (
-  SELECT *, bad / greatest(n_bad, 1) - 20.0 * k / greatest(n, 1) AS gain FROM p
-  WHERE p <= 0.05 / ((SELECT count(DISTINCT stratum) FROM p) * (SELECT count(*) FROM grid))
+  SELECT *, max(p) OVER (PARTITION BY stratum ORDER BY j) <= 0.05 / (SELECT count(DISTINCT stratum) FROM p) AS certified,
+    bad / greatest(n_bad, 1) - 20.0 * k / greatest(n, 1) AS gain FROM p
 ),
-best AS (
-  SELECT stratum, rule, cutoff FROM gains WHERE gain > 0
-  QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY gain DESC, cutoff DESC) = 1
-),
-failed AS (
-  SELECT s.doc_id, string_agg(rule, ',' ORDER BY CASE rule WHEN 'symbols' THEN 1 WHEN 'dup_lines' THEN 2 WHEN 'repeats' THEN 3 ELSE 4 END) AS rules
-  FROM s JOIN best ON s.stratum = best.stratum AND s.score[best.rule] > best.cutoff GROUP BY 1
+best AS (SELECT stratum, j FROM gains WHERE certified AND gain > 0 QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY gain DESC, j) = 1),
+judged AS (
+  SELECT s.*, array_to_string(list_filter([{_failed}], lambda x: x IS NOT NULL), ',') AS rules FROM s LEFT JOIN best USING (stratum)
 )
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND rules IS NULL AS kept, coalesce(rules, '') AS failed_rules
-FROM s LEFT JOIN failed USING (doc_id)
+  NOT base_failed AND rules = '' AS kept, rules AS failed_rules
+FROM judged
 """
 
 

@@ -1,21 +1,30 @@
 """Quality rules with risk-controlled cutoffs.
 
-Every rule scores a text and rejects it above a cutoff. Cutoffs come from a
-fixed grid and are certified on labelled texts, separately in each stratum
-(a language): with k of n good texts above a cutoff, the exact binomial
-probability of seeing k or fewer if the true false rejection rate were
-``RISK`` must be at most ``ERROR``, divided by the number of tests (strata x
-rules x grid: Bonferroni). So with probability 1 - ``ERROR`` no rule in any
-stratum rejects more than ``RISK`` of the good texts. Among the certified
-cutoffs a rule takes the one that catches most bad texts for the good ones
-it costs; a rule without a certified cutoff that catches any rejects nothing.
+Every rule scores a text and rejects it above a cutoff. The rules' cutoffs
+go together in levels, from the mildest to the strictest of a fixed grid, and
+a text is rejected at a level if any rule rejects it there. Levels are
+certified on labelled texts, separately in each stratum (a language): with k
+of n good texts rejected at a level, the exact binomial probability of seeing
+k or fewer if the true share of good texts lost were ``RISK`` must be at most
+``ERROR`` divided by the number of strata (Bonferroni). Levels are tested in
+their fixed order and the first one that fails ends the testing, which needs
+no correction over the levels. So with probability 1 - ``ERROR`` there is no
+stratum in which the rules together reject more than ``RISK`` of the good
+texts. Among the certified levels a stratum takes the one that catches most
+bad texts for the good ones it costs (the milder one of equals); without one
+that gains anything, its texts are rejected by the base rule only. To certify
+a level that loses none of its good texts, a stratum needs
+ln(ERROR / strata) / ln(1 - RISK) of them: 436 with four strata.
+
+The bound is on texts that pass the base rule; what that one rejects, it
+rejects in any case.
 
 Everything is DataFrame functions. The texts are scored where they lie; only
-scores and labels are joined. The cutoffs are joined by stratum, broadcast
+scores and labels are joined. The levels are joined by stratum, broadcast
 if there are no more than ``SMALL`` strata with any.
 
 Null texts have no words and fail the base rule. A null language is a
-stratum of its own; a stratum without labelled texts has no cutoffs. A null
+stratum of its own; a stratum without labelled texts has no level. A null
 label is none; of contradicting labels of one document, the good
 one counts. Repeated rows each give their row. Further columns of the
 documents go through ``keep`` unchanged.
@@ -26,6 +35,7 @@ from __future__ import annotations
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reglink.llm import frames
@@ -42,6 +52,8 @@ GRID = {
     "upper": [0.05, 0.08, 0.1, 0.15, 0.2, 0.3, 0.4, 0.5, 0.7, 0.9],
 }
 RULES = list(GRID)
+# LEVELS[j][rule] is the rule's cutoff at level j; the mildest level is 0.
+LEVELS = [dict(zip(GRID, cut, strict=True)) for cut in zip(*[sorted(x, reverse=True) for x in GRID.values()], strict=True)]
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
@@ -108,38 +120,46 @@ def binomial_tail(n: Column, k: Column, p: float) -> Column:
     return F.when(k <= n * p, total).otherwise(F.lit(1.0))
 
 
+def first_level() -> Column:
+    """The mildest level at which any rule rejects a text, as a number; the
+    number of levels if none does. Stricter levels reject it as well."""
+    passed = [F.size(F.filter(F.array(*[F.lit(x[rule]) for x in LEVELS]), lambda c: score <= c)) for rule, score in scores().items()]  # noqa: B023
+    return F.least(*passed)
+
+
 def certify(measured: DataFrame, labels: DataFrame, lang: str = "lang", key: str = "doc_id", risk: float = RISK, error: float = ERROR) -> DataFrame:
-    """(stratum, rule, cutoff, n, k, n_bad, bad, p, certified): every test."""
+    """(stratum, level, n, k, n_bad, bad, p, certified): every test. Of n good
+    texts k are rejected at the level, of n_bad bad ones bad."""
     good = labels.select(F.col("doc_id").alias("__key"), F.col("quality").alias("__q")).where("__key IS NOT NULL AND __q IS NOT NULL").groupBy("__key").agg(F.max("__q").alias("__good"))
-    scored = measured.where(~base_failed()).select(F.col(key).alias("__key"), stratum(lang).alias("stratum"), *[c.alias(r) for r, c in scores().items()])
-    labelled = scored.join(good, "__key")
-    tests = [(r, c) for r in RULES for c in GRID[r]]
+    scored = measured.where(~base_failed()).select(F.col(key).alias("__key"), stratum(lang).alias("stratum"), first_level().alias("first"))
+    fine = F.col("__good") == 1
     sums = []
-    for i, (rule, cutoff) in enumerate(tests):
-        above = F.col(rule) > cutoff
-        sums += [F.sum((above & (F.col("__good") == 1)).cast("bigint")).alias(f"k{i}"), F.sum((above & (F.col("__good") != 1)).cast("bigint")).alias(f"b{i}")]
-    counted = labelled.groupBy("stratum").agg(F.sum((F.col("__good") == 1).cast("bigint")).alias("n"), F.sum((F.col("__good") != 1).cast("bigint")).alias("n_bad"), *sums)
-    long = counted.select("stratum", "n", "n_bad", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(c).alias("cutoff"), F.col(f"k{i}").alias("k"), F.col(f"b{i}").alias("bad")) for i, (r, c) in enumerate(tests)])).alias("t")).select("stratum", "n", "n_bad", "t.*")
+    for j in range(len(LEVELS)):
+        sums += [F.count_if(fine & (F.col("first") <= j)).alias(f"k{j}"), F.count_if(~fine & (F.col("first") <= j)).alias(f"b{j}")]
+    counted = scored.join(good, "__key").groupBy("stratum").agg(F.count_if(fine).alias("n"), F.count_if(~fine).alias("n_bad"), *sums)
+    tests = F.array(*[F.struct(F.lit(j).alias("level"), F.col(f"k{j}").alias("k"), F.col(f"b{j}").alias("bad")) for j in range(len(LEVELS))])
+    long = counted.select("stratum", "n", "n_bad", F.inline(tests))
     long = frames.keep(long.withColumn("p", binomial_tail(F.col("n"), F.col("k"), risk)))
     strata = long.select("stratum").distinct().count()
-    return long.withColumn("certified", F.col("p") <= error / max(1, strata * len(tests)))
+    # The first test that fails ends the sequence.
+    so_far = W.partitionBy("stratum").orderBy("level").rowsBetween(W.unboundedPreceding, W.currentRow)
+    return long.withColumn("certified", F.max("p").over(so_far) <= error / max(1, strata))
 
 
 def cutoffs(tests: DataFrame, price: float = PRICE) -> DataFrame:
-    """(stratum, __cutoffs): of every stratum, the chosen cutoff of each rule
-    that has one."""
+    """(stratum, __level): of every stratum, the chosen level, or null."""
     gain = F.col("bad") / F.greatest("n_bad", F.lit(1)) - price * F.col("k") / F.greatest("n", F.lit(1))
-    best = tests.where("certified").withColumn("gain", gain).where("gain > 0").groupBy("stratum", "rule").agg(F.max(F.struct("gain", "cutoff")).alias("best"))
-    chosen = best.groupBy("stratum").agg(F.map_from_entries(F.collect_list(F.struct("rule", "best.cutoff"))).alias("__cutoffs"))
-    return tests.select("stratum").distinct().join(chosen, "stratum", "left")
+    usable = F.when(F.col("certified") & (gain > 0), F.struct(gain.alias("gain"), (-F.col("level")).alias("mild")))
+    return tests.groupBy("stratum").agg((-F.max(usable)["mild"]).alias("__level"))
 
 
 def judge(measured: DataFrame, chosen: DataFrame, lang: str = "lang") -> DataFrame:
     """The measured rows with ``__base_failed``, ``__failed`` (the rules that
     reject) and ``__kept`` added."""
-    table = frames.keep(chosen.where("__cutoffs IS NOT NULL").select(F.col("stratum").alias("__stratum"), "__cutoffs"))
+    table = frames.keep(chosen.where("__level IS NOT NULL").select(F.col("stratum").alias("__stratum"), "__level"))
     table = F.broadcast(table) if table.count() <= SMALL else table
-    failed = F.array_compact(F.array(*[F.when(score > F.try_element_at("__cutoffs", F.lit(rule)), F.lit(rule)) for rule, score in scores().items()]))
+    cut = {rule: F.get(F.array(*[F.lit(x[rule]) for x in LEVELS]), F.col("__level")) for rule in RULES}
+    failed = F.array_compact(F.array(*[F.when(score > cut[rule], F.lit(rule)) for rule, score in scores().items()]))
     columns = [F.col(f"`{c}`") for c in measured.columns]
     joined = measured.join(table, stratum(lang) == F.col("__stratum"), "left")
     out = joined.select(*columns, base_failed().alias("__base_failed"), failed.alias("__failed"))
@@ -147,9 +167,12 @@ def judge(measured: DataFrame, chosen: DataFrame, lang: str = "lang") -> DataFra
 
 
 def keep(docs: DataFrame, labels: DataFrame, lang: str = "lang", key: str = "doc_id") -> DataFrame:
-    """The documents that the rules keep, as they were."""
-    chosen = cutoffs(certify(measures(docs.select(key, lang, "text")), labels, lang, key))
-    return judge(measures(docs), chosen, lang).where("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The documents that the rules keep, as they were, whatever the names of
+    their columns. The texts are measured once, into a kept table."""
+    flat, key, lang, text = frames.numbered(docs), frames.at(docs, key), frames.at(docs, lang), frames.at(docs, "text")
+    measured = frames.keep(measures(flat, text))
+    kept = judge(measured, cutoffs(certify(measured, labels, lang, key)), lang).where("__kept")
+    return kept.select(*flat.columns).toDF(*docs.columns)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
