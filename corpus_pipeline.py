@@ -24,9 +24,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated multi-line chunks go from the texts; every document stays."""
-    out = lines.dedup(docs)
-    n_chars = F.when(F.col("__n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
-    return out.withColumn("n_chars", n_chars).select(*docs.columns)
+    counts = ("__n_lines", "__n_removed")
+    while {c.lower() for c in counts} & {c.lower() for c in docs.columns}:
+        counts = tuple(f"{c}_" for c in counts)
+    out = lines.dedup(docs, counts=counts)
+    n_chars = F.when(F.col(counts[1]) > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return out.withColumn("n_chars", n_chars).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +63,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = frames.read(spark, sf_dir, "documents")
+    before = None
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = frames.keep(docs)
+            # Each stage's input goes once its result is written.
+            frames.drop(before)
+            before = docs
     return docs
