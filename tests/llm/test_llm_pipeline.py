@@ -1,6 +1,5 @@
 """The pipeline against a brute-force version of its stages."""
 
-import hashlib
 from collections import Counter
 
 import corpus_pipeline
@@ -50,4 +49,5 @@ def test_stages_keep_columns_and_extra_ones(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         out = stage(spark, docs, SF)
         assert out.schema.names == docs.schema.names
-        assert hashlib.md5(str(out.count()).encode())
+        # The extra columns are those of their rows.
+        assert out.count() > 0 and out.where("key IS DISTINCT FROM doc_id OR n <> 1 OR class IS DISTINCT FROM lang").count() == 0

@@ -3,6 +3,7 @@ force, and their edge cases."""
 
 import hashlib
 import heapq
+import math
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reglink.llm import bpe, dialogs, spelling
-from tests.llm.test_llm_operators import empty, frame, got, odd, odd_texts  # noqa: F401
+from test_llm_operators import empty, frame, got, odd, odd_texts  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -272,3 +273,268 @@ def test_bpe_query(spark, library):
         ids = library.encode_ordinary(r.text or "")
         assert out.pop(r.doc_id) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest())
     assert not out
+
+
+# --- names of columns, versions of rules, kept tables ------------------------
+
+CLASHING = ["__id", "__hash", "__row", "__w", "__l", "__p", "__m", "__kept", "__n_words", "__failed", "__stratum", "__cutoffs", "__split", "__removed", "__gone_id", "id", "hash", "row", "c0", "C1", "a`b", "__cut", "key", "text_"]
+
+
+def clashing(spark):
+    rows = [(i, t) for i, t in odd_texts() if len(t or "") < 3000]
+    df = frame(spark, rows)
+    return df.select("doc_id", *[F.concat(F.lit(f"{c} of "), F.coalesce(F.col("doc_id").cast("string"), F.lit("none"))).alias(c) for c in CLASHING], "text", "lang"), rows
+
+
+def untouched(out, columns):
+    assert out.columns == columns
+    for r in out.collect():
+        assert [r[c] for c in CLASHING] == [f"{c} of {'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHING]
+
+
+def test_columns_of_any_name_go_through(spark):
+    from reglink.llm import decontaminate, frames, lines, minhash, quality
+
+    df, rows = clashing(spark)
+    columns = df.columns
+    untouched(minhash.keep_one(df), columns)
+    labels = spark.createDataFrame([(i, 1) for i, _ in rows], "doc_id bigint, quality int")
+    untouched(quality.keep(df, labels), columns)
+    benchmark = spark.createDataFrame([("q", "one line here second line here third line here fourth line fifth line sixth line")], "item_id string, text string")
+    for limit in (decontaminate.MAX_WINDOWS, 0):
+        for spans in (False, True):
+            untouched(decontaminate.clean(df, benchmark, spans, max_windows=limit), columns)
+    out = lines.dedup(df)
+    assert out.columns == [*columns, "__n_lines", "__n_removed"] and out.count() == len(rows)
+    untouched(out.drop("__n_lines", "__n_removed"), columns)
+    with pytest.raises(ValueError):
+        lines.dedup(df.withColumn("__N_lines", F.lit(1)))
+    assert frames.at(df, "C1") == f"c{columns.index('C1')}" and frames.at(df, "DOC_ID") == "c0"
+
+
+def test_null_and_empty_keys_are_told_apart(spark):
+    from reglink.llm import minhash
+
+    text = " ".join(f"word{i}" for i in range(30))
+    other = " ".join(f"other{i}" for i in range(30))
+    df = spark.createDataFrame([("", text, 1), (None, other, 2), (None, other, 3)], "doc_id string, text string, n int")
+    assert sorted(r.text for r in minhash.keep_one(df).collect()) == [other, text]
+
+
+def test_findings_of_older_versions_are_not_reported(spark):
+    from reglink.llm import frames, secrets
+
+    docs = frame(spark, [(1, "secret = abcdefgh"), (2, "AKIA" + "A" * 20), (3, "badge 12-34")])
+    stricter = secrets.Rule("assign", 2, re.compile("(never)"), (b"never",), 0, 1)
+    own = secrets.Rule("badge", 1, re.compile(r"\d\d-\d\d"), (b"badge",))
+    first = frames.keep(secrets.scan(docs))
+    rules = (stricter, *secrets.RULES[1:], own)
+    second = frames.keep(secrets.scan(docs, first, rules))
+    assert {tuple(r.rules) for r in second.collect()} == {("assign@2", "badge@1")}
+    ledger = first.unionByName(second)
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(secrets.report(docs, ledger, rules=rules)) == key(secrets.report(docs, frames.keep(secrets.scan(docs, rules=rules)), rules=rules))
+    said = {r.doc_id: (r.n_assign, r.spans) for r in secrets.report(docs, ledger, rules=rules).collect()}
+    assert said == {1: (0, ""), 2: (0, "access:0:24"), 3: (0, "badge:6:11")}
+    # Going back to the older rules needs no scan.
+    assert {r.doc_id: r.n_assign for r in secrets.report(docs, ledger).collect()} == {1: 1, 2: 0, 3: 0}
+
+
+def test_long_runs_are_scanned_in_linear_time():
+    import time
+
+    from reglink.llm import secrets
+
+    begin = time.time()
+    for rule in secrets.RULES:
+        rule.spans("eyJ" * 350_000)
+        rule.spans("eyJabcdefgh." * 80_000)
+    assert time.time() - begin < 3
+    jwt = next(r for r in secrets.RULES if r.kind == "jwt")
+    assert jwt.spans("x eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSM y") == [(2, 38)]
+
+
+def test_the_query_goes_through_the_ledger(spark):
+    from reglink.llm import secrets
+
+    base = [
+        ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), 2, 6),
+        ("access", re.compile("AKIA[A-Z0-9]+"), 0, 20),
+        ("hex", re.compile("[0-9a-f]+"), 0, 24),
+    ]
+    out = {r.doc_id: r for r in secrets.op3_secret_scan(spark, "/root/testdata/sf0.01").collect()}
+    found = 0
+    for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect():
+        spans = sorted((m.start(), i, m.end(), k) for i, (k, p, group, least) in enumerate(base) for m in p.finditer(r.text or "") if len(m[group]) >= least)
+        found += len(spans)
+        mine = out.pop(r.doc_id)
+        assert [mine.n_assign, mine.n_access, mine.n_hex] == [sum(s[1] == i for s in spans) for i in range(3)]
+        assert mine.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, b, k in spans).encode()).hexdigest()
+    assert not out and found
+
+
+def test_replaced_tables_of_the_near_duplicate_join_go(spark):
+    import os
+
+    from reglink.llm import frames, minhash
+
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    texts = [" ".join(x if rng.random() > 0.02 else f"z{rng.randint(0, 9)}" for x in base) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    at = frames.folder(spark).removeprefix("file:")
+    before = set(os.listdir(at)) if os.path.isdir(at) else set()
+    minhash.near_duplicates(df)
+    assert len(set(os.listdir(at)) - before) <= 6
+
+
+# --- quality levels ----------------------------------------------------------
+
+
+def test_levels_bound_what_all_rules_lose_together(spark):
+    """Four rules that each reject other good texts: every rule alone stays
+    within the risk, all together do not, and no level with too many is
+    certified."""
+    from reglink.llm import quality
+
+    rows, labels = [], []
+    for i in range(4000):
+        words = [f"w{i}x{j}" for j in range(60)]
+        kind = i % 1000 if i < 3200 else -1
+        if kind < 7 and kind >= 0:
+            words = [w + "###" for w in words]  # symbols
+        elif 7 <= kind < 14:
+            words = [w.upper() for w in words]  # upper case
+        elif 14 <= kind < 21:
+            words = words[:55] + ["a b c"] * 8  # repeats
+        text = " ".join(words)
+        if 21 <= kind < 28:
+            text = "\n".join([" ".join(words[:55]), *["same line again"] * 6])  # lines
+        bad = i >= 3200
+        rows.append((i, "en", text + " !!" + "#" * (400 if bad else 0)))
+        labels.append((i, 0 if bad else 1))
+    docs = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int")
+    tests = quality.certify(quality.measures(docs), labels).collect()
+    assert len(tests) == len(quality.LEVELS) and {r.n for r in tests} == {3200}
+    assert any(r.k > 0.01 * r.n for r in tests)
+    assert all(r.k <= 0.01 * r.n for r in tests if r.certified) and any(r.certified for r in tests)
+    # In the fixed order: nothing after the first level that fails.
+    order = [r.certified for r in sorted(tests, key=lambda r: r.level)]
+    assert order == sorted(order, reverse=True)
+    kept = {r.doc_id for r in quality.keep(docs, labels).collect()}
+    assert len([i for i in range(3200) if i not in kept]) <= 32 and not [i for i in range(3200, 4000) if i in kept]
+
+
+def test_level_ties_take_the_milder_one(spark):
+    from reglink.llm import quality
+
+    tests = spark.createDataFrame(
+        [("a", 0, 500, 0, 10, 4, True), ("a", 1, 500, 0, 10, 6, True), ("a", 2, 500, 0, 10, 6, True), ("a", 3, 500, 0, 10, 9, False), ("b", 0, 9, 0, 0, 0, True), ("c", 0, 500, 5, 10, 1, True)],
+        "stratum string, level int, n bigint, k bigint, n_bad bigint, bad bigint, certified boolean",
+    )
+    assert {tuple(r) for r in quality.cutoffs(tests).collect()} == {("a", 1), ("b", None), ("c", None)}
+
+
+def test_quality_sql_where_levels_are_certified(spark, tmp_path):
+    """The SQL twin on labelled texts enough to certify a level, as the
+    smallest tables are not."""
+    import duckdb
+
+    from reglink.llm import quality
+    from reglink.llm.oracle import ORACLE_SQL
+
+    source = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("length(text) < 1500")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    source.where("doc_id is null or doc_id < 6000").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    labels.coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    got_rows = sorted(tuple(r) for r in quality.op5_quality_rules(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.sql(f"create view {t} as select * from '{tmp_path}/{t}.parquet/*.parquet'")
+    assert got_rows == sorted(con.sql(ORACLE_SQL["op5_quality_rules"]).fetchall())
+    assert any(r[-1] for r in got_rows)  # some text is rejected by a certified level
+
+
+# --- language identification against a plain version ------------------------
+
+
+def plain_trigrams(text):
+    """Counts of hashed trigrams of the lower-cased bytes, ASCII other than
+    letters as blanks."""
+    seen = [b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in text.encode()]
+    n = Counter()
+    for a, b, c in zip(seen, seen[1:], seen[2:]):  # noqa: B905
+        n[((((a << 16) | (b << 8) | c) * 2654435761) % 2**32) >> (32 - 13)] += 1
+    return n
+
+
+def dot(a, b):
+    return sum(x * b.get(k, 0.0) for k, x in a.items())
+
+
+def unit(v):
+    norm = math.sqrt(sum(x * x for x in v.values()))
+    return {k: x / norm for k, x in v.items()} if norm else {}
+
+
+def plain_clusters(vs, k=4, rounds=8):
+    mean = Counter()
+    for v in vs:
+        mean.update({i: x / len(vs) for i, x in v.items()})
+    seeds = [max(range(len(vs)), key=lambda i: dot(vs[i], mean))]
+    while len(seeds) < min(k, len(vs)):
+        near = [max(dot(v, vs[s]) for s in seeds) for v in vs]
+        far = min(range(len(vs)), key=near.__getitem__)
+        if near[far] > 1 - 1e-6:
+            break
+        seeds.append(far)
+    centres = [vs[s] for s in seeds]
+    for _ in range(rounds):
+        groups = defaultdict(Counter)
+        for v in vs:
+            groups[max(range(len(centres)), key=lambda j: dot(v, centres[j]))].update(v)
+        centres = [unit(groups[j]) if j in groups else c for j, c in enumerate(centres)]
+    return centres
+
+
+def test_languages_against_a_plain_version(spark, monkeypatch):
+    from reglink.llm import frames, language
+
+    docs = frames.read(spark, SF, "documents")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    drawn, sample = [], language._sample
+    monkeypatch.setattr(language, "_sample", lambda *a: drawn.append(sample(*a)) or drawn[-1])
+    out = {r.doc_id: r for r in language.op7_language_id(spark, SF).collect()}
+    rows = [(r.doc_id, r.text, r.lang) for r in docs.collect()]
+    learnt = [(t, lang) for i, t, lang in rows if t is not None and lang is not None and zlib.crc32(str(i).encode()) % 4 != 2]
+    seen = Counter(b for t, _ in learnt for b in plain_trigrams(t))
+    weight = {b: math.log((1 + len(learnt)) / (1 + n)) + 1 for b, n in seen.items()}
+    vector = lambda t: unit({b: math.log1p(n) * weight[b] for b, n in plain_trigrams(t).items() if b in weight})
+    per = defaultdict(list)
+    for r in sorted(drawn[0].collect(), key=lambda r: (r.order, r.text)):
+        assert (r.text, r.lang) in learnt
+        if v := vector(r.text):
+            per[r.lang].append(v)
+    centres = [(lang, c) for lang in sorted(per) for c in plain_clusters(per[lang])]
+    wrong = 0
+    for i, t, _ in rows:
+        got_row = out.pop(i)
+        assert got_row.held_out == (zlib.crc32(str(i).encode()) % 4 == 2)
+        if not any(c.isalpha() for c in t or ""):
+            assert (got_row.lang_pred, got_row.score) == ("und", 0.0)
+            continue
+        v = vector(t)
+        best = max(dot(v, c) for _, c in centres)
+        assert got_row.score == pytest.approx(best, abs=2e-3)
+        # A language whose centroid is as near as the best one will do.
+        wrong += got_row.lang_pred not in {lang for lang, c in centres if dot(v, c) > best - 2e-3}
+    assert not out and not wrong
+
+
+def test_both_ways_of_decontamination_agree_with_held_out_docs(spark):
+    from reglink.llm import decontaminate, frames
+
+    docs, benchmark = frames.read(spark, SF, "documents"), frames.read(spark, SF, "benchmark")
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(decontaminate.report(docs, benchmark)) == key(decontaminate.report(docs, benchmark, max_windows=0))
