@@ -107,12 +107,15 @@ def replace_partitions(
 
 
 def _files(spark: SparkSession, path: str, by: str) -> DataFrame:
-    """(label, file, n_rows, n_bytes) of the files that lie in the table."""
+    """(label, file, n_rows, n_bytes) of the files that lie in the table.
+
+    Rows are grouped by the path as the scan gives it (one value per file);
+    names are cut from it once per file, not once per row."""
     table = spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", False).parquet(path)
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"[^/]+/[^/]+$", 0)
-    return table.groupBy(ref(by).cast("string").alias("label"), name.alias("file")).agg(
+    found = table.groupBy(ref(by).cast("string").alias("label"), F.col("_metadata.file_path").alias("found_path")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.max(F.col("_metadata.file_size")).cast("bigint").alias("n_bytes")
     )
+    return found.select("label", F.regexp_extract("found_path", r"[^/]+/[^/]+$", 0).alias("file"), "n_rows", "n_bytes")
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from conftest import plan_text, rows
 from reglink.sources import archives as Z
 from reglink.sources import registry as R
 from reglink.sources import store as S
@@ -139,6 +139,18 @@ def test_copies_of_one_row_are_spread_by_a_column(spark, tmp_path):
     assert len(sizes) == 4 and max(sizes) < 1300
 
 
+def test_file_names_are_cut_once_per_file(spark, tmp_path):
+    out = str(tmp_path / "t")
+    S.replace_partitions(spark.createDataFrame([(1, "RO"), (2, "SP"), (3, "SP"), (4, None)], "A int, UF string"), out, "UF")
+    listed = S._files(spark, out, "UF")
+    plan = plan_text(listed)
+    # Nothing under the aggregates looks at the text of a path, row by row.
+    assert "regexp" not in plan[plan.index("HashAggregate"):]
+    assert sorted(rows(listed, "label", "n_rows"), key=str) == [("RO", 1), ("SP", 2), (None, 1)]
+    sizes = {f: os.path.getsize(os.path.join(out, f)) for f in _files(out)}
+    assert dict(rows(listed, "file", "n_bytes")) == sizes and len(sizes) == 3
+
+
 def test_an_empty_frame_replaces_nothing(spark, tmp_path):
     out = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "RO")], "A int, UF string")
