@@ -424,6 +424,8 @@ def integrate_archives(
     while row_no in (*schema.fieldNames(), label):
         row_no += "_"
     rows = lines.select(F.from_csv("line", ddl(schema), {"sep": sep}).alias("r"), "state", F.xxhash64("archive", "member", "line_no").alias("row_no"))
-    sizes = partition_sizes(lines, "state")
+    # Lines per archive first: a state is cut from each archive's path once.
+    per_archive = archive_lines(expanded).where(F.col("line_no") > 0).groupBy("archive").agg(F.count(F.lit(1)).alias("n"))
+    sizes = partition_sizes(per_archive.select(archive_state().alias("state"), "n"), "state", F.sum("n"))
     replace_partitions(rows.select(*fields, F.col("state").alias(label), F.col("row_no").alias(row_no)), out, label, rows_per_file, sizes, spread=row_no)
     return ingest_tally(expanded, label)

@@ -43,10 +43,12 @@ def _free(df: DataFrame, name: str) -> str:
     return name
 
 
-def partition_sizes(df: DataFrame, by: str) -> dict[str | None, int]:
+def partition_sizes(df: DataFrame, by: str, rows: Column | None = None) -> dict[str | None, int]:
     """Rows per value of the partition column (one row per partition folder
-    comes to the driver). Values are told apart as the folders are: by text."""
-    counts = df.groupBy(ref(by).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    comes to the driver). Values are told apart as the folders are: by text.
+    ``rows`` is the aggregate that gives them where ``df`` is counted in part
+    already (a sum of counts)."""
+    counts = df.groupBy(ref(by).cast("string").alias("label")).agg((F.count(F.lit(1)) if rows is None else rows).alias("n"))
     sizes = {r.label: r.n for r in counts.limit(MAX_LABELS + 1).collect()}
     if len(sizes) > MAX_LABELS:
         raise ValueError(f"{by} has over {MAX_LABELS} values: too many to be partition folders")

@@ -151,6 +151,12 @@ def test_file_names_are_cut_once_per_file(spark, tmp_path):
     assert dict(rows(listed, "file", "n_bytes")) == sizes and len(sizes) == 3
 
 
+def test_sizes_from_partial_counts(spark):
+    counted = spark.createDataFrame([("RO", 3), ("SP", 4), ("RO", 5), (None, 2)], "UF string, n bigint")
+    assert S.partition_sizes(counted, "UF", F.sum("n")) == {"RO": 8, "SP": 4, None: 2}
+    assert S.partition_sizes(counted, "UF") == {"RO": 2, "SP": 1, None: 1}
+
+
 def test_an_empty_frame_replaces_nothing(spark, tmp_path):
     out = str(tmp_path / "t")
     df = spark.createDataFrame([(1, "RO")], "A int, UF string")
