@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -79,8 +80,9 @@ def _range_hash(hashes: np.ndarray, start: np.ndarray, length: np.ndarray, salt:
 def _local(hashes: np.ndarray, size: int) -> np.ndarray:
     """Windows of one text that occur in it more than once."""
     w = window_hashes(hashes, size)
-    _, back, n = np.unique(w, return_inverse=True, return_counts=True)
-    return n[back] > 1
+    ordered = np.sort(w)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    return np.isin(w, twice) if len(twice) else np.zeros(len(w), bool)
 
 
 class Text:
@@ -154,9 +156,13 @@ def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("key"), pa.array([_digest(x.split()) for x in raw], pa.binary()), pa.array([press.compress(x) for x in raw], pa.binary())], names=["key", "source", "body"])
 
 
-def _unpack(column: pa.Array) -> pa.Array:
+def _bodies(column: pa.Array) -> list[bytes]:
     press = zstandard.ZstdDecompressor()
-    return pa.array([press.decompress(x) for x in column.to_pylist()], pa.binary()).cast(pa.large_string())
+    return [press.decompress(x) for x in column.to_pylist()]
+
+
+def _unpack(column: pa.Array) -> pa.Array:
+    return pa.array(_bodies(column), pa.binary()).cast(pa.large_string())
 
 
 def _windows(size: int):
@@ -187,21 +193,22 @@ def _cut(size: int):
         for batch in batches:
             for begin in range(0, batch.num_rows, 64):
                 part = batch.slice(begin, 64)
-                column = _unpack(part.column("body"))
-                w = find_words(column, PLAIN, False)
-                both = (w.hashes(0), w.hashes(1))
+                raws = _bodies(part.column("body"))
+                w = find_words(pa.array(raws, pa.binary()).cast(pa.large_string()), PLAIN, False)
+                hashes = w.hashes(0)
                 lost, text, ranges = [], [], []
-                for i, (whole, spans) in enumerate(zip(part.column("copied").to_pylist(), part.column("spans").to_pylist(), strict=True)):
-                    t = Text(w, both, i)
-                    gone = np.zeros(t.n, bool)
-                    if t.n >= size:
-                        hit = np.ones(t.n - size + 1, bool) if whole else _local(t.one, size)
+                for i, (raw, whole, spans) in enumerate(zip(raws, part.column("copied").to_pylist(), part.column("spans").to_pylist(), strict=True)):
+                    words = raw.split()
+                    one = hashes[int(w.first[i]):int(w.first[i + 1])]
+                    gone = np.zeros(len(words), bool)
+                    if len(words) >= size:
+                        hit = np.ones(len(words) - size + 1, bool) if whole else _local(one, size)
                         for x in spans or ():
                             hit[x["first"]:x["first"] + x["n"]] = True
-                        gone = covered(t.n, np.flatnonzero(hit), size)
-                    a = int(w.first[i])
+                        if hit.any():
+                            gone = covered(len(words), np.flatnonzero(hit), size)
                     lost.append(int(gone.sum()))
-                    text.append(b" ".join(w.word(a + j) for j in np.flatnonzero(~gone)).decode())
+                    text.append(b" ".join(compress(words, (~gone).tolist()) if lost[-1] else words).decode())
                     edge = np.diff(np.concatenate([[0], gone.astype(np.int8), [0]]))
                     ranges.append([{"first": int(p), "end": int(q)} for p, q in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)])
                 yield pa.RecordBatch.from_arrays(

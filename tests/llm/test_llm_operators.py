@@ -271,6 +271,32 @@ def test_substrings_random(spark):
     assert out == brute_substrings(rows, 20)
 
 
+def test_substrings_are_cut_without_a_lookup_per_word(monkeypatch):
+    rng = random.Random(7)
+    texts = ["a b  c\u00a0d\té\x0b" * 3, "", " \n", " ".join(f"w{rng.randint(0, 2)}" for _ in range(200)), "x y z w v u " * 9, "only once é ü ß " + "q"]
+    press = substrings.zstandard.ZstdCompressor()
+    spans = [None, None, None, [{"first": 3, "n": 2}], None, [{"first": 0, "n": 1}]]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(6)), pa.array([press.compress(t.encode()) for t in texts], pa.binary()), pa.array([True, False, False, False, False, False]), pa.array(spans, pa.list_(pa.struct([("first", pa.int32()), ("n", pa.int32())])))],
+        names=["key", "body", "copied", "spans"],
+    )
+    hashed = []
+    hashes = substrings.Words.hashes
+    monkeypatch.setattr(substrings.Words, "hashes", lambda self, which=0: hashed.append(which) or hashes(self, which))
+    monkeypatch.setattr(substrings.Words, "word", None)
+    out = pa.Table.from_batches(substrings._cut(4)(iter([batch]))).to_pylist()
+    assert hashed == [0]
+    for r, t, marked, whole in zip(out, texts, spans, [True] + [False] * 5, strict=True):
+        w = PLAIN.findall(t)
+        seen = Counter(tuple(w[i:i + 4]) for i in range(len(w) - 3))
+        gone = [False] * len(w)
+        for i in range(len(w) - 3):
+            if whole or seen[tuple(w[i:i + 4])] > 1 or any(x["first"] <= i < x["first"] + x["n"] for x in marked or ()):
+                gone[i:i + 4] = [True] * 4
+        assert (r["n_words"], r["n_removed"]) == (len(w), sum(gone))
+        assert r["kept_text"] == " ".join(x for x, g in zip(w, gone, strict=True) if not g)
+
+
 # --- quality ---------------------------------------------------------------
 
 
