@@ -22,6 +22,11 @@
    distances, most pairs of a member near one and a member far from it. What
    is left of long lists after that is posted once more under the rarest
    shingles of the sets themselves, by the prefix filter of an exact join.
+   Sizes and positions rule pairs out (length and positional filter): if x
+   and y elements of two sets are left from their first common one on, they
+   have min(x, y) in common at most, and a link needs a number that follows
+   from the two sizes. Texts with edits of their own that are just below the
+   threshold are told apart by this without a comparison.
 5. Met pairs that agree on m coordinates are confirmed on the whole sets, and
    components grow by contraction along the confirmed links.
 
@@ -123,7 +128,7 @@ def _classes(size: int, signed: bool):
                 if signed:
                     rows = np.flatnonzero(s.count > 0)
                     signature = [x.tobytes() for x in _stored(s.signatures(rows))] if len(rows) else []
-                    columns = {k: v.take(pa.array(rows)) for k, v in columns.items() if k != "n"} | {"signature": pa.array(signature, pa.binary())}
+                    columns = {k: v.take(pa.array(rows)) for k, v in columns.items()} | {"signature": pa.array(signature, pa.binary())}
                 yield pa.RecordBatch.from_pydict(columns)
 
     return run
@@ -169,7 +174,8 @@ def _post(sketch, prefix: int):
                 n = sketch.value[(keys >> _U(64 - SKETCH_BITS)).astype(np.int64)]
                 order = np.lexsort((keys, n), axis=1)[:, :prefix]
                 posted = np.take_along_axis(keys, order, axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(posted.ravel().view(np.int64)), part.column("class").take(pa.array(np.repeat(np.arange(part.num_rows), posted.shape[1])))], names=["list", "class"])
+                at = pa.array(np.repeat(np.arange(part.num_rows), posted.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(posted.ravel().view(np.int64)), part.column("class").take(at), part.column("n").take(at)], names=["list", "class", "size"])
 
     return run
 
@@ -264,18 +270,22 @@ def _shingle_sketch(size: int):
 
 def _rare(size: int, per: int, of: int, sketch):
     """Each class under its rarest shingles, as many as the prefix filter of
-    an exact similarity join asks for: a linked set shares one of them."""
+    an exact similarity join asks for: a linked set shares one of them. With
+    each, the size of the set and how much of it is left from there on."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            lists, names = [np.empty(0, _U)], []
+            lists, sizes, left, names = [np.empty(0, _U)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], []
             for name, x in zip(batch.column("class").to_pylist(), batch.column("body").to_pylist(), strict=True):
                 own = Shingles(pa.array([unpack.decompress(x)], pa.binary()).cast(pa.large_string()), size).of(0)
                 order = np.lexsort((own, sketch.value[(own >> _U(64 - SKETCH_BITS)).astype(np.int64)]))
                 lists.append(own[order[: len(own) + per * len(own) // -of + 1]])
+                sizes.append(np.full(len(lists[-1]), len(own)))
+                left.append(len(own) - np.arange(len(lists[-1])))
                 names += [name] * len(lists[-1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(lists).view(np.int64)), pa.array(names, pa.binary())], names=["list", "class"])
+            columns = [np.concatenate(lists).view(np.int64), pa.array(names, pa.binary()), np.concatenate(sizes), np.concatenate(left)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["list", "class", "size", "rest"])
 
     return run
 
@@ -334,13 +344,13 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
     kind = source.schema["key"].dataType.simpleString()
     m = least_matches(per / of)
     classes = frames.keep(
-        source.mapInArrow(_classes(size, True), f"key {kind}, class binary, signature binary")
-        .groupBy("class").agg(F.min("key").alias("rep"), F.first("signature").alias("signature"))
+        source.mapInArrow(_classes(size, True), f"key {kind}, n bigint, class binary, signature binary")
+        .groupBy("class").agg(F.min("key").alias("rep"), F.first("n").alias("n"), F.first("signature").alias("signature"))
     )
     sketch = _counters(classes.select("signature"), _sketch)
-    posted = classes.select("class", "signature").mapInArrow(_post(spark.sparkContext.broadcast(sketch), COORDINATES - m + 1), "list bigint, class binary")
+    posted = classes.select("class", "n", "signature").mapInArrow(_post(spark.sparkContext.broadcast(sketch), COORDINATES - m + 1), "list bigint, class binary, size bigint")
     shared = frames.keep(posted.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"))
-    lists = frames.keep(posted.join(shared.hint("merge"), "list").select("list", "class"))
+    lists = frames.keep(posted.join(shared.hint("merge"), "list").select("list", "class", "size"))
     met = lists.select("class").distinct()
     briefs = frames.keep(classes.select("class", "signature").mapInArrow(_brief, "class binary, brief binary").join(met, "class"))
     reps = frames.keep(classes.join(met, "class").select("class", "rep"))
@@ -350,12 +360,15 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         .select("s.class", "body").dropDuplicates(["class"])
     )
     none = F.lit(None).cast("double")
-    previous, lists = lists, lists.withColumns({"share0": none, "share1": none})
+    previous, lists = lists, lists.withColumns({"rest": F.col("size"), "share0": none, "share1": none})
+    # A pair whose sets begin to agree with a and b elements left agrees on
+    # min(a, b) at most; a link of sizes x and y needs this many of them.
+    enough = lambda rest, x, y: (per + of) * rest >= per * (x + y)
     seen = roots = None
     turn, reach = 0, 1 - per / of + 1e-9
     while True:
         placed = lists if roots is None else lists.join(roots.withColumnRenamed("node", "class"), "class", "left")
-        placed = placed.select("list", "class", "share0", "share1", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
+        placed = placed.select("list", "class", "size", "rest", "share0", "share1", (F.col("class") if roots is None else F.coalesce("root", "class")).alias("root"))
         spans = placed.groupBy("list").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high"), (F.min("class") if turn == 0 else F.max_by("class", F.coalesce("share0", F.lit(0.0)))).alias("head"))
         spans = frames.keep(spans.where("low != high").select("list", "n", "head"))
         if spans.isEmpty():
@@ -364,14 +377,14 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         draw = F.pmod(F.xxhash64("list", "class", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
         more = 4.0**turn - 1 if turn > 1 else 0.0
         lead = (F.col("class") == F.col("head")) | (F.col("n") <= SMALL) | (draw < F.lit(more) / F.col("n"))
-        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), *[F.col(c).alias(f"leader_{c}") for c in ("share0", "share1")]))
+        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), *[F.col(c).alias(f"leader_{c}") for c in ("size", "rest", "share0", "share1")]))
         # Two texts whose distances to a pivot of the list differ by more than
         # the distance of a link cannot be linked (triangle inequality).
         apart = [F.coalesce(F.abs(F.col(c) - F.col(f"leader_{c}")) > reach, F.lit(False)) for c in ("share0", "share1")]
         # In the first two rounds the leader of a long list is its pivot and
         # meets every member: some member first, then the one nearest to it.
         pivot = (F.col("n") > SMALL) & (F.col("leader") == F.col("head")) if turn < 2 else F.lit(False)
-        meet = (F.col("root") != F.col("leader_root")) & ~(apart[0] | apart[1])
+        meet = enough(F.least("rest", "leader_rest"), F.col("size"), F.col("leader_size")) & (F.col("root") != F.col("leader_root")) & ~(apart[0] | apart[1])
         pairs = (
             open_lists.join(leaders, "list").where((meet | pivot) & (F.col("class") != F.col("leader")))
             .select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"), pivot.alias("pivot"), "leader")
@@ -385,7 +398,9 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean, head binary")
         near = frames.keep(near)
         compared = frames.keep(confirm(near, bodies, size, per, of))
-        roots = merge(roots, compared.where("linked").select("a", "b"))
+        new = compared.where("linked").select("a", "b")
+        if roots is None or not new.isEmpty():
+            roots = merge(roots, new)
         # A leader has met all it could meet in its list.
         lists = lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti")
         if turn < 2:
@@ -394,16 +409,19 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
                 lists.join(spans.where(F.col("n") > SMALL).select("list", "head"), "list")
                 .withColumn("a", F.least("class", "head")).withColumn("b", F.greatest("class", "head"))
                 .join(ends, ["a", "b"], "left")
-                .select("list", "class", *[(F.col("found") if i == turn else F.col(c)).alias(c) for i, c in enumerate(("share0", "share1"))])
+                .select("list", "class", "size", "rest", *[(F.col("found") if i == turn else F.col(c)).alias(c) for i, c in enumerate(("share0", "share1"))])
             )
         if turn == 1:
             # What is left of the long lists: texts alike in too many
             # coordinates and yet not linked. Their classes are posted anew,
             # under the rarest of their own shingles.
             rest = frames.keep(bodies.join(lists.select("class").distinct(), "class"))
-            rare = frames.keep(rest.mapInArrow(_rare(size, per, of, spark.sparkContext.broadcast(_counters(rest.select("body"), _shingle_sketch(size)))), "list bigint, class binary"))
-            again = rare.groupBy("list").agg(F.count("*").alias("n")).where("n > 1").select("list")
-            lists = rare.join(again, "list").withColumns({"share0": none, "share1": none})
+            rare = frames.keep(rest.mapInArrow(_rare(size, per, of, spark.sparkContext.broadcast(_counters(rest.select("body"), _shingle_sketch(size)))), "list bigint, class binary, size bigint, rest bigint"))
+            again = rare.groupBy("list").agg(F.count("*").alias("n"), F.min("size").alias("least")).where("n > 1").select("list", "least")
+            # A member stays if it could meet the smallest set of the list
+            # that is large enough for it.
+            other = F.greatest(F.col("least"), F.floor(F.col("size") * per / of))
+            lists = rare.join(again, "list").where(enough(F.col("rest"), F.col("size"), other)).drop("least").withColumns({"share0": none, "share1": none})
         lists = frames.keep(lists)
         frames.drop(spans, open_lists, leaders, pairs, near, compared, previous, *([rest, rare] if turn == 1 else []))
         previous = lists

@@ -172,6 +172,26 @@ def test_near_duplicates_of_a_long_list(spark, monkeypatch):
     check_near(rows, got(minhash.near_duplicates(frame(spark, rows))), 3, 85, 100)
 
 
+def test_near_duplicates_just_below_the_threshold(spark, monkeypatch):
+    """Every text is its own edit of one base, about 0.84 alike any other:
+    the pairs compared grow with the texts, not with their square. Some have
+    a linked partner, among them texts of other sizes."""
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(142)]
+    rows = []
+    for i in range(300):
+        w = list(base)
+        for j, p in enumerate(range(rng.randint(2, 30), 138, 32)):
+            w[p] = f"x{i}_{j}"
+        rows.append((len(rows), " ".join(w)))
+        if i % 10 == 0:
+            rows.append((len(rows), " ".join([*w, *[f"y{i}_{j}" for j in range(i % 30)]])))
+    pairs, confirm = [], minhash.confirm
+    monkeypatch.setattr(minhash, "confirm", lambda near, *a: (pairs.append(near.count()), confirm(near, *a))[1])
+    check_near(rows, got(minhash.near_duplicates(frame(spark, rows))), 3, 85, 100)
+    assert sum(pairs) < 20 * len(rows)
+
+
 def test_least_matches_and_contract(spark):
     m = minhash.least_matches(0.85)
     tail = lambda m: sum(math.comb(128, k) * 0.85**k * 0.15 ** (128 - k) for k in range(m))
