@@ -188,13 +188,13 @@ def _brief(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _match(m: int):
-    """Pairs that agree on m coordinates, and all pairs with a pivot."""
+    """Pairs that agree on m coordinates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, COORDINATES) for c in ("brief_a", "brief_b"))
             near = (a == b).sum(axis=1) >= m
-            yield batch.select(["a", "b", "pivot", "head"]).filter(pa.array(near | batch.column("pivot").to_numpy(zero_copy_only=False)))
+            yield batch.select(["a", "b", "pivot", "head"]).filter(pa.array(near))
 
     return run
 
@@ -351,20 +351,15 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
     posted = classes.select("class", "n", "signature").mapInArrow(_post(spark.sparkContext.broadcast(sketch), COORDINATES - m + 1), "list bigint, class binary, size bigint")
     shared = frames.keep(posted.groupBy("list").agg(F.count("*").alias("n")).where("n > 1"))
     lists = frames.keep(posted.join(shared.hint("merge"), "list").select("list", "class", "size"))
-    met = lists.select("class").distinct()
-    briefs = frames.keep(classes.select("class", "signature").mapInArrow(_brief, "class binary, brief binary").join(met, "class"))
-    reps = frames.keep(classes.join(met, "class").select("class", "rep"))
-    bodies = frames.keep(
-        source.mapInArrow(_bodies(size), f"key {kind}, class binary, body binary").alias("s")
-        .join(reps.hint("merge").alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
-        .select("s.class", "body").dropDuplicates(["class"])
-    )
+    briefs = frames.keep(classes.select("class", "signature").mapInArrow(_brief, "class binary, brief binary"))
+    reps = frames.keep(classes.select("class", "rep"))
+    frames.drop(classes, shared)
     none = F.lit(None).cast("double")
     previous, lists = lists, lists.withColumns({"rest": F.col("size"), "share0": none, "share1": none})
     # A pair whose sets begin to agree with a and b elements left agrees on
     # min(a, b) at most; a link of sizes x and y needs this many of them.
     enough = lambda rest, x, y: (per + of) * rest >= per * (x + y)
-    seen = roots = None
+    seen = roots = bodies = None
     turn, reach = 0, 1 - per / of + 1e-9
     while True:
         placed = lists if roots is None else lists.join(roots.withColumnRenamed("node", "class"), "class", "left")
@@ -377,7 +372,7 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         draw = F.pmod(F.xxhash64("list", "class", F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
         more = 4.0**turn - 1 if turn > 1 else 0.0
         lead = (F.col("class") == F.col("head")) | (F.col("n") <= SMALL) | (draw < F.lit(more) / F.col("n"))
-        leaders = frames.keep(open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), *[F.col(c).alias(f"leader_{c}") for c in ("size", "rest", "share0", "share1")]))
+        leaders = open_lists.where(lead).select("list", F.col("class").alias("leader"), F.col("root").alias("leader_root"), *[F.col(c).alias(f"leader_{c}") for c in ("size", "rest", "share0", "share1")])
         # Two texts whose distances to a pivot of the list differ by more than
         # the distance of a link cannot be linked (triangle inequality).
         apart = [F.coalesce(F.abs(F.col(c) - F.col(f"leader_{c}")) > reach, F.lit(False)) for c in ("share0", "share1")]
@@ -395,19 +390,31 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
         pairs = frames.keep(pairs.select("a", "b", "pivot", "head"))
         before, seen = seen, frames.keep(pairs.select("a", "b") if seen is None else seen.union(pairs.select("a", "b")))
         frames.drop(before)
-        near = pairs.join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean, head binary")
-        near = frames.keep(near)
+        # Pairs that agree on m coordinates, and all pairs with a pivot.
+        near = pairs.where("NOT pivot").join(briefs.toDF("a", "brief_a"), "a").join(briefs.toDF("b", "brief_b"), "b").mapInArrow(_match(m), "a binary, b binary, pivot boolean, head binary")
+        near = frames.keep(near.union(pairs.where("pivot")) if turn < 2 else near)
+        # Members stay in a long list until they have led: a leader has met
+        # all it could meet in its list.
+        stay = open_lists.where(~lead)
+        if turn == 0:
+            # The texts of the classes that are to be compared, now or later.
+            wanted = near.select(F.col("a").alias("class")).union(near.select("b")).union(stay.select("class")).distinct()
+            wanted = frames.keep(reps.join(wanted, "class"))
+            bodies = frames.keep(
+                source.mapInArrow(_bodies(size), f"key {kind}, class binary, body binary").alias("s")
+                .join(wanted.hint("merge").alias("r"), (F.col("s.class") == F.col("r.class")) & F.col("key").eqNullSafe(F.col("rep")))
+                .select("s.class", "body").dropDuplicates(["class"])
+            )
+            frames.drop(reps, wanted)
         compared = frames.keep(confirm(near, bodies, size, per, of))
         new = compared.where("linked").select("a", "b")
         if roots is None or not new.isEmpty():
             roots = merge(roots, new)
-        # A leader has met all it could meet in its list.
-        lists = lists.join(leaders.select("list", F.col("leader").alias("class")), ["list", "class"], "left_anti")
+        lists = stay.select("list", "class", "size", "rest", "share0", "share1")
         if turn < 2:
             ends = compared.where("pivot").select("a", "b", F.col("share").alias("found"))
             lists = (
-                lists.join(spans.where(F.col("n") > SMALL).select("list", "head"), "list")
-                .withColumn("a", F.least("class", "head")).withColumn("b", F.greatest("class", "head"))
+                stay.withColumn("a", F.least("class", "head")).withColumn("b", F.greatest("class", "head"))
                 .join(ends, ["a", "b"], "left")
                 .select("list", "class", "size", "rest", *[(F.col("found") if i == turn else F.col(c)).alias(c) for i, c in enumerate(("share0", "share1"))])
             )
@@ -423,10 +430,10 @@ def links(source: DataFrame, size: int, per: int, of: int) -> DataFrame | None:
             other = F.greatest(F.col("least"), F.floor(F.col("size") * per / of))
             lists = rare.join(again, "list").where(enough(F.col("rest"), F.col("size"), other)).drop("least").withColumns({"share0": none, "share1": none})
         lists = frames.keep(lists)
-        frames.drop(spans, open_lists, leaders, pairs, near, compared, previous, *([rest, rare] if turn == 1 else []))
+        frames.drop(spans, open_lists, pairs, near, compared, previous, *([rest, rare] if turn == 1 else []))
         previous = lists
         turn += 1
-    frames.drop(spans, seen, previous, classes, shared, briefs, reps, bodies)
+    frames.drop(spans, seen, previous, briefs, bodies, *([reps] if bodies is None else []))
     return roots
 
 
