@@ -192,6 +192,18 @@ def test_near_duplicates_just_below_the_threshold(spark, monkeypatch):
     assert sum(pairs) < 20 * len(rows)
 
 
+def test_texts_of_compared_classes_only_are_stored(spark, monkeypatch):
+    """Texts share one or two of their three passages, so they stand in lists
+    together, but only one pair is alike enough to be compared."""
+    passage = [" ".join(f"p{i}_{k}" for k in range(30)) for i in range(6)]
+    rows = [(i, " ".join(passage[j] for j in three)) for i, three in enumerate(itertools.combinations(range(6), 3))]
+    rows.append((len(rows), rows[3][1] + " end"))
+    stored, keep = [], frames.keep
+    monkeypatch.setattr(frames, "keep", lambda df: (out := keep(df), stored.append(out.count()) if df.columns == ["class", "body"] else None)[0])
+    check_near(rows, got(minhash.near_duplicates(frame(spark, rows))), 3, 85, 100)
+    assert stored[0] == 2
+
+
 def test_least_matches_and_contract(spark):
     m = minhash.least_matches(0.85)
     tail = lambda m: sum(math.comb(128, k) * 0.85**k * 0.15 ** (128 - k) for k in range(m))
